@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,68 +23,66 @@ def is_finite(c: Column | str) -> Column:
     return ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
 
 
-def decision(p: Column | str, threshold: float = config.DECISION_THRESHOLD) -> Column:
+def sql_number(x: float) -> str:
+    """Double literal."""
+    return f"{float(x)!r}D"
+
+
+def sql_text(x: str) -> str:
+    escaped = x.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def decision(p: str, threshold: float = config.DECISION_THRESHOLD) -> Column:
     """1 from the threshold up. Spark orders NaN above every number, hence the guard."""
-    p = _col(p)
-    return ((p >= F.lit(threshold)) & ~F.isnan(p)).cast("int")
+    return F.expr(f"cast({p} >= {sql_number(threshold)} and not isnan({p}) as int)")
 
 
-def risk_band(p: Column | str) -> Column:
+def risk_band(p: str) -> Column:
     """Left-closed bands: low, review, high. NaN and null belong to no band."""
-    p = _col(p)
     low, review, high = config.BANDS
-    return (
-        F.when(F.isnan(p) | p.isNull(), F.lit(None))
-        .when(p < F.lit(config.REVIEW_FROM), low)
-        .when(p < F.lit(config.HIGH_FROM), review)
-        .otherwise(high)
+    return F.expr(
+        f"case when {p} is null or isnan({p}) then null"
+        f" when {p} < {sql_number(config.REVIEW_FROM)} then '{low}'"
+        f" when {p} < {sql_number(config.HIGH_FROM)} then '{review}' else '{high}' end"
     )
 
 
-def band_position(band: Column | str) -> Column:
-    band = _col(band)
-    first, *rest = [F.when(band == name, F.lit(i)) for i, name in enumerate(config.BANDS)]
-    return F.coalesce(first, *rest)
-
-
 def unit_edges(bins: int = config.CALIBRATION_BINS) -> list[float]:
     """Evenly spaced edges on [0, 1]: index times step, like a numeric range."""
     return [k * (1.0 / bins) for k in range(bins)] + [1.0]
 
 
-def calibration_bin(p: Column | str, bins: int = config.CALIBRATION_BINS) -> Column:
+def calibration_bin(p: str, bins: int = config.CALIBRATION_BINS) -> Column:
     """Right-closed bin 1..bins; the lowest edge belongs to bin 1; null outside [0, 1]."""
-    p = _col(p)
-    above = [(p > F.lit(e)).cast("int") for e in unit_edges(bins)[1:-1]]
-    return F.when(p.between(F.lit(0.0), F.lit(1.0)), reduce(Column.__add__, above, F.lit(1)))
+    above = " + ".join(f"int({p} > {sql_number(e)})" for e in unit_edges(bins)[1:-1])
+    return F.expr(f"case when {p} between 0D and 1D then 1 + {above} end")
 
 
-def calibration_label(bin_index: Column | str, bins: int = config.CALIBRATION_BINS) -> Column:
+def calibration_label(bin_index: str, bins: int = config.CALIBRATION_BINS) -> Column:
     """Interval text of a bin, e.g. ``(0.1, 0.2]``; the lowest starts just below zero."""
     edges = [f"{e:.3g}" for e in unit_edges(bins)]
     edges = [e if "." in e else e + ".0" for e in edges]
     lows = ["-0.001", *edges[1:-1]]
-    labels = [f"({low}, {high}]" for low, high in zip(lows, edges[1:])]
-    return F.element_at(F.array(*[F.lit(t) for t in labels]), _col(bin_index))
+    labels = ", ".join(f"'({low}, {high}]'" for low, high in zip(lows, edges[1:]))
+    return F.expr(f"element_at(array({labels}), {bin_index})")
 
 
-def drift_status(psi: Column | str) -> Column:
-    psi = _col(psi)
-    return (
-        F.when(psi >= F.lit(config.ALERT_PSI), "alert")
-        .when(psi >= F.lit(config.WATCH_PSI), "watch")
-        .otherwise("stable")
+def drift_status(psi: str) -> Column:
+    return F.expr(
+        f"case when {psi} >= {sql_number(config.ALERT_PSI)} then 'alert'"
+        f" when {psi} >= {sql_number(config.WATCH_PSI)} then 'watch' else 'stable' end"
     )
 
 
-def all_close_to(reference: Column, c: Column) -> Column:
-    """|reference - c| within 1e-8 + 1e-5 * |c|."""
-    return F.abs(reference - c) <= F.lit(1e-8) + F.lit(1e-5) * F.abs(c)
+def all_close(reference: str, value: str) -> str:
+    """SQL: |reference - value| within 1e-8 + 1e-5 * |value|."""
+    return f"abs({reference} - {value}) <= 1e-8D + 1e-5D * abs({value})"
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
-    """Ratio that is 0 where the denominator is 0."""
-    return F.coalesce(F.try_divide(numerator.cast("double"), denominator.cast("double")), F.lit(0.0))
+def ratio(numerator: str, denominator: str) -> str:
+    """SQL: a ratio that is 0 where the denominator is 0."""
+    return f"coalesce(try_divide({numerator}, {denominator}), 0D)"
 
 
 def seeded_hash(seed: int | str | Column, key: Column | str) -> Column:

@@ -6,36 +6,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions import band_position, calibration_bin, calibration_label, risk_band
+from ..functions import calibration_bin, calibration_label, risk_band
 
 
 def _rates(label: str, p: str) -> list:
     return [
-        F.count(F.lit(1)).alias("clients"),
-        F.round(F.avg(label), 6).alias("observed_default_rate"),
-        F.round(F.avg(p), 6).alias("average_probability"),
+        F.expr("count(*)").alias("clients"),
+        F.expr(f"round(avg({label}), 6)").alias("observed_default_rate"),
+        F.expr(f"round(avg({p}), 6)").alias("average_probability"),
     ]
 
 
 def scored_summary(scored: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
     return scored.agg(
-        F.count(F.lit(1)).alias("scored_rows"),
-        F.sum(F.col(label).cast("long")).alias("observed_defaults"),
-        F.round(F.avg(label), 6).alias("default_rate"),
-        F.round(F.avg(p), 6).alias("average_probability"),
+        F.expr("count(*)").alias("scored_rows"),
+        F.expr(f"sum(cast({label} as bigint))").alias("observed_defaults"),
+        F.expr(f"round(avg({label}), 6)").alias("default_rate"),
+        F.expr(f"round(avg({p}), 6)").alias("average_probability"),
     )
 
 
 def risk_bands(scored: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
-    """Always three rows, in band order; an empty band has zeros."""
-    seen = scored.groupBy(risk_band(p).alias("band")).agg(*_rates(label, p))
-    bands = scored.sparkSession.createDataFrame([(b,) for b in config.BANDS], "band string")
-    return (
-        bands.join(seen, "band", "left")
-        .na.fill(0, ["clients"])
-        .na.fill(0.0, ["observed_default_rate", "average_probability"])
-        .orderBy(band_position("band"))
+    """Always three rows, in band order; an empty band has zeros.
+
+    One global aggregation with three filtered sets, so nothing is shuffled by
+    band and no band is missing.
+    """
+    banded = scored.select(F.col(label).alias("y"), F.col(p).alias("p"), risk_band(p).alias("band"))
+    rows = ", ".join(
+        f"struct('{band}' as band, count(*) filter (where band = '{band}') as clients,"
+        f" coalesce(round(avg(y) filter (where band = '{band}'), 6), 0D) as observed_default_rate,"
+        f" coalesce(round(avg(p) filter (where band = '{band}'), 6), 0D) as average_probability)"
+        for band in config.BANDS
     )
+    return banded.agg(F.expr(f"array({rows})").alias("rows")).select(F.inline("rows"))
 
 
 def calibration_bins(scored: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
@@ -43,7 +47,7 @@ def calibration_bins(scored: DataFrame, label: str = "label", p: str = "p") -> D
     return (
         scored.groupBy(calibration_bin(p).alias("bin_index"))
         .agg(*_rates(label, p))
-        .filter(F.col("bin_index").isNotNull())
+        .filter("bin_index is not null")
+        .coalesce(1).sortWithinPartitions("bin_index")  # at most ten rows
         .withColumn("bin", calibration_label("bin_index"))
-        .orderBy("bin_index")
     )

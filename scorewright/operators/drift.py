@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions import all_close_to, drift_status, is_missing
-from ..storage import materialize
-from .quantiles import quantile_grid, unpivot_columns
+from ..functions import all_close, drift_status, sql_number
+from ..storage import materialize, small_table
+from .quantiles import long_values, quantile_grid
 from .slices import present
 
 
@@ -22,74 +22,84 @@ def tag_samples(reference: DataFrame, current: DataFrame, columns: Sequence[str]
     )
 
 
-def sample_counts(df: DataFrame, columns: Sequence[str], is_reference: Column | str) -> DataFrame:
-    """Materialized: one row per column and distinct value, rows in each sample."""
-    flag = F.col(is_reference) if isinstance(is_reference, str) else is_reference
-    long = unpivot_columns(df, columns, "double", [flag])
-    counts = materialize(
-        long.groupBy("feature", "value").agg(
-            F.count_if(F.col("_keep0")).alias("n_ref"),
-            F.count_if(~F.col("_keep0")).alias("n_cur"),
+@dataclass(frozen=True)
+class SampleCounts:
+    """``values``: rows of each sample per column and distinct value, materialized.
+
+    ``totals``: a row per column, held by the driver.
+    """
+
+    values: DataFrame
+    totals: DataFrame
+    distinct: int
+
+    def reference_grid(self, bins: int, **options) -> DataFrame:
+        totals = self.totals.select("feature", F.expr("total_ref - missing_ref").alias("total"))
+        return quantile_grid(self.values, bins, "n_ref", totals, rows=self.distinct, **options)
+
+
+def sample_counts(df: DataFrame, columns: Sequence[str], is_reference: str = "is_reference") -> SampleCounts:
+    """Count both samples of ``df``; the SQL condition ``is_reference`` tells them apart."""
+    flagged = df.select(*columns, F.expr(is_reference).alias("_ref"))
+    values = materialize(
+        long_values(flagged, columns, keep=["_ref"]).groupBy("feature", "value").agg(
+            F.expr("count_if(_ref)").alias("n_ref"), F.expr("count_if(not _ref)").alias("n_cur")
         )
     )
-    # One row per listed column.
-    seen = counts.groupBy("feature").agg(F.sum("n_ref").alias("r"), F.sum("n_cur").alias("c")).collect()
-    if len(seen) < len(columns) or any(row.r == 0 or row.c == 0 for row in seen):
+    missing = "value is null or isnan(value)"
+    totals = values.groupBy("feature").agg(
+        F.expr("count(*)").alias("distinct"),
+        F.expr("sum(n_ref)").alias("total_ref"),
+        F.expr("sum(n_cur)").alias("total_cur"),
+        F.expr(f"sum(if({missing}, n_ref, 0L))").alias("missing_ref"),
+        F.expr("round(try_divide(sum(value * n_ref), sum(n_ref)), 6)").alias("reference_mean"),
+        F.expr("round(try_divide(sum(value * n_cur), sum(n_cur)), 6)").alias("current_mean"),
+    )
+    rows = totals.collect()  # a row per listed column
+    if len(rows) < len(columns) or any(not row.total_ref or not row.total_cur for row in rows):
         raise ValueError("reference and current samples must not be empty")
-    return counts
+    held = small_table(df.sparkSession, **{c: [row[c] for row in rows] for c in totals.columns})
+    return SampleCounts(values, held, sum(row.distinct for row in rows))
 
 
-def stability_index(counts: DataFrame, bins: int = config.PSI_BINS, **options) -> DataFrame:
-    """PSI, status and sample means per feature from :func:`sample_counts`.
+def stability_index(counts: SampleCounts, bins: int = config.PSI_BINS, **options) -> DataFrame:
+    """PSI, sample means and status per feature.
 
     Bins are the reference sample's quantile ranges, open at both ends. A
     constant reference gives 0 if the current sample is all close to it, else
     1. Missing reference values leave no bins and give 1.
     """
-    missing = is_missing("value")
-    totals = counts.groupBy("feature").agg(
-        F.sum("n_ref").alias("total_ref"),
-        F.sum("n_cur").alias("total_cur"),
-        F.sum(F.when(missing, F.col("n_ref")).otherwise(F.lit(0))).alias("missing_ref"),
-        (F.sum(F.col("value") * F.col("n_ref")) / F.sum("n_ref")).alias("reference_mean"),
-        (F.sum(F.col("value") * F.col("n_cur")) / F.sum("n_cur")).alias("current_mean"),
-    )
-    grid = quantile_grid(counts, bins, weight="n_ref", **options)
-    edge = [F.col("edges")[k] for k in range(bins + 1)]
-    lowest, highest = edge[0], edge[-1]
+    known = "value is not null and not isnan(value)"
+    lowest, highest = "edges[0]", f"edges[{bins}]"
     # Inner edges at or below the value. Repeated edges enclose no row, and the
     # outermost ones are open, so neither makes a bin of its own.
-    passed = [
-        ((e > lowest) & (e < highest) & (e <= F.col("value"))).cast("int") for e in edge[1:-1]
-    ]
-    close = (F.col("n_cur") == 0) | F.coalesce(~missing & all_close_to(lowest, F.col("value")), F.lit(False))
+    passed = " + ".join(
+        f"int(edges[{k}] > {lowest} and edges[{k}] < {highest} and edges[{k}] <= value)"
+        for k in range(1, bins)
+    ) or "0"
+    edges = counts.reference_grid(bins, **options).select("feature", "edges")
     per_bin = (
-        counts.join(F.broadcast(grid.select("feature", "edges")), "feature", "left")  # one row per column
-        .groupBy(
-            "feature",
-            F.when(~missing, reduce(Column.__add__, passed, F.lit(0))).alias("bin"),
-        )
+        counts.values.join(F.broadcast(edges), "feature", "left")  # a row per listed column
+        .groupBy("feature", F.expr(f"case when {known} then {passed} end").alias("bin"))
         .agg(
             F.sum("n_ref").alias("n_ref"),
             F.sum("n_cur").alias("n_cur"),
-            F.bool_and(close).alias("close"),
-            F.max(lowest == highest).alias("constant"),
+            F.expr(f"bool_and(n_cur = 0 or ({known} and {all_close(lowest, 'value')}))").alias("close"),
+            F.expr(f"bool_or({lowest} = {highest})").alias("constant"),
         )
-        .join(F.broadcast(totals), "feature")  # one row per column
+        .join(F.broadcast(counts.totals), "feature")
     )
-    ref, cur = F.col("n_ref") / F.col("total_ref"), F.col("n_cur") / F.col("total_cur")
-    eps = F.lit(config.PSI_EPSILON)
-    term = F.when(F.col("bin").isNotNull(), (cur - ref) * F.ln((cur + eps) / (ref + eps)))
-    return (
-        per_bin.groupBy("feature").agg(
-            F.when(F.max("missing_ref") > 0, F.lit(1.0))
-            .when(F.bool_or("constant"), F.when(F.bool_and("close"), F.lit(0.0)).otherwise(F.lit(1.0)))
-            .otherwise(F.round(F.sum(term), 6)).alias("psi"),
-            F.round(F.max("reference_mean"), 6).alias("reference_mean"),
-            F.round(F.max("current_mean"), 6).alias("current_mean"),
-        )
-        .withColumn("status", drift_status("psi"))
+    ref, cur, eps = "(n_ref / total_ref)", "(n_cur / total_cur)", sql_number(config.PSI_EPSILON)
+    term = f"({cur} - {ref}) * ln(({cur} + {eps}) / ({ref} + {eps}))"
+    psi = (
+        "case when max(missing_ref) > 0 then 1D when bool_or(constant) then if(bool_and(close), 0D, 1D)"
+        f" else round(sum({term}) filter (where bin is not null), 6) end"
     )
+    return per_bin.groupBy("feature").agg(
+        F.expr(psi).alias("psi"),
+        F.max("reference_mean").alias("reference_mean"),
+        F.max("current_mean").alias("current_mean"),
+    ).withColumn("status", drift_status("psi"))
 
 
 def feature_drift(
@@ -99,7 +109,7 @@ def feature_drift(
     columns = present(columns, reference, current)
     if not columns:
         return reference.sparkSession.createDataFrame([], "feature string, psi double, status string")
-    counts = sample_counts(tag_samples(reference, current, columns), columns, "is_reference")
+    counts = sample_counts(tag_samples(reference, current, columns), columns)
     return stability_index(counts, bins, **options).select("feature", "psi", "status")
 
 
@@ -107,5 +117,5 @@ def prediction_drift(
     reference: DataFrame, current: DataFrame, p: str = "p", bins: int = config.PSI_BINS, **options
 ) -> DataFrame:
     """One row: PSI of the scores, both means, status."""
-    counts = sample_counts(tag_samples(reference, current, [p]), [p], "is_reference")
+    counts = sample_counts(tag_samples(reference, current, [p]), [p])
     return stability_index(counts, bins, **options).drop("feature")

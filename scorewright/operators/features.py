@@ -10,32 +10,39 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_missing
-from ..storage import materialize
-from .quantiles import modes, quantile_grid, text_counts, value_counts
+from ..functions import is_missing, sql_number, sql_text
+from ..storage import materialize_checked
+from .quantiles import column_counts, modes, quantile_grid
 
 
 @dataclass(frozen=True)
 class FillValues:
-    """What replaces missing values: one number or text per column."""
+    """What replaces missing values (one per column), and the known categories."""
 
     medians: dict[str, float] = field(default_factory=dict)
     modes: dict[str, str] = field(default_factory=dict)
+    categories: dict[str, list[str]] = field(default_factory=dict)
 
 
 def fit_fill_values(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], **options) -> FillValues:
-    """Exact medians and modes. Each result has one row per listed column."""
-    medians, frequent = {}, {}
+    """Exact medians, modes and categories from one pass over ``df``.
+
+    The driver gets one median or mode per column, and the categories, each of
+    which becomes a column of the encoding.
+    """
+    counts, seen = materialize_checked(column_counts(df, numeric, categorical))
+    medians, frequent, categories = {}, {}, {c: [] for c in categorical}
     if numeric:
-        counts = materialize(value_counts(df, numeric))
-        grid = quantile_grid(counts, 2, **options).select("feature", F.col("edges")[1].alias("median"))
-        medians = {row.feature: row.median for row in grid.collect()}
+        grid = quantile_grid(counts, 2, rows=seen["rows"], **options)
+        medians = {r.feature: r.median for r in grid.select("feature", F.expr("edges[1] as median")).collect()}
     if categorical:
-        frequent = {row.feature: row.mode for row in modes(text_counts(df, categorical)).collect()}
+        frequent = {row.feature: row.mode for row in modes(counts).collect()}
+        for row in counts.filter("text is not null").select("feature", "text").collect():
+            categories[row.feature].append(row.text)
     empty = [c for c in (*numeric, *categorical) if c not in medians and c not in frequent]
     if empty:
         raise ValueError(f"No known value in: {empty}")
-    return FillValues(medians, frequent)
+    return FillValues(medians, frequent, {c: sorted(v) for c, v in categories.items()})
 
 
 def impute(df: DataFrame, fill: FillValues) -> DataFrame:
@@ -62,14 +69,6 @@ def standardize(df: DataFrame, scale: dict[str, tuple[float, float]]) -> DataFra
     return df.withColumns({c: (F.col(c) - F.lit(m)) / F.lit(s) for c, (m, s) in scale.items()})
 
 
-def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Known values per column in text order. Each becomes a column of the encoding."""
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in text_counts(df, columns).select("feature", "value").orderBy("value").toLocalIterator():
-        found[row.feature].append(row.value)
-    return found
-
-
 def one_hot(df: DataFrame, categories: dict[str, list[str]]) -> DataFrame:
     """0/1 columns ``<column>_<value>``; an unknown or missing value has zeros everywhere."""
     return df.select(
@@ -81,14 +80,6 @@ def one_hot(df: DataFrame, categories: dict[str, list[str]]) -> DataFrame:
     )
 
 
-def _number(x: float) -> str:
-    return f"({float(x)!r}D)"
-
-
-def _text(x: str) -> str:
-    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def fit_preparation(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], **options) -> Pipeline:
     """Stages that turn raw columns into ``features``; all are built in, so models save and load.
 
@@ -98,20 +89,19 @@ def fit_preparation(df: DataFrame, numeric: Sequence[str], categorical: Sequence
     """
     fill = fit_fill_values(df, numeric, categorical, **options)
     scale = fit_scale(impute(df.select(*numeric), FillValues(fill.medians)), numeric) if numeric else {}
-    categories = fit_categories(df, categorical) if categorical else {}
     expressions = []
     for c in numeric:
         mean, deviation = scale[c]
-        known = f"coalesce(nanvl(cast(`{c}` as double), cast(null as double)), {_number(fill.medians[c])})"
-        expressions.append(f"({known} - {_number(mean)}) / {_number(deviation)} as `{c}__scaled`")
+        known = f"coalesce(nanvl(cast(`{c}` as double), cast(null as double)), {sql_number(fill.medians[c])})"
+        expressions.append(f"({known} - {sql_number(mean)}) / {sql_number(deviation)} as `{c}__scaled`")
     for c in categorical:
-        expressions.append(f"coalesce(cast(`{c}` as string), {_text(fill.modes[c])}) as `{c}__text`")
+        expressions.append(f"coalesce(cast(`{c}` as string), {sql_text(fill.modes[c])}) as `{c}__text`")
     stages = [SQLTransformer(statement=f"select *, {', '.join(expressions)} from __THIS__")]
     inputs = [f"{c}__scaled" for c in numeric]
     if categorical:
         stages += [
             *[
-                StringIndexerModel.from_labels(categories[c], f"{c}__text", f"{c}__index", "keep")
+                StringIndexerModel.from_labels(fill.categories[c], f"{c}__text", f"{c}__index", "keep")
                 for c in categorical
             ],
             # "keep" adds one index for unknown values and dropLast removes it again.

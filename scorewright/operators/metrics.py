@@ -4,14 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions import ratio
-from ..storage import materialize
+from ..functions import ratio, sql_number
+from ..storage import materialize_checked
 from .running import running_totals
 
+# Aggregates over a score table: rows `n` and positives `pos` per score `p`,
+# and their totals `n_upto`, `pos_upto` from the highest score down.
+
+# Step sum of precision over recall gains; 0 without positives.
+AVERAGE_PRECISION = ratio("sum(pos * (cast(pos_upto as double) / n_upto))", "sum(pos)")
+# Share of (positive, negative) pairs in order, ties counting half; null for one class.
+ROC_AUC = (
+    "try_divide(sum((n - pos) * (pos_upto - pos / 2D)),"
+    " cast(sum(pos) as double) * (sum(n) - sum(pos)))"
+)
+BRIER = "sum(pos * pow(1D - p, 2D) + (n - pos) * pow(p, 2D)) / sum(n)"
+
+
+def confusion_counts(threshold: float = config.DECISION_THRESHOLD) -> dict[str, str]:
+    yes = f"(where p >= {sql_number(threshold)})"
+    no = f"(where p < {sql_number(threshold)})"
+    cells = {"tn": ("n - pos", no), "fp": ("n - pos", yes), "fn": ("pos", no), "tp": ("pos", yes)}
+    return {name: f"coalesce(sum({rows}) filter {where}, 0L)" for name, (rows, where) in cells.items()}
+
+
+def threshold_expressions(threshold: float = config.DECISION_THRESHOLD) -> dict[str, str]:
+    """precision, recall and f1 (0 where undefined), and the Brier score."""
+    m = confusion_counts(threshold)
+    tp, wrong = m["tp"], f"{m['fp']} + {m['fn']}"
+    return {
+        "precision": ratio(tp, f"{tp} + {m['fp']}"),
+        "recall": ratio(tp, f"{tp} + {m['fn']}"),
+        "f1": ratio(f"2 * {tp}", f"2 * {tp} + {wrong}"),
+        "brier_score": BRIER,
+    }
+
+
+def _rounded(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(f"round({e}, 6)").alias(name) for name, e in expressions.items()]
+
 
 def score_table(
     scored: DataFrame, by: Sequence[str] = (), label: str = "label", p: str = "p"
@@ -21,73 +56,24 @@ def score_table(
     Partial aggregation folds hot groups and tied scores before the shuffle.
     """
     return scored.groupBy(*by, F.col(p).alias("p")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos")
+        F.expr("count(*)").alias("n"), F.expr(f"sum(cast({label} as bigint))").alias("pos")
     )
 
 
 def ranked_scores(table: DataFrame, by: Sequence[str] = (), **options) -> DataFrame:
-    """Materialized score table with ``n_upto``/``pos_upto`` from the highest score down."""
-    return running_totals(materialize(table), by, "p", ["n", "pos"], descending=True, **options)
-
-
-def _pos_neg():
-    pos = F.sum("pos")
-    return pos, F.sum("n") - pos
-
-
-def average_precision():
-    """Step sum of precision over recall gains; 0 without positives."""
-    pos, _ = _pos_neg()
-    gains = F.sum(F.col("pos") * F.col("pos_upto").cast("double") / F.col("n_upto"))
-    return ratio(gains, pos)
-
-
-def roc_auc():
-    """Share of (positive, negative) pairs in order, ties counting half; null for one class."""
-    pos, neg = _pos_neg()
-    negatives = (F.col("n") - F.col("pos")).cast("double")
-    wins = F.sum(negatives * (F.col("pos_upto") - F.col("pos") / F.lit(2.0)))
-    return F.try_divide(wins, pos.cast("double") * neg)
-
-
-def confusion_counts(threshold: float = config.DECISION_THRESHOLD) -> dict:
-    """tn, fp, fn, tp over a score table."""
-    yes = F.col("p") >= F.lit(threshold)
-    neg = F.col("n") - F.col("pos")
-    return {
-        name: F.sum(F.when(cond, value).otherwise(F.lit(0)))
-        for name, cond, value in (
-            ("tn", ~yes, neg), ("fp", yes, neg), ("fn", ~yes, F.col("pos")), ("tp", yes, F.col("pos")),
-        )
-    }
-
-
-def threshold_expressions(threshold: float = config.DECISION_THRESHOLD) -> dict:
-    """precision, recall, f1 (0 where undefined) and the Brier score over a score table."""
-    m = confusion_counts(threshold)
-    tn, fp, fn, tp = (m[k] for k in ("tn", "fp", "fn", "tp"))
-    p, pos, neg = F.col("p"), F.col("pos"), F.col("n") - F.col("pos")
-    squared = F.sum(pos * F.pow(F.lit(1.0) - p, F.lit(2.0)) + neg * F.pow(p, F.lit(2.0)))
-    return {
-        "precision": ratio(tp, tp + fp),
-        "recall": ratio(tp, tp + fn),
-        "f1": ratio(2 * tp, 2 * tp + fp + fn),
-        "brier_score": squared / F.sum("n"),
-    }
-
-
-def _rounded(expressions: dict) -> list:
-    return [F.round(e, 6).alias(name) for name, e in expressions.items()]
+    """The score table, computed once, with totals from the highest score down."""
+    table, seen = materialize_checked(table, unknown="count_if(p is null or isnan(p))")
+    if seen["unknown"]:
+        raise ValueError("Scores must not be missing")
+    return running_totals(table, by, "p", ["n", "pos"], rows=seen["rows"], descending=True, **options)
 
 
 def confusion_matrix(scored: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
     """Long form: always the four (actual, predicted) cells."""
-    counts = score_table(scored, (), label, p).agg(
-        *[c.alias(name) for name, c in confusion_counts().items()]
-    )
-    return counts.selectExpr(
-        "stack(4, 0, 0, tn, 0, 1, fp, 1, 0, fn, 1, 1, tp) as (actual, predicted, rows)"
-    ).withColumn("rows", F.coalesce("rows", F.lit(0)))
+    m = confusion_counts()
+    cells = [(0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp")]
+    rows = ", ".join(f"struct({y} as actual, {d} as predicted, {m[c]} as rows)" for y, d, c in cells)
+    return score_table(scored, (), label, p).agg(F.expr(f"array({rows})").alias("cells")).select(F.inline("cells"))
 
 
 def threshold_metrics(
@@ -102,8 +88,7 @@ def ranking_metrics(
     """Rows, ROC-AUC and average precision per group."""
     ranked = ranked_scores(score_table(scored, by, label, p), by, **options)
     return ranked.groupBy(*by).agg(
-        F.sum("n").alias("rows"),
-        *_rounded({"roc_auc": roc_auc(), "pr_auc": average_precision()}),
+        F.sum("n").alias("rows"), *_rounded({"roc_auc": ROC_AUC, "pr_auc": AVERAGE_PRECISION})
     )
 
 
@@ -113,10 +98,10 @@ def classification_metrics(
     """The full bundle per group, with the 2x2 matrix (rows: actual, columns: predicted)."""
     ranked = ranked_scores(score_table(scored, by, label, p), by, **options)
     m = confusion_counts()
-    matrix = F.array(F.array(m["tn"], m["fp"]), F.array(m["fn"], m["tp"]))
+    matrix = f"array(array({m['tn']}, {m['fp']}), array({m['fn']}, {m['tp']}))"
     return ranked.groupBy(*by).agg(
-        *_rounded({"roc_auc": roc_auc(), "pr_auc": average_precision(), **threshold_expressions()}),
-        matrix.alias("confusion_matrix"),
+        *_rounded({"roc_auc": ROC_AUC, "pr_auc": AVERAGE_PRECISION, **threshold_expressions()}),
+        F.expr(matrix).alias("confusion_matrix"),
     )
 
 

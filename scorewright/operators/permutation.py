@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from .metrics import average_precision, ranked_scores, score_table
+from .metrics import AVERAGE_PRECISION, ranked_scores, score_table
 from .sampling import seeded_donors
 
 _NONE = ""
@@ -48,7 +48,7 @@ def permutation_importance(
     )
     by = ["feature", "repeat"]
     table = score_table(score(variants), by, label)
-    precision = ranked_scores(table, by, **options).groupBy(*by).agg(average_precision().alias("ap"))
+    precision = ranked_scores(table, by, **options).groupBy(*by).agg(F.expr(AVERAGE_PRECISION).alias("ap"))
     # From here on there are (features * repeats + 1) rows.
     baseline = F.max(F.when(F.col("feature") == _NONE, F.col("ap"))).over(Window.partitionBy())
     return (

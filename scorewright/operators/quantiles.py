@@ -1,4 +1,4 @@
-"""Exact quantiles and modes of many columns in one job.
+"""Exact quantiles, modes and categories of many columns from one table of value counts.
 
 ``percentile`` and ``mode`` keep every distinct value of a group in one
 aggregation buffer. Here distinct values stay rows, so memory does not grow
@@ -9,73 +9,80 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sql_number, sql_text
 from .running import running_totals
 
 
-def unpivot_columns(df: DataFrame, columns: Sequence[str], data_type: str, keep: Sequence[Column] = ()) -> DataFrame:
-    """Long form: the ``keep`` columns, ``feature`` and ``value``."""
-    names = [f"_keep{i}" for i in range(len(keep))]
-    kept = [c.alias(n) for c, n in zip(keep, names)]
-    return df.select(*kept, *[F.col(c).cast(data_type).alias(c) for c in columns]).unpivot(
-        names, list(columns), "feature", "value"
-    )
+def long_values(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), keep: Sequence[str] = ()
+) -> DataFrame:
+    """One row per input row and column: ``feature``, ``value`` (number) or ``text``."""
+    cells = [f"{sql_text(c)}, cast(`{c}` as double), cast(null as string)" for c in numeric]
+    cells += [f"{sql_text(c)}, cast(null as double), cast(`{c}` as string)" for c in categorical]
+    unpivoted = F.expr(f"stack({len(cells)}, {', '.join(cells)})").alias("feature", "value", "text")
+    return df.select(*keep, unpivoted)
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], data_type: str = "double") -> DataFrame:
-    """One row per column and distinct value, with its row count ``n``."""
-    return (
-        unpivot_columns(df, columns, data_type)
-        .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+def column_counts(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()) -> DataFrame:
+    """One row per column and distinct value, with its row count ``n``; one pass for all columns."""
+    return long_values(df, numeric, categorical).groupBy("feature", "value", "text").agg(
+        F.expr("count(*)").alias("n")
     )
 
 
-def quantile_grid(counts: DataFrame, parts: int, weight: str = "n", **options) -> DataFrame:
+def feature_totals(counts: DataFrame, weight: str = "n") -> DataFrame:
+    """Known numbers per feature."""
+    known = f"value is not null and not isnan(value) and {weight} > 0"
+    return counts.filter(known).groupBy("feature").agg(F.sum(weight).alias("total"))
+
+
+def quantile_grid(
+    counts: DataFrame, parts: int, weight: str = "n", totals: DataFrame | None = None, **options
+) -> DataFrame:
     """Per feature: ``total`` and the ``parts + 1`` evenly spaced quantiles ``edges``.
 
-    Linear interpolation between the two nearest ranks. ``counts`` holds one
-    row per (feature, value) and should be materialized. Missing values are
-    left out.
+    Linear interpolation between the two nearest ranks; missing values are
+    left out. ``counts`` holds one row per (feature, value) and should be
+    materialized. ``totals`` is :func:`feature_totals`, if already at hand.
     """
-    known = counts.filter((F.col(weight) > 0) & F.col("value").isNotNull() & ~F.isnan("value"))
-    totals = known.groupBy("feature").agg(F.sum(weight).alias("total"))
-    ranked = running_totals(known, ["feature"], "value", [weight], **options)
-    # One row per listed column: safe to broadcast.
-    ranked = ranked.join(F.broadcast(totals), "feature")
+    known = counts.select("feature", "value", F.col(weight).alias("w")).filter(
+        "w > 0 and value is not null and not isnan(value)"
+    )
+    if totals is None:
+        totals = feature_totals(counts, weight)
+    ranked = running_totals(known, ["feature"], "value", ["w"], **options)
+    ranked = ranked.join(F.broadcast(totals.select("feature", "total")), "feature")  # a row per listed column
 
-    upto = F.col(f"{weight}_upto")
     step = 1.0 / parts
     quantiles = [k * step for k in range(parts)] + [1.0]
+    position = [f"({sql_number(q)} * (total - 1))" for q in quantiles]
 
-    def value_at(rank: Column) -> Column:
-        covers = (upto - F.col(weight) <= rank) & (rank < upto)
-        return F.max(F.when(covers, F.col("value")))
+    def value_at(rank: str):
+        return F.expr(f"max(value) filter (where w_upto - w <= {rank} and {rank} < w_upto)")
 
-    position = [F.lit(q) * (F.col("total") - 1) for q in quantiles]
     wide = ranked.groupBy("feature", "total").agg(
-        *[value_at(F.floor(pos)).alias(f"_low{k}") for k, pos in enumerate(position)],
-        *[value_at(F.ceil(pos)).alias(f"_high{k}") for k, pos in enumerate(position)],
+        *[value_at(f"floor{pos}").alias(f"low{k}") for k, pos in enumerate(position)],
+        *[value_at(f"ceil{pos}").alias(f"high{k}") for k, pos in enumerate(position)],
     )
 
-    def between(k: int) -> Column:
-        low, high = F.col(f"_low{k}"), F.col(f"_high{k}")
-        t = position[k] - F.floor(position[k])
-        return F.when(t >= 0.5, high - (high - low) * (1 - t)).otherwise(low + (high - low) * t)
+    def between(k: int) -> str:
+        low, high, t = f"low{k}", f"high{k}", f"({position[k]} - floor{position[k]})"
+        return (
+            f"if({t} >= 0.5D, {high} - ({high} - {low}) * (1 - {t}), {low} + ({high} - {low}) * {t})"
+        )
 
-    return wide.select("feature", "total", F.array(*[between(k) for k in range(parts + 1)]).alias("edges"))
-
-
-def text_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Known values of categorical columns as text, with their row counts."""
-    return value_counts(df, columns, "string").filter(F.col("value").isNotNull())
+    edges = ", ".join(between(k) for k in range(parts + 1))
+    return wide.select("feature", "total", F.expr(f"array({edges})").alias("edges"))
 
 
 def modes(counts: DataFrame) -> DataFrame:
-    """Per feature the most frequent value of :func:`text_counts`.
+    """Per categorical feature the most frequent known text.
 
     Ties go to the smallest, by number where the text is one.
     """
-    first = F.struct(-F.col("n"), F.expr("try_cast(value as double)"), F.col("value"))
-    return counts.groupBy("feature").agg(F.min_by("value", first).alias("mode"))
+    return counts.filter("text is not null").groupBy("feature").agg(
+        F.expr("min_by(text, struct(-n, try_cast(text as double), text))").alias("mode")
+    )

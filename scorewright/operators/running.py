@@ -25,18 +25,22 @@ def running_totals(
     order: str,
     measures: Sequence[str],
     *,
+    rows: int | None = None,
     descending: bool = False,
     rows_per_task: int = config.ROWS_PER_TASK,
 ) -> DataFrame:
     """Add ``<measure>_upto`` columns: totals of all rows at or before this one.
 
     ``table`` must hold one row per (``by``, ``order``); aggregate it first, so
-    that ties and hot values are single rows here. It should be materialized:
-    it is counted, then read again.
+    that ties and hot values are single rows here. It should be materialized,
+    as it may be read twice. ``rows`` is its size or a bound of it, counted if
+    not given.
     """
     by = list(by)
+    if rows is None:
+        rows = table.count()
     order_by = F.desc(order) if descending else F.asc(order)
-    if table.count() <= rows_per_task:
+    if rows <= rows_per_task:
         window = _upto(by, order_by)
         return table.select("*", *[F.sum(m).over(window).alias(f"{m}_upto") for m in measures])
 

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_finite, slice_value
-from .metrics import average_precision, ranked_scores, score_table
+from ..functions import slice_value
+from .metrics import AVERAGE_PRECISION, ranked_scores, score_table
 
 
 def present(columns: Sequence[str], *frames: DataFrame) -> list[str]:
@@ -36,11 +36,11 @@ def slice_performance(
         *[slice_value(c).alias(c) for c in columns],
     ).unpivot(["label", "p"], columns, *by)
     ranked = ranked_scores(score_table(long, by), by, **options)
-    both_classes = F.sum("pos").between(F.lit(1), F.sum("n") - 1)
-    precision = average_precision()
     return ranked.groupBy(*by).agg(
         F.sum("n").alias("rows"),
-        F.round(F.sum("pos") / F.sum("n"), 6).alias("observed_default_rate"),
-        F.round(F.sum(F.col("p") * F.col("n")) / F.sum("n"), 6).alias("predicted_default_rate"),
-        F.round(F.when(both_classes & is_finite(precision), precision), 6).alias("pr_auc"),
+        F.expr("round(sum(pos) / sum(n), 6)").alias("observed_default_rate"),
+        F.expr("round(sum(p * n) / sum(n), 6)").alias("predicted_default_rate"),
+        F.expr(
+            f"case when sum(pos) between 1 and sum(n) - 1 then round({AVERAGE_PRECISION}, 6) end"
+        ).alias("pr_auc"),
     ).orderBy(*by)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import decision, snake_case
-from ..operators import bands, drift, features, metrics, models, permutation, quantiles, sampling, schema, slices
+from ..operators import bands, drift, features, metrics, models, permutation, sampling, schema, slices
 from ..operators.governance import promotion_checks as check_promotion
 from ..sources import channels, digests, registry, tables
 from ..storage import materialize, scratch_path
@@ -131,13 +131,13 @@ def document_slices(spark, folder):
 
 # Drift
 
-def _order_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return drift.sample_counts(orders_scored(spark, folder), [*NUMERIC, "p"], F.col("sample") == "reference")
+def _order_counts(spark: SparkSession, folder: str) -> drift.SampleCounts:
+    return drift.sample_counts(orders_scored(spark, folder), [*NUMERIC, "p"], "sample = 'reference'")
 
 
 @query
 def psi_edges(spark, folder):
-    grid = quantiles.quantile_grid(_order_counts(spark, folder), config.PSI_BINS, weight="n_ref")
+    grid = _order_counts(spark, folder).reference_grid(config.PSI_BINS)
     edges = grid.select("feature", F.posexplode("edges").alias("position", "edge"))
     return _rounded(edges, ["edge"])
 
@@ -164,7 +164,7 @@ def psi_constant_reference(spark, folder):
         F.signum("o_totalprice").alias("unmoved"),
         F.col("label").cast("double").alias("two_values"),
     )
-    counts = drift.sample_counts(df, ["moved", "unmoved", "two_values"], "is_reference")
+    counts = drift.sample_counts(df, ["moved", "unmoved", "two_values"])
     return drift.stability_index(counts).select("feature", "psi", "status")
 
 
@@ -290,8 +290,8 @@ def standardize(spark, folder):
 def one_hot(spark, folder):
     """Categories come from orders of three items up, so ``small`` and missing are unknown."""
     df = orders_with_gaps(spark, folder).select("row_id", "o_orderstatus", "size", "n_items")
-    known = features.fit_categories(df.filter(F.col("n_items") >= 3), ["o_orderstatus", "size"])
-    return features.one_hot(df.drop("n_items"), known)
+    known = features.fit_fill_values(df.filter("n_items >= 3"), [], ["o_orderstatus", "size"])
+    return features.one_hot(df.drop("n_items"), known.categories)
 
 
 # Importance

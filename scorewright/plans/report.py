@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import band_position
+from .. import config
 from ..operators.bands import calibration_bins, risk_bands, scored_summary
 from ..operators.metrics import select_model
 from ..operators.schema import require_columns
@@ -61,7 +61,8 @@ def report_payload(scored: DataFrame, metrics: DataFrame) -> DataFrame:
     label, p = "actual_default", "default_probability"
     require_columns(scored, [label, p, "predicted_default"], "prediction columns")
     bands = risk_bands(scored, label, p)
-    bands = bands.select(band_position("band").alias("place"), *bands.columns)
+    place = F.array_position(F.array(*[F.lit(b) for b in config.BANDS]), F.col("band"))
+    bands = bands.select(place.alias("place"), *bands.columns)
     calibration = calibration_bins(scored, label, p)
     calibration = calibration.select(
         "bin_index", "bin", "clients", "average_probability", "observed_default_rate"

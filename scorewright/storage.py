@@ -9,7 +9,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,3 +37,15 @@ def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, keep it in reliable storage and cut its lineage."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize_checked(df: DataFrame, **checks: str) -> tuple[DataFrame, dict[str, int]]:
+    """:func:`materialize`, with its ``rows`` and further SQL aggregates."""
+    done = materialize(df)
+    aggregates = {"rows": "count(*)", **checks}
+    return done, done.agg(*[F.expr(e).alias(name) for name, e in aggregates.items()]).first().asDict()
+
+
+def small_table(spark: SparkSession, **columns: list) -> DataFrame:
+    """A local relation of a few driver-side rows: joining it needs no job."""
+    return spark.createDataFrame(pa.table(columns))
