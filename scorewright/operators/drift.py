@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import all_close, drift_status, sql_number
-from ..storage import materialize, small_table
-from .quantiles import long_values, quantile_grid
+from ..storage import small_table
+from .quantiles import ColumnQuantiles, column_quantiles, number, stacked
 from .slices import present
 
+_EMPTY = "reference and current samples must not be empty"
+
 
 def tag_samples(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Both samples in one table; ``is_reference`` tells them apart."""
@@ -22,83 +23,69 @@ def tag_samples(reference: DataFrame, current: DataFrame, columns: Sequence[str]
     )
 
 
-@dataclass(frozen=True)
-class SampleCounts:
-    """``values``: rows of each sample per column and distinct value, materialized.
+def _bin_and_close(column: str, found: ColumnQuantiles) -> list[str]:
+    """SQL: the value's bin, and whether it is close to a constant reference.
 
-    ``totals``: a row per column, held by the driver.
+    Bins are left-closed and open at both ends. Repeated edges count once. A
+    missing value has no bin.
     """
-
-    values: DataFrame
-    totals: DataFrame
-    distinct: int
-
-    def reference_grid(self, bins: int, **options) -> DataFrame:
-        totals = self.totals.select("feature", F.expr("total_ref - missing_ref").alias("total"))
-        return quantile_grid(self.values, bins, "n_ref", totals, rows=self.distinct, **options)
+    v = number(column)
+    edges = sorted(set(found.edges))
+    passed = " + ".join(f"int({v} >= {sql_number(e)})" for e in edges[1:-1]) or "0"
+    close = f"coalesce({all_close(sql_number(edges[0]), v)}, false)" if len(edges) == 1 else "true"
+    return [f"if({v} is null, null, {passed})", close]
 
 
-def sample_counts(df: DataFrame, columns: Sequence[str], is_reference: str = "is_reference") -> SampleCounts:
-    """Count both samples of ``df``; the SQL condition ``is_reference`` tells them apart."""
-    flagged = df.select(*columns, F.expr(is_reference).alias("_ref"))
-    values = materialize(
-        long_values(flagged, columns, keep=["_ref"]).groupBy("feature", "value").agg(
-            F.expr("count_if(_ref)").alias("n_ref"), F.expr("count_if(not _ref)").alias("n_cur")
-        )
-    )
-    missing = "value is null or isnan(value)"
-    totals = values.groupBy("feature").agg(
-        F.expr("count(*)").alias("distinct"),
-        F.expr("sum(n_ref)").alias("total_ref"),
-        F.expr("sum(n_cur)").alias("total_cur"),
-        F.expr(f"sum(if({missing}, n_ref, 0L))").alias("missing_ref"),
-        F.expr("round(try_divide(sum(value * n_ref), sum(n_ref)), 6)").alias("reference_mean"),
-        F.expr("round(try_divide(sum(value * n_cur), sum(n_cur)), 6)").alias("current_mean"),
-    )
-    rows = totals.collect()  # a row per listed column
-    if len(rows) < len(columns) or any(not row.total_ref or not row.total_cur for row in rows):
-        raise ValueError("reference and current samples must not be empty")
-    held = small_table(df.sparkSession, **{c: [row[c] for row in rows] for c in totals.columns})
-    return SampleCounts(values, held, sum(row.distinct for row in rows))
-
+def stability_index(
+    df: DataFrame, columns: Sequence[str], is_reference: str = "is_reference",
+    bins: int = config.PSI_BINS, **options,
+) -> DataFrame:
+    """``feature``, ``psi``, ``reference_mean``, ``current_mean``, ``status`` per column.
 
-def stability_index(counts: SampleCounts, bins: int = config.PSI_BINS, **options) -> DataFrame:
-    """PSI, sample means and status per feature.
+    The SQL condition ``is_reference`` tells the samples apart. The bins are
+    the reference sample's quantile ranges. A constant reference gives 0 if
+    the current sample is all close to it, else 1. Missing reference values
+    leave no bins and give 1.
 
-    Bins are the reference sample's quantile ranges, open at both ends. A
-    constant reference gives 0 if the current sample is all close to it, else
-    1. Missing reference values leave no bins and give 1.
+    ``df`` is read three times: to bracket the quantiles, to find them, and to
+    count the bins. No value of the table is shuffled but those in brackets.
     """
-    known = "value is not null and not isnan(value)"
-    lowest, highest = "edges[0]", f"edges[{bins}]"
-    # Inner edges at or below the value. Repeated edges enclose no row, and the
-    # outermost ones are open, so neither makes a bin of its own.
-    passed = " + ".join(
-        f"int(edges[{k}] > {lowest} and edges[{k}] < {highest} and edges[{k}] <= value)"
-        for k in range(1, bins)
-    ) or "0"
-    edges = counts.reference_grid(bins, **options).select("feature", "edges")
+    found = column_quantiles(df, columns, bins, is_reference, **options)
+    if any(not q.rows or not q.others for q in found.values()):
+        raise ValueError(_EMPTY)
+    kind = {
+        c: "missing" if q.known < q.rows else "constant" if len(set(q.edges)) == 1 else "binned"
+        for c, q in found.items()
+    }
+    totals = small_table(
+        df.sparkSession,
+        feature=list(found), kind=list(kind.values()),
+        total_ref=[q.rows for q in found.values()], total_cur=[q.others for q in found.values()],
+        ref_mean=[q.mean for q in found.values()], cur_mean=[q.others_mean for q in found.values()],
+    )
+    cells = {
+        c: ["cast(null as int)", "true"] if kind[c] == "missing" else _bin_and_close(c, q)
+        for c, q in found.items()
+    }
+    flagged = df.select(*columns, F.expr(is_reference).alias("_ref"))
     per_bin = (
-        counts.values.join(F.broadcast(edges), "feature", "left")  # a row per listed column
-        .groupBy("feature", F.expr(f"case when {known} then {passed} end").alias("bin"))
-        .agg(
-            F.sum("n_ref").alias("n_ref"),
-            F.sum("n_cur").alias("n_cur"),
-            F.expr(f"bool_and(n_cur = 0 or ({known} and {all_close(lowest, 'value')}))").alias("close"),
-            F.expr(f"bool_or({lowest} = {highest})").alias("constant"),
+        stacked(flagged, cells, ["bin", "close"], ["_ref"]).groupBy("feature", "bin").agg(
+            F.expr("count_if(_ref)").alias("n_ref"),
+            F.expr("count_if(not _ref)").alias("n_cur"),
+            F.expr("bool_and(_ref or close)").alias("close"),
         )
-        .join(F.broadcast(counts.totals), "feature")
+        .join(F.broadcast(totals), "feature")  # a row per listed column
     )
     ref, cur, eps = "(n_ref / total_ref)", "(n_cur / total_cur)", sql_number(config.PSI_EPSILON)
     term = f"({cur} - {ref}) * ln(({cur} + {eps}) / ({ref} + {eps}))"
     psi = (
-        "case when max(missing_ref) > 0 then 1D when bool_or(constant) then if(bool_and(close), 0D, 1D)"
+        "case first(kind) when 'missing' then 1D when 'constant' then if(bool_and(close), 0D, 1D)"
         f" else round(sum({term}) filter (where bin is not null), 6) end"
     )
     return per_bin.groupBy("feature").agg(
         F.expr(psi).alias("psi"),
-        F.max("reference_mean").alias("reference_mean"),
-        F.max("current_mean").alias("current_mean"),
+        F.expr("round(first(ref_mean), 6)").alias("reference_mean"),
+        F.expr("round(first(cur_mean), 6)").alias("current_mean"),
     ).withColumn("status", drift_status("psi"))
 
 
@@ -109,13 +96,13 @@ def feature_drift(
     columns = present(columns, reference, current)
     if not columns:
         return reference.sparkSession.createDataFrame([], "feature string, psi double, status string")
-    counts = sample_counts(tag_samples(reference, current, columns), columns)
-    return stability_index(counts, bins, **options).select("feature", "psi", "status")
+    both = tag_samples(reference, current, columns)
+    return stability_index(both, columns, bins=bins, **options).select("feature", "psi", "status")
 
 
 def prediction_drift(
     reference: DataFrame, current: DataFrame, p: str = "p", bins: int = config.PSI_BINS, **options
 ) -> DataFrame:
     """One row: PSI of the scores, both means, status."""
-    counts = sample_counts(tag_samples(reference, current, [p]), [p])
-    return stability_index(counts, bins, **options).drop("feature")
+    both = tag_samples(reference, current, [p])
+    return stability_index(both, [p], bins=bins, **options).drop("feature")

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_missing, sql_number, sql_text
-from ..storage import materialize_checked
-from .quantiles import column_counts, modes, quantile_grid
+from ..storage import materialize
+from .quantiles import column_quantiles, modes, text_counts
 
 
 @dataclass(frozen=True)
@@ -25,19 +25,19 @@ class FillValues:
 
 
 def fit_fill_values(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], **options) -> FillValues:
-    """Exact medians, modes and categories from one pass over ``df``.
+    """Exact medians, modes and categories.
 
     The driver gets one median or mode per column, and the categories, each of
     which becomes a column of the encoding.
     """
-    counts, seen = materialize_checked(column_counts(df, numeric, categorical))
     medians, frequent, categories = {}, {}, {c: [] for c in categorical}
     if numeric:
-        grid = quantile_grid(counts, 2, rows=seen["rows"], **options)
-        medians = {r.feature: r.median for r in grid.select("feature", F.expr("edges[1] as median")).collect()}
+        grid = column_quantiles(df, numeric, 2, **options)
+        medians = {c: q.edges[1] for c, q in grid.items() if q.known}
     if categorical:
+        counts = materialize(text_counts(df, categorical))
         frequent = {row.feature: row.mode for row in modes(counts).collect()}
-        for row in counts.filter("text is not null").select("feature", "text").collect():
+        for row in counts.select("feature", "text").collect():
             categories[row.feature].append(row.text)
     empty = [c for c in (*numeric, *categorical) if c not in medians and c not in frequent]
     if empty:

@@ -1,88 +1,208 @@
-"""Exact quantiles, modes and categories of many columns from one table of value counts.
-
-``percentile`` and ``mode`` keep every distinct value of a group in one
-aggregation buffer. Here distinct values stay rows, so memory does not grow
-with the number of distinct values.
+"""Exact quantiles of many columns without sorting them, and modes of categories.
+
+``percentile`` keeps every distinct value of a column in one buffer, and a
+sort shuffles every value. Here a sketch brackets each quantile first; then
+only the values inside the brackets are kept apart, while the values between
+brackets are merely counted. The rank of every bracketed value is exact, so
+the quantiles are, too. If a bracket should miss its quantile, the work is
+repeated with one bracket around everything.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sql_number, sql_text
+from ..storage import materialize_checked, small_table
 from .running import running_totals
 
+_ACCURACY = 10_000
+_MARGIN = 5.0 / _ACCURACY  # bracket half-width, as a share of the rows
+# Sketches of one column are merged by this many tasks, not by one.
+_SKETCH_GROUPS = 64
 
-def long_values(
-    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), keep: Sequence[str] = ()
-) -> DataFrame:
-    """One row per input row and column: ``feature``, ``value`` (number) or ``text``."""
-    cells = [f"{sql_text(c)}, cast(`{c}` as double), cast(null as string)" for c in numeric]
-    cells += [f"{sql_text(c)}, cast(null as double), cast(`{c}` as string)" for c in categorical]
-    unpivoted = F.expr(f"stack({len(cells)}, {', '.join(cells)})").alias("feature", "value", "text")
-    return df.select(*keep, unpivoted)
+Bracket = tuple[float, float]
 
 
-def column_counts(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()) -> DataFrame:
-    """One row per column and distinct value, with its row count ``n``; one pass for all columns."""
-    return long_values(df, numeric, categorical).groupBy("feature", "value", "text").agg(
-        F.expr("count(*)").alias("n")
-    )
+@dataclass(frozen=True)
+class ColumnQuantiles:
+    """Of the sample: rows, rows with a known number, mean, and the evenly spaced quantiles.
+
+    ``others`` and ``others_mean`` describe the rows outside the sample.
+    ``edges`` is empty without a known number.
+    """
+
+    rows: int
+    known: int
+    mean: float | None
+    others: int
+    others_mean: float | None
+    edges: list[float]
+
+
+def stacked(df: DataFrame, cells: dict[str, Sequence[str]], names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Long form: ``feature`` and the given SQL expressions of each column as ``names``."""
+    parts = [f"{sql_text(feature)}, {', '.join(expressions)}" for feature, expressions in cells.items()]
+    return df.select(*keep, F.expr(f"stack({len(parts)}, {', '.join(parts)})").alias("feature", *names))
 
 
-def feature_totals(counts: DataFrame, weight: str = "n") -> DataFrame:
-    """Known numbers per feature."""
-    known = f"value is not null and not isnan(value) and {weight} > 0"
-    return counts.filter(known).groupBy("feature").agg(F.sum(weight).alias("total"))
+def number(column: str) -> str:
+    """SQL: the column as double, missing values as null."""
+    return f"nanvl(cast(`{column}` as double), cast(null as double))"
 
 
-def quantile_grid(
-    counts: DataFrame, parts: int, weight: str = "n", totals: DataFrame | None = None, **options
-) -> DataFrame:
-    """Per feature: ``total`` and the ``parts + 1`` evenly spaced quantiles ``edges``.
+def quantile_steps(parts: int) -> list[float]:
+    return [k * (1.0 / parts) for k in range(parts)] + [1.0]
+
+
+def column_quantiles(
+    df: DataFrame, columns: Sequence[str], parts: int, sample: str = "true", **options
+) -> dict[str, ColumnQuantiles]:
+    """Per column the ``parts + 1`` quantiles of the rows where ``sample`` holds.
 
     Linear interpolation between the two nearest ranks; missing values are
-    left out. ``counts`` holds one row per (feature, value) and should be
-    materialized. ``totals`` is :func:`feature_totals`, if already at hand.
+    left out. The driver gets a few numbers per column.
     """
-    known = counts.select("feature", "value", F.col(weight).alias("w")).filter(
-        "w > 0 and value is not null and not isnan(value)"
-    )
-    if totals is None:
-        totals = feature_totals(counts, weight)
-    ranked = running_totals(known, ["feature"], "value", ["w"], **options)
-    ranked = ranked.join(F.broadcast(totals.select("feature", "total")), "feature")  # a row per listed column
+    df = df.select(*columns, F.expr(sample).alias("_sample"))
+    steps = quantile_steps(parts)
+    found = _summaries(df, columns, steps[1:-1])
+    ranks = {c: _ranks(steps[1:-1], s["known"]) for c, s in found.items() if s["known"]}
+    in_sample = df.filter("_sample")
+    values = _values_at(in_sample, ranks, {c: found[c]["brackets"] for c in ranks}, **options)
+    missed = [c for c in ranks if len(values[c]) < len(ranks[c])]
+    if missed:
+        everything = [(-math.inf, math.inf)]
+        again = {c: ranks[c] for c in missed}
+        values |= _values_at(in_sample, again, dict.fromkeys(missed, everything), **options)
+    result = {}
+    for c, s in found.items():
+        edges = []
+        if s["known"]:
+            inner = [_interpolate(q * (s["known"] - 1), values[c]) for q in steps[1:-1]]
+            edges = [s["low"], *inner, s["high"]]
+        result[c] = ColumnQuantiles(
+            s["rows"], s["known"], s["total"] / s["known"] if s["known"] else None,
+            s["others"], s["others_total"] / s["others_known"] if s["others_known"] else None, edges,
+        )
+    return result
 
-    step = 1.0 / parts
-    quantiles = [k * step for k in range(parts)] + [1.0]
-    position = [f"({sql_number(q)} * (total - 1))" for q in quantiles]
 
-    def value_at(rank: str):
-        return F.expr(f"max(value) filter (where w_upto - w <= {rank} and {rank} < w_upto)")
+def _summaries(df: DataFrame, columns: Sequence[str], steps: Sequence[float]) -> dict[str, dict]:
+    """One pass: counts, sums, extremes, and a bracket around each step.
 
-    wide = ranked.groupBy("feature", "total").agg(
-        *[value_at(f"floor{pos}").alias(f"low{k}") for k, pos in enumerate(position)],
-        *[value_at(f"ceil{pos}").alias(f"high{k}") for k, pos in enumerate(position)],
+    Each sketch group holds whole input partitions. A quantile of all rows
+    lies between the smallest and the largest of the groups' quantiles.
+    """
+    low = [max(0.0, q - _MARGIN) for q in steps]
+    high = [min(1.0, q + _MARGIN) for q in steps]
+    marks = ", ".join(sql_number(q) for q in [*low, *high])
+    grouped = df.select("*", F.expr(f"pmod(spark_partition_id(), {_SKETCH_GROUPS})").alias("_group"))
+    long = stacked(grouped, {c: [number(c)] for c in columns}, ["value"], ["_sample", "_group"])
+    rows = long.groupBy("feature", "_group").agg(
+        F.expr("count_if(_sample)").alias("rows"),
+        F.expr("count_if(not _sample)").alias("others"),
+        F.expr("count(value) filter (where _sample)").alias("known"),
+        F.expr("count(value) filter (where not _sample)").alias("others_known"),
+        F.expr("coalesce(sum(value) filter (where _sample), 0D)").alias("total"),
+        F.expr("coalesce(sum(value) filter (where not _sample), 0D)").alias("others_total"),
+        F.expr("min(value) filter (where _sample)").alias("low"),
+        F.expr("max(value) filter (where _sample)").alias("high"),
+        F.expr(f"percentile_approx(if(_sample, value, null), array({marks}), {_ACCURACY})").alias("marks"),
+    ).collect()  # at most _SKETCH_GROUPS rows per column
+    result = {}
+    for c in columns:
+        groups = [row for row in rows if row.feature == c]
+        known = [row for row in groups if row.known]
+        summary = {
+            name: sum(row[name] for row in groups)
+            for name in ("rows", "others", "known", "others_known", "total", "others_total")
+        }
+        if known:
+            summary["low"], summary["high"] = min(r.low for r in known), max(r.high for r in known)
+            n = len(steps)
+            summary["brackets"] = _merge(
+                [(min(r.marks[k] for r in known), max(r.marks[n + k] for r in known)) for k in range(n)]
+            )
+        result[c] = summary
+    return result
+
+
+def _merge(brackets: list[Bracket]) -> list[Bracket]:
+    """Join overlapping brackets."""
+    merged: list[Bracket] = []
+    for low, high in sorted(brackets):
+        if merged and low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+        else:
+            merged.append((low, high))
+    return merged
+
+
+def _ranks(steps: Sequence[float], known: int) -> list[int]:
+    positions = [q * (known - 1) for q in steps]
+    return sorted({r for pos in positions for r in (math.floor(pos), math.ceil(pos))})
+
+
+def _interpolate(position: float, values: dict[int, float]) -> float:
+    low, high = values[math.floor(position)], values[math.ceil(position)]
+    t = position - math.floor(position)
+    return high - (high - low) * (1 - t) if t >= 0.5 else low + (high - low) * t
+
+
+def _sql_bound(x: float) -> str:
+    return f"double('{'-' if x < 0 else ''}Infinity')" if math.isinf(x) else sql_number(x)
+
+
+def _values_at(
+    df: DataFrame, ranks: dict[str, list[int]], brackets: dict[str, list[Bracket]], **options
+) -> dict[str, dict[int, float]]:
+    """The values at the given zero-based ranks; ranks outside the brackets are left out."""
+    if not ranks:
+        return {}
+    cells = {}
+    for c in ranks:
+        v = number(c)
+        bounds = [(_sql_bound(low), _sql_bound(high)) for low, high in brackets[c]]
+        inside = " or ".join(f"{v} between {low} and {high}" for low, high in bounds)
+        # A value between brackets stands for its whole gap, which sorts
+        # directly before the next bracket.
+        gap = " ".join(f"when {v} < {low} then {low}" for low, _ in bounds)
+        cells[c] = [
+            f"case when {inside} then {v} {gap} when {v} is not null then double('Infinity') end", inside,
+        ]
+    long = stacked(df, cells, ["value", "inside"]).filter("value is not null")
+    counts, seen = materialize_checked(
+        long.groupBy("feature", F.struct("value", "inside").alias("cell")).agg(F.expr("count(*)").alias("n"))
+    )
+    ranked = running_totals(counts, ["feature"], "cell", ["n"], rows=seen["rows"], **options)
+    wanted = small_table(
+        df.sparkSession,
+        feature=[c for c, found in ranks.items() for _ in found], rank=[r for found in ranks.values() for r in found],
     )
+    covers = F.expr("n_upto - n <= rank and rank < n_upto and cell.inside")
+    at = ranked.join(F.broadcast(wanted), "feature").filter(covers)  # a few ranks per listed column
+    values: dict[str, dict[int, float]] = {c: {} for c in ranks}
+    for row in at.select("feature", "rank", "cell.value").collect():
+        values[row.feature][row.rank] = row.value
+    return values
 
-    def between(k: int) -> str:
-        low, high, t = f"low{k}", f"high{k}", f"({position[k]} - floor{position[k]})"
-        return (
-            f"if({t} >= 0.5D, {high} - ({high} - {low}) * (1 - {t}), {low} + ({high} - {low}) * {t})"
-        )
 
-    edges = ", ".join(between(k) for k in range(parts + 1))
-    return wide.select("feature", "total", F.expr(f"array({edges})").alias("edges"))
+def text_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per column and known text."""
+    long = stacked(df, {c: [f"cast(`{c}` as string)"] for c in columns}, ["text"])
+    return long.filter("text is not null").groupBy("feature", "text").agg(F.expr("count(*)").alias("n"))
 
 
 def modes(counts: DataFrame) -> DataFrame:
-    """Per categorical feature the most frequent known text.
+    """Per column the most frequent text of :func:`text_counts`.
 
     Ties go to the smallest, by number where the text is one.
     """
-    return counts.filter("text is not null").groupBy("feature").agg(
+    return counts.groupBy("feature").agg(
         F.expr("min_by(text, struct(-n, try_cast(text as double), text))").alias("mode")
     )

@@ -8,6 +8,7 @@ added. The result is the same as the plain window's.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from .. import config
 from ..storage import materialize
 
-_RANGE = "_range"
+_RANGE, _OPENING = "_range", "_opening"
+_ROWS_PER_RANGE = 16_000_000
 
 
 def running_totals(
@@ -46,36 +48,35 @@ def running_totals(
 
     # The range number is written out with the rows: it must not change between
     # the two reads below, even when a lost executor makes Spark redo a task.
+    spark = table.sparkSession
+    ranges = math.ceil(rows / _ROWS_PER_RANGE)
+    wide = ranges > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*by, order_by]
     ranged = materialize(
-        table.repartitionByRange(*by, order_by).withColumn(_RANGE, F.spark_partition_id())
+        (table.repartitionByRange(ranges, *keys) if wide else table.repartitionByRange(*keys))
+        .withColumn(_RANGE, F.spark_partition_id())
     )
     # One row per range and group: ranges are contiguous, so there are at most
-    # (ranges + groups) of them, and at most (ranges) in one group.
+    # (ranges + groups) of them, and at most (ranges) in one group. Each opens
+    # its range with the totals of the ranges before it.
     before = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    openings = (
         ranged.groupBy(*by, _RANGE)
         .agg(*[F.sum(m).alias(m) for m in measures])
         .select(
-            *[F.col(c).alias(f"_by_{c}") for c in by],
-            F.col(_RANGE).alias("_offset_range"),
-            *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_before_{m}") for m in measures],
+            *by, _RANGE,
+            *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(m) for m in measures],
+            F.lit(True).alias(_OPENING),
         )
     )
-    inside = _upto([*by, _RANGE], order_by)
-    within = ranged.select(
-        "*", *[F.sum(m).over(inside).alias(f"_inside_{m}") for m in measures]
-    )
-    same = F.col(_RANGE) == F.col("_offset_range")
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    return within.join(offsets, same).select(
-        *[F.col(c) for c in table.columns],
-        *[(F.col(f"_inside_{m}") + F.col(f"_before_{m}")).alias(f"{m}_upto") for m in measures],
-    )
+    together = ranged.withColumn(_OPENING, F.lit(False)).unionByName(openings, allowMissingColumns=True)
+    inside = _upto([*by, _RANGE], F.desc(_OPENING), order_by)
+    summed = together.select("*", *[F.sum(m).over(inside).alias(f"{m}_upto") for m in measures])
+    return summed.filter(~F.col(_OPENING)).drop(_RANGE, _OPENING)
 
 
-def _upto(by: list[str], order_by):
+def _upto(by: list[str], *order):
     return (
-        Window.partitionBy(*by).orderBy(order_by)
+        Window.partitionBy(*by).orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import decision, snake_case
-from ..operators import bands, drift, features, metrics, models, permutation, sampling, schema, slices
+from ..operators import bands, drift, features, metrics, models, permutation, quantiles, sampling, schema, slices
 from ..operators.governance import promotion_checks as check_promotion
 from ..sources import channels, digests, registry, tables
-from ..storage import materialize, scratch_path
+from ..storage import materialize, scratch_path, small_table
 from . import batch, report, training
 from .views import docs_labeled, item_scores, orders_scored, orders_with_gaps, table
 
@@ -131,25 +131,33 @@ def document_slices(spark, folder):
 
 # Drift
 
-def _order_counts(spark: SparkSession, folder: str) -> drift.SampleCounts:
-    return drift.sample_counts(orders_scored(spark, folder), [*NUMERIC, "p"], "sample = 'reference'")
+DRIFTING = [*NUMERIC, "p"]
+IS_REFERENCE = "sample = 'reference'"
+
+
+def _order_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Read three times, so the joins run once."""
+    return materialize(orders_scored(spark, folder).select("sample", *DRIFTING))
 
 
 @query
 def psi_edges(spark, folder):
-    grid = _order_counts(spark, folder).reference_grid(config.PSI_BINS)
-    edges = grid.select("feature", F.posexplode("edges").alias("position", "edge"))
-    return _rounded(edges, ["edge"])
+    found = quantiles.column_quantiles(_order_samples(spark, folder), DRIFTING, config.PSI_BINS, IS_REFERENCE)
+    edges = [(c, k, e) for c, q in found.items() for k, e in enumerate(q.edges)]
+    feature, position, edge = map(list, zip(*edges))
+    table_of_edges = small_table(spark, feature=feature, position=position, edge=edge)
+    return _rounded(table_of_edges.withColumn("position", F.col("position").cast("int")), ["edge"])
 
 
 @query
 def psi_feature_drift(spark, folder):
-    return drift.stability_index(_order_counts(spark, folder)).select("feature", "psi", "status")
+    found = drift.stability_index(_order_samples(spark, folder), DRIFTING, IS_REFERENCE)
+    return found.select("feature", "psi", "status")
 
 
 @query
 def psi_prediction_drift(spark, folder):
-    scored = orders_scored(spark, folder).select("sample", "p")
+    scored = materialize(orders_scored(spark, folder).select("sample", "p"))
     reference = scored.filter(F.col("sample") == "reference")
     current = scored.filter(F.col("sample") == "current")
     return drift.prediction_drift(reference, current)
@@ -164,8 +172,8 @@ def psi_constant_reference(spark, folder):
         F.signum("o_totalprice").alias("unmoved"),
         F.col("label").cast("double").alias("two_values"),
     )
-    counts = drift.sample_counts(df, ["moved", "unmoved", "two_values"])
-    return drift.stability_index(counts).select("feature", "psi", "status")
+    found = drift.stability_index(materialize(df), ["moved", "unmoved", "two_values"])
+    return found.select("feature", "psi", "status")
 
 
 # Splits and channels
@@ -312,7 +320,9 @@ def permutation_importance_scorecard(spark, folder):
 # Models and whole flows: weights depend on summation order, so these have no SQL.
 
 def _model_table(spark: SparkSession, folder: str) -> DataFrame:
-    return materialize(orders_scored(spark, folder).select("row_id", "label", *NUMERIC, *CATEGORICAL))
+    """Training reads it many times, so it is computed once and spread over all cores."""
+    df = orders_scored(spark, folder).select("row_id", "label", *NUMERIC, *CATEGORICAL)
+    return materialize(df.repartition(spark.sparkContext.defaultParallelism, "row_id"))
 
 
 def _fit_and_test(spark: SparkSession, folder: str, name: str):

@@ -38,16 +38,14 @@ def write_channels(
     The two held-out files start with the row's key. Line order means nothing
     across part files, so they are joined on it.
     """
-    split = split.persist()
-    try:
-        for name in LABELED:
-            part = split.filter(F.col("split") == name).select(label, *features)
-            write_csv(part, f"{folder}/{name}", header=False, rows_per_file=rows_per_file)
-        held_out = split.filter(F.col("split") == HELD_OUT)
-        write_csv(held_out.select(key, *features), f"{folder}/{HELD_OUT}", header=False, rows_per_file=rows_per_file)
-        write_csv(held_out.select(key, label), f"{folder}/{TEST_LABELS}", header=False, rows_per_file=rows_per_file)
-    finally:
-        split.unpersist()
+    def write(part: str, columns: Sequence[str], channel: str) -> None:
+        rows = split.filter(F.col("split") == part).select(*columns)
+        write_csv(rows, f"{folder}/{channel}", header=False, rows_per_file=rows_per_file)
+
+    for name in LABELED:
+        write(name, [label, *features], name)
+    write(HELD_OUT, [key, *features], HELD_OUT)
+    write(HELD_OUT, [key, label], TEST_LABELS)
 
 
 def read_headerless(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -94,18 +92,15 @@ def align_scores(
     """Labels and scores of the same keys, one row each.
 
     Grouping instead of joining: a repeated key folds before the shuffle and
-    cannot multiply rows. Raises unless both sides hold the same keys once.
+    cannot multiply rows. Reading the result fails unless both sides hold the
+    same keys once.
     """
     nothing = F.lit(None)
     both = labels.select(key, F.col(label).cast("int").alias(label), nothing.cast("double").alias(p)).union(
         scores.select(key, nothing.cast("int").alias(label), F.col(p).cast("double").alias(p))
     )
-    aligned = both.groupBy(key).agg(
-        F.max(label).alias(label), F.max(p).alias(p),
-        F.count(label).alias("_labels"), F.count(p).alias("_scores"),
-    ).persist()
-    faults = aligned.filter((F.col("_labels") != 1) | (F.col("_scores") != 1)).count()
-    if faults:
-        aligned.unpersist()
-        raise ValueError(f"Batch predictions do not match the labels: {faults} keys differ")
-    return aligned.drop("_labels", "_scores")
+    matched = f"count({label}) = 1 and count({p}) = 1"
+    fault = "raise_error('Batch predictions do not match the labels')"
+    return both.groupBy(key).agg(
+        *[F.expr(f"if({matched}, max({c}), {fault})").alias(c) for c in (label, p)]
+    )

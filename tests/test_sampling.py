@@ -115,5 +115,5 @@ def test_scores_and_labels_must_have_the_same_keys(spark):
     good = spark.createDataFrame([(3, .9), (1, .1), (2, .8)], "row_id long, p double")
     assert sorted(map(tuple, channels.align_scores(labels, good).collect())) == [(1, 0, .1), (2, 1, .8), (3, 1, .9)]
     for bad in ([(1, .1), (2, .8)], [(1, .1), (2, .8), (3, .9), (4, .9)], [(1, .1), (2, .8), (3, .9), (3, .9)]):
-        with pytest.raises(ValueError, match="do not match"):
-            channels.align_scores(labels, spark.createDataFrame(bad, "row_id long, p double"))
+        with pytest.raises(Exception, match="do not match"):
+            channels.align_scores(labels, spark.createDataFrame(bad, "row_id long, p double")).collect()
