@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import all_close, drift_status, sql_number
 from ..storage import small_table
-from .quantiles import ColumnQuantiles, column_quantiles, number, stacked
+from .quantiles import column_quantiles, long_values
 from .slices import present
 
 _EMPTY = "reference and current samples must not be empty"
@@ -23,19 +24,6 @@ def tag_samples(reference: DataFrame, current: DataFrame, columns: Sequence[str]
     )
 
 
-def _bin_and_close(column: str, found: ColumnQuantiles) -> list[str]:
-    """SQL: the value's bin, and whether it is close to a constant reference.
-
-    Bins are left-closed and open at both ends. Repeated edges count once. A
-    missing value has no bin.
-    """
-    v = number(column)
-    edges = sorted(set(found.edges))
-    passed = " + ".join(f"int({v} >= {sql_number(e)})" for e in edges[1:-1]) or "0"
-    close = f"coalesce({all_close(sql_number(edges[0]), v)}, false)" if len(edges) == 1 else "true"
-    return [f"if({v} is null, null, {passed})", close]
-
-
 def stability_index(
     df: DataFrame, columns: Sequence[str], is_reference: str = "is_reference",
     bins: int = config.PSI_BINS, **options,
@@ -53,28 +41,33 @@ def stability_index(
     found = column_quantiles(df, columns, bins, is_reference, **options)
     if any(not q.rows or not q.others for q in found.values()):
         raise ValueError(_EMPTY)
+    # Inner edges of each column's bins, left-closed and open at both ends.
+    # Repeated edges count once; NaN fills up, as no value is above it.
+    edges = {c: sorted(set(q.edges)) for c, q in found.items()}
     kind = {
-        c: "missing" if q.known < q.rows else "constant" if len(set(q.edges)) == 1 else "binned"
+        c: "missing" if q.known < q.rows else "constant" if len(edges[c]) == 1 else "binned"
         for c, q in found.items()
     }
-    totals = small_table(
+    inner = {c: (e[1:-1] + [math.nan] * bins)[: bins - 1] for c, e in edges.items()}
+    held = small_table(
         df.sparkSession,
-        feature=list(found), kind=list(kind.values()),
+        feature=list(found), kind=list(kind.values()), inner=list(inner.values()),
+        lowest=[e[0] if e else None for e in edges.values()],
         total_ref=[q.rows for q in found.values()], total_cur=[q.others for q in found.values()],
         ref_mean=[q.mean for q in found.values()], cur_mean=[q.others_mean for q in found.values()],
     )
-    cells = {
-        c: ["cast(null as int)", "true"] if kind[c] == "missing" else _bin_and_close(c, q)
-        for c, q in found.items()
-    }
+    passed = " + ".join(f"int(value >= inner[{k}])" for k in range(bins - 1)) or "0"
     flagged = df.select(*columns, F.expr(is_reference).alias("_ref"))
     per_bin = (
-        stacked(flagged, cells, ["bin", "close"], ["_ref"]).groupBy("feature", "bin").agg(
+        long_values(flagged, columns, keep=["_ref"])
+        .join(F.broadcast(held.select("feature", "inner", "lowest")), "feature")  # a row per listed column
+        .groupBy("feature", F.expr(f"if(value is null, null, {passed})").alias("bin"))
+        .agg(
             F.expr("count_if(_ref)").alias("n_ref"),
             F.expr("count_if(not _ref)").alias("n_cur"),
-            F.expr("bool_and(_ref or close)").alias("close"),
+            F.expr(f"bool_and(_ref or coalesce({all_close('lowest', 'value')}, false))").alias("close"),
         )
-        .join(F.broadcast(totals), "feature")  # a row per listed column
+        .join(F.broadcast(held.drop("inner", "lowest")), "feature")
     )
     ref, cur, eps = "(n_ref / total_ref)", "(n_cur / total_cur)", sql_number(config.PSI_EPSILON)
     term = f"({cur} - {ref}) * ln(({cur} + {eps}) / ({ref} + {eps}))"

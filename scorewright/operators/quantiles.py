@@ -45,15 +45,11 @@ class ColumnQuantiles:
     edges: list[float]
 
 
-def stacked(df: DataFrame, cells: dict[str, Sequence[str]], names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Long form: ``feature`` and the given SQL expressions of each column as ``names``."""
-    parts = [f"{sql_text(feature)}, {', '.join(expressions)}" for feature, expressions in cells.items()]
-    return df.select(*keep, F.expr(f"stack({len(parts)}, {', '.join(parts)})").alias("feature", *names))
-
-
-def number(column: str) -> str:
-    """SQL: the column as double, missing values as null."""
-    return f"nanvl(cast(`{column}` as double), cast(null as double))"
+def long_values(df: DataFrame, columns: Sequence[str], data_type: str = "double", keep: Sequence[str] = ()) -> DataFrame:
+    """One row per input row and column: ``feature`` and ``value``; NaN becomes null."""
+    as_type = "nanvl(cast(`{}` as double), cast(null as double))" if data_type == "double" else f"cast(`{{}}` as {data_type})"
+    cells = ", ".join(f"{sql_text(c)}, {as_type.format(c)}" for c in columns)
+    return df.select(*keep, F.expr(f"stack({len(columns)}, {cells})").alias("feature", "value"))
 
 
 def quantile_steps(parts: int) -> list[float]:
@@ -102,7 +98,7 @@ def _summaries(df: DataFrame, columns: Sequence[str], steps: Sequence[float]) ->
     high = [min(1.0, q + _MARGIN) for q in steps]
     marks = ", ".join(sql_number(q) for q in [*low, *high])
     grouped = df.select("*", F.expr(f"pmod(spark_partition_id(), {_SKETCH_GROUPS})").alias("_group"))
-    long = stacked(grouped, {c: [number(c)] for c in columns}, ["value"], ["_sample", "_group"])
+    long = long_values(grouped, columns, keep=["_sample", "_group"])
     rows = long.groupBy("feature", "_group").agg(
         F.expr("count_if(_sample)").alias("rows"),
         F.expr("count_if(not _sample)").alias("others"),
@@ -154,35 +150,43 @@ def _interpolate(position: float, values: dict[int, float]) -> float:
     return high - (high - low) * (1 - t) if t >= 0.5 else low + (high - low) * t
 
 
-def _sql_bound(x: float) -> str:
-    return f"double('{'-' if x < 0 else ''}Infinity')" if math.isinf(x) else sql_number(x)
-
-
 def _values_at(
     df: DataFrame, ranks: dict[str, list[int]], brackets: dict[str, list[Bracket]], **options
 ) -> dict[str, dict[int, float]]:
     """The values at the given zero-based ranks; ranks outside the brackets are left out."""
     if not ranks:
         return {}
-    cells = {}
-    for c in ranks:
-        v = number(c)
-        bounds = [(_sql_bound(low), _sql_bound(high)) for low, high in brackets[c]]
-        inside = " or ".join(f"{v} between {low} and {high}" for low, high in bounds)
-        # A value between brackets stands for its whole gap, which sorts
-        # directly before the next bracket.
-        gap = " ".join(f"when {v} < {low} then {low}" for low, _ in bounds)
-        cells[c] = [
-            f"case when {inside} then {v} {gap} when {v} is not null then double('Infinity') end", inside,
-        ]
-    long = stacked(df, cells, ["value", "inside"]).filter("value is not null")
+    spark = df.sparkSession
+    # Every column gets as many brackets as the one with most; the last repeats.
+    most = max(len(brackets[c]) for c in ranks)
+    padded = {c: brackets[c] + brackets[c][-1:] * (most - len(brackets[c])) for c in ranks}
+    bounds = small_table(
+        spark, feature=list(padded),
+        low=[[b[0] for b in found] for found in padded.values()],
+        high=[[b[1] for b in found] for found in padded.values()],
+    )
+    inside = " or ".join(f"value between low[{k}] and high[{k}]" for k in range(most))
+    # A value between brackets stands for its whole gap, which sorts directly
+    # before the next bracket.
+    gap = " ".join(f"when value < low[{k}] then low[{k}]" for k in range(most))
+    long = long_values(df, list(ranks)).filter("value is not null")
+    cells = (
+        long.join(F.broadcast(bounds), "feature")  # a row per listed column
+        .select("feature", "value", "low", F.expr(inside).alias("inside"))
+        .select(
+            "feature", "inside",
+            F.expr(f"case when inside then value {gap} else double('Infinity') end").alias("value"),
+        )
+    )
     counts, seen = materialize_checked(
-        long.groupBy("feature", F.struct("value", "inside").alias("cell")).agg(F.expr("count(*)").alias("n"))
+        cells.groupBy("feature", "value", "inside").agg(F.expr("count(*)").alias("n"))
+        .select("feature", F.struct("value", "inside").alias("cell"), "n")
     )
     ranked = running_totals(counts, ["feature"], "cell", ["n"], rows=seen["rows"], **options)
     wanted = small_table(
-        df.sparkSession,
-        feature=[c for c, found in ranks.items() for _ in found], rank=[r for found in ranks.values() for r in found],
+        spark,
+        feature=[c for c, found in ranks.items() for _ in found],
+        rank=[r for found in ranks.values() for r in found],
     )
     covers = F.expr("n_upto - n <= rank and rank < n_upto and cell.inside")
     at = ranked.join(F.broadcast(wanted), "feature").filter(covers)  # a few ranks per listed column
@@ -194,8 +198,8 @@ def _values_at(
 
 def text_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per column and known text."""
-    long = stacked(df, {c: [f"cast(`{c}` as string)"] for c in columns}, ["text"])
-    return long.filter("text is not null").groupBy("feature", "text").agg(F.expr("count(*)").alias("n"))
+    long = long_values(df, columns, "string").filter("value is not null")
+    return long.groupBy("feature", F.col("value").alias("text")).agg(F.expr("count(*)").alias("n"))
 
 
 def modes(counts: DataFrame) -> DataFrame:

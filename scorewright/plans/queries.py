@@ -176,16 +176,20 @@ def psi_constant_reference(spark, folder):
     return found.select("feature", "psi", "status")
 
 
-# Splits and channels
+# Splits and channels. A split reads its table three times, so the table is computed once.
+
+def _labels(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    return materialize(item_scores(spark, folder).select("row_id", "label", *columns))
+
 
 @query
 def stratified_split(spark, folder):
-    return sampling.stratified_split(item_scores(spark, folder).select("row_id", "label"))
+    return sampling.stratified_split(_labels(spark, folder))
 
 
 @query
 def three_way_split_manifest(spark, folder):
-    split = channels.channel_split(item_scores(spark, folder).select("row_id", "label"))
+    split = channels.channel_split(_labels(spark, folder))
     return split.groupBy(F.col("split").alias("channel")).agg(
         F.count(F.lit(1)).alias("rows"), F.round(F.avg("label"), 6).alias("default_rate"),
         F.sum("row_id").alias("id_sum"),
@@ -197,8 +201,7 @@ def channel_roundtrip(spark, folder):
     """Write the four channels, read them back, and add them up."""
     base = scratch_path(spark, "channels")
     names, ddl = ["n_items", "qty"], "n_items bigint, qty double"
-    rows = item_scores(spark, folder).select("row_id", "label", *names)
-    channels.write_channels(channels.channel_split(rows), base, names)
+    channels.write_channels(channels.channel_split(_labels(spark, folder, *names)), base, names)
     parts = [
         channels.labeled_channel(spark, base, name, ddl).withColumn("channel", F.lit(name))
         for name in channels.LABELED
@@ -218,7 +221,7 @@ def channel_manifest(spark, folder):
     """Files, digests, rows and rates of written channels (file names differ per run)."""
     base = scratch_path(spark, "manifest")
     names = ["n_items", "qty"]
-    split = materialize(channels.channel_split(item_scores(spark, folder).select("row_id", "label", *names)))
+    split = channels.channel_split(_labels(spark, folder, *names))
     channels.write_channels(split, base, names)
     return channels.manifest(spark, split, base, names)
 
@@ -284,20 +287,20 @@ def feature_target_bind(spark, folder):
 
 @query
 def median_mode_impute(spark, folder):
-    df = orders_with_gaps(spark, folder).select("row_id", "n_items", "qty", "size", "o_orderpriority")
+    df = materialize(orders_with_gaps(spark, folder).select("row_id", "n_items", "qty", "size", "o_orderpriority"))
     return features.impute(df, features.fit_fill_values(df, ["n_items", "qty"], ["size", "o_orderpriority"]))
 
 
 @query
 def standardize(spark, folder):
-    df = orders_scored(spark, folder).select("row_id", *NUMERIC)
+    df = materialize(orders_scored(spark, folder).select("row_id", *NUMERIC))
     return _rounded(features.standardize(df, features.fit_scale(df, NUMERIC)), NUMERIC)
 
 
 @query
 def one_hot(spark, folder):
     """Categories come from orders of three items up, so ``small`` and missing are unknown."""
-    df = orders_with_gaps(spark, folder).select("row_id", "o_orderstatus", "size", "n_items")
+    df = materialize(orders_with_gaps(spark, folder).select("row_id", "o_orderstatus", "size", "n_items"))
     known = features.fit_fill_values(df.filter("n_items >= 3"), [], ["o_orderstatus", "size"])
     return features.one_hot(df.drop("n_items"), known.categories)
 
