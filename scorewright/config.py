@@ -44,8 +44,11 @@ ROW_ID = "row_id"
 # A window over at most this many rows runs as one task; more rows are split
 # by range first (operators/running.py).
 ROWS_PER_TASK = 1_000_000
+# A counted table of at most this many narrow rows may be broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
+# The default promotion policy and its rollback text.
 @dataclass(frozen=True)
 class PromotionPolicy:
     minimum_pr_auc_gain: float = 0.005

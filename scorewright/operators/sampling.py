@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import seeded_hash
-from ..storage import materialize
+from ..storage import pin
 
 Counts = dict[int, int]
 
@@ -65,7 +65,7 @@ def stratified_split(
         F.substring(order, 1, _CELL_DIGITS).alias("cell"),
     )
     # At most 16**4 rows per class.
-    cells = materialize(keyed.groupBy("c", "cell").agg(F.count(F.lit(1)).alias("n")))
+    cells = pin(keyed.groupBy("c", "cell").agg(F.count(F.lit(1)).alias("n")))
     classes = {row[0]: row[1] for row in cells.groupBy("c").agg(F.sum("n")).collect()}
     parts = sizes(classes)
     names = list(parts)

@@ -12,7 +12,7 @@ from ..functions import decision, snake_case
 from ..operators import bands, drift, features, metrics, models, permutation, quantiles, sampling, schema, slices
 from ..operators.governance import promotion_checks as check_promotion
 from ..sources import channels, digests, registry, tables
-from ..storage import materialize, scratch_path, small_table
+from ..storage import materialize, pin, scratch_path, small_table
 from . import batch, report, training
 from .views import docs_labeled, item_scores, orders_scored, orders_with_gaps, table
 
@@ -71,7 +71,7 @@ def report_payload(spark, folder):
         decision("p").alias("predicted_default"),
     )
     tables.write_scored(scored, f"{base}/predictions")
-    found = materialize(_scorecard_metrics(spark, folder))
+    found = pin(_scorecard_metrics(spark, folder))
     tables.write_json(report.metrics_document(found, MODELS).coalesce(1), f"{base}/metrics")
     payload = report.write_report(spark, f"{base}/predictions", f"{base}/metrics", f"{base}/payload")
     return report.payload_rows(tables.read_json(spark, f"{base}/payload", payload.schema))
@@ -380,7 +380,7 @@ def model_registry(spark, folder):
     """Register both scorecards; the registry is read back without its times."""
     base = scratch_path(spark, "registry")
     tables.write_scored(item_scores(spark, folder).select("row_id", "label", "p"), f"{base}/artifact")
-    found = materialize(_scorecard_metrics(spark, folder))
+    found = pin(_scorecard_metrics(spark, folder))
     for name in MODELS:
         registry.append(registry.registry_entry(found, name, f"{base}/artifact"), f"{base}/models")
     entries = spark.read.parquet(f"{base}/models")
@@ -393,7 +393,7 @@ def model_registry(spark, folder):
 @query
 def run_log(spark, folder):
     base = scratch_path(spark, "runs")
-    found = materialize(_scorecard_metrics(spark, folder))
+    found = pin(_scorecard_metrics(spark, folder))
     for name in MODELS:
         registry.append(registry.run_log(found, name), base)
     return spark.read.parquet(base)

@@ -21,7 +21,7 @@ from ..operators.sampling import stratified_split, two_way
 from ..operators.slices import present, slice_performance
 from ..sources import registry
 from ..sources.tables import read_scored, write_json, write_scored
-from ..storage import materialize
+from ..storage import pin
 from .report import metrics_document
 
 
@@ -74,7 +74,7 @@ def train_and_evaluate(
         models = fit_models(train, numeric, categorical, label=label, rounds=rounds)
         order = list(models)
 
-        metrics = materialize(compare_models(models, test, label))  # one row per model
+        metrics = pin(compare_models(models, test, label))  # one row per model
         selected = select_model(metrics, order).first().selected_model
         model = models[selected]
         model.write().overwrite().save(f"{folder}/model")
@@ -88,7 +88,7 @@ def train_and_evaluate(
         )
         scored = read_scored(spark, scored_path).withColumnRenamed("default_probability", "p")
 
-        importance = materialize(
+        importance = pin(
             top_features(
                 permutation_importance(
                     test, lambda t: with_probability(model, t), features, label=label, seed=seed
@@ -96,9 +96,9 @@ def train_and_evaluate(
             )
         )
         promotion = promotion_checks(metrics, policy=policy)
-        by_feature = materialize(feature_drift(train, test, monitored))
-        by_score = materialize(prediction_drift(with_probability(model, train).select("p"), scored.select("p")))
-        by_slice = materialize(slice_performance(scored, slices, "actual_default"))
+        by_feature = pin(feature_drift(train, test, monitored))
+        by_score = pin(prediction_drift(with_probability(model, train).select("p"), scored.select("p")))
+        by_slice = pin(slice_performance(scored, slices, "actual_default"))
         base = scored.agg(F.count(F.lit(1)).alias("n"), F.avg("actual_default").alias("rate")).first()
 
         explained = importance.agg(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +14,12 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     A file is one value here, so writers bound their part files
     (``rows_per_file``); Spark refuses a file over 2 GB rather than cut it.
     """
-    root = path.rstrip("/").split("/")[-1]
+    root = re.sub("^[a-zA-Z0-9]+:/*", "/", path).rstrip("/")
+    name = root.split("/")[-1]
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    relative = F.element_at(F.split("path", f"/{root}(/|$)"), -1)
+    relative = F.regexp_extract("path", f"\\Q{root}\\E/?(.*)$", 1)
     return files.select(
-        F.when(relative == "", F.lit(root)).otherwise(relative).alias("file"),
+        F.when(relative == "", F.lit(name)).otherwise(relative).alias("file"),
         "length", F.sha2("content", 256).alias("sha256"),
     )
 

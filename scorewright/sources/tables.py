@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config
 from ..operators.schema import normalize_columns, require_columns, require_valid
+from ..storage import materialize, pin
 
 
 def load_dataset(
@@ -46,21 +47,19 @@ def read_json(spark: SparkSession, path: str, schema) -> DataFrame:
 def with_position(df: DataFrame, name: str = config.ROW_ID) -> DataFrame:
     """Number the rows of a file source in file and line order, for files that carry no key.
 
-    ``df`` must come straight from ``spark.read``. Every file block is counted;
-    the rows of a block follow each other in one task. The numbers come from
-    the files, so two files written together line up whatever their splits.
+    ``df`` must come straight from ``spark.read``. The rows of a file block
+    follow each other in one task, so counting the blocks gives every row its
+    place. The blocks are written out with the rows: a later read could split
+    the files in another way.
     """
     block = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")]
-    rows = df.select("*", *block, F.monotonically_increasing_id().alias("_seq"))
+    rows = materialize(df.select("*", *block, F.monotonically_increasing_id().alias("_seq")))
     before = Window.partitionBy(F.lit(0)).orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
     blocks = rows.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_first"))
-    offsets = blocks.select(  # one row per file block
+    offsets = pin(blocks.select(  # one row per file block
         "_file", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
-    )
+    ))
+    if offsets.count() <= config.BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     position = F.col("_seq") - F.col("_first") + F.col("_before")
     return rows.join(offsets, ["_file", "_start"]).select(*df.columns, position.alias(name))
-
-
-def to_document(**fields: Column) -> Column:
-    """A JSON text column from named columns."""
-    return F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()]))

@@ -1,4 +1,4 @@
-"""Shared-folder handling: cutting lineage and scratch tables.
+"""Shared-folder handling: scratch tables and cut lineage.
 
 Everything goes below the folder the cluster names in ``spark.checkpoint.dir``.
 A machine-local folder is used only for a local master that names none.
@@ -34,9 +34,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, keep it in reliable storage and cut its lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once, as a columnar table in the shared folder.
+
+    Later reads prune columns, start from its files and survive lost executors.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def materialize_checked(df: DataFrame, **checks: str) -> tuple[DataFrame, dict[str, int]]:
@@ -46,6 +50,12 @@ def materialize_checked(df: DataFrame, **checks: str) -> tuple[DataFrame, dict[s
     return done, done.agg(*[F.expr(e).alias(name) for name, e in aggregates.items()]).first().asDict()
 
 
+def pin(df: DataFrame) -> DataFrame:
+    """Compute a table of report size once and cut its lineage."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def small_table(spark: SparkSession, **columns: list) -> DataFrame:
     """A local relation of a few driver-side rows: joining it needs no job."""
     return spark.createDataFrame(pa.table(columns))
