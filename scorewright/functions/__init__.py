@@ -18,11 +18,6 @@ def is_missing(c: Column | str, data_type: str = "double") -> Column:
     return (c.isNull() | F.isnan(c)) if data_type in ("double", "float") else c.isNull()
 
 
-def is_finite(c: Column | str) -> Column:
-    c = _col(c)
-    return ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
-
-
 def sql_number(x: float) -> str:
     """Double literal."""
     return f"{float(x)!r}D"

@@ -17,32 +17,39 @@ from .quantiles import column_quantiles, modes, text_counts
 
 @dataclass(frozen=True)
 class FillValues:
-    """What replaces missing values (one per column), and the known categories."""
+    """What replaces missing values: one number or text per column."""
 
     medians: dict[str, float] = field(default_factory=dict)
     modes: dict[str, str] = field(default_factory=dict)
-    categories: dict[str, list[str]] = field(default_factory=dict)
 
 
-def fit_fill_values(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], **options) -> FillValues:
-    """Exact medians, modes and categories.
+def fit_fill_values(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+    counts: DataFrame | None = None, **options,
+) -> FillValues:
+    """Exact medians and modes; the driver gets one per column.
 
-    The driver gets one median or mode per column, and the categories, each of
-    which becomes a column of the encoding.
+    ``counts`` is ``text_counts`` of the categorical columns, if already at hand.
     """
-    medians, frequent, categories = {}, {}, {c: [] for c in categorical}
+    medians, frequent = {}, {}
     if numeric:
         grid = column_quantiles(df, numeric, 2, **options)
         medians = {c: q.edges[1] for c, q in grid.items() if q.known}
     if categorical:
-        counts = materialize(text_counts(df, categorical))
+        counts = text_counts(df, categorical) if counts is None else counts
         frequent = {row.feature: row.mode for row in modes(counts).collect()}
-        for row in counts.select("feature", "text").collect():
-            categories[row.feature].append(row.text)
     empty = [c for c in (*numeric, *categorical) if c not in medians and c not in frequent]
     if empty:
         raise ValueError(f"No known value in: {empty}")
-    return FillValues(medians, frequent, {c: sorted(v) for c, v in categories.items()})
+    return FillValues(medians, frequent)
+
+
+def fit_categories(counts: DataFrame) -> dict[str, list[str]]:
+    """Known texts per column of ``text_counts``, in order. Each becomes a column of the encoding."""
+    categories: dict[str, list[str]] = {}
+    for row in counts.select("feature", "text").collect():
+        categories.setdefault(row.feature, []).append(row.text)
+    return {c: sorted(found) for c, found in categories.items()}
 
 
 def impute(df: DataFrame, fill: FillValues) -> DataFrame:
@@ -87,7 +94,9 @@ def fit_preparation(df: DataFrame, numeric: Sequence[str], categorical: Sequence
     the population deviation. Missing categories get the mode; categories not
     seen in training encode as all zeros.
     """
-    fill = fit_fill_values(df, numeric, categorical, **options)
+    counts = materialize(text_counts(df, categorical)) if categorical else None
+    fill = fit_fill_values(df, numeric, categorical, counts, **options)
+    categories = fit_categories(counts) if categorical else {}
     scale = fit_scale(impute(df.select(*numeric), FillValues(fill.medians)), numeric) if numeric else {}
     expressions = []
     for c in numeric:
@@ -101,7 +110,7 @@ def fit_preparation(df: DataFrame, numeric: Sequence[str], categorical: Sequence
     if categorical:
         stages += [
             *[
-                StringIndexerModel.from_labels(fill.categories[c], f"{c}__text", f"{c}__index", "keep")
+                StringIndexerModel.from_labels(categories[c], f"{c}__text", f"{c}__index", "keep")
                 for c in categorical
             ],
             # "keep" adds one index for unknown values and dropLast removes it again.

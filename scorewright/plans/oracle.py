@@ -166,16 +166,21 @@ def _split(first: float, nested: bool) -> str:
   FROM ranked_rows r JOIN train t USING (label) JOIN validation v USING (label))"""
 
 
-def _importance(columns: list[str], score: str) -> str:
-    """Donor rows by seeded cyclic order within 16 hash cells, for two repeats."""
-    repeats = "repeats AS (SELECT unnest([1, 2]) AS repeat)"
-    hashed = """hashed AS (
+_HASHED = """repeats AS (SELECT unnest([1, 2]) AS repeat), hashed AS (
   SELECT scored.*, repeat, md5('42:' || repeat || ':' || row_id) AS h FROM scored, repeats)"""
-    donors = f"""donors AS (
-  SELECT *, {', '.join(
-      f"coalesce(lag({c}) OVER w, last_value({c}) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS d_{c}"
-      for c in columns)}
-  FROM hashed WINDOW w AS (PARTITION BY repeat, substr(h, 1, 1) ORDER BY h, row_id))"""
+
+
+def _donors(columns: list[str]) -> str:
+    """Donor rows by seeded cyclic order within 16 hash cells, for two repeats."""
+    whole = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+    taken = ", ".join(
+        f"coalesce(lag({c}) OVER w, last_value({c}) OVER (w {whole})) AS d_{c}" for c in columns
+    )
+    return f"""{_HASHED}, donors AS (
+  SELECT *, {taken} FROM hashed WINDOW w AS (PARTITION BY repeat, substr(h, 1, 1) ORDER BY h, row_id))"""
+
+
+def _importance(columns: list[str], score: str) -> str:
     variants = " UNION ALL ".join(
         [f"SELECT 'none' AS feature, repeat, label, {', '.join(columns)} FROM donors WHERE repeat = 1"]
         + [
@@ -184,7 +189,7 @@ def _importance(columns: list[str], score: str) -> str:
         ]
     )
     order = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(columns, 1))
-    return f"""{repeats}, {hashed}, {donors}, variants AS ({variants}),
+    return f"""{_donors(columns)}, variants AS ({variants}),
 rescored AS (SELECT feature, repeat, label, {score} AS p FROM variants),
 {_ranking('rescored', 'feature, repeat')}
 SELECT feature, round(avg((SELECT pr_auc FROM pr WHERE feature = 'none') - pr_auc), 6) AS importance,
@@ -267,6 +272,18 @@ _EVALUATION = (
 )
 
 ORACLE: dict[str, str] = {
+    "scored_rows": f"""WITH {SCORED}
+SELECT row_id, label AS actual_default, p AS default_probability, CAST(p >= 0.5 AS INTEGER) AS predicted_default,
+       CASE WHEN p < 0.2 THEN 'low' WHEN p < 0.5 THEN 'review' ELSE 'high' END AS risk_band,
+       CAST({_BIN} AS INTEGER) AS calibration_bin FROM scored""",
+    "dataset_ingest": f"""WITH {SCORED}
+SELECT row_id, qty AS limit_bal, n_items AS age, CAST(label AS TINYINT) AS default_next_month FROM scored""",
+    "dataset_load": f"""WITH {SCORED}
+SELECT row_id, qty AS limit_bal, CAST(n_items AS INTEGER) AS age, CAST(label AS TINYINT) AS default_next_month
+FROM scored""",
+    "seeded_donors": f"WITH {SCORED}, {_donors(['n_items', 'qty'])} "
+    "SELECT row_id, repeat, d_n_items AS n_items, d_qty AS qty FROM donors",
+    "document_digest": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
     "scored_summary": f"WITH {SCORED}, {SUMMARY} SELECT * FROM summary",
     "risk_bands": f"WITH {SCORED}, {BANDS} SELECT * FROM bands",
     "calibration_bins": f"WITH {SCORED}, {CALIBRATION} SELECT * FROM calibration",

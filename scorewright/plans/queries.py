@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions import decision, snake_case
+from ..functions import calibration_bin, decision, risk_band, snake_case
 from ..operators import bands, drift, features, metrics, models, permutation, quantiles, sampling, schema, slices
 from ..operators.governance import promotion_checks as check_promotion
 from ..sources import channels, digests, registry, tables
@@ -77,6 +77,16 @@ def report_payload(spark, folder):
     return report.payload_rows(tables.read_json(spark, f"{base}/payload", payload.schema))
 
 
+@query
+def scored_rows(spark, folder):
+    """Every scored row with its decision, band and calibration bin."""
+    return item_scores(spark, folder).select(
+        "row_id", F.col("label").alias("actual_default"), F.col("p").alias("default_probability"),
+        decision("p").alias("predicted_default"), risk_band("p").alias("risk_band"),
+        calibration_bin("p").alias("calibration_bin"),
+    )
+
+
 # Metrics
 
 @query
@@ -264,6 +274,30 @@ def normalize_columns(spark, folder):
     return schema.normalize_columns(untidy)
 
 
+def _raw_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    scores = item_scores(spark, folder)
+    return (
+        scores.select("row_id", F.col("row_id").alias("ID"), F.col("qty").alias("X1"), F.col("n_items").alias(" Age")),
+        scores.select("row_id", F.col("label").alias("Y")),
+    )
+
+
+@query
+def dataset_ingest(spark, folder):
+    """Two raw tables under generic names are bound, validated, kept as CSV and read back."""
+    return tables.ingest_dataset(*_raw_tables(spark, folder), scratch_path(spark, "ingest"))
+
+
+@query
+def dataset_load(spark, folder):
+    """A headed CSV under generic names, read with types by name."""
+    path = scratch_path(spark, "raw")
+    raw, target = _raw_tables(spark, folder)
+    tables.write_csv(raw.drop("ID").join(target, "row_id"), path)
+    ddl = f"row_id bigint, limit_bal double, age int, {config.TARGET} int"
+    return tables.load_dataset(spark, path, schema=ddl)
+
+
 @query
 def validation_report(spark, folder):
     return schema.validation_report(orders_with_gaps(spark, folder), "n_returned")
@@ -301,12 +335,19 @@ def standardize(spark, folder):
 def one_hot(spark, folder):
     """Categories come from orders of three items up, so ``small`` and missing are unknown."""
     df = materialize(orders_with_gaps(spark, folder).select("row_id", "o_orderstatus", "size", "n_items"))
-    known = features.fit_fill_values(df.filter("n_items >= 3"), [], ["o_orderstatus", "size"])
-    return features.one_hot(df.drop("n_items"), known.categories)
+    known = quantiles.text_counts(df.filter("n_items >= 3"), ["o_orderstatus", "size"])
+    return features.one_hot(df.drop("n_items"), features.fit_categories(known))
 
 
 # Importance
 
+@query
+def seeded_donors(spark, folder):
+    """Each row's donor in two seeded shuffles."""
+    donors = sampling.seeded_donors(_labels(spark, folder, "n_items", "qty"), ["n_items", "qty"], digits=1)
+    return donors.select("row_id", "repeat", "donor.n_items", "donor.qty")
+
+
 @query
 def permutation_importance_scorecard(spark, folder):
     """Closed-form score; ``qty`` does not enter it, so its importance is zero."""
@@ -399,6 +440,12 @@ def run_log(spark, folder):
     return spark.read.parquet(base)
 
 
+@query
+def document_digest(spark, folder):
+    """SHA-256 of every whole text."""
+    return table(spark, folder, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
+
+
 @query
 def artifact_digest(spark, folder):
     """Digests of the files of the orders table."""

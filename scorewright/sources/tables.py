@@ -4,25 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import config
-from ..operators.schema import normalize_columns, require_columns, require_valid
+from ..operators.schema import (
+    normalize_columns,
+    normalize_dataset,
+    normalize_name,
+    require_columns,
+    require_valid,
+)
 from ..storage import materialize, pin
 
 
 def load_dataset(
     spark: SparkSession, path: str, *, schema: str | None = None, validate: bool = True
 ) -> DataFrame:
-    """Headed CSV with normalized names. Give ``schema`` for large files: inference reads them twice.
+    """Headed CSV with normalized names.
 
-    ``validate=False`` checks the target's presence only.
+    ``schema`` is DDL that gives types by normalized name, in any order; the
+    header alone is read to match them. Without it types are inferred, which
+    reads the whole file once more. ``validate=False`` checks the target's
+    presence only.
     """
     reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
+    if schema:
+        types = {f.name: f.dataType for f in StructType.fromDDL(schema)}
+        fields = [StructField(c, types.get(normalize_name(c), StringType())) for c in reader.csv(path).columns]
+        reader = reader.schema(StructType(fields))
+    else:
+        reader = reader.option("inferSchema", True)
     df = require_columns(normalize_columns(reader.csv(path)), [config.TARGET], "target column")
     return require_valid(df) if validate else df
 
 
+def ingest_dataset(
+    features: DataFrame, target: DataFrame, path: str, key: str = config.ROW_ID
+) -> DataFrame:
+    """Bind, normalize and validate two raw tables, keep the result as CSV, return it as read back."""
+    bound = normalize_dataset(features, target, key)
+    write_csv(bound, path)
+    return features.sparkSession.read.schema(bound.schema).option("header", True).csv(path)
+
+
 def write_csv(df: DataFrame, path: str, *, header: bool = True, rows_per_file: int = 0) -> None:
     df.write.mode("overwrite").option("header", header).option("maxRecordsPerFile", rows_per_file).csv(path)
 
