@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import ratio, sql_number
-from ..storage import materialize_checked
 from .running import running_totals
 
 # Aggregates over a score table: rows `n` and positives `pos` per score `p`,
@@ -62,10 +61,10 @@ def score_table(
 
 def ranked_scores(table: DataFrame, by: Sequence[str] = (), **options) -> DataFrame:
     """The score table, computed once, with totals from the highest score down."""
-    table, seen = materialize_checked(table, unknown="count_if(p is null or isnan(p))")
-    if seen["unknown"]:
-        raise ValueError("Scores must not be missing")
-    return running_totals(table, by, "p", ["n", "pos"], rows=seen["rows"], descending=True, **options)
+    return running_totals(
+        table, by, "p", ["n", "pos"], descending=True,
+        reject=("p is null or isnan(p)", "Scores must not be missing"), **options,
+    )
 
 
 def confusion_matrix(scored: DataFrame, label: str = "label", p: str = "p") -> DataFrame:

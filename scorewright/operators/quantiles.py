@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sql_number, sql_text
-from ..storage import materialize_checked, small_table
+from ..storage import small_table
 from .running import running_totals
 
 _ACCURACY = 10_000
@@ -178,11 +178,11 @@ def _values_at(
             F.expr(f"case when inside then value {gap} else double('Infinity') end").alias("value"),
         )
     )
-    counts, seen = materialize_checked(
+    counts = (
         cells.groupBy("feature", "value", "inside").agg(F.expr("count(*)").alias("n"))
         .select("feature", F.struct("value", "inside").alias("cell"), "n")
     )
-    ranked = running_totals(counts, ["feature"], "cell", ["n"], rows=seen["rows"], **options)
+    ranked = running_totals(counts, ["feature"], "cell", ["n"], **options)
     wanted = small_table(
         spark,
         feature=[c for c, found in ranks.items() for _ in found],

@@ -1,24 +1,22 @@
 """Running totals over a table of any size.
 
-A window with few partitions is a window with few tasks. When the table is
-larger than one task should sort, it is range-partitioned on its order first:
-each range is summed on its own, and the totals of the ranges before it are
-added. The result is the same as the plain window's.
+A window with few partitions is a window with few tasks. The table is written
+out range-partitioned on its order. A small one is then summed by one window.
+In a larger one each range is summed on its own, opened with the totals of the
+ranges before it. The results are the same.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..storage import materialize
+from ..storage import materialize_checked
 
 _RANGE, _OPENING = "_range", "_opening"
-_ROWS_PER_RANGE = 16_000_000
 
 
 def running_totals(
@@ -27,38 +25,35 @@ def running_totals(
     order: str,
     measures: Sequence[str],
     *,
-    rows: int | None = None,
     descending: bool = False,
+    reject: tuple[str, str] = ("false", ""),
     rows_per_task: int = config.ROWS_PER_TASK,
 ) -> DataFrame:
     """Add ``<measure>_upto`` columns: totals of all rows at or before this one.
 
     ``table`` must hold one row per (``by``, ``order``); aggregate it first, so
-    that ties and hot values are single rows here. It should be materialized,
-    as it may be read twice. ``rows`` is its size or a bound of it, counted if
-    not given.
+    that ties and hot values are single rows here and ranges come out even. It
+    is computed once. ``reject`` is an SQL condition that no row may meet, and
+    the error if one does.
     """
     by = list(by)
-    if rows is None:
-        rows = table.count()
     order_by = F.desc(order) if descending else F.asc(order)
-    if rows <= rows_per_task:
+    # The range number is written with the rows: it must not change between the
+    # reads below, even when a lost executor makes Spark redo a task.
+    ranged, seen = materialize_checked(
+        table.repartitionByRange(*by, order_by).withColumn(_RANGE, F.spark_partition_id()),
+        rejected=f"count_if({reject[0]})",
+    )
+    if seen["rejected"]:
+        raise ValueError(reject[1])
+    if seen["rows"] <= rows_per_task:
         window = _upto(by, order_by)
-        return table.select("*", *[F.sum(m).over(window).alias(f"{m}_upto") for m in measures])
+        return ranged.select(
+            *table.columns, *[F.sum(m).over(window).alias(f"{m}_upto") for m in measures]
+        )
 
-    # The range number is written out with the rows: it must not change between
-    # the two reads below, even when a lost executor makes Spark redo a task.
-    spark = table.sparkSession
-    ranges = math.ceil(rows / _ROWS_PER_RANGE)
-    wide = ranges > int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*by, order_by]
-    ranged = materialize(
-        (table.repartitionByRange(ranges, *keys) if wide else table.repartitionByRange(*keys))
-        .withColumn(_RANGE, F.spark_partition_id())
-    )
     # One row per range and group: ranges are contiguous, so there are at most
-    # (ranges + groups) of them, and at most (ranges) in one group. Each opens
-    # its range with the totals of the ranges before it.
+    # (ranges + groups) of them, and at most (ranges) in one group.
     before = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     openings = (
         ranged.groupBy(*by, _RANGE)

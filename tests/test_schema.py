@@ -125,6 +125,20 @@ def test_dataset_ddl_reads_without_inference(spark, tmp_path):
     assert dict(df.dtypes)["sex"] == "int" and dict(df.dtypes)["limit_bal"] == "double"
 
 
+def test_types_follow_names_not_order(spark, tmp_path):
+    (tmp_path / "rows.csv").write_text("Y,X5,extra,LIMIT BAL\n1,30,word,2.5\n")
+    df = tables.load_dataset(spark, str(tmp_path / "rows.csv"), schema=config.schema_ddl())
+    assert dict(df.dtypes) == {config.TARGET: "tinyint", "age": "int", "extra": "string", "limit_bal": "double"}
+    assert df.first().limit_bal == 2.5
+
+
+def test_ingest_keeps_a_normalized_copy(spark, tmp_path):
+    features = spark.createDataFrame([(1, 7, 1.5), (2, 8, 2.5)], "row_id long, id int, x1 double")
+    target = spark.createDataFrame([(2, 1), (1, 0)], "row_id long, y int")
+    kept = tables.ingest_dataset(features, target, str(tmp_path / "kept"))
+    assert [tuple(r) for r in kept.orderBy("row_id").collect()] == [(1, 1.5, 0), (2, 2.5, 1)]
+
+
 def test_positions_follow_file_and_line_order(spark, tmp_path):
     lines = [f"{i}" for i in range(5000)]
     (tmp_path / "lines").mkdir()
