@@ -13,7 +13,7 @@ from ..operators.features import fit_preparation
 from ..operators.metrics import ranking_metrics
 from ..operators.models import managed_boosting, with_probability
 from ..sources import channels
-from ..sources.tables import write_csv
+from ..sources.tables import write_csv, write_json
 
 
 def evaluate_scores(labels: DataFrame, scores: DataFrame) -> DataFrame:
@@ -51,15 +51,28 @@ def batch_flow(
     df: DataFrame, folder: str, *, numeric: Sequence[str], categorical: Sequence[str],
     rounds: int = 180, label: str = "label", seed: int = config.SEED,
 ) -> DataFrame:
-    """From a labelled table to the evaluation of its held-out part."""
+    """From a labelled table to the evaluation of its held-out part.
+
+    ``folder`` gets channels, manifest, model, scores and predictions.
+    """
     spark = df.sparkSession
     names = [*numeric, *categorical]
     types = dict(df.dtypes)
     ddl = ", ".join(f"{c} {types[c]}" for c in names)
-    table = df.select(config.ROW_ID, label, *names)
-    channels.write_channels(channels.channel_split(table, label, seed=seed), folder, names, label)
-    model = train_on_channels(spark, folder, ddl, numeric, categorical, rounds=rounds, label=label)
+    split = channels.channel_split(df.select(config.ROW_ID, label, *names), label, seed=seed)
+    source = f"{folder}/channels"
+    channels.write_channels(split, source, names, label)
+    write_json(channels.manifest(spark, split, source, names, label), f"{folder}/manifest")
+
+    model = train_on_channels(spark, source, ddl, numeric, categorical, rounds=rounds, label=label)
     model.write().overwrite().save(f"{folder}/model")
-    score_channel(spark, folder, f"{folder}/model", ddl, f"{folder}/scores")
+    score_channel(spark, source, f"{folder}/model", ddl, f"{folder}/scores")
+
     scores = channels.read_headerless(spark, f"{folder}/scores", f"{config.ROW_ID} bigint, p double")
-    return evaluate_scores(channels.test_labels(spark, folder, label).withColumnRenamed(label, "label"), scores)
+    labels = channels.test_labels(spark, source, label).withColumnRenamed(label, "label")
+    aligned = channels.align_scores(labels, scores).select(
+        config.ROW_ID, F.col("label").alias("actual_default"), F.col("p").alias("default_probability")
+    )
+    write_csv(aligned, f"{folder}/predictions")
+    kept = spark.read.schema(aligned.schema).option("header", True).csv(f"{folder}/predictions")
+    return ranking_metrics(kept, (), "actual_default", "default_probability")

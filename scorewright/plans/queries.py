@@ -364,9 +364,8 @@ def permutation_importance_scorecard(spark, folder):
 # Models and whole flows: weights depend on summation order, so these have no SQL.
 
 def _model_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Training reads it many times, so it is computed once and spread over all cores."""
-    df = orders_scored(spark, folder).select("row_id", "label", *NUMERIC, *CATEGORICAL)
-    return materialize(df.repartition(spark.sparkContext.defaultParallelism, "row_id"))
+    """Training reads it many times, so the joins run once."""
+    return materialize(orders_scored(spark, folder).select("row_id", "label", *NUMERIC, *CATEGORICAL))
 
 
 def _fit_and_test(spark: SparkSession, folder: str, name: str):

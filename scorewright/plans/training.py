@@ -18,6 +18,7 @@ from ..operators.metrics import classification_metrics, select_model
 from ..operators.models import fit_models, with_probability
 from ..operators.permutation import permutation_importance, top_features
 from ..operators.sampling import stratified_split, two_way
+from ..operators.schema import partition_columns
 from ..operators.slices import present, slice_performance
 from ..sources import registry
 from ..sources.tables import read_scored, write_json, write_scored
@@ -52,8 +53,8 @@ def train_and_evaluate(
     df: DataFrame,
     folder: str,
     *,
-    numeric: Sequence[str],
-    categorical: Sequence[str],
+    numeric: Sequence[str] | None = None,
+    categorical: Sequence[str] | None = None,
     label: str = config.TARGET,
     monitored: Sequence[str] = config.MONITORED_COLUMNS,
     slices: Sequence[str] = config.SLICE_COLUMNS,
@@ -61,9 +62,18 @@ def train_and_evaluate(
     seed: int = config.SEED,
     policy: config.PromotionPolicy | None = None,
 ) -> TrainingResult:
-    """The whole flow over a table with a unique ``row_id``; results go below ``folder``."""
+    """The whole flow over a table with a unique ``row_id``; results go below ``folder``.
+
+    Without ``numeric`` and ``categorical``, all columns are features, and the
+    configured ones of them are categorical.
+    """
     spark = df.sparkSession
-    features = [*numeric, *categorical]
+    inputs = [c for c in df.columns if c not in (config.ROW_ID, label)]
+    if numeric is None or categorical is None:
+        found = partition_columns(inputs)
+        numeric = found[0] if numeric is None else numeric
+        categorical = [c for c in found[1] if c not in numeric] if categorical is None else categorical
+    features = [c for c in inputs if c in numeric or c in categorical]
     extra = [c for c in present([*monitored, *slices], df) if c not in features]
     split = stratified_split(
         df.select(config.ROW_ID, label, *features, *extra), two_way, label=label, seed=seed

@@ -91,7 +91,7 @@ def test_one_class_cannot_be_trained_on(spark):
 def test_train_and_evaluate(spark, tmp_path):
     folder = str(tmp_path)
     df = clients(spark)
-    result = training.train_and_evaluate(df, folder, numeric=NUMERIC, categorical=CATEGORICAL, rounds=3)
+    result = training.train_and_evaluate(df, folder, rounds=3)
     assert result.test_rows == 120
     assert [r.model for r in result.metrics.orderBy(F.desc("model")).collect()] == ["logistic_regression", "gradient_boosting"]
     assert result.importance.first().feature == "pay_0"
@@ -118,3 +118,7 @@ def test_batch_flow(spark, tmp_path):
     df = clients(spark, 400).withColumnRenamed(config.TARGET, "label")
     row = batch.batch_flow(df, str(tmp_path), numeric=NUMERIC, categorical=CATEGORICAL, rounds=3).first()
     assert row.rows == 60 and row.roc_auc > 0.6
+    kept = spark.read.option("header", True).csv(f"{tmp_path}/predictions")
+    assert kept.columns == ["row_id", "actual_default", "default_probability"] and kept.count() == 60
+    manifest = spark.read.json(f"{tmp_path}/manifest")
+    assert manifest.select("channel").distinct().count() == 4
