@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
+from ..storage import shared_folder
 from .features import fit_preparation
 
 _WEIGHT = "_class_weight"
@@ -25,11 +26,8 @@ def logistic_regression(rows: int, label: str = "label") -> LogisticRegression:
 
 
 def gradient_boosting(label: str = "label", rounds: int = 180, **params) -> GBTClassifier:
-    """The challenger. Node ids are cached and checkpointed, so lineage stays short."""
-    settings = dict(
-        stepSize=0.07, maxDepth=5, maxBins=64, seed=config.SEED,
-        cacheNodeIds=True, checkpointInterval=10,
-    )
+    """The challenger. Residuals are checkpointed every ten rounds, so lineage stays short."""
+    settings = dict(stepSize=0.07, maxDepth=5, maxBins=64, seed=config.SEED, checkpointInterval=10)
     return GBTClassifier(
         featuresCol="features", labelCol=label, maxIter=rounds, **{**settings, **params}
     )
@@ -64,6 +62,7 @@ def fit_models(
     names: Sequence[str] = (config.BASELINE_MODEL, config.CHALLENGER_MODEL),
 ) -> dict[str, PipelineModel]:
     """Named, ordered pipelines from raw columns to probability. Preparation is fitted once."""
+    shared_folder(train.sparkSession)  # boosting checkpoints there
     weighted, rows = balanced_weights(train, label)
     preparation = fit_preparation(train, numeric, categorical).fit(train)
     prepared = preparation.transform(weighted).select(label, _WEIGHT, "features").persist()

@@ -14,6 +14,7 @@ from ..operators.metrics import ranking_metrics
 from ..operators.models import managed_boosting, with_probability
 from ..sources import channels
 from ..sources.tables import write_csv, write_json
+from ..storage import shared_folder
 
 
 def evaluate_scores(labels: DataFrame, scores: DataFrame) -> DataFrame:
@@ -26,6 +27,7 @@ def train_on_channels(
     *, rounds: int = 180, label: str = "label",
 ) -> PipelineModel:
     """Boosting on the train channel; the validation channel decides when to stop."""
+    shared_folder(spark)  # boosting checkpoints there
     train = channels.labeled_channel(spark, folder, "train", features, label)
     validation = channels.labeled_channel(spark, folder, "validation", features, label)
     preparation = fit_preparation(train, numeric, categorical).fit(train)
