@@ -135,6 +135,12 @@ def _long(source: str, columns: dict[str, str]) -> str:
     )
 
 
+NUMERIC = ("o_totalprice", "c_acctbal", "n_items", "qty")
+CATEGORIES = [
+    *(("o_orderpriority", v) for v in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")),
+    *(("c_mktsegment", v) for v in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")),
+    *(("o_orderstatus", v) for v in ("F", "O", "P")),
+]
 DRIFT_COLUMNS = {c: c for c in ("o_totalprice", "c_acctbal", "n_items", "qty", "p")}
 CONSTANTS = {
     "moved": "sample = 'reference'", "unmoved": "sign(o_totalprice)", "two_values": "label",
@@ -324,6 +330,11 @@ SELECT split AS channel, count(*) AS rows, round(avg(label), 6) AS default_rate,
     "channel_roundtrip": f"""WITH {SCORED}, {_split(0.3, True)}
 SELECT split AS channel, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives,
        CAST(sum(n_items) AS BIGINT) AS n_items, round(sum(qty), 6) AS qty FROM split_rows GROUP BY split""",
+    "channel_manifest": f"""WITH {SCORED}, {_split(0.3, True)}, parts AS (
+  SELECT split AS channel, label FROM split_rows
+  UNION ALL SELECT 'test_labels', label FROM split_rows WHERE split = 'transform')
+SELECT channel, count(*) AS rows, round(avg(label), 6) AS default_rate, 2 AS feature_count,
+       'n_items,qty' AS feature_columns, 64 AS digest_length FROM parts GROUP BY channel""",
     "batch_score_evaluation": _EVALUATION,
     "positional_bind": _EVALUATION,
     "normalize_columns": """SELECT o_orderkey AS row_id, o_custkey AS limit_bal, o_totalprice AS bill_amt1,
@@ -343,10 +354,15 @@ SELECT row_id,
        coalesce(size, (SELECT size FROM sizes ORDER BY n DESC, size LIMIT 1)) AS size, o_orderpriority
 FROM gaps""",
     "standardize": f"""WITH {ORDERS}, moments AS (SELECT {', '.join(
-        f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in ('o_totalprice', 'c_acctbal', 'n_items', 'qty'))}
+        f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in NUMERIC)}
   FROM orders_scored)
 SELECT row_id, {', '.join(
-        f'round(({c} - m_{c}) / s_{c}, 6) AS {c}' for c in ('o_totalprice', 'c_acctbal', 'n_items', 'qty'))}
+        f'round(({c} - m_{c}) / s_{c}, 6) AS {c}' for c in NUMERIC)}
+FROM orders_scored, moments""",
+    "prepared_features": f"""WITH {ORDERS}, moments AS (SELECT {', '.join(
+        f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in NUMERIC)} FROM orders_scored)
+SELECT row_id, {', '.join(f'round(({c} - m_{c}) / s_{c}, 6) AS v{i}' for i, c in enumerate(NUMERIC))}, {', '.join(
+        f"CAST({c} = '{v}' AS DOUBLE) AS v{i}" for i, (c, v) in enumerate(CATEGORIES, len(NUMERIC)))}
 FROM orders_scored, moments""",
     "one_hot": f"""WITH {GAPS}
 SELECT row_id, o_orderstatus, size, {', '.join(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -228,12 +229,15 @@ def channel_roundtrip(spark, folder):
 
 @query
 def channel_manifest(spark, folder):
-    """Files, digests, rows and rates of written channels (file names differ per run)."""
+    """Written channels by their manifest; file names and digests differ per run."""
     base = scratch_path(spark, "manifest")
     names = ["n_items", "qty"]
     split = channels.channel_split(_labels(spark, folder, *names))
     channels.write_channels(split, base, names)
-    return channels.manifest(spark, split, base, names)
+    return channels.manifest(spark, split, base, names).groupBy("channel", "rows", "default_rate", "feature_count").agg(
+        F.array_join(F.max("feature_columns"), ",").alias("feature_columns"),
+        F.min(F.length("sha256")).alias("digest_length"),
+    )
 
 
 @query
@@ -339,6 +343,17 @@ def one_hot(spark, folder):
     return features.one_hot(df.drop("n_items"), features.fit_categories(known))
 
 
+@query
+def prepared_features(spark, folder):
+    """The vector the models see: scaled numbers, then one position per category."""
+    df = materialize(orders_scored(spark, folder).select("row_id", *NUMERIC, *CATEGORICAL))
+    prepared = features.fit_preparation(df, NUMERIC, CATEGORICAL).fit(df).transform(df)
+    values = vector_to_array("features")
+    return prepared.select("row_id", F.transform(values, lambda v: F.round(v, 6)).alias("v")).select(
+        "row_id", *[F.col("v")[i].alias(f"v{i}") for i in range(17)]
+    )
+
+
 # Importance
 
 @query

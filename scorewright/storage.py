@@ -57,5 +57,13 @@ def pin(df: DataFrame) -> DataFrame:
 
 
 def small_table(spark: SparkSession, **columns: list) -> DataFrame:
-    """A local relation of a few driver-side rows: joining it needs no job."""
-    return spark.createDataFrame(pa.table(columns))
+    """A local relation of a few driver-side rows: joining it needs no job.
+
+    A column without any value is double.
+    """
+    arrays = {name: pa.array(values) for name, values in columns.items()}
+    typed = {
+        name: array.cast(pa.float64()) if pa.types.is_null(array.type) else array
+        for name, array in arrays.items()
+    }
+    return spark.createDataFrame(pa.table(typed))

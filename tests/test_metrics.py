@@ -76,6 +76,15 @@ def test_missing_scores_are_rejected(spark, bad):
         metrics.classification_metrics(frame(spark, [(0, .4), (1, bad)]))
 
 
+def test_empty_table_and_odd_group_names(spark):
+    empty = frame(spark, [], "label int, p double")
+    row = metrics.classification_metrics(empty).first()
+    assert row.roc_auc is None and row.confusion_matrix == [[0, 0], [0, 0]]
+    df = frame(spark, [(1, .9, "x"), (0, .1, "x"), (0, .3, None), (1, .2, None)], "label int, p double, `a b` string")
+    found = {r["a b"]: r.roc_auc for r in metrics.ranking_metrics(df, ["a b"]).collect()}
+    assert found == {"x": 1.0, None: 0.0}
+
+
 def test_hot_score_and_hot_group(spark):
     rows = [("a", i % 2, 0.25) for i in range(3000)] + [("a", 1, i / 997) for i in range(997)]
     rows += [(f"g{i % 50}", i % 3 == 0, (i % 83) / 83) for i in range(2000)]
