@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import is_missing
+from ..storage import materialize
 
 
 def normalize_name(name: object) -> str:
@@ -42,14 +43,18 @@ def require_columns(df: DataFrame, required: Sequence[str], what: str = "columns
 def bind_features_target(features: DataFrame, target: DataFrame, key: str = config.ROW_ID) -> DataFrame:
     """Attach the target by key. A row without a partner keeps nulls, which validation rejects.
 
-    The target is folded to one row per key first, so that a repeated key
-    cannot multiply rows; a key with differing or repeated targets gets null.
+    The target is folded to one row per key first, so a repeated key cannot
+    multiply rows; a key with several targets gets null. The outer join is a
+    left join, whose hot keys Spark can split, and the targets left over.
     """
     columns = [c for c in target.columns if c != key]
-    once = target.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(c) for c in columns]
-    ).select(key, *[F.when(F.col("_n") == 1, F.col(c)).alias(c) for c in columns])
-    return features.join(once, key, "full_outer")
+    once = materialize(
+        target.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(c) for c in columns])
+        .select(key, *[F.when(F.col("_n") == 1, F.col(c)).alias(c) for c in columns])
+    )
+    left_over = once.join(features.select(key).distinct(), key, "left_anti")
+    return features.join(once, key, "left").unionByName(left_over, allowMissingColumns=True)
 
 
 def partition_columns(

@@ -34,7 +34,8 @@ def test_missing_values_are_rejected(spark):
 def test_rows_without_a_partner_are_rejected(spark):
     features = spark.createDataFrame([(1, 1.0), (2, 2.0)], "row_id long, a double")
     target = spark.createDataFrame([(1, 0), (3, 1)], "row_id long, y int")
-    assert schema.bind_features_target(features, target).count() == 3
+    bound = schema.bind_features_target(features, target)
+    assert sorted(map(tuple, bound.collect())) == [(1, 1.0, 0), (2, 2.0, None), (3, None, 1)]
     with pytest.raises(ValueError, match="missing values"):
         schema.normalize_dataset(features, target)
 
