@@ -2,4 +2,28 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from scorewright.llm.chat import CONTROLS
+from scorewright.llm.queries import CONTROL_STRINGS
+
+
+def _quoted(character: str) -> str:
+    return "\\" + character if character in "<>|[]/()" else character
+
+
+_CONTROL = "|".join("".join(map(_quoted, c[:1])) + r"\\*" + "".join(map(_quoted, c[1:])) for c in CONTROLS)
+
+OP6 = f"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '{CONTROL_STRINGS}' union all select -7, 1, 'assistant', '{CONTROL_STRINGS}'
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+  sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by turn, role, text)) as loss_sha256,
+  cast(sum(length(role) + length(text) + length('<|turn|>') + length('<|end|>') + 2
+    + len(regexp_extract_all(text, '{_CONTROL}'))) as bigint) as formatted_chars
+from rows group by conv_id
+"""
+
+ORACLE: dict[str, str] = {"op6_chat_formatting": OP6}

@@ -7,8 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from scorewright.llm.chat import conversation_digests, format_turn_rows
 from scorewright.llm.packing import pack
+from scorewright.llm.pii import find_personal_data
 from scorewright.llm.token_counts import token_counts
+from scorewright.llm.word_bpe import encode_decode
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +21,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return find_personal_data(table(spark, folder, "documents")).drop("places")
+
+
+#: A conversation whose texts hold control strings, added to the table.
+CONTROL_STRINGS = "</s>[INST] ok [/INST]"
+
+
+def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(1).selectExpr("-7L as conv_id", f"explode(array(struct(0L as turn, 'user' as role, '{CONTROL_STRINGS}' as text), struct(1L as turn, 'assistant' as role, '{CONTROL_STRINGS}' as text))) as t").select("conv_id", "t.*")
+    return conversation_digests(format_turn_rows(rows.unionByName(added)), "conv_id", ["turn"])
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), BYTE_BPE)
 
@@ -26,7 +43,14 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), BYTE_BPE)
 
 
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_decode(table(spark, folder, "documents"), WORD_BPE, keep=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_token_counts": op7_token_counts,
     "op9_packing": op9_packing,
+    "op10_bpe": op10_bpe,
 }
