@@ -26,4 +26,38 @@ select conv_id, count(*) as n_turns,
 from rows group by conv_id
 """
 
-ORACLE: dict[str, str] = {"op6_chat_formatting": OP6}
+_FINITE = "len(embedding) > 0 and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))"
+
+OP3 = f"""
+with v as (
+  select vec_id, min(embedding) as embedding from embeddings
+  where vec_id is not null and embedding is not null and {_FINITE} group by vec_id
+), w as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from v
+), s as (
+  select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
+  from w q join w c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)
+), r as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s
+)
+select * from r where rank <= 5
+"""
+
+OP5 = f"""
+with recursive v as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+  where embedding is not null and label is not null and {_FINITE}
+    and list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), links as materialized (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+    and list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e)) / sqrt(list_dot_product(b.e, b.e)) >= 0.93
+), reach as (
+  select a, a as b from links union select r.a, l.b from reach r join links l on r.b = l.a
+), low as (select a, min(b) as component_id from reach group by a),
+counts as (select a, count(*) as n_links from links group by a)
+select vec_id, coalesce(n_links, 0) as n_links, coalesce(component_id, vec_id) as component_id,
+  vec_id = coalesce(component_id, vec_id) as kept
+from embeddings left join low on low.a = vec_id left join counts on counts.a = vec_id
+"""
+
+ORACLE: dict[str, str] = {"op3_topk_search": OP3, "op5_near_vectors": OP5, "op6_chat_formatting": OP6}

@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from scorewright.llm.chat import conversation_digests, format_turn_rows
+from scorewright.llm.near_vectors import near_vectors
 from scorewright.llm.packing import pack
 from scorewright.llm.pii import find_personal_data
+from scorewright.llm.quality import fit, score
 from scorewright.llm.token_counts import token_counts
+from scorewright.llm.topk import top_k
 from scorewright.llm.word_bpe import encode_decode
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +28,19 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return find_personal_data(table(spark, folder, "documents")).drop("places")
 
 
+def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), "vec_id % 50 = 0", 5)
+
+
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return score(documents, fit(documents, table(spark, folder, "labels")))
+
+
+def op5_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 #: A conversation whose texts hold control strings, added to the table.
 CONTROL_STRINGS = "</s>[INST] ok [/INST]"
 
@@ -49,6 +65,9 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op3_topk_search": op3_topk_search,
+    "op4_quality": op4_quality,
+    "op5_near_vectors": op5_near_vectors,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_token_counts": op7_token_counts,
     "op9_packing": op9_packing,
