@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from scorewright.llm.chat import conversation_digests, format_turn_rows
+from scorewright.llm.near_documents import near_documents
 from scorewright.llm.near_vectors import near_vectors
 from scorewright.llm.packing import pack
 from scorewright.llm.pii import find_personal_data
@@ -28,6 +29,10 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return find_personal_data(table(spark, folder, "documents")).drop("places")
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_documents(table(spark, folder, "documents"))
+
+
 def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"), "vec_id % 50 = 0", 5)
 
@@ -65,6 +70,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_topk_search": op3_topk_search,
     "op4_quality": op4_quality,
     "op5_near_vectors": op5_near_vectors,
