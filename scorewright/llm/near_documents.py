@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from scorewright.llm.batches import map_batches, text_slices
 from scorewright.llm.components import components
+from scorewright.llm.filters import bitmap, marked
 from scorewright.llm.shingles import mixed, set_id, shingle_sets
 from scorewright.storage import materialize
 
@@ -32,8 +33,8 @@ PERCENT = 80
 COUNTED, OFTEN, FREQUENT = 4 << 20, 3, 1 << 18
 #: Largest size that pairs are weighed for; cost of a compared pair in entries of a list; parts of a frequent list.
 LARGEST_SMALL, PAIR_COST, PARTS = 64, 4.0, 16
-#: Bits of the filter that says whose shingles are needed, and classes a task remembers as seen.
-FILTER_BITS, SEEN = 1 << 23, 1 << 20
+#: Classes that a task remembers as seen.
+SEEN = 1 << 20
 
 
 def least_common(n: int) -> int:
@@ -152,8 +153,7 @@ def _needed_sets(filter_bits: np.ndarray):
                 owners, sets = [], []
                 for s in shingle_sets(texts):
                     own = set_id(s)
-                    bit = own % FILTER_BITS
-                    if len(s) < 2 or not filter_bits[bit >> 3] >> (bit & 7) & 1 or own in seen:
+                    if len(s) < 2 or not marked(filter_bits, np.array([own]))[0] or own in seen:
                         continue
                     if len(seen) >= SEEN:
                         seen.clear()
@@ -166,15 +166,6 @@ def _needed_sets(filter_bits: np.ndarray):
     return work
 
 
-def _filter_of(classes: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size in which every class of ``classes`` is marked (others may be too)."""
-    bit = F.pmod(F.col("set_id"), F.lit(FILTER_BITS))
-    words = classes.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 31 as int))")).alias("bits")).toArrow()
-    marks = np.zeros(FILTER_BITS // 32, np.uint32)
-    marks[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
-    return marks.astype("<u4").view(np.uint8)
-
-
 def _may_link(a: str, b: str) -> Column:
     """Whether two entries of a list can be the first common shingle of sets that link."""
     size = lambda x: F.shiftright(F.col(f"{x}.place"), 32)
@@ -235,7 +226,7 @@ def near_documents(documents: DataFrame, *, key: str = "doc_id") -> DataFrame:
 
     def whole_sets(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
-        found = map_batches(texts, _needed_sets(_filter_of(wanted)), "set_id long, shingles array<long>")
+        found = map_batches(texts, _needed_sets(bitmap(wanted, "set_id")), "set_id long, shingles array<long>")
         return materialize(found.join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"]))
 
     compared = materialize(_compared(first, whole_sets(first)))

@@ -13,6 +13,7 @@ from scorewright.llm.near_vectors import near_vectors
 from scorewright.llm.packing import pack
 from scorewright.llm.pii import find_personal_data
 from scorewright.llm.quality import fit, score
+from scorewright.llm.repeated_passages import remove_repeated
 from scorewright.llm.token_counts import token_counts
 from scorewright.llm.topk import top_k
 from scorewright.llm.word_bpe import encode_decode
@@ -60,6 +61,10 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), BYTE_BPE)
 
 
+def op8_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeated(table(spark, folder, "documents"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), BYTE_BPE)
 
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_vectors": op5_near_vectors,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_token_counts": op7_token_counts,
+    "op8_repeated_passages": op8_repeated_passages,
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
 }
