@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorewright.llm.batches import map_batches
+
 #: Bits of a bitmap: its size never depends on the data, only the share of needless rows it lets pass.
 BITS = 1 << 23
 
@@ -22,3 +27,30 @@ def bitmap(keys: DataFrame, column: str) -> np.ndarray:
 def marked(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     at = values % BITS
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def split(df: DataFrame, bits: np.ndarray, column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``column`` (a long, not null) is marked in ``bits``, and the others."""
+
+    def half(wanted: bool):
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+            for batch in batches:
+                kept = batch.filter(pa.array(marked(bits, batch.column(column).to_numpy()) == wanted))
+                yield {c: kept.column(c) for c in kept.schema.names}
+
+        return work
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return map_batches(df, half(True), schema), map_batches(df, half(False), schema)
+
+
+def without(documents: DataFrame, removed: DataFrame, repeated: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows whose key (a long) is not in ``removed``; of equal rows of a key in ``repeated`` one stays.
+
+    Only rows that a bitmap of these keys marks are shuffled. Rows without a key stay.
+    """
+    bits = bitmap(removed.unionByName(repeated).where(F.col(key).isNotNull()), key)
+    named = documents.where(F.col(key).isNotNull())
+    touched, others = split(named, bits, key)
+    touched = touched.join(removed, key, "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
+    return touched.dropDuplicates([key, "text"]).unionByName(others).unionByName(documents.where(F.col(key).isNull()))

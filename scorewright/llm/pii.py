@@ -175,7 +175,7 @@ def find_personal_data(documents: DataFrame, *, key: str = "doc_id", carry: tupl
         if known.isEmpty():
             break
         labelled = materialize(labelled.join(known, "instance", "left").select("pattern", "instance", F.when(F.col("kind") < 0, F.coalesce("found_kind", F.lit(-1))).otherwise(F.col("kind")).alias("kind")))
-    added = (
+    added = materialize(
         places.where("kind < 0").join(labelled.where("kind >= 0").groupBy("instance").agg(F.max("kind").alias("found_kind")), "instance")
         .groupBy("uid").agg(F.collect_list(F.struct(F.col("found_kind").alias("kind"), "start", "end")).alias("added"))
     )

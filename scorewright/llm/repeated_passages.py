@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from scorewright.llm.anchors import LENGTH, roll, runs
 from scorewright.llm.batches import map_batches, text_slices
-from scorewright.llm.filters import bitmap, marked
+from scorewright.llm.filters import bitmap, marked, split
 from scorewright.llm.shingles import mixed
 from scorewright.storage import materialize
 
@@ -235,20 +235,10 @@ def remove_repeated(documents: DataFrame, *, key: str = "doc_id", carry: tuple[s
     rows = documents.select(*columns, *["text"] * ("text" not in columns)).withColumn("own", F.xxhash64(F.coalesce("text", F.lit(""))))
     found = repeated_spans(rows.where("octet_length(text) >= 200").select("own", "text"), batches=batches)
     bits = bitmap(found, "own")
-    all_fields = {**fields, "own": "bigint"}
     names = [*dict.fromkeys([*columns, "text", "own"])]
-    schema = ", ".join(f"`{c}` {all_fields[c]}" for c in names)
-
-    def split(wanted: bool):
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-            for batch in batches:
-                kept = batch.filter(pa.array(marked(bits, batch.column("own").to_numpy()) == wanted))
-                yield {c: kept.column(c) for c in names}
-
-        return work
-
-    touched = map_batches(rows.select(*names), split(True), schema).join(found, "own", "left")
-    others = map_batches(rows.select(*names), split(False), schema).withColumn("spans", F.lit(None).cast(_SPANS))
+    touched, others = split(rows.select(*names), bits, "own")
+    touched = touched.join(found, "own", "left")
+    others = others.withColumn("spans", F.lit(None).cast(_SPANS))
     out = ", ".join(f"`{c}` {fields[c]}" for c in columns) + ", n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
     removed = map_batches(touched.select(*names, "spans").unionByName(others.select(*names, "spans")), _removed(columns, digest), out)
     return removed.drop("kept" if digest else "kept_sha256")
