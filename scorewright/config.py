@@ -12,6 +12,7 @@ FEATURE_COLUMNS = (
     "bill_amt1", "bill_amt2", "bill_amt3", "bill_amt4", "bill_amt5", "bill_amt6",
     "pay_amt1", "pay_amt2", "pay_amt3", "pay_amt4", "pay_amt5", "pay_amt6",
 )
+# Names of the target, of categorical, monitored and slice columns.
 TARGET = "default_next_month"
 TARGET_ALIASES = ("default_payment_next_month", "y")
 CATEGORICAL_COLUMNS = (
@@ -44,8 +45,6 @@ ROW_ID = "row_id"
 # A window over at most this many rows runs as one task; more rows are split
 # by range first (operators/running.py).
 ROWS_PER_TASK = 1_000_000
-# A counted table of at most this many narrow rows may be broadcast.
-BROADCAST_ROWS = 1_000_000
 
 
 # The default promotion policy and its rollback text.

@@ -30,16 +30,16 @@ def sql_text(x: str) -> str:
 
 def decision(p: str, threshold: float = config.DECISION_THRESHOLD) -> Column:
     """1 from the threshold up. Spark orders NaN above every number, hence the guard."""
-    return F.expr(f"cast({p} >= {sql_number(threshold)} and not isnan({p}) as int)")
+    return F.expr(f"cast(`{p}` >= {sql_number(threshold)} and not isnan(`{p}`) as int)")
 
 
 def risk_band(p: str) -> Column:
     """Left-closed bands: low, review, high. NaN and null belong to no band."""
     low, review, high = config.BANDS
     return F.expr(
-        f"case when {p} is null or isnan({p}) then null"
-        f" when {p} < {sql_number(config.REVIEW_FROM)} then '{low}'"
-        f" when {p} < {sql_number(config.HIGH_FROM)} then '{review}' else '{high}' end"
+        f"case when `{p}` is null or isnan(`{p}`) then null"
+        f" when `{p}` < {sql_number(config.REVIEW_FROM)} then '{low}'"
+        f" when `{p}` < {sql_number(config.HIGH_FROM)} then '{review}' else '{high}' end"
     )
 
 
@@ -50,8 +50,8 @@ def unit_edges(bins: int = config.CALIBRATION_BINS) -> list[float]:
 
 def calibration_bin(p: str, bins: int = config.CALIBRATION_BINS) -> Column:
     """Right-closed bin 1..bins; the lowest edge belongs to bin 1; null outside [0, 1]."""
-    above = " + ".join(f"int({p} > {sql_number(e)})" for e in unit_edges(bins)[1:-1])
-    return F.expr(f"case when {p} between 0D and 1D then 1 + {above} end")
+    above = " + ".join(f"int(`{p}` > {sql_number(e)})" for e in unit_edges(bins)[1:-1])
+    return F.expr(f"case when `{p}` between 0D and 1D then 1 + {above} end")
 
 
 def calibration_label(bin_index: str, bins: int = config.CALIBRATION_BINS) -> Column:
@@ -91,10 +91,15 @@ def snake_case(c: Column | str) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(_col(c), "[^a-zA-Z0-9]+", "_"), "^_|_$", ""))
 
 
-def slice_value(c: Column | str) -> Column:
+def known_text(c: str, data_type: str) -> str:
+    """SQL: a category as text; null where it is null, or NaN in a floating-point column."""
+    value = f"nanvl(`{c}`, cast(null as {data_type}))" if data_type in ("double", "float") else f"`{c}`"
+    return f"cast({value} as string)"
+
+
+def slice_value(c: str, data_type: str) -> Column:
     """A group value as text; missing values form the group ``nan``."""
-    text = _col(c).cast("string")
-    return F.when(text.isNull() | (text == "NaN"), "nan").otherwise(text)
+    return F.coalesce(F.expr(known_text(c, data_type)), F.lit("nan"))
 
 
 def utc_stamp(ts: Column | None = None) -> Column:

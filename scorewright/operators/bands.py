@@ -12,17 +12,17 @@ from ..functions import calibration_bin, calibration_label, risk_band
 def _rates(label: str, p: str) -> list:
     return [
         F.expr("count(*)").alias("clients"),
-        F.expr(f"round(avg({label}), 6)").alias("observed_default_rate"),
-        F.expr(f"round(avg({p}), 6)").alias("average_probability"),
+        F.expr(f"round(avg(`{label}`), 6)").alias("observed_default_rate"),
+        F.expr(f"round(avg(`{p}`), 6)").alias("average_probability"),
     ]
 
 
 def scored_summary(scored: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
     return scored.agg(
         F.expr("count(*)").alias("scored_rows"),
-        F.expr(f"sum(cast({label} as bigint))").alias("observed_defaults"),
-        F.expr(f"round(avg({label}), 6)").alias("default_rate"),
-        F.expr(f"round(avg({p}), 6)").alias("average_probability"),
+        F.expr(f"sum(cast(`{label}` as bigint))").alias("observed_defaults"),
+        F.expr(f"round(avg(`{label}`), 6)").alias("default_rate"),
+        F.expr(f"round(avg(`{p}`), 6)").alias("average_probability"),
     )
 
 
@@ -51,3 +51,27 @@ def calibration_bins(scored: DataFrame, label: str = "label", p: str = "p") -> D
         .coalesce(1).sortWithinPartitions("bin_index")  # at most ten rows
         .withColumn("bin", calibration_label("bin_index"))
     )
+
+
+def band_cells(scored: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
+    """Rows, positives and summed scores per band and calibration bin: all that the report tables need."""
+    return scored.groupBy(risk_band(p).alias("band"), calibration_bin(p).alias("bin_index")).agg(
+        F.expr("count(*)").alias("n"), F.expr(f"sum(cast(`{label}` as bigint))").alias("pos"), F.expr(f"sum(`{p}`)").alias("total")
+    )
+
+
+def report_tables(cells: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Summary, risk bands and calibration bins from the few rows of :func:`band_cells`."""
+    rates = [
+        F.sum("n").alias("clients"),
+        F.expr("round(sum(pos) / sum(n), 6)").alias("observed_default_rate"),
+        F.expr("round(sum(total) / sum(n), 6)").alias("average_probability"),
+    ]
+    summary = cells.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("scored_rows"), F.sum("pos").alias("observed_defaults"),
+        F.expr("round(sum(pos) / sum(n), 6)").alias("default_rate"), F.expr("round(sum(total) / sum(n), 6)").alias("average_probability"),
+    )
+    names = cells.sparkSession.createDataFrame([(b,) for b in config.BANDS], "band string")
+    banded = names.join(cells.groupBy("band").agg(*rates), "band", "left").na.fill(0)
+    binned = cells.filter("bin_index is not null").groupBy("bin_index").agg(*rates)
+    return summary, banded, binned.withColumn("bin", calibration_label("bin_index"))

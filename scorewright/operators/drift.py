@@ -14,8 +14,6 @@ from ..storage import small_table
 from .quantiles import column_quantiles, long_values
 from .slices import present
 
-_EMPTY = "reference and current samples must not be empty"
-
 
 def tag_samples(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Both samples in one table; ``is_reference`` tells them apart."""
@@ -39,8 +37,9 @@ def stability_index(
     count the bins. No value of the table is shuffled but those in brackets.
     """
     found = column_quantiles(df, columns, bins, is_reference, **options)
-    if any(not q.rows or not q.others for q in found.values()):
-        raise ValueError(_EMPTY)
+    sizes = next(iter(found.values()))
+    if not sizes.rows or not sizes.others:
+        raise ValueError(f"drift needs two samples with rows; reference has {sizes.rows}, current {sizes.others}")
     # Inner edges of each column's bins, left-closed and open at both ends.
     # Repeated edges count once; NaN fills up, as no value is above it.
     edges = {c: sorted(set(q.edges)) for c, q in found.items()}

@@ -10,11 +10,15 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_missing, sql_number, sql_text
+from ..functions import is_missing, known_text, sql_number, sql_text
 from ..storage import materialize
 from .quantiles import column_quantiles, modes, text_counts
 
 
+# Columns that one-hot encoding may add.
+WIDEST_ENCODING = 10_000
+
+
 @dataclass(frozen=True)
 class FillValues:
     """What replaces missing values: one number or text per column."""
@@ -44,8 +48,15 @@ def fit_fill_values(
     return FillValues(medians, frequent)
 
 
-def fit_categories(counts: DataFrame) -> dict[str, list[str]]:
-    """Known texts per column of ``text_counts``, in order. Each becomes a column of the encoding."""
+def fit_categories(counts: DataFrame, widest: int = WIDEST_ENCODING) -> dict[str, list[str]]:
+    """Known texts per column of ``text_counts``, in order. Each becomes a column of the encoding.
+
+    All columns together may have ``widest`` texts: a free text among the
+    categories is refused before anything reaches the driver.
+    """
+    width = counts.count()
+    if width > widest:
+        raise ValueError(f"{width} distinct categories would become columns; at most {widest} are allowed")
     categories: dict[str, list[str]] = {}
     for row in counts.select("feature", "text").collect():
         categories.setdefault(row.feature, []).append(row.text)
@@ -55,11 +66,12 @@ def fit_categories(counts: DataFrame) -> dict[str, list[str]]:
 def impute(df: DataFrame, fill: FillValues) -> DataFrame:
     """Numeric columns become double, categorical ones text, none with missing values."""
     filled: dict[str, Column] = {}
+    types = dict(df.dtypes)
     for c, value in fill.medians.items():
         number = F.col(c).cast("double")
         filled[c] = F.when(is_missing(number), F.lit(value)).otherwise(number)
     for c, value in fill.modes.items():
-        filled[c] = F.coalesce(F.col(c).cast("string"), F.lit(value))
+        filled[c] = F.coalesce(F.expr(known_text(c, types[c])), F.lit(value))
     return df.withColumns(filled)
 
 
@@ -78,10 +90,11 @@ def standardize(df: DataFrame, scale: dict[str, tuple[float, float]]) -> DataFra
 
 def one_hot(df: DataFrame, categories: dict[str, list[str]]) -> DataFrame:
     """0/1 columns ``<column>_<value>``; an unknown or missing value has zeros everywhere."""
+    types = dict(df.dtypes)
     return df.select(
         "*",
         *[
-            F.coalesce((F.col(c).cast("string") == v).cast("int"), F.lit(0)).alias(f"{c}_{v}")
+            F.coalesce((F.expr(known_text(c, types[c])) == v).cast("int"), F.lit(0)).alias(f"{c}_{v}")
             for c, values in categories.items() for v in values
         ],
     )
@@ -99,12 +112,13 @@ def fit_preparation(df: DataFrame, numeric: Sequence[str], categorical: Sequence
     categories = fit_categories(counts) if categorical else {}
     scale = fit_scale(impute(df.select(*numeric), FillValues(fill.medians)), numeric) if numeric else {}
     expressions = []
+    types = dict(df.dtypes)
     for c in numeric:
         mean, deviation = scale[c]
         known = f"coalesce(nanvl(cast(`{c}` as double), cast(null as double)), {sql_number(fill.medians[c])})"
         expressions.append(f"({known} - {sql_number(mean)}) / {sql_number(deviation)} as `{c}__scaled`")
     for c in categorical:
-        expressions.append(f"coalesce(cast(`{c}` as string), {sql_text(fill.modes[c])}) as `{c}__text`")
+        expressions.append(f"coalesce({known_text(c, types[c])}, {sql_text(fill.modes[c])}) as `{c}__text`")
     stages = [SQLTransformer(statement=f"select *, {', '.join(expressions)} from __THIS__")]
     inputs = [f"{c}__scaled" for c in numeric]
     if categorical:

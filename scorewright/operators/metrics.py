@@ -55,7 +55,15 @@ def score_table(
     Partial aggregation folds hot groups and tied scores before the shuffle.
     """
     return scored.groupBy(*by, F.col(p).alias("p")).agg(
-        F.expr("count(*)").alias("n"), F.expr(f"sum(cast({label} as bigint))").alias("pos")
+        F.expr("count(*)").alias("n"), F.expr(f"sum(cast(`{label}` as bigint))").alias("pos")
+    )
+
+
+def _one_per_row(scored: DataFrame, by: Sequence[str], label: str, p: str) -> DataFrame:
+    """Rows as a score table of single rows, so that counts need no shuffle by score. Missing scores are refused."""
+    checked = f"if(`{p}` is null or isnan(`{p}`), cast(raise_error('Scores must not be missing') as double), `{p}`)"
+    return scored.select(
+        *by, F.expr(checked).alias("p"), F.lit(1).cast("long").alias("n"), F.expr(f"cast(`{label}` as bigint)").alias("pos")
     )
 
 
@@ -72,13 +80,15 @@ def confusion_matrix(scored: DataFrame, label: str = "label", p: str = "p") -> D
     m = confusion_counts()
     cells = [(0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp")]
     rows = ", ".join(f"struct({y} as actual, {d} as predicted, {m[c]} as rows)" for y, d, c in cells)
-    return score_table(scored, (), label, p).agg(F.expr(f"array({rows})").alias("cells")).select(F.inline("cells"))
+    counted = _one_per_row(scored, (), label, p).agg(F.expr(f"array({rows})").alias("cells"))
+    return counted.select(F.inline("cells"))
 
 
 def threshold_metrics(
     scored: DataFrame, by: Sequence[str] = (), label: str = "label", p: str = "p"
 ) -> DataFrame:
-    return score_table(scored, by, label, p).groupBy(*by).agg(*_rounded(threshold_expressions()))
+    """precision, recall, F1 and Brier score per group, from one pass without a shuffle by score."""
+    return _one_per_row(scored, by, label, p).groupBy(*by).agg(*_rounded(threshold_expressions()))
 
 
 def ranking_metrics(

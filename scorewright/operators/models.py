@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..storage import shared_folder
+from ..storage import materialize, shared_folder
 from .features import fit_preparation
 
 _WEIGHT = "_class_weight"
 
+# Rows that a task of a fit should hold at least.
+ROWS_PER_FIT_TASK = 50_000
+
 
 def logistic_regression(rows: int, label: str = "label") -> LogisticRegression:
     """Class-balanced, ridge penalty 1 on the summed loss (MLlib averages it, hence 1 / rows)."""
@@ -33,15 +36,44 @@ def gradient_boosting(label: str = "label", rounds: int = 180, **params) -> GBTC
     )
 
 
-def managed_boosting(label: str = "label", rounds: int = 180, **params) -> GBTClassifier:
-    """The configuration of the batch flow: row and column sampling, stops on the validation channel."""
-    settings = dict(
-        subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=5,
-        validationIndicatorCol="is_validation", validationTol=0.001,
-    )
+def managed_boosting(label: str = "label", rounds: int = 180, early_stop: bool = False, **params) -> GBTClassifier:
+    """The configuration of the batch flow: row and column sampling, all rounds.
+
+    ``early_stop`` ends when rows marked ``is_validation`` gain no more.
+    """
+    settings = dict(subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=5)
+    if early_stop:
+        settings |= dict(validationIndicatorCol="is_validation", validationTol=0.001)
     return gradient_boosting(label, rounds, **{**settings, **params})
 
 
+def in_tasks(df: DataFrame, rows: int, per_task: int = ROWS_PER_FIT_TASK) -> DataFrame:
+    """``df`` in no more partitions than its rows need; boosting runs a job per level of every tree."""
+    return df.coalesce(max(1, -(-rows // per_task)))
+
+
+def tree_count(model: PipelineModel) -> int:
+    """Trees of a fitted boosting pipeline."""
+    return model.stages[-1].getNumTrees
+
+
+def penalised_gradient(model: PipelineModel, weighted: DataFrame, rows: int, label: str = "label") -> DataFrame:
+    """``term``, ``gradient``: the logistic objective's slope at the solution, per row.
+
+    Terms are the positions of the coefficients and -1 for the intercept. At
+    the optimum every slope is zero.
+    """
+    fitted = model.stages[-1]
+    penalty = [0.0, *[fitted.getRegParam() * float(b) for b in fitted.coefficients]]
+    pull = F.col(_WEIGHT) * (vector_to_array("probability")[1] - F.col(label))
+    terms = F.concat(F.array(F.lit(1.0)), vector_to_array("features"))
+    slopes = (
+        model.transform(weighted).select(pull.alias("pull"), F.posexplode(terms).alias("term", "x"))
+        .groupBy("term").agg((F.sum(F.col("pull") * F.col("x")) / rows).alias("slope"))
+    )
+    return slopes.select((F.col("term") - 1).alias("term"), (F.col("slope") + F.get(F.array(*map(F.lit, penalty)), F.col("term"))).alias("gradient"))
+
+
 def balanced_weights(train: DataFrame, label: str = "label") -> tuple[DataFrame, int]:
     """Add rows / (2 * rows of the class) as a weight; also the row count."""
     counts = train.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos")).first()
@@ -65,17 +97,12 @@ def fit_models(
     shared_folder(train.sparkSession)  # boosting checkpoints there
     weighted, rows = balanced_weights(train, label)
     preparation = fit_preparation(train, numeric, categorical).fit(train)
-    prepared = preparation.transform(weighted).select(label, _WEIGHT, "features").persist()
+    prepared = in_tasks(materialize(preparation.transform(weighted).select(label, _WEIGHT, "features")), rows)
     estimators: dict[str, Estimator] = {
         config.BASELINE_MODEL: logistic_regression(rows, label),
         config.CHALLENGER_MODEL: gradient_boosting(label, rounds),
     }
-    try:
-        return {
-            name: PipelineModel(stages=[preparation, estimators[name].fit(prepared)]) for name in names
-        }
-    finally:
-        prepared.unpersist()
+    return {name: PipelineModel(stages=[preparation, estimators[name].fit(prepared)]) for name in names}
 
 
 def with_probability(model: PipelineModel, df: DataFrame, p: str = "p") -> DataFrame:

@@ -23,26 +23,27 @@ def permutation_importance(
     key: str = config.ROW_ID,
     repeats: int = config.PERMUTATION_REPEATS,
     seed: int = config.SEED,
-    digits: int | None = None,
+    per_column: bool = False,
     **options,
 ) -> DataFrame:
     """Loss of average precision when one raw column is shuffled, mean over repeats.
 
     ``score`` adds a column ``p`` to a table with ``columns``. All features use
     the same shuffle within a repeat, so each row meets one donor row per
-    repeat, whatever the number of features. The unshuffled baseline is scored
-    along with the rest.
+    repeat, whatever the number of features; ``per_column`` shuffles every
+    feature on its own instead. The unshuffled baseline is scored along with
+    the rest.
     """
     columns = list(columns)
     donors = seeded_donors(
         test.select(key, label, *columns), columns,
-        repeats=repeats, key=key, seed=seed, digits=digits,
+        repeats=repeats, key=key, seed=seed, per_column=per_column,
     )
     shuffled = F.array(*[F.lit(c) for c in columns])
-    with_baseline = F.array(F.lit(_NONE), *[F.lit(c) for c in columns])
-    variants = donors.withColumn(
-        "feature", F.explode(F.when(F.col("repeat") == 1, with_baseline).otherwise(shuffled))
-    ).select(
+    own = F.array("shuffled") if per_column else shuffled
+    opens = (F.col("repeat") == 1) & ((F.col("shuffled") == columns[0]) if per_column else F.lit(True))
+    features = F.when(opens, F.concat(F.array(F.lit(_NONE)), own)).otherwise(own)
+    variants = donors.withColumn("feature", F.explode(features)).select(
         key, label, "feature", "repeat",
         *[F.when(F.col("feature") == c, F.col("donor")[c]).otherwise(F.col(c)).alias(c) for c in columns],
     )

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import sql_number, sql_text
+from ..functions import known_text, sql_number, sql_text
 from ..storage import small_table
 from .running import running_totals
 
@@ -46,9 +46,11 @@ class ColumnQuantiles:
 
 
 def long_values(df: DataFrame, columns: Sequence[str], data_type: str = "double", keep: Sequence[str] = ()) -> DataFrame:
-    """One row per input row and column: ``feature`` and ``value``; NaN becomes null."""
-    as_type = "nanvl(cast(`{}` as double), cast(null as double))" if data_type == "double" else f"cast(`{{}}` as {data_type})"
-    cells = ", ".join(f"{sql_text(c)}, {as_type.format(c)}" for c in columns)
+    """One row per input row and column: ``feature`` and ``value``, a double or else a string; NaN becomes null."""
+    types = dict(df.dtypes)
+    number = "nanvl(cast(`{}` as double), cast(null as double))"
+    as_type = {c: number.format(c) if data_type == "double" else known_text(c, types[c]) for c in columns}
+    cells = ", ".join(f"{sql_text(c)}, {as_type[c]}" for c in columns)
     return df.select(*keep, F.expr(f"stack({len(columns)}, {cells})").alias("feature", "value"))
 
 

@@ -1,9 +1,9 @@
 """Running totals over a table of any size.
 
-A window with few partitions is a window with few tasks. The table is written
-out range-partitioned on its order. A small one is then summed by one window.
-In a larger one each range is summed on its own, opened with the totals of the
-ranges before it. The results are the same.
+A window with few partitions is a window with few tasks. So the table is
+written out range-partitioned on its order, in ranges of a bounded number of
+rows; each range is summed on its own, opened with the totals of the ranges
+before it.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..storage import materialize_checked
+from ..storage import materialize, materialize_checked
 
 _RANGE, _OPENING = "_range", "_opening"
 
@@ -38,19 +38,15 @@ def running_totals(
     """
     by = list(by)
     order_by = F.desc(order) if descending else F.asc(order)
+    counted, seen = materialize_checked(table, rejected=f"count_if({reject[0]})")
+    if seen["rejected"]:
+        raise ValueError(reject[1])
+    ranges = max(table.sparkSession.sparkContext.defaultParallelism, -(-seen["rows"] // rows_per_task))
     # The range number is written with the rows: it must not change between the
     # reads below, even when a lost executor makes Spark redo a task.
-    ranged, seen = materialize_checked(
-        table.repartitionByRange(*by, order_by).withColumn(_RANGE, F.spark_partition_id()),
-        rejected=f"count_if({reject[0]})",
+    ranged = materialize(
+        counted.repartitionByRange(ranges, *by, order_by).withColumn(_RANGE, F.spark_partition_id())
     )
-    if seen["rejected"]:
-        raise ValueError(reject[1])
-    if seen["rows"] <= rows_per_task:
-        window = _upto(by, order_by)
-        return ranged.select(
-            *table.columns, *[F.sum(m).over(window).alias(f"{m}_upto") for m in measures]
-        )
 
     # One row per range and group: ranges are contiguous, so there are at most
     # (ranges + groups) of them, and at most (ranges) in one group.

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import seeded_hash
-from ..storage import pin
+from ..storage import materialize, pin
 
 Counts = dict[int, int]
 
 # A hash cell is the first hex digits of the hash: 16**4 cells of equal size.
 _CELL_DIGITS = 4
-_ROWS_PER_SHUFFLE_CELL = 50_000
+# A cell of a cut that holds more rows is divided further before it is ranked.
+_ROWS_PER_CELL = 50_000
 
 
 def allocate(counts: Counts, draws: int) -> Counts:
@@ -57,7 +58,8 @@ def stratified_split(
     Only the cut points are computed: a histogram of hash cells finds the cell
     a cut falls in, and only that cell's rows are ranked. The rows themselves
     are then labelled by comparing them to the cuts, without a shuffle. ``key``
-    must be unique.
+    must be unique and ``label`` 0 or 1; a repeated key is noticed only at a
+    cut, elsewhere its rows go to the same part.
     """
     order = seeded_hash(seed, key)
     keyed = df.select(
@@ -66,6 +68,9 @@ def stratified_split(
     )
     # At most 16**4 rows per class.
     cells = pin(keyed.groupBy("c", "cell").agg(F.count(F.lit(1)).alias("n")))
+    strange = cells.filter(F.col("c").isNull() | ~F.col("c").cast("double").isin(0.0, 1.0)).agg(F.sum("n")).first()[0]
+    if strange:
+        raise ValueError(f"{label} must be 0 or 1 to be split by class; {strange} rows hold something else")
     classes = {row[0]: row[1] for row in cells.groupBy("c").agg(F.sum("n")).collect()}
     parts = sizes(classes)
     names = list(parts)
@@ -94,17 +99,27 @@ def _cut_points(keyed: DataFrame, cells: DataFrame, targets: list, key: str) ->
     wanted = keyed.sparkSession.createDataFrame(
         [t for t in targets if t[2] > 0], f"c {label_type}, part string, rank bigint"
     )
-    upto = F.sum("n").over(Window.partitionBy("c").orderBy("cell"))
-    cells = cells.withColumn("upto", upto)
-    crossing = (
-        cells.join(F.broadcast(wanted), "c")
-        .filter((F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
-        .select("c", "cell", "part", (F.col("rank") - (F.col("upto") - F.col("n"))).alias("rank"))
-    )
+    keyed = keyed.drop("cell")
+    cells = cells.join(F.broadcast(wanted), "c")  # one row per class and cut
+    digits = _CELL_DIGITS
+    while True:
+        upto = F.sum("n").over(Window.partitionBy("c", "part").orderBy("cell"))
+        crossing = pin(
+            cells.withColumn("upto", upto)
+            .filter((F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
+            .select("c", "cell", "part", (F.col("rank") - (F.col("upto") - F.col("n"))).alias("rank"), "n")
+        )
+        largest = crossing.agg(F.max("n")).first()[0] or 0
+        inside = keyed.withColumn("cell", F.substring("h", 1, digits)).join(F.broadcast(crossing.drop("n")), ["c", "cell"])
+        if largest <= _ROWS_PER_CELL or digits >= 28:
+            break
+        digits += _CELL_DIGITS
+        cells = pin(
+            inside.withColumn("cell", F.substring("h", 1, digits)).groupBy("c", "part", "rank", "cell").agg(F.count(F.lit(1)).alias("n"))
+        )
     in_cell = Window.partitionBy("c", "part").orderBy("h", "k")
     found = (
-        keyed.join(F.broadcast(crossing), ["c", "cell"])  # one row per class and cut
-        .withColumn("row", F.row_number().over(in_cell))
+        inside.withColumn("row", F.row_number().over(in_cell))
         .withColumn("next_k", F.lead("k").over(in_cell))
         .filter(F.col("row") == F.col("rank"))
         .select("c", "part", "h", "k", "next_k").collect()  # one row per class and cut
@@ -114,11 +129,6 @@ def _cut_points(keyed: DataFrame, cells: DataFrame, targets: list, key: str) ->
     return {(row.c, row.part): (row.h, row.k) for row in found}
 
 
-def shuffle_digits(rows: int) -> int:
-    """Hex digits that split ``rows`` into cells one task can sort."""
-    return max(0, math.ceil(math.log(max(1, rows / _ROWS_PER_SHUFFLE_CELL), 16)))
-
-
 def seeded_donors(
     df: DataFrame,
     columns: Sequence[str],
@@ -126,22 +136,36 @@ def seeded_donors(
     repeats: int = config.PERMUTATION_REPEATS,
     key: str = config.ROW_ID,
     seed: int = config.SEED,
-    digits: int | None = None,
+    per_column: bool = False,
+    rows_per_task: int = config.ROWS_PER_TASK,
 ) -> DataFrame:
     """Add ``repeat`` and ``donor``: another row's ``columns``, each row donating once.
 
-    Per repeat, the rows of a random cell are put in seeded random order, and
-    each takes the values of the row before it; the first takes the last's. So
-    it is a permutation of the rows, found with one shuffle and no row numbers.
+    Per repeat all rows stand in one seeded random order, and each takes the
+    values of the row before it; the first takes the last's. A new row changes
+    the donor of one old row only. With ``per_column`` every column has an
+    order of its own: rows are repeated per column, named in ``shuffled``.
+
+    The order is cut into ranges of a bounded number of rows; the first row of
+    a range looks up the last row of the range before.
     """
-    if digits is None:
-        digits = shuffle_digits(df.count())
-    repeated = df.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats)))).withColumn(
-        "_h", seeded_hash(F.concat_ws(":", F.lit(str(seed)), F.col("repeat").cast("string")), key)
-    )
-    cell = ["repeat", F.substring("_h", 1, digits)] if digits else ["repeat"]
-    ordered = Window.partitionBy(*cell).orderBy("_h", key)
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    order = [F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat")]
+    repeated = df.select("*", *order)
+    cycle, salt = ["repeat"], [F.lit(str(seed)), F.col("repeat").cast("string")]
+    if per_column:
+        repeated = repeated.withColumn("shuffled", F.explode(F.array(*[F.lit(c) for c in columns])))
+        cycle, salt = [*cycle, "shuffled"], [*salt, F.col("shuffled")]
+    hashed = materialize(repeated.withColumn("_h", seeded_hash(F.concat_ws(":", *salt), key)))
+    ranges = max(df.sparkSession.sparkContext.defaultParallelism, -(-hashed.count() // rows_per_task))
+    ranged = materialize(hashed.repartitionByRange(ranges, *cycle, "_h", key).withColumn("_range", F.spark_partition_id()))
+
     values = F.struct(*columns)
-    donor = F.coalesce(F.lag(values).over(ordered), F.last(values).over(whole))
-    return repeated.withColumn("donor", donor).drop("_h")
+    # One row per range and cycle.
+    last = ranged.groupBy(*cycle, "_range").agg(F.max_by(values, F.struct("_h", key)).alias("_last"))
+    along = Window.partitionBy(*cycle).orderBy("_range")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = last.select(*cycle, "_range", F.coalesce(F.lag("_last").over(along), F.last("_last").over(whole)).alias("_before"))
+    inside = Window.partitionBy(*cycle, "_range").orderBy("_h", key)
+    donors = ranged.withColumn("_lag", F.lag(values).over(inside)).join(before, [*cycle, "_range"])
+    found = donors.withColumn("donor", F.coalesce("_lag", "_before"))
+    return found.select(*df.columns, *cycle, "donor")

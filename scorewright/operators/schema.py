@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import is_missing
-from ..storage import materialize
 
 
 def normalize_name(name: object) -> str:
@@ -29,7 +28,8 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     names = [normalize_name(c) for c in df.columns]
     duplicates = sorted({n for n in names if names.count(n) > 1})
     if duplicates:
-        raise ValueError(f"Duplicate normalized columns: {duplicates}")
+        given = [c for c, n in zip(df.columns, names) if n in duplicates]
+        raise ValueError(f"several columns {given} would share the names {duplicates}")
     return df.toDF(*names)
 
 
@@ -44,17 +44,16 @@ def bind_features_target(features: DataFrame, target: DataFrame, key: str = conf
     """Attach the target by key. A row without a partner keeps nulls, which validation rejects.
 
     The target is folded to one row per key first, so a repeated key cannot
-    multiply rows; a key with several targets gets null. The outer join is a
-    left join, whose hot keys Spark can split, and the targets left over.
+    multiply rows; a key with several targets gets null. One full outer join
+    on the key follows, on the partitioning of that fold.
     """
     columns = [c for c in target.columns if c != key]
-    once = materialize(
+    once = (
         target.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(c) for c in columns])
         .select(key, *[F.when(F.col("_n") == 1, F.col(c)).alias(c) for c in columns])
     )
-    left_over = once.join(features.select(key).distinct(), key, "left_anti")
-    return features.join(once, key, "left").unionByName(left_over, allowMissingColumns=True)
+    return features.join(once, key, "full_outer")
 
 
 def partition_columns(
@@ -99,13 +98,14 @@ def require_valid(df: DataFrame, target: str = config.TARGET) -> DataFrame:
     """Raise on the first kind of fault found, else return ``df`` with an integer target."""
     require_columns(df, [target], "target column")
     report = validation_report(df, target).collect()  # one row per column
-    if any(row.bad_cast for row in report):
-        raise ValueError("Target must be numeric")
-    if any(row.bad_domain for row in report):
-        raise ValueError("Target must contain only 0 and 1")
-    missing = [row.column for row in report if row.nulls]
+    faults = {row.column: row for row in report}
+    if faults[target].bad_cast:
+        raise ValueError(f"{faults[target].bad_cast} values of {target} are no numbers")
+    if faults[target].bad_domain:
+        raise ValueError(f"{faults[target].bad_domain} values of {target} are neither 0 nor 1")
+    missing = {row.column: row.nulls for row in report if row.nulls}
     if missing:
-        raise ValueError(f"Dataset contains missing values in: {missing}")
+        raise ValueError(f"rows with missing values, by column: {missing}")
     return df.withColumn(target, F.col(target).cast("double").cast("tinyint"))
 
 

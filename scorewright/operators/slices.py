@@ -31,9 +31,10 @@ def slice_performance(
                 " observed_default_rate double, predicted_default_rate double, pr_auc double"
         )
     by = ["slice_column", "value"]
+    types = dict(scored.dtypes)
     long = scored.select(
         F.col(label).alias("label"), F.col(p).alias("p"),
-        *[slice_value(c).alias(c) for c in columns],
+        *[slice_value(c, types[c]).alias(c) for c in columns],
     ).unpivot(["label", "p"], columns, *by)
     ranked = ranked_scores(score_table(long, by), by, **options)
     return ranked.groupBy(*by).agg(

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from .. import config
 from ..operators.features import fit_preparation
 from ..operators.metrics import ranking_metrics
-from ..operators.models import managed_boosting, with_probability
+from ..operators.models import in_tasks, managed_boosting, with_probability
 from ..sources import channels
-from ..sources.tables import write_csv, write_json
-from ..storage import shared_folder
+from ..sources.tables import strict_csv, write_csv, write_json
+from ..storage import materialize, shared_folder
 
 
 def evaluate_scores(labels: DataFrame, scores: DataFrame) -> DataFrame:
@@ -24,21 +24,18 @@ def evaluate_scores(labels: DataFrame, scores: DataFrame) -> DataFrame:
 
 def train_on_channels(
     spark, folder: str, features: str, numeric: Sequence[str], categorical: Sequence[str],
-    *, rounds: int = 180, label: str = "label",
+    *, rounds: int = 180, label: str = "label", early_stop: bool = False,
 ) -> PipelineModel:
-    """Boosting on the train channel; the validation channel decides when to stop."""
+    """Boosting on the train channel for all rounds; with ``early_stop`` the validation channel may end it."""
     shared_folder(spark)  # boosting checkpoints there
     train = channels.labeled_channel(spark, folder, "train", features, label)
-    validation = channels.labeled_channel(spark, folder, "validation", features, label)
     preparation = fit_preparation(train, numeric, categorical).fit(train)
-    both = train.withColumn("is_validation", F.lit(False)).union(
-        validation.withColumn("is_validation", F.lit(True))
-    )
-    prepared = preparation.transform(both).select(label, "is_validation", "features").persist()
-    try:
-        booster = managed_boosting(label, rounds).fit(prepared)
-    finally:
-        prepared.unpersist()
+    rows = train.withColumn("is_validation", F.lit(False))
+    if early_stop:
+        validation = channels.labeled_channel(spark, folder, "validation", features, label)
+        rows = rows.union(validation.withColumn("is_validation", F.lit(True)))
+    prepared = materialize(preparation.transform(rows).select(label, "is_validation", "features"))
+    booster = managed_boosting(label, rounds, early_stop).fit(in_tasks(prepared, prepared.count()))
     return PipelineModel(stages=[preparation, booster])
 
 
@@ -53,15 +50,15 @@ def batch_flow(
     df: DataFrame, folder: str, *, numeric: Sequence[str], categorical: Sequence[str],
     rounds: int = 180, label: str = "label", seed: int = config.SEED,
 ) -> DataFrame:
-    """From a labelled table to the evaluation of its held-out part.
+    """From a labelled table to the evaluation of its held-out part: rows, positives and ranking metrics.
 
-    ``folder`` gets channels, manifest, model, scores and predictions.
+    The split is stored once, by channel. ``folder`` gets channels, manifest, model, scores and predictions.
     """
     spark = df.sparkSession
     names = [*numeric, *categorical]
     types = dict(df.dtypes)
     ddl = ", ".join(f"{c} {types[c]}" for c in names)
-    split = channels.channel_split(df.select(config.ROW_ID, label, *names), label, seed=seed)
+    split = materialize(channels.channel_split(df.select(config.ROW_ID, label, *names), label, seed=seed), partition_by="split")
     source = f"{folder}/channels"
     channels.write_channels(split, source, names, label)
     write_json(channels.manifest(spark, split, source, names, label), f"{folder}/manifest")
@@ -76,5 +73,5 @@ def batch_flow(
         config.ROW_ID, F.col("label").alias("actual_default"), F.col("p").alias("default_probability")
     )
     write_csv(aligned, f"{folder}/predictions")
-    kept = spark.read.schema(aligned.schema).option("header", True).csv(f"{folder}/predictions")
+    kept = strict_csv(spark).schema(aligned.schema).option("header", True).csv(f"{folder}/predictions")
     return ranking_metrics(kept, (), "actual_default", "default_probability")

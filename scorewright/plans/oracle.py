@@ -177,13 +177,13 @@ _HASHED = """repeats AS (SELECT unnest([1, 2]) AS repeat), hashed AS (
 
 
 def _donors(columns: list[str]) -> str:
-    """Donor rows by seeded cyclic order within 16 hash cells, for two repeats."""
+    """Donor rows by seeded cyclic order, for two repeats."""
     whole = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
     taken = ", ".join(
         f"coalesce(lag({c}) OVER w, last_value({c}) OVER (w {whole})) AS d_{c}" for c in columns
     )
     return f"""{_HASHED}, donors AS (
-  SELECT *, {taken} FROM hashed WINDOW w AS (PARTITION BY repeat, substr(h, 1, 1) ORDER BY h, row_id))"""
+  SELECT *, {taken} FROM hashed WINDOW w AS (PARTITION BY repeat ORDER BY h, row_id))"""
 
 
 def _importance(columns: list[str], score: str) -> str:

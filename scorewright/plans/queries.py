@@ -359,7 +359,7 @@ def prepared_features(spark, folder):
 @query
 def seeded_donors(spark, folder):
     """Each row's donor in two seeded shuffles."""
-    donors = sampling.seeded_donors(_labels(spark, folder, "n_items", "qty"), ["n_items", "qty"], digits=1)
+    donors = sampling.seeded_donors(_labels(spark, folder, "n_items", "qty"), ["n_items", "qty"])
     return donors.select("row_id", "repeat", "donor.n_items", "donor.qty")
 
 
@@ -371,7 +371,7 @@ def permutation_importance_scorecard(spark, folder):
         return df.withColumn("p", F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw)), 6))
 
     importance = permutation.permutation_importance(
-        item_scores(spark, folder), score, ["n_items", "dc", "qty"], digits=1
+        item_scores(spark, folder), score, ["n_items", "dc", "qty"]
     )
     return permutation.top_features(importance)
 

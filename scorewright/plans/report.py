@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
-from ..operators.bands import calibration_bins, risk_bands, scored_summary
+from ..operators.bands import band_cells, report_tables
 from ..operators.metrics import select_model
 from ..operators.schema import require_columns
 from ..sources.tables import read_json, read_scored, write_json
+from ..storage import pin
 
 DISCLAIMER = "Scores come from research data. They must not decide about real people's credit."
 
@@ -60,15 +61,14 @@ def report_payload(scored: DataFrame, metrics: DataFrame) -> DataFrame:
     """
     label, p = "actual_default", "default_probability"
     require_columns(scored, [label, p, "predicted_default"], "prediction columns")
-    bands = risk_bands(scored, label, p)
+    summary, bands, calibration = report_tables(pin(band_cells(scored, label, p)))
     place = F.array_position(F.array(*[F.lit(b) for b in config.BANDS]), F.col("band"))
     bands = bands.select(place.alias("place"), *bands.columns)
-    calibration = calibration_bins(scored, label, p)
     calibration = calibration.select(
         "bin_index", "bin", "clients", "average_probability", "observed_default_rate"
     )
     one = document(
-        {"scored": scored_summary(scored, label, p), "metrics": metrics},
+        {"scored": summary, "metrics": metrics},
         {"risk_bands": bands, "calibration": calibration},
     )
     return one.select(

@@ -22,7 +22,7 @@ from ..operators.schema import partition_columns
 from ..operators.slices import present, slice_performance
 from ..sources import registry
 from ..sources.tables import read_scored, write_json, write_scored
-from ..storage import pin
+from ..storage import materialize, pin
 from .report import metrics_document
 
 
@@ -38,15 +38,17 @@ class TrainingResult:
     test_rows: int
     default_rate: float
     folder: str
+    models: dict[str, PipelineModel]
+
+
+def _scored_by_all(models: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
+    scored = [with_probability(model, test).withColumn("model", F.lit(name)) for name, model in models.items()]
+    return reduce(DataFrame.union, scored)
 
 
 def compare_models(models: dict[str, PipelineModel], test: DataFrame, label: str) -> DataFrame:
     """Metrics of every model on the same rows, in one job."""
-    scored = [
-        with_probability(model, test).select(F.lit(name).alias("model"), label, "p")
-        for name, model in models.items()
-    ]
-    return classification_metrics(reduce(DataFrame.union, scored), ["model"], label)
+    return classification_metrics(_scored_by_all(models, test).select("model", label, "p"), ["model"], label)
 
 
 def train_and_evaluate(
@@ -75,63 +77,64 @@ def train_and_evaluate(
         categorical = [c for c in found[1] if c not in numeric] if categorical is None else categorical
     features = [c for c in inputs if c in numeric or c in categorical]
     extra = [c for c in present([*monitored, *slices], df) if c not in features]
-    split = stratified_split(
-        df.select(config.ROW_ID, label, *features, *extra), two_way, label=label, seed=seed
-    ).persist()
-    try:
-        train = split.filter(F.col("split") == "train").drop("split")
-        test = split.filter(F.col("split") == "test").drop("split")
-        models = fit_models(train, numeric, categorical, label=label, rounds=rounds)
-        order = list(models)
-
-        metrics = pin(compare_models(models, test, label))  # one row per model
-        selected = select_model(metrics, order).first().selected_model
-        model = models[selected]
-        model.write().overwrite().save(f"{folder}/model")
-
-        scored_path = f"{folder}/predictions"
-        scored = with_probability(model, test, "default_probability")
-        write_scored(
-            scored.withColumnRenamed(label, "actual_default")
-            .withColumn("predicted_default", decision("default_probability")),
-            scored_path,
-        )
-        scored = read_scored(spark, scored_path).withColumnRenamed("default_probability", "p")
+    split = materialize(
+        stratified_split(df.select(config.ROW_ID, label, *features, *extra), two_way, label=label, seed=seed),
+        partition_by="split",
+    )
+    train = split.filter(F.col("split") == "train").drop("split")
+    test = split.filter(F.col("split") == "test").drop("split")
+    models = fit_models(train, numeric, categorical, label=label, rounds=rounds)
+    order = list(models)
 
-        importance = pin(
-            top_features(
-                permutation_importance(
-                    test, lambda t: with_probability(model, t), features, label=label, seed=seed
-                )
+    # Every model scores the test rows once, the selected one also the training rows.
+    tested = materialize(_scored_by_all(models, test), partition_by="model")
+    metrics = pin(classification_metrics(tested, ["model"], label))  # one row per model
+    selected = select_model(metrics, order).first().selected_model
+    model = models[selected]
+    model.write().overwrite().save(f"{folder}/model")
+
+    scored_path = f"{folder}/predictions"
+    scored = tested.filter(F.col("model") == selected).drop("model").withColumnRenamed("p", "default_probability")
+    write_scored(
+        scored.withColumnRenamed(label, "actual_default")
+        .withColumn("predicted_default", decision("default_probability")),
+        scored_path,
+    )
+    scored = read_scored(spark, scored_path).withColumnRenamed("default_probability", "p")
+
+    importance = pin(
+        top_features(
+            permutation_importance(
+                test, lambda t: with_probability(model, t), features, label=label, seed=seed
             )
         )
-        promotion = promotion_checks(metrics, policy=policy)
-        by_feature = pin(feature_drift(train, test, monitored))
-        by_score = pin(prediction_drift(with_probability(model, train).select("p"), scored.select("p")))
-        by_slice = pin(slice_performance(scored, slices, "actual_default"))
-        base = scored.agg(F.count(F.lit(1)).alias("n"), F.avg("actual_default").alias("rate")).first()
-
-        explained = importance.agg(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct(-F.col("importance"), "position", "feature", "importance"))),
-                lambda s: F.struct(s["feature"].alias("feature"), s["importance"].alias("importance")),
-            ).alias("top_features")
-        )
-        tested = scored.agg(
-            F.count(F.lit(1)).alias("test_rows"), F.round(F.avg("actual_default"), 6).alias("test_default_rate")
-        )
-        write_json(
-            metrics_document(metrics, order, test=tested, explainability=explained, promotion=promotion).coalesce(1),
-            f"{folder}/metrics",
-        )
-        thresholds = [F.lit(config.WATCH_PSI).alias("watch_psi"), F.lit(config.ALERT_PSI).alias("alert_psi")]
-        write_json(by_score.select("*", *thresholds), f"{folder}/monitoring/prediction_drift")
-        write_json(by_feature.select("*", *thresholds), f"{folder}/monitoring/feature_drift")
-        write_json(by_slice, f"{folder}/monitoring/slices")
-        registry.append(registry.registry_entry(metrics, selected, f"{folder}/model"), f"{folder}/registry")
-        registry.append(registry.run_log(metrics, selected), f"{folder}/run_log")
-    finally:
-        split.unpersist()
+    )
+    promotion = promotion_checks(metrics, policy=policy)
+    by_feature = pin(feature_drift(train, test, monitored))
+    trained = materialize(with_probability(model, train).select("p"))
+    by_score = pin(prediction_drift(trained, scored.select("p")))
+    by_slice = pin(slice_performance(scored, slices, "actual_default"))
+    base = scored.agg(F.count(F.lit(1)).alias("n"), F.avg("actual_default").alias("rate")).first()
+
+    explained = importance.agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct(-F.col("importance"), "position", "feature", "importance"))),
+            lambda s: F.struct(s["feature"].alias("feature"), s["importance"].alias("importance")),
+        ).alias("top_features")
+    )
+    tested = scored.agg(
+        F.count(F.lit(1)).alias("test_rows"), F.round(F.avg("actual_default"), 6).alias("test_default_rate")
+    )
+    write_json(
+        metrics_document(metrics, order, test=tested, explainability=explained, promotion=promotion).coalesce(1),
+        f"{folder}/metrics",
+    )
+    thresholds = [F.lit(config.WATCH_PSI).alias("watch_psi"), F.lit(config.ALERT_PSI).alias("alert_psi")]
+    write_json(by_score.select("*", *thresholds), f"{folder}/monitoring/prediction_drift")
+    write_json(by_feature.select("*", *thresholds), f"{folder}/monitoring/feature_drift")
+    write_json(by_slice, f"{folder}/monitoring/slices")
+    registry.append(registry.registry_entry(metrics, selected, f"{folder}/model"), f"{folder}/registry")
+    registry.append(registry.run_log(metrics, selected), f"{folder}/run_log")
     return TrainingResult(
-        selected, metrics, importance, promotion, by_feature, by_score, by_slice, base.n, base.rate, folder
+        selected, metrics, importance, promotion, by_feature, by_score, by_slice, base.n, base.rate, folder, models
     )

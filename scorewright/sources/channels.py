@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..operators.sampling import stratified_split, three_way
 from .digests import file_digests
-from .tables import write_csv
+from .tables import strict_csv, write_csv
 
 LABELED = ("train", "validation")
 HELD_OUT = "transform"
@@ -49,7 +49,8 @@ def write_channels(
 
 
 def read_headerless(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).option("header", False).csv(path)
+    """Fails on values of the wrong type and on lines with too few or too many fields."""
+    return strict_csv(spark).schema(schema).option("header", False).csv(path)
 
 
 def labeled_channel(spark: SparkSession, folder: str, name: str, features: str, label: str = "label") -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import config
+from ..operators.running import running_totals
 from ..operators.schema import (
     normalize_columns,
     normalize_dataset,
@@ -14,7 +15,7 @@ from ..operators.schema import (
     require_columns,
     require_valid,
 )
-from ..storage import materialize, pin
+from ..storage import materialize
 
 
 def load_dataset(
@@ -27,7 +28,7 @@ def load_dataset(
     reads the whole file once more. ``validate=False`` checks the target's
     presence only.
     """
-    reader = spark.read.option("header", True)
+    reader = strict_csv(spark).option("header", True)
     if schema:
         types = {f.name: f.dataType for f in StructType.fromDDL(schema)}
         fields = [StructField(c, types.get(normalize_name(c), StringType())) for c in reader.csv(path).columns]
@@ -44,10 +45,21 @@ def ingest_dataset(
     """Bind, normalize and validate two raw tables, keep the result as CSV, return it as read back."""
     bound = normalize_dataset(features, target, key)
     write_csv(bound, path)
-    return features.sparkSession.read.schema(bound.schema).option("header", True).csv(path)
+    return strict_csv(features.sparkSession).schema(bound.schema).option("header", True).csv(path)
+
+
+def strict_csv(spark: SparkSession):
+    """A CSV reader that fails on a value of the wrong type and on a line with too few or too many fields."""
+    return spark.read.option("mode", "FAILFAST").option("columnPruning", False)
 
 
 def write_csv(df: DataFrame, path: str, *, header: bool = True, rows_per_file: int = 0) -> None:
+    """One line per row, so texts must not hold line breaks: writing one fails."""
+    one_line = {
+        c: F.when(F.col(f"`{c}`").rlike("[\\r\\n]"), F.raise_error(F.lit(f"{c} holds a line break, which CSV lines cannot keep")).cast("string")).otherwise(F.col(f"`{c}`"))
+        for c, data_type in df.dtypes if data_type == "string"
+    }
+    df = df.withColumns(one_line) if one_line else df
     df.write.mode("overwrite").option("header", header).option("maxRecordsPerFile", rows_per_file).csv(path)
 
 
@@ -78,12 +90,9 @@ def with_position(df: DataFrame, name: str = config.ROW_ID) -> DataFrame:
     """
     block = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")]
     rows = materialize(df.select("*", *block, F.monotonically_increasing_id().alias("_seq")))
-    before = Window.partitionBy(F.lit(0)).orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_first"))
-    offsets = pin(blocks.select(  # one row per file block
-        "_file", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
-    ))
-    if offsets.count() <= config.BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
+    blocks = rows.groupBy(F.struct("_file", "_start").alias("_at")).agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_first"))
+    offsets = running_totals(blocks, [], "_at", ["_n"]).select(  # one row per file block
+        "_at._file", "_at._start", "_first", (F.col("_n_upto") - F.col("_n")).alias("_before")
+    )
     position = F.col("_seq") - F.col("_first") + F.col("_before")
     return rows.join(offsets, ["_file", "_start"]).select(*df.columns, position.alias(name))

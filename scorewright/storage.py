@@ -33,16 +33,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Compute ``df`` once, as a columnar table in the shared folder.
 
     Later reads prune columns, start from its files and survive lost executors.
+    With ``partition_by`` a filter on that column reads its files only.
     """
     path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of materialized tables that no later read needs."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        paths = {path.rsplit("/", 1)[0] for path in df.inputFiles()}
+        for path in paths:
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize_checked(df: DataFrame, **checks: str) -> tuple[DataFrame, dict[str, int]]:
     """:func:`materialize`, with its ``rows`` and further SQL aggregates."""
     done = materialize(df)
