@@ -113,7 +113,7 @@ def _unseen(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]
 def _context(text: str, start: int) -> list[str]:
     """The lexical patterns of a place: one and two words before it, with digits made equal."""
     words = [re.sub(r"[0-9]+", "0", w) for w in text[max(0, start - 96) : start].lower().split()[-2:]]
-    return ["1 " + words[-1], "2 " + " ".join(words)][: len(words)]
+    return ["1 " + "".join(words[-1:]), "2 " + " ".join(words)][: len(words)]
 
 
 def _scan(key: str, extra: list[str]):
