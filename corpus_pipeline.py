@@ -58,7 +58,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with every span of personal data replaced by its kind."""
-    return _unfolded(redact(_folded(docs)), docs, F.col("text"))
+    return _unfolded(_folded(redact(docs)), docs, F.col("text"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

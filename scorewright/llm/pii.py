@@ -196,17 +196,19 @@ def redact(documents: DataFrame, *, key: str = "doc_id") -> DataFrame:
 
     Overlapping spans become one, named after the first. A null text stays null.
     """
-    columns = [c for c in documents.columns]
-    found = find_personal_data(documents, key=key, carry=tuple(columns))
-    fields = {f.name: f.dataType.simpleString() for f in documents.schema}
+    others = [F.col(f"`{c}`") for c in documents.columns if c not in (key, "text")]
+    folded = documents.select(key, "text", F.struct(F.lit(0).alias(key), *others).alias("others"))
+    found = find_personal_data(folded, key=key, carry=("text", "others"))
+    fields = {f.name: f.dataType.simpleString() for f in folded.schema}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             places = batch.column("places").to_pylist()
             texts = batch.column("text").to_pylist()
-            yield {c: batch.column(c) for c in columns} | {"text": [t and _masked(t, p) for t, p in zip(texts, places, strict=True)]}
+            yield {c: batch.column(c) for c in (key, "others")} | {"text": [t and _masked(t, p) for t, p in zip(texts, places, strict=True)]}
 
-    return map_batches(found.select(*columns, "places"), work, ", ".join(f"`{c}` {fields[c]}" for c in columns))
+    masked = map_batches(found.select(key, "text", "others", "places"), work, ", ".join(f"`{c}` {fields[c]}" for c in folded.columns))
+    return masked.select(*[F.col(c if c in (key, "text") else f"others.`{c}`").alias(c) for c in documents.columns])
 
 
 def _masked(text: str, places: list[dict]) -> str:
