@@ -218,8 +218,9 @@ def near_documents(documents: DataFrame, *, key: str = "doc_id") -> DataFrame:
     dealt = entries.repartition("key", "part").sortWithinPartitions("key", "set_id")
     lists = materialize(map_batches(dealt, _shared, "key long, set_id long, place long"))
 
-    # A list's pivot is its smallest class, or in one key of sixteen any of its classes.
-    chosen = F.when(F.pmod("key", F.lit(16)) == 0, F.xxhash64("key", "set_id")).otherwise(F.col("set_id"))
+    # A list's pivot is the class in whose order the key comes first. It has the fewest shingles that are rarer
+    # than the key: of copies with changes of their own, the one that all others resemble most.
+    chosen = F.struct(F.col("place").bitwiseAND(0xFFFFFFFF), F.col("set_id"))
     pivots = lists.groupBy("key").agg(F.min_by(F.struct("set_id", "place"), chosen).alias("p")).select("key", F.col("p.set_id").alias("pivot"), F.col("p.place").alias("place"))
     met_pivot = lists.alias("e").join(pivots.alias("p"), "key").where((F.col("set_id") != F.col("pivot")) & _may_link("e", "p"))
     first = materialize(met_pivot.select(F.greatest("set_id", "pivot").alias("a"), F.least("set_id", "pivot").alias("b")).distinct())
