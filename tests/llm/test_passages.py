@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter
 
+import pyspark.cloudpickle as cloudpickle
 import pytest
 from odd import PASSAGE, documents, prose
 
@@ -37,10 +38,18 @@ def test_odd_documents(spark):
     assert remove_repeated(documents(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("together", [512, 2])
-@pytest.mark.parametrize("batches", [1, 5])
-def test_passages_of_many_lengths(spark, monkeypatch, together, batches):
-    monkeypatch.setattr(module, "TOGETHER", together)
+@pytest.fixture
+def by_value():
+    """Tasks get the module as it stands here, with its patched sizes."""
+    cloudpickle.register_pickle_by_value(module)
+    yield
+    cloudpickle.unregister_pickle_by_value(module)
+
+
+@pytest.mark.parametrize("together, batches, piece, classes", [(512, 1, 1 << 20, 1 << 11), (2, 5, 1 << 20, 1 << 11), (8, 2, 250, 3)])
+def test_passages_of_many_lengths(spark, monkeypatch, by_value, together, batches, piece, classes):
+    for name, value in (("TOGETHER", together), ("PIECE", piece), ("CLASSES", classes)):
+        monkeypatch.setattr(module, name, value)
     rows = [(i, prose(50 + i, 40) + " " + PASSAGE[i : i + 180 + 3 * i] + " " + prose(90 + i, 30)) for i in range(25)]
     rows += [(100 + i, PASSAGE[: 198 + i]) for i in range(5)]
     rows += [(200, "ab" * 150), (201, "ab" * 120), (202, "a" * 500), (203, "xyz" * 100 + prose(1, 50)), (204, "é" * 250), (205, (prose(77, 40) + "\n") * 5)]
