@@ -53,8 +53,8 @@ def in_tasks(df: DataFrame, rows: int, per_task: int = ROWS_PER_FIT_TASK) -> Dat
 
 
 def tree_count(model: PipelineModel) -> int:
-    """Trees of a fitted boosting pipeline."""
-    return model.stages[-1].getNumTrees
+    """Trees of a fitted pipeline; 0 for other models than boosting."""
+    return getattr(model.stages[-1], "getNumTrees", 0)
 
 
 def penalised_gradient(model: PipelineModel, weighted: DataFrame, rows: int, label: str = "label") -> DataFrame:

@@ -277,6 +277,29 @@ _EVALUATION = (
     f"SELECT n_rows AS rows, {SELECT_RANKING} FROM pr JOIN auc USING (one)"
 )
 
+_FILES = """files AS (
+  SELECT sha256(string_agg(o_orderkey || ',' || o_orderstatus || chr(10), '' ORDER BY o_orderkey)) AS d
+  FROM orders GROUP BY o_orderkey // 50000)"""
+
+
+def _folded(source: str) -> str:
+    """``folded``: the digests ``d`` of a table, digested in two levels."""
+    return f"""groups AS (
+  SELECT count(*) AS n, max(d) AS single, sha256(string_agg(d, '' ORDER BY d)) AS g FROM {source} GROUP BY substr(d, 1, 2)),
+folded AS (SELECT CASE WHEN sum(n) = 1 THEN max(single) ELSE sha256(string_agg(g, '' ORDER BY g)) END AS sha256 FROM groups)"""
+
+
+_MODEL_ROWS = f"WITH {ORDERS}, {_split(0.2, False).replace('FROM scored', 'FROM orders_scored')}"
+
+
+def _tested(models: str) -> str:
+    return f"""{_MODEL_ROWS}
+SELECT model, trees, test_negatives, test_positives, true AS ranks, true AS calibrated
+FROM (VALUES {models}) m(model, trees), (
+  SELECT count(*) FILTER (WHERE label = 0) AS test_negatives, count(*) FILTER (WHERE label = 1) AS test_positives
+  FROM split_rows WHERE split = 'test') c"""
+
+
 ORACLE: dict[str, str] = {
     "scored_rows": f"""WITH {SCORED}
 SELECT row_id, label AS actual_default, p AS default_probability, CAST(p >= 0.5 AS INTEGER) AS predicted_default,
@@ -334,7 +357,7 @@ SELECT split AS channel, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positiv
   SELECT split AS channel, label FROM split_rows
   UNION ALL SELECT 'test_labels', label FROM split_rows WHERE split = 'transform')
 SELECT channel, count(*) AS rows, round(avg(label), 6) AS default_rate, 2 AS feature_count,
-       'n_items,qty' AS feature_columns, 64 AS digest_length FROM parts GROUP BY channel""",
+       'n_items,qty' AS feature_columns, true AS digests_match FROM parts GROUP BY channel""",
     "batch_score_evaluation": _EVALUATION,
     "positional_bind": _EVALUATION,
     "normalize_columns": """SELECT o_orderkey AS row_id, o_custkey AS limit_bal, o_totalprice AS bill_amt1,
@@ -372,9 +395,32 @@ SELECT row_id, o_orderstatus, size, {', '.join(
 FROM gaps""",
     "permutation_importance_scorecard": f"WITH {SCORED}, "
     + _importance(["n_items", "dc", "qty"], _score("0.7", "0.12")),
-    "model_registry": f"""WITH {MODEL_METRICS}
+    "model_registry": f"""WITH {MODEL_METRICS}, {_FILES}, {_folded('files')}
 SELECT 'candidate' AS stage, model, 'pr_auc' AS selection_metric, pr_auc,
-       64 AS digest_length, 16 AS version_length FROM model_metrics""",
+       (SELECT sha256 FROM folded) AS artifact_sha256, 16 AS version_length FROM model_metrics""",
+    "artifact_digest": f"WITH {_FILES}, {_folded('files')} SELECT sha256 FROM folded",
+    "corpus_digest": f"WITH texts AS (SELECT sha256(text) AS d FROM documents), {_folded('texts')} SELECT sha256 FROM folded",
+    "train_logistic": f"""{_MODEL_ROWS}
+SELECT CAST(t.k AS INTEGER) AS term, 0.0::DOUBLE AS gradient, c.* FROM range(-1, 17) t(k), (
+  SELECT count(*) FILTER (WHERE split = 'train' AND label = 0) AS train_0,
+         count(*) FILTER (WHERE split = 'train' AND label = 1) AS train_1,
+         count(*) FILTER (WHERE split = 'test' AND label = 0) AS test_0,
+         count(*) FILTER (WHERE split = 'test' AND label = 1) AS test_1 FROM split_rows) c""",
+    "train_boosting": _tested("('gradient_boosting', 180)"),
+    "train_and_evaluate": _tested("('logistic_regression', 0), ('gradient_boosting', 180)"),
+    "batch_flow": f"""WITH {ORDERS}, {_split(0.3, True).replace('FROM scored', 'FROM orders_scored')}
+SELECT count(*) AS rows, 180 AS trees, true AS ranks FROM split_rows WHERE split = 'transform'""",
+    "permutation_importance_model": "SELECT f AS feature, CAST(p AS INTEGER) AS position, true AS is_difference FROM (VALUES "
+    + ", ".join(f"('{c}', {i})" for i, c in enumerate([*NUMERIC, "o_orderpriority", "c_mktsegment", "o_orderstatus"], 1)) + ") v(f, p)",
+    "monitoring_bundle": f"""WITH {ORDERS}, long AS ({_long('orders_scored', DRIFT_COLUMNS)}), {_psi('long')}
+SELECT feature, psi, {STATUS}, 0.10::DOUBLE AS watch_psi, 0.25::DOUBLE AS alert_psi FROM psi""",
+    "features_and_target": f"WITH {SCORED} SELECT row_id, n_items, qty, label AS default_next_month FROM scored",
+    "column_partition": """SELECT 'o_totalprice' AS name, 'numeric' AS kind, 0 AS place, count(DISTINCT o_totalprice) AS values FROM orders
+UNION ALL SELECT 'o_custkey', 'numeric', 1, count(DISTINCT o_custkey) FROM orders
+UNION ALL SELECT 'o_orderpriority', 'categorical', 2, count(DISTINCT o_orderpriority) FROM orders
+UNION ALL SELECT 'o_orderstatus', 'categorical', 3, count(DISTINCT o_orderstatus) FROM orders""",
+    "code_impute": f"""WITH {GAPS}, codes AS (SELECT n_items, count(*) AS n FROM gaps WHERE n_items IS NOT NULL GROUP BY n_items)
+SELECT row_id, coalesce(n_items, (SELECT n_items FROM codes ORDER BY n DESC, n_items LIMIT 1)) || '.0' AS code FROM gaps""",
     "run_log": f"""WITH {MODEL_METRICS}
 SELECT 'risk-' || model AS run, 'param' AS kind, 'selected_model' AS key, model AS value FROM model_metrics
 UNION ALL SELECT 'risk-' || model, 'param', 'selection_metric', 'pr_auc' FROM model_metrics

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,6 @@ QUERIES: dict[str, Query] = {}
 NUMERIC = ["o_totalprice", "c_acctbal", "n_items", "qty"]
 CATEGORICAL = ["o_orderpriority", "c_mktsegment", "o_orderstatus"]
 MODELS = ["scorecard", "rival"]
-QUERY_ROUNDS = 5  # boosting rounds in the registered queries; the flows default to 180
 
 
 def query(f: Query) -> Query:
@@ -229,14 +229,18 @@ def channel_roundtrip(spark, folder):
 
 @query
 def channel_manifest(spark, folder):
-    """Written channels by their manifest; file names and digests differ per run."""
+    """Written channels by their manifest. Line order differs per run, so digests are held against the files' texts."""
     base = scratch_path(spark, "manifest")
     names = ["n_items", "qty"]
     split = channels.channel_split(_labels(spark, folder, *names))
     channels.write_channels(split, base, names)
-    return channels.manifest(spark, split, base, names).groupBy("channel", "rows", "default_rate", "feature_count").agg(
+    texts = spark.read.option("recursiveFileLookup", True).text(base, wholetext=True)
+    again = texts.select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("name"), F.sha2("value", 256).alias("again"))
+    listed = channels.manifest(spark, split, base, names).withColumn("name", F.element_at(F.split("file", "/"), -1))
+    checked = listed.join(again, "name", "left").withColumn("same", F.coalesce(F.col("sha256") == F.col("again"), F.lit(False)))
+    return checked.groupBy("channel", "rows", "default_rate", "feature_count").agg(
         F.array_join(F.max("feature_columns"), ",").alias("feature_columns"),
-        F.min(F.length("sha256")).alias("digest_length"),
+        F.bool_and("same").alias("digests_match"),
     )
 
 
@@ -376,7 +380,8 @@ def permutation_importance_scorecard(spark, folder):
     return permutation.top_features(importance)
 
 
-# Models and whole flows: weights depend on summation order, so these have no SQL.
+# Models and whole flows. Weights depend on summation order, so the results are counts that SQL can tell:
+# the rows and classes a model met, its trees, and slopes that vanish at a solution.
 
 def _model_table(spark: SparkSession, folder: str) -> DataFrame:
     """Training reads it many times, so the joins run once."""
@@ -384,64 +389,134 @@ def _model_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fit_and_test(spark: SparkSession, folder: str, name: str):
-    split = sampling.stratified_split(_model_table(spark, folder))
+    split = materialize(sampling.stratified_split(_model_table(spark, folder)), partition_by="split")
     train, test = (split.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
-    model = models.fit_models(train, NUMERIC, CATEGORICAL, rounds=QUERY_ROUNDS, names=[name])[name]
-    return model, test
+    return models.fit_models(train, NUMERIC, CATEGORICAL, names=[name])[name], train, test
+
+
+def _tested(found: DataFrame, fitted: dict) -> DataFrame:
+    """Metrics of fitted models as the counts behind them."""
+    cell = F.col("confusion_matrix")
+    trees = F.create_map(*[x for name, m in fitted.items() for x in (F.lit(name), F.lit(models.tree_count(m)))])
+    return found.select(
+        "model", trees[F.col("model")].alias("trees"),
+        (cell[0][0] + cell[0][1]).alias("test_negatives"), (cell[1][0] + cell[1][1]).alias("test_positives"),
+        (F.col("roc_auc") > 0.5).alias("ranks"), F.col("brier_score").between(0.0, 0.5).alias("calibrated"),
+    )
 
 
 @query
 def train_logistic(spark, folder):
-    model, test = _fit_and_test(spark, folder, config.BASELINE_MODEL)
-    return training.compare_models({config.BASELINE_MODEL: model}, test, "label")
+    """The slope of the penalised loss at the solution, per coefficient, and the classes of both parts."""
+    model, train, test = _fit_and_test(spark, folder, config.BASELINE_MODEL)
+    weighted, rows = models.balanced_weights(train)
+    slopes = models.penalised_gradient(model, weighted, rows)
+    part = train.select("label", F.lit("train").alias("part")).union(test.select("label", F.lit("test").alias("part")))
+    counts = [F.count_if((F.col("part") == p) & (F.col("label") == y)).alias(f"{p}_{y}") for p in ("train", "test") for y in (0, 1)]
+    return slopes.select("term", F.abs(F.round("gradient", 4)).alias("gradient")).join(F.broadcast(part.agg(*counts)))  # one row
 
 
 @query
 def train_boosting(spark, folder):
-    model, test = _fit_and_test(spark, folder, config.CHALLENGER_MODEL)
-    return training.compare_models({config.CHALLENGER_MODEL: model}, test, "label")
+    model, _, test = _fit_and_test(spark, folder, config.CHALLENGER_MODEL)
+    fitted = {config.CHALLENGER_MODEL: model}
+    return _tested(training.compare_models(fitted, test, "label"), fitted)
 
 
 @query
 def permutation_importance_model(spark, folder):
-    model, test = _fit_and_test(spark, folder, config.BASELINE_MODEL)
+    """Every feature's place in the table, and that its importance is one."""
+    model, _, test = _fit_and_test(spark, folder, config.BASELINE_MODEL)
     importance = permutation.permutation_importance(
         test, lambda df: models.with_probability(model, df), [*NUMERIC, *CATEGORICAL]
     )
-    return permutation.top_features(importance)
+    top = permutation.top_features(importance)
+    return top.select("feature", "position", F.col("importance").between(-1.0, 1.0).alias("is_difference"))
 
 
 @query
 def train_and_evaluate(spark, folder):
     result = training.train_and_evaluate(
         _model_table(spark, folder), scratch_path(spark, "train"), numeric=NUMERIC, categorical=CATEGORICAL,
-        label="label", monitored=NUMERIC, slices=CATEGORICAL, rounds=QUERY_ROUNDS,
+        label="label", monitored=NUMERIC, slices=CATEGORICAL,
     )
-    return result.metrics.withColumn("selected", F.col("model") == result.selected_model)
+    return _tested(result.metrics, result.models)
 
 
 @query
 def batch_flow(spark, folder):
-    return batch.batch_flow(
-        _model_table(spark, folder), scratch_path(spark, "batch-flow"),
-        numeric=NUMERIC, categorical=CATEGORICAL, rounds=QUERY_ROUNDS,
-    )
+    base = scratch_path(spark, "batch-flow")
+    found = batch.batch_flow(_model_table(spark, folder), base, numeric=NUMERIC, categorical=CATEGORICAL)
+    trees = models.tree_count(PipelineModel.load(f"{base}/model"))
+    return found.select("rows", F.lit(trees).alias("trees"), (F.col("roc_auc") > 0.5).alias("ranks"))
+
+
+# Monitoring and table parts
+
+@query
+def monitoring_bundle(spark, folder):
+    """Drift of the listed columns between the samples, through the two-table form, with the thresholds used."""
+    scored = _order_samples(spark, folder)
+    reference, current = (scored.filter(F.col("sample") == s) for s in ("reference", "current"))
+    found = drift.feature_drift(reference, current, DRIFTING)
+    limits = {"watch_psi": config.WATCH_PSI, "alert_psi": config.ALERT_PSI}
+    return found.select("*", *[F.lit(v).alias(n) for n, v in limits.items()])
+
+
+@query
+def features_and_target(spark, folder):
+    """Both projections of one table, joined again on the key they keep."""
+    scored = item_scores(spark, folder).select("row_id", "n_items", "qty", F.col("label").alias(config.TARGET))
+    inputs, target = schema.split_features_target(scored)
+    return inputs.join(target, "row_id")
+
+
+@query
+def column_partition(spark, folder):
+    """Which orders columns count as numbers and which as categories, with their distinct values."""
+    orders = table(spark, folder, "orders").select("o_totalprice", "o_orderstatus", "o_custkey", "o_orderpriority")
+    numeric, categorical = schema.partition_columns(orders.columns, ["o_orderpriority", "o_orderstatus"])
+    kinds = [*[(c, "numeric") for c in numeric], *[(c, "categorical") for c in categorical]]
+    counts = orders.agg(*[F.count_distinct(c).alias(c) for c, _ in kinds])
+    rows = [F.struct(F.lit(c).alias("name"), F.lit(k).alias("kind"), F.lit(i).alias("place"), F.col(c).alias("values")) for i, (c, k) in enumerate(kinds)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+@query
+def code_impute(spark, folder):
+    """Category codes held as floating-point numbers: NaN is filled with the mode like null."""
+    gaps = orders_with_gaps(spark, folder).select("row_id", F.coalesce(F.col("n_items").cast("double"), F.lit(float("nan"))).alias("code"))
+    df = materialize(gaps)
+    return features.impute(df, features.fit_fill_values(df, [], ["code"]))
 
 
 # Registry
 
+_KEYS_PER_FILE = 50_000
+
+
+def _write_lines(spark: SparkSession, folder: str, path: str) -> None:
+    """Orders as sorted text lines, one file for each range of keys: bytes that SQL can tell."""
+    lines = table(spark, folder, "orders").select(
+        F.expr(f"o_orderkey div {_KEYS_PER_FILE}").alias("part"), "o_orderkey",
+        F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus").alias("value"),
+    )
+    dealt = lines.repartition("part").sortWithinPartitions("part", "o_orderkey").drop("o_orderkey")
+    dealt.write.partitionBy("part").option("lineSep", "\n").text(path)
+
+
 @query
 def model_registry(spark, folder):
     """Register both scorecards; the registry is read back without its times."""
     base = scratch_path(spark, "registry")
-    tables.write_scored(item_scores(spark, folder).select("row_id", "label", "p"), f"{base}/artifact")
+    _write_lines(spark, folder, f"{base}/artifact")
     found = pin(_scorecard_metrics(spark, folder))
     for name in MODELS:
         registry.append(registry.registry_entry(found, name, f"{base}/artifact"), f"{base}/models")
     entries = spark.read.parquet(f"{base}/models")
     return entries.select(
         "stage", "model", "selection_metric", F.col("metrics.pr_auc").alias("pr_auc"),
-        F.length("artifact_sha256").alias("digest_length"), F.length("version").alias("version_length"),
+        "artifact_sha256", F.length("version").alias("version_length"),
     )
 
 
@@ -461,7 +536,14 @@ def document_digest(spark, folder):
 
 
 @query
-def artifact_digest(spark, folder):
-    """Digests of the files of the orders table."""
-    return digests.file_digests(spark, f"{folder}/orders.parquet")
+def corpus_digest(spark, folder):
+    """The digests of all texts, folded in two levels like those of an artifact's files."""
+    return digests.fold_digests(document_digest(spark, folder))
 
+
+@query
+def artifact_digest(spark, folder):
+    """Digest of an artifact of several files whose bytes are known."""
+    path = scratch_path(spark, "lines")
+    _write_lines(spark, folder, path)
+    return digests.artifact_digest(spark, path)

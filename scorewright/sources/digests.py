@@ -29,10 +29,19 @@ def artifact_digest(spark: SparkSession, path: str) -> DataFrame:
 
     Folder digests are folded in two levels, so no task holds all of them.
     """
+    return fold_digests(file_digests(spark, path))
+
+
+def fold_digests(digests: DataFrame) -> DataFrame:
+    """One row, ``sha256``, of a table with that column.
+
+    Digests with the same first two digits are sorted, joined and digested, and
+    so are the results; a single digest stands for itself.
+    """
     def fold(column: str):
         return F.sha2(F.array_join(F.array_sort(F.collect_list(column)), ""), 256)
 
-    groups = file_digests(spark, path).groupBy(F.substring("sha256", 1, 2).alias("g")).agg(
+    groups = digests.groupBy(F.substring("sha256", 1, 2).alias("g")).agg(
         F.count(F.lit(1)).alias("n"), F.max("sha256").alias("only"), fold("sha256").alias("folded")
     )
     return groups.agg(

@@ -49,7 +49,7 @@ def ingest_dataset(
 
 
 def strict_csv(spark: SparkSession):
-    """A CSV reader that fails on a value of the wrong type and on a line with too few or too many fields."""
+    """A CSV reader that fails on a line with too few or too many fields, and on a value of the wrong type in a column that is read."""
     return spark.read.option("mode", "FAILFAST").option("columnPruning", False)
 
 

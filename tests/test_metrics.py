@@ -46,7 +46,7 @@ def test_perfect_scores(spark):
 
 
 @pytest.mark.parametrize("ties", [True, False])
-@pytest.mark.parametrize("rows_per_task", [10**6, 1])
+@pytest.mark.parametrize("rows_per_task", [10**6, 100])
 def test_ranking_metrics_match_the_slow_ones(spark, ties, rows_per_task):
     rows = random_rows(7, 400, ties)
     row = metrics.ranking_metrics(frame(spark, rows), rows_per_task=rows_per_task).first()
@@ -74,6 +74,16 @@ def test_one_class_has_no_auc(spark):
 def test_missing_scores_are_rejected(spark, bad):
     with pytest.raises(ValueError, match="missing"):
         metrics.classification_metrics(frame(spark, [(0, .4), (1, bad)]))
+    for entry_point in (metrics.confusion_matrix, metrics.threshold_metrics):
+        with pytest.raises(Exception, match="must not be missing"):
+            entry_point(frame(spark, [(0, .4), (1, bad)])).collect()
+
+
+def test_threshold_metrics_do_not_shuffle_by_score(spark):
+    df = frame(spark, [(0, .4), (1, .7), (1, .9)])
+    for found in (metrics.confusion_matrix(df), metrics.threshold_metrics(df)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan
 
 
 def test_empty_table_and_odd_group_names(spark):
@@ -105,14 +115,14 @@ def test_running_totals_by_range_equal_the_plain_window(spark, descending):
     order = F.desc("v") if descending else F.asc("v")
     window = Window.partitionBy("g").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     expected = table.withColumn("m_upto", F.sum("m").over(window))
-    found = running_totals(table, ["g"], "v", ["m"], descending=descending, rows_per_task=1)
+    found = running_totals(table, ["g"], "v", ["m"], descending=descending, rows_per_task=100)
     assert found.columns == expected.columns
     assert found.exceptAll(expected).count() == 0 and found.count() == 5000
 
 
 def test_running_totals_without_groups(spark):
     table = spark.range(1000).select(F.col("id").alias("v"), F.lit(1).alias("m"))
-    found = running_totals(table, [], "v", ["m"], rows_per_task=1)
+    found = running_totals(table, [], "v", ["m"], rows_per_task=100)
     assert found.filter("m_upto <> v + 1").count() == 0
 
 

@@ -39,6 +39,23 @@ def test_mode_ties_go_to_the_smallest_number(spark):
     assert features.fit_fill_values(df, [], ["c"]).modes == {"c": "2"}
 
 
+def test_nan_codes_are_missing_categories(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0,), (1.0,), (nan,), (nan,), (nan,), (2.0,), (None,)], "c double")
+    fill = features.fit_fill_values(df, [], ["c"])
+    assert fill.modes == {"c": "1.0"}
+    assert sorted(r.c for r in features.impute(df, fill).collect()) == ["1.0"] * 6 + ["2.0"]
+    assert features.fit_categories(text_counts(df, ["c"])) == {"c": ["1.0", "2.0"]}
+    vectors = features.fit_preparation(df, [], ["c"]).fit(df).transform(df).collect()
+    assert [r.features.toArray().tolist() for r in vectors].count([1.0, 0.0]) == 6
+
+
+def test_free_texts_are_no_categories(spark):
+    counts = text_counts(spark.range(30).select(F.col("id").cast("string").alias("c")), ["c"])
+    with pytest.raises(ValueError, match="at most 20"):
+        features.fit_categories(counts, widest=20)
+
+
 def test_column_without_values_is_rejected(spark):
     with pytest.raises(ValueError, match="No known value"):
         features.fit_fill_values(spark.createDataFrame([(None,)], "x double"), ["x"], [])
@@ -116,8 +133,9 @@ def test_train_and_evaluate(spark, tmp_path):
 
 def test_batch_flow(spark, tmp_path):
     df = clients(spark, 400).withColumnRenamed(config.TARGET, "label")
-    row = batch.batch_flow(df, str(tmp_path), numeric=NUMERIC, categorical=CATEGORICAL, rounds=3).first()
+    row = batch.batch_flow(df, str(tmp_path), numeric=NUMERIC, categorical=CATEGORICAL, rounds=12).first()
     assert row.rows == 60 and row.roc_auc > 0.6
+    assert models.tree_count(PipelineModel.load(f"{tmp_path}/model")) == 12  # validation rows do not end it
     kept = spark.read.option("header", True).csv(f"{tmp_path}/predictions")
     assert kept.columns == ["row_id", "actual_default", "default_probability"] and kept.count() == 60
     manifest = spark.read.json(f"{tmp_path}/manifest")

@@ -1,9 +1,12 @@
+import os
+
 import pytest
 
 import __spark_entry__ as entry_module
 from compare import connect, difference
+from scorewright.plans.oracle import ORACLE
+from scorewright.plans.queries import QUERIES
 
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,15 +18,22 @@ def test_entry(spark):
     assert [r.band for r in entry_module.entry(spark).collect()] == ["low", "review", "high"]
 
 
-def test_sql_belongs_to_queries():
-    assert set(ORACLE) <= set(QUERIES)
+#: Results that SQL cannot tell.
+WITHOUT_SQL: set[str] = set()
+
+
+def test_every_query_has_sql():
+    assert set(ORACLE) == set(QUERIES) - WITHOUT_SQL
+
+
+#: Two more fits of 180 rounds each; the flows have tests of their own with fewer. TEST_SLOW=1 runs them here too.
+SLOW = set() if os.environ.get("TEST_SLOW") else {"train_and_evaluate", "batch_flow"}
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - SLOW))
 def test_query_equals_sql(spark, sf, con, name):
     assert difference(QUERIES[name](spark, sf), con, ORACLE[name]) is None
 
 
-@pytest.mark.parametrize("name", ["artifact_digest", "train_logistic"])
-def test_query_without_sql_gives_rows(spark, sf, name):
-    assert QUERIES[name](spark, sf).count() > 0
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())

@@ -51,15 +51,14 @@ def test_repeated_keys_at_a_cut_are_rejected(spark):
         sampling.stratified_split(df)
 
 
-@pytest.mark.parametrize("digits", [0, 1, 2, None])
-def test_donors_are_a_permutation(spark, digits):
+@pytest.mark.parametrize("rows_per_task", [10**6, 150])
+def test_donors_are_a_permutation(spark, rows_per_task):
     df = spark.range(2000).select(F.col("id").alias("row_id"), F.col("id").alias("x"))
-    rows = sampling.seeded_donors(df, ["x"], digits=digits).collect()
+    rows = sampling.seeded_donors(df, ["x"], rows_per_task=rows_per_task).collect()
     for repeat in (1, 2):
         donated = [r.donor.x for r in rows if r.repeat == repeat]
         assert sorted(donated) == list(range(2000))
-        moved = sum(r.donor.x != r.row_id for r in rows if r.repeat == repeat)
-        assert moved > 1950
+        assert all(r.donor.x != r.row_id for r in rows)
     first = {r.row_id: r.donor.x for r in rows if r.repeat == 1}
     second = {r.row_id: r.donor.x for r in rows if r.repeat == 2}
     assert first != second
@@ -67,14 +66,44 @@ def test_donors_are_a_permutation(spark, digits):
     assert abs(correlation) < 0.1
 
 
+def test_a_new_row_changes_one_donor(spark):
+    def donors(n):
+        df = spark.range(n).select(F.col("id").alias("row_id"), F.col("id").alias("x"))
+        found = sampling.seeded_donors(df, ["x"], repeats=1, rows_per_task=10_000)
+        return {r.row_id: r.x for r in found.select("row_id", "donor.x").collect()}
+
+    before, after = donors(50_000), donors(50_001)
+    changed = [k for k in before if before[k] != after[k]]
+    assert len(changed) == 1 and after[changed[0]] == 50_000
+
+
+def test_columns_may_be_shuffled_on_their_own(spark):
+    df = spark.range(300).select(F.col("id").alias("row_id"), F.col("id").alias("x"), F.col("id").alias("y"))
+    rows = sampling.seeded_donors(df, ["x", "y"], repeats=1, per_column=True).collect()
+    by_x = {r.row_id: r.donor.x for r in rows if r.shuffled == "x"}
+    by_y = {r.row_id: r.donor.y for r in rows if r.shuffled == "y"}
+    assert sorted(by_x.values()) == sorted(by_y.values()) == list(range(300)) and by_x != by_y
+
+
 def test_missing_values_are_donated_too(spark):
     df = spark.range(50).select(F.col("id").alias("row_id"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("x"))
-    rows = sampling.seeded_donors(df, ["x"], repeats=1, digits=0).collect()
+    rows = sampling.seeded_donors(df, ["x"], repeats=1).collect()
     assert sum(r.donor.x is None for r in rows) == 25
 
 
-def test_shuffle_cells_grow_with_the_rows():
-    assert [sampling.shuffle_digits(n) for n in (0, 50_000, 800_000, 10**12)] == [0, 0, 1, 7]
+@pytest.mark.parametrize("label", ["cast(null as int)", "2", "cast(id as int)"])
+def test_split_refuses_other_labels_than_classes(spark, label):
+    df = spark.range(30).selectExpr("id as row_id", f"{label} as label")
+    with pytest.raises(ValueError, match="0 or 1"):
+        sampling.stratified_split(df)
+
+
+def test_large_cells_of_a_cut_are_divided(spark, monkeypatch):
+    df = spark.range(3000).select(F.col("id").alias("row_id"), (F.col("id") % 5 == 0).cast("int").alias("label"))
+    wanted = set(sampling.stratified_split(df).filter("split = 'test'").collect())
+    monkeypatch.setattr(sampling, "_CELL_DIGITS", 1)
+    monkeypatch.setattr(sampling, "_ROWS_PER_CELL", 3)
+    assert set(sampling.stratified_split(df).filter("split = 'test'").collect()) == wanted
 
 
 def test_importance_of_used_and_unused_columns(spark):
@@ -88,6 +117,10 @@ def test_importance_of_used_and_unused_columns(spark):
     assert [r.feature for r in top] == ["signal", "noise"]
     assert top[0].importance > 0.4 and top[1].importance == 0.0
     assert permutation.top_features(found, 1).count() == 1
+    alone = permutation.permutation_importance(
+        df, lambda t: t.withColumn("p", F.col("signal")), ["noise", "signal"], per_column=True
+    )
+    assert [r.importance > 0.4 for r in permutation.top_features(alone).collect()] == [True, False]
 
 
 def test_channels(spark, tmp_path):

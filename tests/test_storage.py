@@ -1,9 +1,11 @@
+import os
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from scorewright import storage
+from scorewright.sources import channels, tables
 
 
 def session(master, configured=None, already=None):
@@ -40,3 +42,26 @@ def test_materialized_table_keeps_rows_and_types(spark):
 def test_small_table_types(spark):
     table = storage.small_table(spark, a=["x"], b=[[1.0, 2.0]], c=[None])
     assert table.dtypes == [("a", "string"), ("b", "array<double>"), ("c", "double")]
+
+
+def test_discarded_tables_are_gone(spark):
+    kept, gone = (storage.materialize(spark.range(3)) for _ in range(2))
+    parts = storage.materialize(spark.range(6).withColumn("k", F.col("id") % 2), partition_by="k")
+    assert parts.filter("k = 1").count() == 3
+    storage.discard(gone)
+    assert kept.count() == 3 and not os.path.exists(os.path.dirname(gone.inputFiles()[0].removeprefix("file://")))
+
+
+@pytest.mark.parametrize("line", ["0,abc", "1,0.7,9", "1"])
+def test_bad_lines_are_refused(spark, tmp_path, line):
+    (tmp_path / "part-0.csv").write_text(f"0,0.5\n{line}\n")
+    with pytest.raises(Exception, match="MALFORMED|[Mm]alformed|FAILED_READ"):
+        channels.read_headerless(spark, str(tmp_path), "row_id int, p double").collect()
+
+
+def test_line_breaks_are_refused(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\nb"), (2, "c")], "i int, t string")
+    with pytest.raises(Exception, match="line break"):
+        tables.write_csv(df, str(tmp_path / "out"))
+    tables.write_csv(df.filter("i = 2"), str(tmp_path / "fine"))
+    assert tables.strict_csv(spark).schema("i int, t string").option("header", True).csv(str(tmp_path / "fine")).first().t == "c"
