@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..storage import materialize, shared_folder
+from ..storage import discard, materialize, shared_folder
 from .features import fit_preparation
 
 _WEIGHT = "_class_weight"
@@ -97,12 +97,15 @@ def fit_models(
     shared_folder(train.sparkSession)  # boosting checkpoints there
     weighted, rows = balanced_weights(train, label)
     preparation = fit_preparation(train, numeric, categorical).fit(train)
-    prepared = in_tasks(materialize(preparation.transform(weighted).select(label, _WEIGHT, "features")), rows)
+    stored = materialize(preparation.transform(weighted).select(label, _WEIGHT, "features"))
+    prepared = in_tasks(stored, rows)
     estimators: dict[str, Estimator] = {
         config.BASELINE_MODEL: logistic_regression(rows, label),
         config.CHALLENGER_MODEL: gradient_boosting(label, rounds),
     }
-    return {name: PipelineModel(stages=[preparation, estimators[name].fit(prepared)]) for name in names}
+    fitted = {name: PipelineModel(stages=[preparation, estimators[name].fit(prepared)]) for name in names}
+    discard(stored)
+    return fitted
 
 
 def with_probability(model: PipelineModel, df: DataFrame, p: str = "p") -> DataFrame:

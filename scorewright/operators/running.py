@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..storage import materialize, materialize_checked
+from ..storage import discard, materialize, materialize_checked
 
 _RANGE, _OPENING = "_range", "_opening"
 
@@ -47,6 +47,7 @@ def running_totals(
     ranged = materialize(
         counted.repartitionByRange(ranges, *by, order_by).withColumn(_RANGE, F.spark_partition_id())
     )
+    discard(counted)
 
     # One row per range and group: ranges are contiguous, so there are at most
     # (ranges + groups) of them, and at most (ranges) in one group.

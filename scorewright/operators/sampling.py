@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import seeded_hash
-from ..storage import materialize, pin
+from ..storage import discard, materialize, pin
 
 Counts = dict[int, int]
 
@@ -158,6 +158,7 @@ def seeded_donors(
     hashed = materialize(repeated.withColumn("_h", seeded_hash(F.concat_ws(":", *salt), key)))
     ranges = max(df.sparkSession.sparkContext.defaultParallelism, -(-hashed.count() // rows_per_task))
     ranged = materialize(hashed.repartitionByRange(ranges, *cycle, "_h", key).withColumn("_range", F.spark_partition_id()))
+    discard(hashed)
 
     values = F.struct(*columns)
     # One row per range and cycle.

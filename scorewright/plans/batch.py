@@ -14,7 +14,7 @@ from ..operators.metrics import ranking_metrics
 from ..operators.models import in_tasks, managed_boosting, with_probability
 from ..sources import channels
 from ..sources.tables import strict_csv, write_csv, write_json
-from ..storage import materialize, shared_folder
+from ..storage import discard, materialize, shared_folder
 
 
 def evaluate_scores(labels: DataFrame, scores: DataFrame) -> DataFrame:
@@ -36,6 +36,7 @@ def train_on_channels(
         rows = rows.union(validation.withColumn("is_validation", F.lit(True)))
     prepared = materialize(preparation.transform(rows).select(label, "is_validation", "features"))
     booster = managed_boosting(label, rounds, early_stop).fit(in_tasks(prepared, prepared.count()))
+    discard(prepared)
     return PipelineModel(stages=[preparation, booster])
 
 

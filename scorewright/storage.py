@@ -6,6 +6,7 @@ A machine-local folder is used only for a local master that names none.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,11 +46,11 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete the files of materialized tables that no later read needs."""
+    """Delete materialized tables that no later read needs, here or in a result that is still to be computed."""
     for df in tables:
         context = df.sparkSession.sparkContext
-        paths = {path.rsplit("/", 1)[0] for path in df.inputFiles()}
-        for path in paths:
+        roots = {re.match(".*/table-[0-9a-f]{32}(?=/)", path)[0] for path in df.inputFiles()}
+        for path in roots:
             folder = context._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 

@@ -48,8 +48,9 @@ def test_discarded_tables_are_gone(spark):
     kept, gone = (storage.materialize(spark.range(3)) for _ in range(2))
     parts = storage.materialize(spark.range(6).withColumn("k", F.col("id") % 2), partition_by="k")
     assert parts.filter("k = 1").count() == 3
-    storage.discard(gone)
-    assert kept.count() == 3 and not os.path.exists(os.path.dirname(gone.inputFiles()[0].removeprefix("file://")))
+    files = gone.inputFiles() + parts.inputFiles()
+    storage.discard(gone, parts)
+    assert kept.count() == 3 and not any(os.path.exists(f.removeprefix("file://")) for f in files)
 
 
 @pytest.mark.parametrize("line", ["0,abc", "1,0.7,9", "1"])
