@@ -28,21 +28,43 @@ from scorewright.storage import materialize
 
 #: Batches that the documents of one call are indexed in, and classes of a head that one task compares.
 BATCHES, TOGETHER = 4, 512
+#: Bytes of text, and classes, that a task lays out at once.
+PIECE, CLASSES = 1 << 20, 1 << 11
 _CLASS = ["head", "whole", "back", "ahead"]
 _SPANS = "array<struct<low:long,high:long>>"
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """Texts by their numbers, offsets and bytes, about ``PIECE`` bytes at a time.
+
+    A longer text comes in pieces that overlap by one byte less than a string, so each string is in one piece.
+    """
+    own: list[int] = []
+    offsets: list[int] = []
+    raw: list[bytes] = []
+    size = 0
     for batch in batches:
-        for part, texts in text_slices(batch):
-            yield part, [t.encode() for t in texts]
+        for part, texts in text_slices(batch, budget=PIECE):
+            for name, text in zip(part.column("own").to_pylist(), texts, strict=True):
+                data = text.encode()
+                for at in range(0, max(1, len(data) - LENGTH + 1), PIECE):
+                    piece = data[at : at + PIECE + LENGTH - 1]
+                    if raw and size + len(piece) > PIECE:
+                        yield own, offsets, raw
+                        own, offsets, raw, size = [], [], [], 0
+                    own.append(name)
+                    offsets.append(at)
+                    raw.append(piece)
+                    size += len(piece)
+    if raw:
+        yield own, offsets, raw
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    for part, raw in _slices(batches):
-        own = part.column("own").to_numpy()
+    for own, offsets, raw in _pieces(batches):
         found = runs(roll(raw))
-        yield {"own": own[found.row], "anchor": found.anchor, "back": found.back, "ahead": found.ahead, "head": found.head.view(np.int64), "whole": found.whole.view(np.int64)}
+        at = found.anchor + np.array(offsets, np.int64)[found.row]
+        yield {"own": np.array(own, np.int64)[found.row], "anchor": at, "back": found.back, "ahead": found.ahead, "head": found.head.view(np.int64), "whole": found.whole.view(np.int64)}
 
 
 def _only_marked(bits: np.ndarray, column: str):
@@ -136,9 +158,11 @@ def _compare_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         table = pa.Table.from_batches([batch])
         table = table if held is None else pa.concat_tables([held, table])
         heads = table.column("head").to_numpy()
-        done = int(np.searchsorted(heads, heads[-1]))
-        if done:
-            yield _compare(table.slice(0, done).to_pydict())
+        begins = np.concatenate([[0], np.flatnonzero(np.diff(heads)) + 1])
+        done = 0
+        while (more := begins[begins <= done + max(CLASSES, TOGETHER)][-1]) > done:
+            yield _compare(table.slice(done, int(more) - done).to_pydict())
+            done = int(more)
         held = table.slice(done)
     if held is not None:
         yield _compare(held.to_pydict())
@@ -146,17 +170,21 @@ def _compare_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 def _explode_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 1 << 13):
-            table = batch.slice(at, 1 << 13).to_pydict()
+        for at in range(0, batch.num_rows, CLASSES):
+            table = batch.slice(at, CLASSES).to_pydict()
             row, before, key = _strings(table)
             yield {"head": np.array(table["head"])[row], "key": key.view(np.int64), "id": np.array(table["id"])[row], "n": np.array(table["n"])[row], "before": before}
 
 
-def _removed(columns: list[str], digest: bool):
+def _removed(columns: list[str], digest: bool, touched: np.ndarray | None = None):
+    """Texts without their ``spans``; given a bitmap, only those that it does not mark, whole."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
+            if touched is not None:
+                batch = batch.filter(pa.array(~marked(touched, batch.column("own").to_numpy())))
             for part, texts in text_slices(batch):
-                spans = part.column("spans").to_pylist()
+                spans = part.column("spans").to_pylist() if touched is None else [None] * len(texts)
                 out: dict[str, list] = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
                 for text, own in zip(texts, spans, strict=True):
                     raw = text.encode()
@@ -236,9 +264,8 @@ def remove_repeated(documents: DataFrame, *, key: str = "doc_id", carry: tuple[s
     found = repeated_spans(rows.where("octet_length(text) >= 200").select("own", "text"), batches=batches)
     bits = bitmap(found, "own")
     names = [*dict.fromkeys([*columns, "text", "own"])]
-    touched, others = split(rows.select(*names), bits, "own")
-    touched = touched.join(found, "own", "left")
-    others = others.withColumn("spans", F.lit(None).cast(_SPANS))
+    touched, _ = split(rows.select(*names), bits, "own")
     out = ", ".join(f"`{c}` {fields[c]}" for c in columns) + ", n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
-    removed = map_batches(touched.select(*names, "spans").unionByName(others.select(*names, "spans")), _removed(columns, digest), out)
+    removed = map_batches(touched.join(found, "own", "left").select(*names, "spans"), _removed(columns, digest), out)
+    removed = removed.unionByName(map_batches(rows.select(*names), _removed(columns, digest, bits), out))
     return removed.drop("kept" if digest else "kept_sha256")
