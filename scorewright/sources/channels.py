@@ -16,8 +16,13 @@ LABELED = ("train", "validation")
 HELD_OUT = "transform"
 TEST_LABELS = "test_labels"
 
-# Bounds the part files, which are digested one file at a time.
-ROWS_PER_FILE = 1_000_000
+# Part files are digested one at a time, as one value of at most 2 GB: they are kept far below that, at so many
+# bytes for a field. Channels hold numbers and short codes.
+_FILE_BYTES, _FIELD_BYTES = 256 << 20, 64
+
+
+def rows_per_file(fields: int) -> int:
+    return max(1, _FILE_BYTES // (_FIELD_BYTES * max(1, fields)))
 
 
 def channel_split(df: DataFrame, label: str = "label", key: str = config.ROW_ID, seed: int = config.SEED) -> DataFrame:
@@ -31,7 +36,6 @@ def write_channels(
     features: Sequence[str],
     label: str = "label",
     key: str = config.ROW_ID,
-    rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
     """Train and validation: label first. The held-out part: features and labels apart.
 
@@ -40,7 +44,7 @@ def write_channels(
     """
     def write(part: str, columns: Sequence[str], channel: str) -> None:
         rows = split.filter(F.col("split") == part).select(*columns)
-        write_csv(rows, f"{folder}/{channel}", header=False, rows_per_file=rows_per_file)
+        write_csv(rows, f"{folder}/{channel}", header=False, rows_per_file=rows_per_file(len(columns)))
 
     for name in LABELED:
         write(name, [label, *features], name)
