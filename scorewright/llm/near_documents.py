@@ -8,7 +8,8 @@ that may link to large ones are entered in the lists too.
 
 Every class of a list is compared with one pivot first, which settles large groups in linear work. Classes
 that are then connected need no comparison; of the others in a list, pairs remain only where sizes, places in
-the order and the distances to the pivot (Jaccard distance is a metric) allow a link. These are compared.
+the order and the distances to the pivot (Jaccard distance is a metric) allow a link. These are compared, first
+by counts of their shingles in cells, which bound what two sets can share, then by the whole sets.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ PERCENT = 80
 COUNTED, OFTEN, FREQUENT = 4 << 20, 3, 1 << 18
 #: Largest size that pairs are weighed for; cost of a compared pair in entries of a list; parts of a frequent list.
 LARGEST_SMALL, PAIR_COST, PARTS = 64, 4.0, 16
+#: Cells that shingles are counted in.
+CELLS = 256
 #: Classes that a task remembers as seen.
 SEEN = 1 << 20
 
@@ -50,7 +53,7 @@ def _measure(key: str):
     """Rows of three kinds: 0 documents, 1 frequent shingles of a task, 2 lengths of its lists."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        names = ("kind", key, "n", "set_id", "token", "count")
+        names = ("kind", "own", key, "n", "set_id", "token", "count")
         held: list[np.ndarray] = []
         size = 0
 
@@ -60,13 +63,13 @@ def _measure(key: str):
             rare = counts[~often].astype(np.int64)
             m = int(often.sum())
             nothing = [None] * (m + 1)
-            return dict(zip(names, ([1] * m + [2], nothing, nothing, nothing, [*_signed(tokens[often]).tolist(), int((rare * (rare - 1)).sum())], [*counts[often].tolist(), int(rare.sum())]), strict=True))
+            return dict(zip(names, ([1] * m + [2], nothing, nothing, nothing, nothing, [*_signed(tokens[often]).tolist(), int((rare * (rare - 1)).sum())], [*counts[often].tolist(), int(rare.sum())]), strict=True))
 
         for batch in batches:
             for part, texts in text_slices(batch):
                 sets = shingle_sets(texts)
                 n = len(texts)
-                yield dict(zip(names, ([0] * n, part.column(key), [len(s) for s in sets], [set_id(s) for s in sets], [None] * n, [None] * n), strict=True))
+                yield dict(zip(names, ([0] * n, part.column("own"), part.column(key), [len(s) for s in sets], [set_id(s) for s in sets], [None] * n, [None] * n), strict=True))
                 held += sets
                 size += sum(map(len, sets))
                 if size >= COUNTED:
@@ -146,22 +149,16 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def _needed_sets(filter_bits: np.ndarray):
+    """Sets of the marked texts, with the number of their shingles in each of ``CELLS`` cells."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        seen: set[int] = set()
         for batch in batches:
-            for _, texts in text_slices(batch):
-                owners, sets = [], []
-                for s in shingle_sets(texts):
-                    own = set_id(s)
-                    if len(s) < 2 or not marked(filter_bits, np.array([own]))[0] or own in seen:
-                        continue
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen.add(own)
-                    owners.append(own)
-                    sets.append(_signed(s))
-                if owners:
-                    yield {"set_id": owners, "shingles": sets}
+            needed = batch.filter(pa.array(marked(filter_bits, batch.column("own").to_numpy())))
+            for _, texts in text_slices(needed):
+                sets = [s for s in shingle_sets(texts) if len(s) > 1]
+                if sets:
+                    cells = [np.bincount((s % CELLS).astype(np.int64), minlength=CELLS) for s in sets]
+                    yield {"set_id": [set_id(s) for s in sets], "n": [len(s) for s in sets], "cells": cells, "shingles": [_signed(s) for s in sets]}
 
     return work
 
@@ -175,12 +172,23 @@ def _may_link(a: str, b: str) -> Column:
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, distance, linked`` for pairs of classes, from their whole sets."""
-    left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
-    common, total = F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y")
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", common.alias("common"), total.alias("total"))
-    return both.select("a", "b", (1 - F.col("common") / (F.col("total") - F.col("common"))).alias("distance"), (100 * F.col("common") >= PERCENT * (F.col("total") - F.col("common"))).alias("linked"))
+    """``a, b, low, high, linked`` for pairs of classes: bounds of their distance, equal where it was computed.
+
+    Two sets share no more shingles than their cells do, which settles most pairs that do not link. The whole
+    sets meet for the others only.
+    """
+    x = sets.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("cells").alias("x"))
+    y = sets.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("cells").alias("y"))
+    most = F.aggregate(F.zip_with("x", "y", lambda p, q: F.least(p, q).cast("long")), F.lit(0).cast("long"), lambda t, v: t + v)
+    bounded = pairs.join(y, "b").join(x, "a").select("a", "b", most.alias("common"), (F.col("n_a") + F.col("n_b")).alias("total"))
+    near = 100 * F.col("common") >= PERCENT * (F.col("total") - F.col("common"))
+    distance = 1 - F.col("common") / (F.col("total") - F.col("common"))
+    bounded = materialize(bounded.withColumn("near", near).dropDuplicates(["a", "b"]))
+    far = bounded.where("not near").select("a", "b", distance.alias("low"), F.lit(1.0).alias("high"), F.lit(False).alias("linked"))
+    x, y = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
+    exact = bounded.where("near").select("a", "b", "total").join(y, "b").join(x, "a").withColumn("common", F.size(F.array_intersect("x", "y")))
+    exact = exact.select("a", "b", distance.alias("low"), distance.alias("high"), near.alias("linked")).dropDuplicates(["a", "b"])
+    return materialize(exact.unionByName(far))
 
 
 def choose_boundary(sizes: dict[int, int], list_length: float) -> int:
@@ -204,9 +212,9 @@ def near_documents(documents: DataFrame, *, key: str = "doc_id") -> DataFrame:
     by 64-bit fingerprints. Texts are read three times, and only fingerprints are shuffled.
     """
     kind = documents.schema[key].dataType.simpleString()
-    texts = documents.select(key, "text")
-    measured = materialize(map_batches(texts, _measure(key), f"kind int, `{key}` {kind}, n long, set_id long, token long, count long"))
-    rows = measured.where("kind = 0").select(key, "n", "set_id")
+    texts = documents.select(key, "text", F.xxhash64(key, "text").alias("own"))
+    measured = materialize(map_batches(texts, _measure(key), f"kind int, own long, `{key}` {kind}, n long, set_id long, token long, count long"))
+    rows = measured.where("kind = 0").select("own", key, "n", "set_id")
     ranked = measured.where("kind = 1").groupBy("token").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "token").limit(FREQUENT)
     frequent = np.sort(ranked.toArrow().column("token").to_numpy().astype(np.int64).view(np.uint64))
     lists = measured.where("kind = 2").agg(F.sum("token"), F.sum("count"), F.count("*")).first()
@@ -227,31 +235,31 @@ def near_documents(documents: DataFrame, *, key: str = "doc_id") -> DataFrame:
 
     def whole_sets(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
-        found = map_batches(texts, _needed_sets(bitmap(wanted, "set_id")), "set_id long, shingles array<long>")
-        return materialize(found.join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"]))
+        holders = rows.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("own").alias("own"))  # one text of each
+        return materialize(map_batches(texts, _needed_sets(bitmap(holders, "own")), "set_id long, n long, cells array<int>, shingles array<long>"))
 
-    compared = materialize(_compared(first, whole_sets(first)))
+    compared = _compared(first, whole_sets(first))
     links = compared.where("linked").select("a", "b")
     groups = components(links)
 
     # What is left of the lists: classes of several components.
     labelled = lists.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    far = compared.select("a", "b", "distance")
+    far = compared.select("a", "b", "low", "high")
     left = (
         labelled.join(open_keys, "key", "left_semi").join(pivots.select("key", "pivot"), "key")
         .withColumn("a", F.greatest("set_id", "pivot")).withColumn("b", F.least("set_id", "pivot")).join(far, ["a", "b"], "left")
-        .select("key", "set_id", "place", "component", F.when(F.col("set_id") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("distance")).alias("distance"))
+        .select("key", "set_id", "place", "component", *[F.when(F.col("set_id") == F.col("pivot"), 0.0).otherwise(F.coalesce(c, F.lit(limit))).alias(c) for c, limit in (("low", 0.0), ("high", 1.0))])
     )
     left = materialize(left)
-    apart = F.coalesce(F.abs(F.col("x.distance") - F.col("y.distance")) <= 1 - PERCENT / 100 + 1e-9, F.lit(True))
+    apart = F.greatest(F.col("x.low") - F.col("y.high"), F.col("y.low") - F.col("x.high")) <= 1 - PERCENT / 100 + 1e-9
     second = (
         left.alias("x").join(left.alias("y"), F.expr("x.key = y.key and x.set_id > y.set_id and x.component <> y.component"))
         .where(_may_link("x", "y") & apart).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct()
     )
     second = materialize(second.join(compared.select("a", "b"), ["a", "b"], "left_anti"))
     if not second.isEmpty():
-        more = materialize(_compared(second, whole_sets(second))).where("linked").select("a", "b")
+        more = _compared(second, whole_sets(second)).where("linked").select("a", "b")
         groups = components(links.unionByName(more))
 
     found = rows.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").select(key, "n", F.when(F.col("n") > 0, F.coalesce("component", "set_id")).alias("component"))
