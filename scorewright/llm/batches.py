@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 #: Characters that a task works on at once; a longer text is a slice of its own.
-SLICE = 3 << 20
+SLICE = 1 << 20
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text", budget: int = SLICE) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -35,6 +35,9 @@ def _slice(batch: pa.RecordBatch, column: str, start: int, end: int) -> tuple[pa
     return part, [t or "" for t in part.column(column).to_pylist()]
 
 
+#: Bytes of an Arrow batch that reaches a task, in sessions that do not set it themselves.
+BATCH = 8 << 20
+_BATCH_BYTES, _SPARK_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 _shipped: set[str] = set()
 
 
@@ -59,6 +62,8 @@ def ship(spark: SparkSession) -> None:
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` whose function yields columns by name, cast to ``schema`` (DDL)."""
     ship(df.sparkSession)
+    if df.sparkSession.conf.get(_BATCH_BYTES) == _SPARK_BATCH_BYTES:
+        df.sparkSession.conf.set(_BATCH_BYTES, str(BATCH))
     struct = StructType.fromDDL(schema)
     arrow = to_arrow_schema(struct)
 

@@ -34,7 +34,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
         have = np.full(size, base, np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        if size <= 8 << 20:
+        if size <= 4 << 20:
             _powers[name] = have
     return have[:n]
 
@@ -181,7 +181,7 @@ class Ids:
 class Merger:
     """Token ids of distinct pieces, kept between slices up to ``bound`` pieces."""
 
-    def __init__(self, merge: Callable[[list[str]], list[list[int]]], bound: int = 400_000):
+    def __init__(self, merge: Callable[[list[str]], list[list[int]]], bound: int = 200_000):
         self.merge, self.bound = merge, bound
         self._clear()
 
