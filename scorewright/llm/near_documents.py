@@ -86,13 +86,13 @@ def _prefix(light: np.ndarray, heavy: np.ndarray, length: int) -> np.ndarray:
 
 
 def _entries(frequent: np.ndarray, small: int):
-    """Entries of the lists: key, class, its size and the key's place in its order; each class once a task."""
+    """Entries of the lists: key, class, its size, the key's place in its order, its rare shingles; each class once a task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         seen: set[int] = set()
         for batch in batches:
             for _, texts in text_slices(batch):
-                keys, owners, places, parts = [], [], [], []
+                keys, owners, places, parts, rare = [], [], [], [], []
                 for s in shingle_sets(texts):
                     n, own = len(s), set_id(s)
                     if n < 2 or own in seen:  # a set of one links to equal sets only
@@ -120,8 +120,9 @@ def _entries(frequent: np.ndarray, small: int):
                         owners.append(np.full(len(k), own, np.int64))
                         places.append(place + (n << 32))
                         parts.append(part)
+                        rare.append(np.full(len(k), len(light), np.int32))
                 if keys:
-                    yield {"key": _signed(np.concatenate(keys)), "set_id": np.concatenate(owners), "place": np.concatenate(places), "part": np.concatenate(parts)}
+                    yield {"key": _signed(np.concatenate(keys)), "set_id": np.concatenate(owners), "place": np.concatenate(places), "part": np.concatenate(parts), "rare": np.concatenate(rare)}
 
     return work
 
@@ -130,13 +131,13 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Of entries sorted by key and class, those of keys with several classes; parts of frequent keys pass whole."""
     held, passed = None, False  # the last entry, and whether it was given out
     for batch in batches:
-        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "set_id", "place", "part")]
+        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "set_id", "place", "part", "rare")]
         if held is not None:
             columns = [np.concatenate([[x], y]) for x, y in zip(held, columns, strict=True)]
         key, own = columns[:2]
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
-        key, own, place, part = (c[fresh] for c in columns)
+        key, own, place, part, rare = (c[fresh] for c in columns)
         again = key[1:] == key[:-1]
         several = part > 0
         several[1:] |= again
@@ -144,8 +145,8 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         several[0] |= passed
         out = several.copy()
         out[0] &= not passed
-        yield {"key": key[out], "set_id": own[out], "place": place[out]}
-        held, passed = (key[-1], own[-1], place[-1], part[-1]), bool(several[-1])
+        yield {"key": key[out], "set_id": own[out], "place": place[out], "rare": rare[out]}
+        held, passed = (key[-1], own[-1], place[-1], part[-1], rare[-1]), bool(several[-1])
 
 
 def _needed_sets(filter_bits: np.ndarray):
@@ -222,13 +223,13 @@ def near_documents(documents: DataFrame, *, key: str = "doc_id") -> DataFrame:
     sizes = {r.n: r.sets for r in rows.where(F.col("n").between(2, LARGEST_SMALL)).groupBy("n").agg(F.count("*").alias("sets")).collect()}
     small = choose_boundary(sizes, met)
 
-    entries = map_batches(texts, _entries(frequent, small), "key long, set_id long, place long, part int")
+    entries = map_batches(texts, _entries(frequent, small), "key long, set_id long, place long, part int, rare int")
     dealt = entries.repartition("key", "part").sortWithinPartitions("key", "set_id")
-    lists = materialize(map_batches(dealt, _shared, "key long, set_id long, place long"))
+    lists = materialize(map_batches(dealt, _shared, "key long, set_id long, place long, rare int"))
 
-    # A list's pivot is the class in whose order the key comes first. It has the fewest shingles that are rarer
-    # than the key: of copies with changes of their own, the one that all others resemble most.
-    chosen = F.struct(F.col("place").bitwiseAND(0xFFFFFFFF), F.col("set_id"))
+    # A list's pivot is the class with the fewest rare shingles: of copies with changes of their own, the one that
+    # all others resemble most. As this does not depend on the list, a group has about one pivot in all its lists.
+    chosen = F.struct("rare", "set_id")
     pivots = lists.groupBy("key").agg(F.min_by(F.struct("set_id", "place"), chosen).alias("p")).select("key", F.col("p.set_id").alias("pivot"), F.col("p.place").alias("place"))
     met_pivot = lists.alias("e").join(pivots.alias("p"), "key").where((F.col("set_id") != F.col("pivot")) & _may_link("e", "p"))
     first = materialize(met_pivot.select(F.greatest("set_id", "pivot").alias("a"), F.least("set_id", "pivot").alias("b")).distinct())
