@@ -27,7 +27,7 @@ from scorewright.llm.shingles import mixed
 from scorewright.storage import materialize
 
 #: Batches that the documents of one call are indexed in, and classes of a head that one task compares.
-BATCHES, TOGETHER = 4, 512
+BATCHES, TOGETHER = 4, 1 << 13
 #: Bytes of text, and classes, that a task lays out at once.
 PIECE, CLASSES = 1 << 20, 1 << 11
 _CLASS = ["head", "whole", "back", "ahead"]
