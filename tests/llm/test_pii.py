@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from odd import documents
 
+from scorewright.llm import pii
 from scorewright.llm.pii import KINDS, base_spans, find_personal_data, luhn, redact, written
 
 PATTERNS = [
@@ -74,3 +75,36 @@ def test_redaction(spark):
     masked = {r.doc_id: r for r in redact(docs).collect()}
     assert masked[15].text == "mail <email> or <phone> at <ip>" and masked[0].text is None and masked[1].text == ""
     assert redact(docs).columns == docs.columns and redact(docs).count() == docs.count()
+
+
+CARDS = ["4111111111111111", "4242424242424242", "4012888888881881", "5555555555554444", "5105105105105100", "378282246310005", "6011111111111117", "3530111333300000"]
+
+
+def _texts(spark, texts):
+    found = find_personal_data(documents(spark, [(i, t, *[None] * 10) for i, t in enumerate(texts)])).collect()
+    return {texts[r.doc_id]: {texts[r.doc_id][p.start : p.end] for p in r.places} for r in found if r.n_found}
+
+
+def test_identifiers_with_blanks_or_without_digits_are_found(spark):
+    """As long as the seeds of their kind: emails without digits, cards in blocks, phones with blanks and brackets."""
+    texts = [f"card number: {c}" for c in CARDS] + [f"write to mailbox: user{i}@example.com" for i in range(12)]
+    texts += [f"my phone: +1 (319) 555-51{i:02}" for i in range(12)]
+    new = {
+        "write to mailbox: john.doe[at]example.com soon": "john.doe[at]example.com",
+        "card number: 4111 1111 1111 1112 and more": "4111 1111 1111 1112",
+        "my phone: 319 555 5132": "319 555 5132", "my phone: (319) 555-5133, or so": "(319) 555-5133",
+        "my phone: 7": "7", "my phone:319-555-5134": "319-555-5134",
+        "write to mailbox:" + "x" * 99: "x" * 99,
+    }
+    assert _texts(spark, texts + list(new)) == {t: {i} for t, i in new.items()}
+
+
+def test_words_after_patterns_of_other_words_are_no_emails(spark):
+    texts = [f"write to me: user{i}@example.com" for i in range(12)] + [f"write to me: {w}" for w in "soon never often at once here there".split()]
+    assert _texts(spark, texts) == {}
+
+
+@pytest.mark.parametrize("text", ["1 " * 150_000, "(" * 300_000, "1(" * 150_000, "a:" * 150_000, "1" + " " * 300_000, "(1" * 150_000])
+def test_candidates_take_linear_time(text):
+    list(pii._numbers(text, []))
+    [list(pii._words(text, *m.span())) for m in pii._WORD.finditer(text)]
