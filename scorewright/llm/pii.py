@@ -5,7 +5,7 @@ same words elsewhere is an instance too: for addresses, cards and phones a run o
 dots and brackets or a word with digits, for emails any word. Runs are few and kept as a graph; words are looked
 up in the texts, after patterns of emails only. Spark scores the graph of patterns and instances in rounds: a
 pattern is trusted by the share of its distinct instances that are known to be of one kind, an instance by
-the trusted patterns it occurs in. Instances that pass are known in the next round, and at the end every
+the trusted patterns it occurs in. Instances that pass are known in the next round; after a round without new ones every
 occurrence of one that no base pattern covers is a span of its own.
 """
 
@@ -15,6 +15,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,8 @@ from scorewright.llm.filters import BITS, bitmap
 from scorewright.storage import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-#: Rounds of scoring; a trusted pattern's least number of known instances and least share; an instance's least score.
-ROUNDS, SUPPORT, SHARE, SCORE = 3, 5, 0.7, 0.7
+#: A trusted pattern's least number of known instances and least share; an instance's least score.
+SUPPORT, SHARE, SCORE = 5, 0.7, 0.7
 #: Share of the texts that patterns of emails are tried on before all texts are read for those that are left.
 SOME = 1 / 16
 #: Cells that limits of patterns are sent to tasks in; pairs that a task remembers as seen; a longer instance is named by its digest.
@@ -310,14 +311,15 @@ def _bits(instances: DataFrame) -> bytes:
     return bitmap(instances.select(F.crc32(F.encode("instance", "UTF-8")).alias("cell")), "cell").tobytes()
 
 
-def find_personal_data(documents: DataFrame, *, key: str = "doc_id", carry: tuple[str, ...] = (), rounds: int = ROUNDS, support: int = SUPPORT, share: float = SHARE, score: float = SCORE) -> DataFrame:
+def find_personal_data(documents: DataFrame, *, key: str = "doc_id", carry: tuple[str, ...] = (), rounds: int | None = None, support: int = SUPPORT, share: float = SHARE, score: float = SCORE) -> DataFrame:
     """``key, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found, places`` of every row.
 
     Counts and digest are of the base spans; ``spans`` writes all of them as ``kind:start:end`` and
     ``places`` holds them as an array, ``n_found`` counts those that the method added. Columns named in
     ``carry`` are returned unchanged. The scan's result, far smaller than the texts, is stored once in the
     shared folder; scoring works on distinct pairs of pattern and instance. The texts are read again for the
-    words after patterns of emails, as long as there are new ones. A null or empty text has no spans; null keys
+    words after patterns of emails, as long as there are new ones. Rounds go on until one adds no instance, or
+    to ``rounds``. A null or empty text has no spans; null keys
     and repeated rows are kept, one result per row; an empty table gives no rows; other columns are not read.
     """
     fields = {f.name: f.dataType.simpleString() for f in documents.schema}
@@ -334,7 +336,7 @@ def find_personal_data(documents: DataFrame, *, key: str = "doc_id", carry: tupl
     )
     labelled = materialize(edges)
     new_words = True
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):  # what is known only grows, so it ends
         counts = [F.count_if(F.col("kind") == k).alias(f"k{k}") for k in range(len(KINDS))]
         most = F.greatest(*[f"k{k}" for k in range(1, len(KINDS))])
         counted = labelled.groupBy("pattern").agg(F.count("*").alias("n"), F.count_if(F.col("kind") >= 0).alias("known"), *counts)

@@ -108,3 +108,12 @@ def test_words_after_patterns_of_other_words_are_no_emails(spark):
 def test_candidates_take_linear_time(text):
     list(pii._numbers(text, []))
     [list(pii._words(text, *m.span())) for m in pii._WORD.finditer(text)]
+
+
+def test_rounds_go_on_until_nothing_is_added(spark):
+    """Each pattern but the first is trusted only after the one before it revealed an instance of its own."""
+    words = ["aa:", "bb:", "cc:", "dd:", "ee:", "ff:"]
+    texts = [f"{w} +1 (319) 55{i}-51{k:02}" for i, w in enumerate(words) for k in range(12)]
+    new = [f"{w} 70{i}{k}" for i, w in enumerate(words) for k in range(4)]
+    new += [f"{w} 70{i - 1}0" for i, w in enumerate(words) if i]
+    assert _texts(spark, texts + new) == {t: {t.split()[1]} for t in new}
