@@ -4,9 +4,11 @@ The base spans of all texts are the seeds; the words before a seed are its lexic
 same words elsewhere is an instance too: for addresses, cards and phones a run of digits with blanks, hyphens,
 dots and brackets or a word with digits, for emails any word. Runs are few and kept as a graph; words are looked
 up in the texts, after patterns of emails only. Spark scores the graph of patterns and instances in rounds: a
-pattern is trusted by the share of its distinct instances that are known to be of one kind, an instance by
-the trusted patterns it occurs in. Instances that pass are known in the next round; after a round without new ones every
-occurrence of one that no base pattern covers is a span of its own.
+pattern is trusted by the share of its distinct instances that are known to be of one kind. What follows a
+trusted pattern is scored over all patterns it occurs with: each word before it counts once, by the odds that
+the better of its patterns is followed by that kind, so words that others than this kind follow speak against
+it. Instances that pass are known in the next round; after a round without new ones every occurrence of one
+that no base pattern covers is a span of its own.
 """
 
 from __future__ import annotations
@@ -360,18 +362,28 @@ def find_personal_data(documents: DataFrame, *, key: str = "doc_id", carry: tupl
         if mails is not None:
             words = materialize(unknown.join(mails, "pattern").select("pattern", "instance", F.lit(-1).alias("kind"), "trust", F.lit(0).alias("pattern_kind")))
             candidates = candidates.unionByName(words)
+        chosen = materialize(candidates.groupBy("instance").agg(F.max_by("pattern_kind", "trust").alias("found_kind")))
+        kind_known = F.get(F.array(*[f"k{k}" for k in range(len(KINDS))]), F.col("found_kind"))
+        evidence = labelled.where("kind < 0").join(chosen, "instance").join(counted, "pattern").select("pattern", "instance", "found_kind", "n", kind_known.alias("k"))
+        everywhere = None
+        if words is not None and not words.isEmpty():
+            chosen_words = chosen.where(F.col("instance").startswith("w"))
+            everywhere = materialize(map_batches(texts, _pairs_of_words(_bits(chosen_words)), pairs).distinct().join(chosen_words, "instance"))
+            followers = everywhere.groupBy("pattern").agg(F.count("*").alias("n"))  # of other patterns than trusted ones, the least number
+            evidence = evidence.unionByName(
+                everywhere.join(followers, "pattern").join(counted.select("pattern", "known", "k0"), "pattern", "left")
+                .select("pattern", "instance", "found_kind", (F.col("n") + F.coalesce("known", F.lit(0))).alias("n"), F.coalesce("k0", F.lit(0)).alias("k"))
+            )
         known = materialize(
-            candidates
-            .groupBy("instance").agg(F.max_by("pattern_kind", "trust").alias("found_kind"), F.sum(F.log(1 - F.col("trust"))).alias("doubt"))
-            .where(1 - F.exp("doubt") >= score).select("instance", "found_kind")
+            evidence.groupBy("instance", "found_kind", F.substring_index("pattern", " ", -1).alias("last")).agg(F.max(F.log((F.col("k") + 1) / (F.col("n") - F.col("k") + 1))).alias("odds"))
+            .groupBy("instance", "found_kind").agg(F.sum("odds").alias("odds")).where(1 / (1 + F.exp(-F.col("odds"))) >= score).select("instance", "found_kind")
         )
         if known.isEmpty():
             break
         grown = labelled.join(known, "instance", "left").select("pattern", "instance", F.when(F.col("kind") < 0, F.coalesce("found_kind", F.lit(-1))).otherwise(F.col("kind")).alias("kind"))
         found_words = known.where(F.col("instance").startswith("w"))
-        if words is not None and not found_words.isEmpty():
+        if everywhere is not None and not found_words.isEmpty():
             new_words = True
-            everywhere = map_batches(texts, _pairs_of_words(_bits(found_words)), pairs).distinct()
             grown = grown.unionByName(everywhere.join(found_words, "instance", "left_semi").select("pattern", "instance", F.lit(0).alias("kind")))
         labelled = materialize(grown)
     found = materialize(labelled.where("kind >= 0 and instance not like 's%'").groupBy("instance").agg(F.max("kind").alias("found_kind")))

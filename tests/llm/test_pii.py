@@ -117,3 +117,11 @@ def test_rounds_go_on_until_nothing_is_added(spark):
     new = [f"{w} 70{i}{k}" for i, w in enumerate(words) for k in range(4)]
     new += [f"{w} 70{i - 1}0" for i, w in enumerate(words) if i]
     assert _texts(spark, texts + new) == {t: {t.split()[1]} for t in new}
+
+
+def test_other_places_speak_against_an_instance(spark):
+    """A number that once follows a trusted word, and several others too, is none of its kind; nor is such a word."""
+    texts = [f"phone: +1 (319) 555-51{i:02}" for i in range(12)] + [f"mailbox: user{i}@example.com" for i in range(12)]
+    clean = [f"{w} {x} is free" for w in ("room", "model", "invoice", "train") for x in ("5551234", "today")]
+    new = {"phone: 5551235": "5551235", "mailbox: joe[at]example.com": "joe[at]example.com", "phone: 5551236": "5551236", "lobby 5551236": "5551236"}
+    assert _texts(spark, [*texts, "phone: 5551234", "mailbox: today", *clean, *new]) == {t: {i} for t, i in new.items()}
