@@ -45,9 +45,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; rows without an id stay."""
-    groups = materialize(near_documents(docs))
-    return without(docs, groups.where("doc_id <> component_id").select("doc_id"), groups.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    """The document with the smallest id of each group of near duplicates; rows without an id stay.
+
+    Rows of one id with different texts are documents of their own; of equal rows one stays.
+    """
+    own = "own"
+    while own in docs.columns:
+        own += "_"
+    groups = materialize(near_documents(docs, rows_of=True)).where("doc_id is not null")
+    removed = groups.where("own <> first").select(F.col("own").alias(own))
+    repeated = groups.groupBy(F.col("own").alias(own)).agg(F.count("*").alias("n")).where("n > 1").select(own)
+    named = docs.withColumn(own, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    return without(named, removed, repeated, own).drop(own)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

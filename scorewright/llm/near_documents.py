@@ -204,13 +204,16 @@ def choose_boundary(sizes: dict[int, int], list_length: float) -> int:
     return best
 
 
-def near_documents(documents: DataFrame, *, key: str = "doc_id") -> DataFrame:
+def near_documents(documents: DataFrame, *, key: str = "doc_id", rows_of: bool = False) -> DataFrame:
     """``key, n_shingles, component_id`` of every row: its set's size and the smallest key linked to it.
 
     A text without words (null, empty or blank) has an empty set and links with nothing. A row without key
     takes part but is nobody's smallest; alone, its component is null. Rows with the same key are documents
     of their own. An empty table gives no rows; other columns are not read. Sets and shingles are told apart
     by 64-bit fingerprints. Texts are read three times, and only fingerprints are shuffled.
+
+    With ``rows_of`` there are two more columns: ``own``, the ``xxhash64`` of the row's key and text, and
+    ``first``, that of the row with the smallest key of those linked (of several, the smallest ``own``).
     """
     kind = documents.schema[key].dataType.simpleString()
     texts = documents.select(key, "text", F.xxhash64(key, "text").alias("own"))
@@ -263,6 +266,8 @@ def near_documents(documents: DataFrame, *, key: str = "doc_id") -> DataFrame:
         more = _compared(second, whole_sets(second)).where("linked").select("a", "b")
         groups = components(links.unionByName(more))
 
-    found = rows.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").select(key, "n", F.when(F.col("n") > 0, F.coalesce("component", "set_id")).alias("component"))
-    smallest = found.where("component is not null").groupBy("component").agg(F.min(key).alias("component_id"))
-    return found.join(smallest, "component", "left").select(key, F.col("n").alias("n_shingles"), F.coalesce("component_id", key).alias("component_id"))
+    found = rows.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").select("own", key, "n", F.when(F.col("n") > 0, F.coalesce("component", "set_id")).alias("component"))
+    first = F.min(F.when(F.col(key).isNotNull(), F.struct(F.col(key).alias("key"), "own")))
+    smallest = found.where("component is not null").groupBy("component").agg(first.alias("first"))
+    more = ["own", F.coalesce("first.own", "own").alias("first")] if rows_of else []
+    return found.join(smallest, "component", "left").select(key, F.col("n").alias("n_shingles"), F.coalesce("first.key", key).alias("component_id"), *more)
