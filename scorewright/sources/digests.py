@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,14 +39,37 @@ def fold_digests(digests: DataFrame) -> DataFrame:
     """One row, ``sha256``, of a table with that column.
 
     Digests with the same first two digits are sorted, joined and digested, and
-    so are the results; a single digest stands for itself.
+    so are the results; a single digest stands for itself. Equal digests are
+    counted first, and a group is digested as it is read, so no value holds one.
     """
-    def fold(column: str):
-        return F.sha2(F.array_join(F.array_sort(F.collect_list(column)), ""), 256)
+    counted = digests.groupBy("sha256").agg(F.count(F.lit(1)).alias("n")).withColumn("g", F.substring("sha256", 1, 2))
+    groups = counted.repartition("g").sortWithinPartitions("g", "sha256").mapInArrow(_digester(), "n long, only string, folded string")
+    folded = F.sha2(F.array_join(F.array_sort(F.collect_list("folded")), ""), 256)  # a row for each of 256 groups
+    return groups.agg(F.when(F.sum("n") == 1, F.max("only")).otherwise(folded).alias("sha256"))
 
-    groups = digests.groupBy(F.substring("sha256", 1, 2).alias("g")).agg(
-        F.count(F.lit(1)).alias("n"), F.max("sha256").alias("only"), fold("sha256").alias("folded")
-    )
-    return groups.agg(
-        F.when(F.sum("n") == 1, F.max("only")).otherwise(fold("folded")).alias("sha256")
-    )
+
+def _digester(block: int = 1 << 12):
+    """A row for each group of sorted digests with their counts; equal digests are read ``block`` at a time."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([rows], pa.int64()), pa.array([only], pa.string()), pa.array([state.hexdigest()], pa.string())], ["n", "only", "folded"])
+
+        state, group, rows, only = None, None, 0, None
+        for batch in batches:
+            for g, digest, n in zip(*(batch.column(c).to_pylist() for c in ("g", "sha256", "n")), strict=True):
+                if state is None or g != group:
+                    if state is not None:
+                        yield row()
+                    state, group, rows = hashlib.sha256(), g, 0
+                rows, only = rows + n, digest
+                if digest is not None:
+                    some = digest.encode()
+                    many = some * min(n, block)
+                    for _ in range(n // block):
+                        state.update(many)
+                    state.update(some * (n % block))
+        if state is not None:
+            yield row()
+
+    return work
