@@ -1,10 +1,10 @@
-"""Removal of byte strings that occur more than once, with a logarithmic family of sparse suffix arrays.
+"""Removal of byte strings that occur more than once, by an index of anchor fingerprints.
 
-Only suffixes at content-chosen anchors are indexed (see ``anchors``): any two equal strings of ``LENGTH``
-bytes hold anchors with equal heads. The documents come in batches. The suffix array of a batch is its
-distinct heads in order with their counts; it is merge-scanned against every level of the family, which gives
-the heads that occur elsewhere too, and is then merged into the family, equal-sized levels becoming one of
-double size. Anchors with matched heads are extended: anchors whose whole surroundings agree are one class,
+Only content-chosen anchors are indexed (see ``anchors``): any two equal strings of ``LENGTH`` bytes hold
+anchors with equal heads. The documents come in batches. The index of a batch is the fingerprints of its
+distinct heads with their counts; it is joined with every level of the family, which gives the heads that
+occur elsewhere too, and is then merged into the family, equal-sized levels becoming one of double size. The
+family lives for one call. Anchors with matched heads are extended: anchors whose whole surroundings agree are one class,
 and between classes of a head every string of ``LENGTH`` bytes around it is compared by fingerprint. All
 comparisons are between fingerprints of 64 bits for heads and 64 more for surroundings or strings.
 """
@@ -77,12 +77,12 @@ def _only_marked(bits: np.ndarray, column: str):
 
 
 def suffix_array(entries: DataFrame) -> DataFrame:
-    """The distinct heads of a batch in order, with the number of suffixes that begin with each."""
+    """The distinct heads of a batch by fingerprint, with the number of anchors of each; no order of suffixes."""
     return materialize(entries.groupBy("head").agg(F.count("*").alias("n")).sortWithinPartitions("head"))
 
 
 class IndexFamily:
-    """Levels of suffix arrays; level k holds about 2**k batches. Matched heads gather in ``matches``."""
+    """Levels of the index; level k holds about 2**k batches. Matched heads gather in ``matches``."""
 
     def __init__(self) -> None:
         self.levels: dict[int, DataFrame] = {}
