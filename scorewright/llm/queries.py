@@ -11,6 +11,7 @@ from scorewright.llm.chat import conversation_digests, format_turn_rows
 from scorewright.llm.near_documents import near_documents
 from scorewright.llm.near_vectors import near_vectors
 from scorewright.llm.packing import pack
+from scorewright.llm.piece_bpe import encode_decode_pieces
 from scorewright.llm.pii import find_personal_data
 from scorewright.llm.quality import fit, score
 from scorewright.llm.repeated_passages import remove_repeated
@@ -20,6 +21,7 @@ from scorewright.llm.word_bpe import encode_decode
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -73,6 +75,10 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_decode(table(spark, folder, "documents"), WORD_BPE, keep=False)
 
 
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_decode_pieces(table(spark, folder, "documents"), PIECE_BPE, keep=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_jaccard_join": op2_jaccard_join,
@@ -84,4 +90,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeated_passages": op8_repeated_passages,
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
+    "op12_sentencepiece": op12_sentencepiece,
 }
