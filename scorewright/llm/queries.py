@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from scorewright.llm.chat import conversation_digests, format_turn_rows
+from scorewright.llm.conversation_repair import damaged, repair_conversations, repair_digests
 from scorewright.llm.near_documents import near_documents
 from scorewright.llm.near_vectors import near_vectors
 from scorewright.llm.packing import pack
@@ -75,6 +76,14 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_decode(table(spark, folder, "documents"), WORD_BPE, keep=False)
 
 
+def op11_of(conversations: DataFrame) -> DataFrame:
+    return repair_digests(repair_conversations(damaged(conversations)), conversations)
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return op11_of(table(spark, folder, "conversations"))
+
+
 def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encode_decode_pieces(table(spark, folder, "documents"), PIECE_BPE, keep=False)
 
@@ -90,5 +99,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeated_passages": op8_repeated_passages,
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_sentencepiece": op12_sentencepiece,
 }
