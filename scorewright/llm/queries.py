@@ -16,6 +16,7 @@ from scorewright.llm.piece_bpe import encode_decode_pieces
 from scorewright.llm.pii import find_personal_data
 from scorewright.llm.quality import fit, score
 from scorewright.llm.repeated_passages import remove_repeated
+from scorewright.llm.spelling_variants import spelling_variants, word_counts
 from scorewright.llm.token_counts import token_counts
 from scorewright.llm.topk import top_k
 from scorewright.llm.word_bpe import encode_decode
@@ -88,6 +89,10 @@ def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encode_decode_pieces(table(spark, folder, "documents"), PIECE_BPE, keep=False)
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(word_counts(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_jaccard_join": op2_jaccard_join,
@@ -101,4 +106,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe": op10_bpe,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_sentencepiece": op12_sentencepiece,
+    "op13_spelling_variants": op13_spelling_variants,
 }

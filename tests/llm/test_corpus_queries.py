@@ -27,7 +27,7 @@ def test_query_equals_sql(spark, sf, name):
 def test_all_are_registered():
     names = set(entry_module.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_queries_without_sql_give_a_row_per_document(spark, sf):
