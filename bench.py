@@ -24,6 +24,7 @@ HEADLINE = [
     "median_mode_impute", "standardize", "one_hot", "validation_report", "feature_target_bind",
     "permutation_importance_scorecard", "batch_score_evaluation", "report_payload",
     "monitoring_bundle", "train_logistic", "train_boosting", "permutation_importance_model",
+    "train_and_evaluate", "batch_flow",
 ]
 LONG = 8.0  # seconds from which a query is not repeated
 

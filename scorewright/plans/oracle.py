@@ -283,23 +283,24 @@ _FILES = """files AS (
 
 
 def _folded(source: str) -> str:
-    """``folded``: the digests ``d`` of a table, digested in two levels."""
-    return f"""groups AS (
-  SELECT count(*) AS n, max(d) AS single, sha256(string_agg(d, '' ORDER BY d)) AS g FROM {source} GROUP BY substr(d, 1, 2)),
-folded AS (SELECT CASE WHEN sum(n) = 1 THEN max(single) ELSE sha256(string_agg(g, '' ORDER BY g)) END AS sha256 FROM groups)"""
+    """``folded``: the digests ``d`` of a table as the root of the digest tree (depths up to 4)."""
+    levels = "".join(
+        f"""
+level{k} AS (SELECT CASE WHEN {k} < depth THEN substr(prefix, 1, {2 * k}) ELSE prefix END AS prefix, max(depth) AS depth,
+  CASE WHEN {k} < max(depth) THEN sha256(string_agg(entry, ',' ORDER BY prefix)) ELSE max(entry) END AS entry
+  FROM level{k + 1} GROUP BY CASE WHEN {k} < depth THEN substr(prefix, 1, {2 * k}) ELSE prefix END),"""
+        for k in range(3, -1, -1)
+    )
+    return f"""counted AS (SELECT d, count(*) AS n FROM {source} GROUP BY d),
+sizes AS (SELECT CAST(greatest(0, ceil(log(greatest(count(*), 1) / 256.0) / log(256))) AS INTEGER) AS depth, sum(n) AS n FROM counted),
+level4 AS (SELECT substr(d, 1, 2 * depth) AS prefix, max(depth) AS depth,
+  sha256(string_agg(d || ':' || counted.n, ',' ORDER BY d)) AS entry FROM counted, sizes GROUP BY substr(d, 1, 2 * depth)),{levels}
+folded AS (SELECT CASE WHEN (SELECT n FROM sizes) = 1 THEN (SELECT max(d) FROM counted) ELSE entry END AS sha256 FROM level0)"""
 
 
 _MODEL_ROWS = f"WITH {ORDERS}, {_split(0.2, False).replace('FROM scored', 'FROM orders_scored')}"
 
 
-def _tested(models: str) -> str:
-    return f"""{_MODEL_ROWS}
-SELECT model, trees, test_negatives, test_positives, true AS ranks, true AS calibrated
-FROM (VALUES {models}) m(model, trees), (
-  SELECT count(*) FILTER (WHERE label = 0) AS test_negatives, count(*) FILTER (WHERE label = 1) AS test_positives
-  FROM split_rows WHERE split = 'test') c"""
-
-
 ORACLE: dict[str, str] = {
     "scored_rows": f"""WITH {SCORED}
 SELECT row_id, label AS actual_default, p AS default_probability, CAST(p >= 0.5 AS INTEGER) AS predicted_default,
@@ -406,12 +407,6 @@ SELECT CAST(t.k AS INTEGER) AS term, 0.0::DOUBLE AS gradient, c.* FROM range(-1,
          count(*) FILTER (WHERE split = 'train' AND label = 1) AS train_1,
          count(*) FILTER (WHERE split = 'test' AND label = 0) AS test_0,
          count(*) FILTER (WHERE split = 'test' AND label = 1) AS test_1 FROM split_rows) c""",
-    "train_boosting": _tested("('gradient_boosting', 180)"),
-    "train_and_evaluate": _tested("('logistic_regression', 0), ('gradient_boosting', 180)"),
-    "batch_flow": f"""WITH {ORDERS}, {_split(0.3, True).replace('FROM scored', 'FROM orders_scored')}
-SELECT count(*) AS rows, 180 AS trees, true AS ranks FROM split_rows WHERE split = 'transform'""",
-    "permutation_importance_model": "SELECT f AS feature, CAST(p AS INTEGER) AS position, true AS is_difference FROM (VALUES "
-    + ", ".join(f"('{c}', {i})" for i, c in enumerate([*NUMERIC, "o_orderpriority", "c_mktsegment", "o_orderstatus"], 1)) + ") v(f, p)",
     "monitoring_bundle": f"""WITH {ORDERS}, long AS ({_long('orders_scored', DRIFT_COLUMNS)}), {_psi('long')}
 SELECT feature, psi, {STATUS}, 0.10::DOUBLE AS watch_psi, 0.25::DOUBLE AS alert_psi FROM psi""",
     "features_and_target": f"WITH {SCORED} SELECT row_id, n_items, qty, label AS default_next_month FROM scored",

@@ -20,8 +20,6 @@ from .views import docs_labeled, item_scores, orders_scored, orders_with_gaps, t
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-#: What fitted models return. Weights depend on summation order, so these have no SQL; tests hold them against brute force.
-RESULTS: dict[str, Query] = {}
 
 NUMERIC = ["o_totalprice", "c_acctbal", "n_items", "qty"]
 CATEGORICAL = ["o_orderpriority", "c_mktsegment", "o_orderstatus"]
@@ -33,11 +31,6 @@ def query(f: Query) -> Query:
     return f
 
 
-def result(f: Query) -> Query:
-    RESULTS[f.__name__] = f
-    return f
-
-
 def _rounded(df: DataFrame, columns) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
@@ -387,8 +380,8 @@ def permutation_importance_scorecard(spark, folder):
     return permutation.top_features(importance)
 
 
-# Models and whole flows. The queries are checks: counts that SQL can tell (the rows and classes a model met,
-# its trees) and slopes that vanish at a solution. The values themselves are in RESULTS.
+# Models and whole flows. What fitted models return depends on summation order, so all but train_logistic, whose
+# slopes vanish at the solution, have no SQL; tests hold them against brute force.
 
 def _model_table(spark: SparkSession, folder: str) -> DataFrame:
     """Training reads it many times, so the joins run once."""
@@ -401,17 +394,6 @@ def _fit_and_test(spark: SparkSession, folder: str, name: str):
     return models.fit_models(train, NUMERIC, CATEGORICAL, names=[name])[name], train, test
 
 
-def _tested(found: DataFrame, fitted: dict) -> DataFrame:
-    """Metrics of fitted models as the counts behind them."""
-    cell = F.col("confusion_matrix")
-    trees = F.create_map(*[x for name, m in fitted.items() for x in (F.lit(name), F.lit(models.tree_count(m)))])
-    return found.select(
-        "model", trees[F.col("model")].alias("trees"),
-        (cell[0][0] + cell[0][1]).alias("test_negatives"), (cell[1][0] + cell[1][1]).alias("test_positives"),
-        (F.col("roc_auc") > 0.5).alias("ranks"), F.col("brier_score").between(0.0, 0.5).alias("calibrated"),
-    )
-
-
 @query
 def train_logistic(spark, folder):
     """The slope of the penalised loss at the solution, per coefficient, and the classes of both parts."""
@@ -423,24 +405,22 @@ def train_logistic(spark, folder):
     return slopes.select("term", F.abs(F.round("gradient", 4)).alias("gradient")).join(F.broadcast(part.agg(*counts)))  # one row
 
 
-def _boosted(spark: SparkSession, folder: str) -> tuple[DataFrame, dict]:
-    model, _, test = _fit_and_test(spark, folder, config.CHALLENGER_MODEL)
-    fitted = {config.CHALLENGER_MODEL: model}
-    return training.compare_models(fitted, test, "label"), fitted
+def _with_trees(found: DataFrame, fitted: dict) -> DataFrame:
+    trees = F.create_map(*[x for name, m in fitted.items() for x in (F.lit(name), F.lit(models.tree_count(m)))])
+    return found.withColumn("trees", trees[F.col("model")])
 
 
 @query
 def train_boosting(spark, folder):
-    return _tested(*_boosted(spark, folder))
-
-
-@result
-def train_boosting_metrics(spark, folder):
-    """All metrics of the challenger on the test part."""
-    return _boosted(spark, folder)[0]
+    """All metrics of the challenger on the test part, and its number of trees."""
+    model, _, test = _fit_and_test(spark, folder, config.CHALLENGER_MODEL)
+    fitted = {config.CHALLENGER_MODEL: model}
+    return _with_trees(training.compare_models(fitted, test, "label"), fitted)
 
 
-def _top_importance(spark: SparkSession, folder: str) -> DataFrame:
+@query
+def permutation_importance_model(spark, folder):
+    """The importance of every feature for the baseline."""
     model, _, test = _fit_and_test(spark, folder, config.BASELINE_MODEL)
     importance = permutation.permutation_importance(
         test, lambda df: models.with_probability(model, df), [*NUMERIC, *CATEGORICAL]
@@ -449,54 +429,21 @@ def _top_importance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def permutation_importance_model(spark, folder):
-    """Every feature's place in the table, and that its importance is one."""
-    top = _top_importance(spark, folder)
-    return top.select("feature", "position", F.col("importance").between(-1.0, 1.0).alias("is_difference"))
-
-
-@result
-def permutation_importance_values(spark, folder):
-    """The importance of every feature for the baseline."""
-    return _top_importance(spark, folder)
-
-
-def _evaluated(spark: SparkSession, folder: str) -> training.TrainingResult:
-    return training.train_and_evaluate(
+def train_and_evaluate(spark, folder):
+    """All metrics of both models on the test part, and which one the flow selects."""
+    found = training.train_and_evaluate(
         _model_table(spark, folder), scratch_path(spark, "train"), numeric=NUMERIC, categorical=CATEGORICAL,
         label="label", monitored=NUMERIC, slices=CATEGORICAL,
     )
-
-
-@query
-def train_and_evaluate(spark, folder):
-    found = _evaluated(spark, folder)
-    return _tested(found.metrics, found.models)
-
-
-@result
-def train_and_evaluate_metrics(spark, folder):
-    """All metrics of both models on the test part, and which one the flow selects."""
-    found = _evaluated(spark, folder)
-    return found.metrics.withColumn("selected", F.col("model") == found.selected_model)
-
-
-def _batch(spark: SparkSession, folder: str) -> tuple[DataFrame, str]:
-    base = scratch_path(spark, "batch-flow")
-    return batch.batch_flow(_model_table(spark, folder), base, numeric=NUMERIC, categorical=CATEGORICAL), base
+    return _with_trees(found.metrics, found.models).withColumn("selected", F.col("model") == found.selected_model)
 
 
 @query
 def batch_flow(spark, folder):
-    found, base = _batch(spark, folder)
-    trees = models.tree_count(PipelineModel.load(f"{base}/model"))
-    return found.select("rows", F.lit(trees).alias("trees"), (F.col("roc_auc") > 0.5).alias("ranks"))
-
-
-@result
-def batch_flow_metrics(spark, folder):
-    """Rows, ROC-AUC and average precision of the held-out channel."""
-    return _batch(spark, folder)[0]
+    """Rows, ROC-AUC and average precision of the held-out channel, and the trees of the model that scored it."""
+    base = scratch_path(spark, "batch-flow")
+    found = batch.batch_flow(_model_table(spark, folder), base, numeric=NUMERIC, categorical=CATEGORICAL)
+    return found.withColumn("trees", F.lit(models.tree_count(PipelineModel.load(f"{base}/model"))))
 
 
 # Monitoring and table parts

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import materialize
+
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
     """``file`` (relative to ``path``), ``length``, ``sha256`` for every file below ``path``.
@@ -28,48 +27,39 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
 
 
 def artifact_digest(spark: SparkSession, path: str) -> DataFrame:
-    """One row, ``sha256``: the file's own digest, or for a folder the digest of its digests.
-
-    Folder digests are folded in two levels, so no task holds all of them.
-    """
+    """One row, ``sha256``: the file's own digest, or for a folder the digest of its digests (see :func:`fold_digests`)."""
     return fold_digests(file_digests(spark, path))
 
 
-def fold_digests(digests: DataFrame) -> DataFrame:
-    """One row, ``sha256``, of a table with that column.
+#: Hex digits that a level of the tree divides by, and distinct digests that a leaf may have on average.
+FAN_DIGITS, LEAF = 2, 256
+
+
+def tree_depth(distinct: int, leaf: int = LEAF) -> int:
+    """Levels above the leaves: the fewest with which leaves of evenly spread digests hold ``leaf`` on average."""
+    depth = 0
+    while distinct > leaf * 16 ** (FAN_DIGITS * depth):
+        depth += 1
+    return depth
+
+
+def fold_digests(digests: DataFrame, leaf: int = LEAF) -> DataFrame:
+    """One row, ``sha256``, of a table with that column: the root of a tree of bounded fan-in.
 
-    Digests with the same first two digits are sorted, joined and digested, and
-    so are the results; a single digest stands for itself. Equal digests are
-    counted first, and a group is digested as it is read, so no value holds one.
+    Equal digests are counted first, so copies are one row. A leaf holds the digests that share a prefix, as
+    sorted ``digest:count`` entries; a node holds up to 256 nodes whose prefixes begin with its own, in order.
+    Depth follows the number of distinct digests, which are evenly spread, so no node grows with the table. A
+    single digest stands for itself; a null one is an empty text; without rows it is the digest of nothing.
     """
-    counted = digests.groupBy("sha256").agg(F.count(F.lit(1)).alias("n")).withColumn("g", F.substring("sha256", 1, 2))
-    groups = counted.repartition("g").sortWithinPartitions("g", "sha256").mapInArrow(_digester(), "n long, only string, folded string")
-    folded = F.sha2(F.array_join(F.array_sort(F.collect_list("folded")), ""), 256)  # a row for each of 256 groups
-    return groups.agg(F.when(F.sum("n") == 1, F.max("only")).otherwise(folded).alias("sha256"))
-
-
-def _digester(block: int = 1 << 12):
-    """A row for each group of sorted digests with their counts; equal digests are read ``block`` at a time."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([rows], pa.int64()), pa.array([only], pa.string()), pa.array([state.hexdigest()], pa.string())], ["n", "only", "folded"])
-
-        state, group, rows, only = None, None, 0, None
-        for batch in batches:
-            for g, digest, n in zip(*(batch.column(c).to_pylist() for c in ("g", "sha256", "n")), strict=True):
-                if state is None or g != group:
-                    if state is not None:
-                        yield row()
-                    state, group, rows = hashlib.sha256(), g, 0
-                rows, only = rows + n, digest
-                if digest is not None:
-                    some = digest.encode()
-                    many = some * min(n, block)
-                    for _ in range(n // block):
-                        state.update(many)
-                    state.update(some * (n % block))
-        if state is not None:
-            yield row()
-
-    return work
+    counted = materialize(digests.groupBy(F.coalesce("sha256", F.lit("")).alias("d")).agg(F.count(F.lit(1)).alias("n")))
+    sizes = counted.agg(F.count(F.lit(1)).alias("distinct"), F.sum("n").alias("rows")).first()
+    if sizes.rows == 1:
+        return counted.select(F.nullif("d", F.lit("")).alias("sha256"))
+    nodes = counted.select(F.col("d").alias("prefix"), F.concat_ws(":", "d", F.col("n").cast("string")).alias("entry"))
+    for depth in range(tree_depth(sizes.distinct, leaf), -1, -1):
+        own = F.substring("prefix", 1, FAN_DIGITS * depth).alias("own") if depth else F.lit("").alias("own")
+        entries = F.expr("array_join(transform(array_sort(collect_list(struct(prefix, entry))), x -> x.entry), ',')")
+        nodes = nodes.groupBy(own).agg(F.sha2(entries, 256).alias("entry")).withColumnRenamed("own", "prefix")
+    if not sizes.distinct:
+        return digests.sparkSession.range(1).select(F.sha2(F.lit(""), 256).alias("sha256"))
+    return nodes.select(F.col("entry").alias("sha256"))

@@ -1,4 +1,5 @@
 import hashlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,33 +7,72 @@ from pyspark.sql import functions as F
 from scorewright.sources import digests
 
 
-def slow(values):
-    groups = {}
-    for v in values:
-        groups.setdefault(v and v[:2], []).append(v)
-    parts = [hashlib.sha256("".join(sorted(v for v in g if v)).encode()).hexdigest() for g in groups.values()]
-    return values[0] if len(values) == 1 else hashlib.sha256("".join(sorted(parts)).encode()).hexdigest()
+def slow(values, leaf=digests.LEAF):
+    """The tree, node by node from the root."""
+    counts = Counter(v or "" for v in values)
+    if len(values) == 1:
+        return values[0]
+    depth = 0
+    while len(counts) > leaf * 256**depth:
+        depth += 1
+
+    def node(prefix, below):
+        if len(prefix) == 2 * depth:
+            entries = [f"{d}:{n}" for d, n in sorted(below.items())]
+        else:
+            parts = sorted({d[: len(prefix) + 2] for d in below})
+            entries = [node(p, {d: n for d, n in below.items() if d[: len(prefix) + 2] == p}) for p in parts]
+        return hashlib.sha256(",".join(entries).encode()).hexdigest()
+
+    return node("", counts)
 
 
 def _digest(i):
     return hashlib.sha256(str(i).encode()).hexdigest()
 
 
-@pytest.mark.parametrize("values", [[_digest(1)], [_digest(1)] * 2, [_digest(i % 700) for i in range(2000)], [_digest(1)] * 9000 + [_digest(2), None, None], [None]])
-def test_folded_digests(spark, values):
+@pytest.mark.parametrize("leaf", [1, 3, 256])
+@pytest.mark.parametrize("values", [[_digest(1)], [_digest(1)] * 2, [_digest(i % 700) for i in range(2000)], [_digest(1)] * 9000 + [_digest(2)], [None]])
+def test_folded_digests(spark, values, leaf):
+    df = spark.createDataFrame([(v,) for v in values], "sha256 string")
+    assert digests.fold_digests(df, leaf).first().sha256 == slow(values, leaf)
+
+
+def test_null_digests_are_empty_texts(spark):
+    values = [_digest(1), None, None, _digest(2)]
     df = spark.createDataFrame([(v,) for v in values], "sha256 string")
     assert digests.fold_digests(df).first().sha256 == slow(values)
 
 
 def test_no_digest(spark):
-    old = F.sha2(F.array_join(F.array_sort(F.collect_list("sha256")), ""), 256)
-    empty = spark.createDataFrame([], "sha256 string")
-    assert digests.fold_digests(empty).first().sha256 == empty.agg(old.alias("d")).first().d
+    assert digests.fold_digests(spark.createDataFrame([], "sha256 string")).first().sha256 == hashlib.sha256().hexdigest()
+
+
+def test_any_change_shows(spark):
+    def root(values):
+        return digests.fold_digests(spark.createDataFrame([(v,) for v in values], "sha256 string"), 2).first().sha256
+
+    values = [_digest(i) for i in range(40)]
+    assert root(values) == root(values[::-1])
+    assert len({root(values), root(values[1:]), root([*values, values[3]]), root([*values[1:], _digest(99)])}) == 4
+
+
+def test_nodes_are_bounded(spark, monkeypatch):
+    """200,000 rows, half of them copies of one text: no node holds more than a few hundred entries, and no Python runs."""
+    largest, frames = [], []
+    agg = type(spark.range(1).groupBy("id")).agg
+    copies = F.when(F.col("id") % 2 == 0, F.lit("copy")).otherwise(F.col("id").cast("string"))
+    df = spark.range(200_000).select(F.sha2(copies, 256).alias("sha256"))
 
+    def spy(grouped, *columns):
+        if "collect_list" in str(columns):
+            largest.append(agg(grouped, F.count("*").alias("entries")).agg(F.max("entries")).first()[0])
+        frames.append(agg(grouped, *columns))
+        return frames[-1]
 
-def test_many_copies_are_not_collected(spark):
-    """Half of the rows are one text; no list of them is made."""
-    df = spark.range(200_000).select(F.sha2(F.when(F.col("id") % 2 == 0, F.lit("copy")).otherwise(F.col("id").cast("string")), 256).alias("sha256"))
-    plan = digests.fold_digests(df)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("collect_list") == 1 and "MapInArrow" in plan
-    assert digests.fold_digests(df).first().sha256 == slow([r.sha256 for r in df.collect()])
+    monkeypatch.setattr(type(spark.range(1).groupBy("id")), "agg", spy)
+    root = digests.fold_digests(df)
+    monkeypatch.undo()
+    assert len(largest) == 3 and max(largest) <= 300
+    assert not any(word in root._jdf.queryExecution().toString() for word in ("Python", "Arrow", "Pandas"))
+    assert root.first().sha256 == slow([r.sha256 for r in df.collect()])

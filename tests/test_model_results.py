@@ -58,21 +58,22 @@ def test_importances(spark, sf, monkeypatch):
             rows = [(r.row_id, r.label, *[r.donor[x] if x == c else r[x] for x in columns]) for r in given if r.repeat == repeat]
             losses.append(base - slow_average_precision(scores(model, spark.createDataFrame(rows, test.select("row_id", "label", *columns).schema))))
         want[c] = sum(losses) / len(losses)
-    found = {r.feature: r.importance for r in entry.queries()["permutation_importance_values"](spark, sf).collect()}
+    found = {r.feature: r.importance for r in entry.queries()["permutation_importance_model"](spark, sf).collect()}
     assert found == pytest.approx(want, abs=2e-6) and max(found.values()) > 0.01
 
 
 def test_boosting_metrics(spark, sf, monkeypatch):
     model, _, test = fixed(spark, sf, monkeypatch, config.CHALLENGER_MODEL)
-    row, = entry.queries()["train_boosting_metrics"](spark, sf).collect()
+    row, = entry.queries()["train_boosting"](spark, sf).collect()
     same(row, scores(model, test))
+    assert row.trees == 5
 
 
 def test_evaluated_metrics_and_selected_model(spark, sf, monkeypatch):
     kept = []
     flow = queries.training.train_and_evaluate
     monkeypatch.setattr(queries.training, "train_and_evaluate", lambda df, folder, **o: kept.append((df, flow(df, folder, **o))) or kept[-1][1])
-    rows = entry.queries()["train_and_evaluate_metrics"](spark, sf).collect()
+    rows = entry.queries()["train_and_evaluate"](spark, sf).collect()
     df, done = kept[0]
     test = sampling.stratified_split(df, sampling.two_way, label="label").where("split = 'test'")
     for row in rows:
@@ -83,7 +84,7 @@ def test_evaluated_metrics_and_selected_model(spark, sf, monkeypatch):
 def test_batch_metrics(spark, sf, monkeypatch):
     folders = []
     monkeypatch.setattr(queries, "scratch_path", lambda s, n, f=queries.scratch_path: folders.append(f(s, n)) or folders[-1])
-    row, = entry.queries()["batch_flow_metrics"](spark, sf).collect()
+    row, = entry.queries()["batch_flow"](spark, sf).collect()
     kept = spark.read.option("header", True).csv(f"{folders[0]}/predictions").collect()
     rows = [(int(r.actual_default), float(r.default_probability)) for r in kept]
     want = slow_metrics(rows)

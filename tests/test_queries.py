@@ -1,5 +1,3 @@
-import os
-
 import pytest
 
 import __spark_entry__ as entry_module
@@ -18,19 +16,15 @@ def test_entry(spark):
     assert [r.band for r in entry_module.entry(spark).collect()] == ["low", "review", "high"]
 
 
-#: Results that SQL cannot tell.
-WITHOUT_SQL: set[str] = set()
+#: What fitted models return; tests/test_model_results.py holds it against brute force.
+WITHOUT_SQL = {"train_boosting", "permutation_importance_model", "train_and_evaluate", "batch_flow"}
 
 
 def test_every_query_has_sql():
     assert set(ORACLE) == set(QUERIES) - WITHOUT_SQL
 
 
-#: Two more fits of 180 rounds each; the flows have tests of their own with fewer. TEST_SLOW=1 runs them here too.
-SLOW = set() if os.environ.get("TEST_SLOW") else {"train_and_evaluate", "batch_flow"}
-
-
-@pytest.mark.parametrize("name", sorted(set(ORACLE) - SLOW))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, sf, con, name):
     assert difference(QUERIES[name](spark, sf), con, ORACLE[name]) is None
 
