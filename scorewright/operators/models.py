@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..storage import discard, materialize, shared_folder
+from ..storage import discard, materialize_checked, shared_folder
 from .features import fit_preparation
 
 _WEIGHT = "_class_weight"
@@ -74,14 +74,17 @@ def penalised_gradient(model: PipelineModel, weighted: DataFrame, rows: int, lab
     return slopes.select((F.col("term") - 1).alias("term"), (F.col("slope") + F.get(F.array(*map(F.lit, penalty)), F.col("term"))).alias("gradient"))
 
 
+def balanced_weight(rows: int, positives: int, label: str = "label") -> Column:
+    """Rows / (2 * rows of the class), from the counts of a training table."""
+    if positives in (0, rows):
+        raise ValueError("Training data needs both classes")
+    return F.when(F.col(label) == 1, F.lit(rows / (2.0 * positives))).otherwise(F.lit(rows / (2.0 * (rows - positives))))
+
+
 def balanced_weights(train: DataFrame, label: str = "label") -> tuple[DataFrame, int]:
-    """Add rows / (2 * rows of the class) as a weight; also the row count."""
+    """Add :func:`balanced_weight`; also the row count."""
     counts = train.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos")).first()
-    n, pos = counts.n, counts.pos or 0
-    if pos in (0, n):
-        raise ValueError("Training data needs both classes")
-    weight = F.when(F.col(label) == 1, F.lit(n / (2.0 * pos))).otherwise(F.lit(n / (2.0 * (n - pos))))
-    return train.withColumn(_WEIGHT, weight), n
+    return train.withColumn(_WEIGHT, balanced_weight(counts.n, counts.pos or 0, label)), counts.n
 
 
 def fit_models(
@@ -93,12 +96,12 @@ def fit_models(
     rounds: int = 180,
     names: Sequence[str] = (config.BASELINE_MODEL, config.CHALLENGER_MODEL),
 ) -> dict[str, PipelineModel]:
-    """Named, ordered pipelines from raw columns to probability. Preparation is fitted once."""
+    """Named, ordered pipelines from raw columns to probability. Preparation is fitted once; classes are counted in its stored result."""
     shared_folder(train.sparkSession)  # boosting checkpoints there
-    weighted, rows = balanced_weights(train, label)
     preparation = fit_preparation(train, numeric, categorical).fit(train)
-    stored = materialize(preparation.transform(weighted).select(label, _WEIGHT, "features"))
-    prepared = in_tasks(stored, rows)
+    stored, seen = materialize_checked(preparation.transform(train).select(label, "features"), positives=f"sum(cast(`{label}` as long))")
+    rows = seen["rows"]
+    prepared = in_tasks(stored.withColumn(_WEIGHT, balanced_weight(rows, seen["positives"] or 0, label)), rows)
     estimators: dict[str, Estimator] = {
         config.BASELINE_MODEL: logistic_regression(rows, label),
         config.CHALLENGER_MODEL: gradient_boosting(label, rounds),

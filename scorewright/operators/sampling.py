@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import seeded_hash
-from ..storage import discard, materialize, pin
+from .schema import require_unique
+from ..storage import discard, materialize, materialize_checked, pin
 
 Counts = dict[int, int]
 
@@ -58,9 +59,9 @@ def stratified_split(
     Only the cut points are computed: a histogram of hash cells finds the cell
     a cut falls in, and only that cell's rows are ranked. The rows themselves
     are then labelled by comparing them to the cuts, without a shuffle. ``key``
-    must be unique and ``label`` 0 or 1; a repeated key is noticed only at a
-    cut, elsewhere its rows go to the same part.
+    must be unique and ``label`` 0 or 1.
     """
+    require_unique(df, key)
     order = seeded_hash(seed, key)
     keyed = df.select(
         F.col(label).alias("c"), F.col(key).alias("k"), order.alias("h"),
@@ -120,12 +121,9 @@ def _cut_points(keyed: DataFrame, cells: DataFrame, targets: list, key: str) ->
     in_cell = Window.partitionBy("c", "part").orderBy("h", "k")
     found = (
         inside.withColumn("row", F.row_number().over(in_cell))
-        .withColumn("next_k", F.lead("k").over(in_cell))
         .filter(F.col("row") == F.col("rank"))
-        .select("c", "part", "h", "k", "next_k").collect()  # one row per class and cut
+        .select("c", "part", "h", "k").collect()  # one row per class and cut
     )
-    if any(row.k == row.next_k for row in found):
-        raise ValueError(f"{key} is not unique")
     return {(row.c, row.part): (row.h, row.k) for row in found}
 
 
@@ -155,8 +153,8 @@ def seeded_donors(
     if per_column:
         repeated = repeated.withColumn("shuffled", F.explode(F.array(*[F.lit(c) for c in columns])))
         cycle, salt = [*cycle, "shuffled"], [*salt, F.col("shuffled")]
-    hashed = materialize(repeated.withColumn("_h", seeded_hash(F.concat_ws(":", *salt), key)))
-    ranges = max(df.sparkSession.sparkContext.defaultParallelism, -(-hashed.count() // rows_per_task))
+    hashed, seen = materialize_checked(repeated.withColumn("_h", seeded_hash(F.concat_ws(":", *salt), key)))
+    ranges = max(df.sparkSession.sparkContext.defaultParallelism, -(-seen["rows"] // rows_per_task))
     ranged = materialize(hashed.repartitionByRange(ranges, *cycle, "_h", key).withColumn("_range", F.spark_partition_id()))
     discard(hashed)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import is_missing
+from ..storage import discard, materialize_checked
 
 
 def normalize_name(name: object) -> str:
@@ -71,17 +72,22 @@ def split_features_target(df: DataFrame, target: str = config.TARGET) -> tuple[D
     return df.drop(target), df.select(*keys, F.col(target).cast("int").alias(target))
 
 
-def validation_report(df: DataFrame, target: str = config.TARGET) -> DataFrame:
-    """One row per column: missing values, target values that are no number, or not 0 or 1."""
+def validation_checks(df: DataFrame, target: str = config.TARGET) -> dict[str, Column]:
+    """Aggregates by name: missing values per column, target values that are no number, or not 0 or 1."""
     number = F.expr(f"try_cast(`{target}` as double)")
-    checks: list[Column] = []
+    checks: dict[str, Column] = {}
     for name, data_type in df.dtypes:
         missing = is_missing(f"`{name}`", data_type)
-        checks.append(F.count_if(missing).alias(f"{name}|nulls"))
+        checks[f"{name}|nulls"] = F.count_if(missing)
         if name == target:
-            checks.append(F.count_if(~missing & number.isNull()).alias("bad_cast"))
-            checks.append(F.count_if(~missing & ~number.isin(0.0, 1.0)).alias("bad_domain"))
-    one = df.agg(*checks)
+            checks["bad_cast"] = F.count_if(~missing & number.isNull())
+            checks["bad_domain"] = F.count_if(~missing & ~number.isin(0.0, 1.0))
+    return checks
+
+
+def validation_report(df: DataFrame, target: str = config.TARGET) -> DataFrame:
+    """One row per column: the results of :func:`validation_checks`."""
+    one = df.agg(*[check.alias(name) for name, check in validation_checks(df, target).items()])
     rows = [
         F.struct(
             F.lit(name).alias("column"),
@@ -94,28 +100,54 @@ def validation_report(df: DataFrame, target: str = config.TARGET) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
-def require_valid(df: DataFrame, target: str = config.TARGET) -> DataFrame:
-    """Raise on the first kind of fault found, else return ``df`` with an integer target."""
-    require_columns(df, [target], "target column")
-    report = validation_report(df, target).collect()  # one row per column
-    faults = {row.column: row for row in report}
-    if faults[target].bad_cast:
-        raise ValueError(f"{faults[target].bad_cast} values of {target} are no numbers")
-    if faults[target].bad_domain:
-        raise ValueError(f"{faults[target].bad_domain} values of {target} are neither 0 nor 1")
-    missing = {row.column: row.nulls for row in report if row.nulls}
+def raise_faults(seen: dict[str, int], target: str = config.TARGET) -> None:
+    """Raise on the first kind of fault that :func:`validation_checks` counted."""
+    if seen["bad_cast"]:
+        raise ValueError(f"{seen['bad_cast']} values of {target} are no numbers")
+    if seen["bad_domain"]:
+        raise ValueError(f"{seen['bad_domain']} values of {target} are neither 0 nor 1")
+    missing = {name.removesuffix("|nulls"): n for name, n in seen.items() if name.endswith("|nulls") and n}
     if missing:
         raise ValueError(f"rows with missing values, by column: {missing}")
+
+
+def _integer_target(df: DataFrame, target: str) -> DataFrame:
     return df.withColumn(target, F.col(target).cast("double").cast("tinyint"))
 
 
+def require_valid(df: DataFrame, target: str = config.TARGET) -> DataFrame:
+    """Raise on the first kind of fault found, else return ``df`` with an integer target."""
+    require_columns(df, [target], "target column")
+    raise_faults(df.agg(*[check.alias(name) for name, check in validation_checks(df, target).items()]).first().asDict(), target)
+    return _integer_target(df, target)
+
+
+def materialize_valid(df: DataFrame, target: str = config.TARGET) -> DataFrame:
+    """:func:`require_valid` for a table that is costly to compute: it is written once, and what was written is checked."""
+    require_columns(df, [target], "target column")
+    done, seen = materialize_checked(df, **validation_checks(df, target))
+    try:
+        raise_faults(seen, target)
+    except ValueError:
+        discard(done)
+        raise
+    return _integer_target(done, target)
+
+
+def require_unique(df: DataFrame, key: str) -> None:
+    """Raise if a key occurs twice, wherever its rows are. Keys fold in the map-side aggregation before they meet."""
+    if not df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        raise ValueError(f"{key} is not unique")
+
+
 def normalize_dataset(
     features: DataFrame, target: DataFrame, key: str = config.ROW_ID, validate: bool = True
 ) -> DataFrame:
-    """Bind, rename, drop ``id``, validate. The key stays as a column."""
+    """Bind, rename, drop ``id``, validate. The key stays as a column.
+
+    Validation computes the join once, into a table of the shared folder.
+    """
     bound = normalize_columns(bind_features_target(features, target, key))
     require_columns(bound, [config.TARGET], "target column")
     bound = bound.drop("id")
-    return require_valid(bound) if validate else bound
-
-
+    return materialize_valid(bound) if validate else bound

@@ -13,8 +13,8 @@ from ..operators.features import fit_preparation
 from ..operators.metrics import ranking_metrics
 from ..operators.models import in_tasks, managed_boosting, with_probability
 from ..sources import channels
-from ..sources.tables import strict_csv, write_csv, write_json
-from ..storage import discard, materialize, shared_folder
+from ..sources.tables import read_csv, write_csv, write_json
+from ..storage import discard, materialize, materialize_checked, shared_folder
 
 
 def evaluate_scores(labels: DataFrame, scores: DataFrame) -> DataFrame:
@@ -34,8 +34,8 @@ def train_on_channels(
     if early_stop:
         validation = channels.labeled_channel(spark, folder, "validation", features, label)
         rows = rows.union(validation.withColumn("is_validation", F.lit(True)))
-    prepared = materialize(preparation.transform(rows).select(label, "is_validation", "features"))
-    booster = managed_boosting(label, rounds, early_stop).fit(in_tasks(prepared, prepared.count()))
+    prepared, seen = materialize_checked(preparation.transform(rows).select(label, "is_validation", "features"))
+    booster = managed_boosting(label, rounds, early_stop).fit(in_tasks(prepared, seen["rows"]))
     discard(prepared)
     return PipelineModel(stages=[preparation, booster])
 
@@ -74,5 +74,5 @@ def batch_flow(
         config.ROW_ID, F.col("label").alias("actual_default"), F.col("p").alias("default_probability")
     )
     write_csv(aligned, f"{folder}/predictions")
-    kept = strict_csv(spark).schema(aligned.schema).option("header", True).csv(f"{folder}/predictions")
+    kept = read_csv(spark, f"{folder}/predictions", aligned.schema)
     return ranking_metrics(kept, (), "actual_default", "default_probability")

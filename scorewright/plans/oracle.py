@@ -407,8 +407,33 @@ SELECT CAST(t.k AS INTEGER) AS term, 0.0::DOUBLE AS gradient, c.* FROM range(-1,
          count(*) FILTER (WHERE split = 'train' AND label = 1) AS train_1,
          count(*) FILTER (WHERE split = 'test' AND label = 0) AS test_0,
          count(*) FILTER (WHERE split = 'test' AND label = 1) AS test_1 FROM split_rows) c""",
-    "monitoring_bundle": f"""WITH {ORDERS}, long AS ({_long('orders_scored', DRIFT_COLUMNS)}), {_psi('long')}
-SELECT feature, psi, {STATUS}, 0.10::DOUBLE AS watch_psi, 0.25::DOUBLE AS alert_psi FROM psi""",
+    "monitoring_bundle": f"""WITH {ORDERS}, long_drift AS ({_long('orders_scored', DRIFT_COLUMNS)}), {_psi('long_drift')},
+drifts AS (SELECT *, {STATUS} FROM psi),
+current_orders AS (SELECT * FROM orders_scored WHERE sample = 'current'),
+slices AS (WITH {_slices('current_orders', ['o_orderpriority', 'c_mktsegment', 'o_orderstatus'])})
+SELECT 'prediction_drift' AS section, NULL AS item, NULL AS slice, 'psi' AS field, psi AS value, NULL AS text FROM drifts WHERE feature = 'p'
+UNION ALL SELECT 'prediction_drift', NULL, NULL, 'reference_mean', round(ref_mean, 6), NULL FROM drifts WHERE feature = 'p'
+UNION ALL SELECT 'prediction_drift', NULL, NULL, 'current_mean', round(cur_mean, 6), NULL FROM drifts WHERE feature = 'p'
+UNION ALL SELECT 'prediction_drift', NULL, NULL, 'status', NULL, status FROM drifts WHERE feature = 'p'
+UNION ALL SELECT 'feature_drift', feature, NULL, 'psi', psi, NULL FROM drifts WHERE feature <> 'p'
+UNION ALL SELECT 'feature_drift', feature, NULL, 'status', NULL, status FROM drifts WHERE feature <> 'p'
+UNION ALL SELECT 'thresholds', NULL, NULL, 'watch_psi', 0.10::DOUBLE, NULL
+UNION ALL SELECT 'thresholds', NULL, NULL, 'alert_psi', 0.25::DOUBLE, NULL
+UNION ALL """
+    + " UNION ALL ".join(
+        f"SELECT 'governance_slices', slice_column, value, '{f}', CAST({f} AS DOUBLE), NULL FROM slices"
+        for f in ("rows", "observed_default_rate", "predicted_default_rate", "pr_auc")
+    ),
+    "text_roundtrip": """WITH uneven AS (SELECT doc_id, lang, CASE doc_id % 8 WHEN 0 THEN ' ' || text || ' ' WHEN 1 THEN '"' || text || '"'
+  WHEN 2 THEN text || chr(92) WHEN 3 THEN text || chr(13) || chr(10) || 'x' WHEN 4 THEN '' WHEN 5 THEN NULL
+  WHEN 6 THEN chr(92) || '"' || text ELSE text END AS text FROM documents)
+SELECT doc_id, lang, length(text) AS n_chars, sha256(text) AS sha256 FROM uneven""",
+    "dataset_load_rejects": """WITH fields AS (SELECT o_orderkey AS k, o_orderkey % 7 = 0 AS longer, o_orderkey % 11 = 0 AS unknown,
+  CAST(o_custkey AS VARCHAR) AS c, o_orderpriority || ', ' || o_orderstatus AS name, CAST(o_orderstatus = 'F' AS INTEGER) AS y FROM orders)
+SELECT k AS row_id, CAST(c AS INTEGER) AS limit_bal, name, y AS default_next_month, NULL AS line, NULL AS reason
+FROM fields WHERE NOT longer AND NOT unknown
+UNION ALL SELECT NULL, NULL, NULL, NULL, k || ',' || CASE WHEN unknown THEN 'n/a' ELSE c END || ',"' || name || '",' || y || CASE WHEN longer THEN ',more' ELSE '' END,
+  CASE WHEN longer THEN 'number of fields' ELSE 'type of limit_bal' END FROM fields WHERE longer OR unknown""",
     "features_and_target": f"WITH {SCORED} SELECT row_id, n_items, qty, label AS default_next_month FROM scored",
     "column_partition": """SELECT 'o_totalprice' AS name, 'numeric' AS kind, 0 AS place, count(DISTINCT o_totalprice) AS values FROM orders
 UNION ALL SELECT 'o_custkey', 'numeric', 1, count(DISTINCT o_custkey) FROM orders

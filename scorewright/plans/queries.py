@@ -306,6 +306,41 @@ def dataset_load(spark, folder):
     return tables.load_dataset(spark, path, schema=ddl)
 
 
+def _uneven_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole texts with what CSV easily loses: outer blanks, quotes, backslashes, line breaks, empty texts and nulls."""
+    return table(spark, folder, "documents").select(
+        "doc_id", "lang",
+        F.expr(
+            "case doc_id % 8 when 0 then concat(' ', text, ' ') when 1 then concat('\"', text, '\"') when 2 then concat(text, chr(92))"
+            " when 3 then concat(text, chr(13), chr(10), 'x') when 4 then '' when 5 then null when 6 then concat(chr(92), '\"', text) else text end"
+        ).alias("text"),
+    )
+
+
+@query
+def text_roundtrip(spark, folder):
+    """Texts written as CSV and read back."""
+    path = scratch_path(spark, "texts")
+    uneven = _uneven_texts(spark, folder)
+    tables.write_csv(uneven, path, rows_per_file=10_000)
+    kept = tables.read_csv(spark, path, uneven.schema)
+    return kept.select("doc_id", "lang", F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("sha256"))
+
+
+@query
+def dataset_load_rejects(spark, folder):
+    """Lines of orders, some with a field too many and some with a text for a number: good rows, and the rest with reasons."""
+    path = scratch_path(spark, "lines")
+    line = (
+        "concat_ws(',', cast(o_orderkey as string), if(o_orderkey % 11 = 0, 'n/a', cast(o_custkey as string)),"
+        " concat('\"', o_orderpriority, ', ', o_orderstatus, '\"'), cast(int(o_orderstatus = 'F') as string), if(o_orderkey % 7 = 0, 'more', null))"
+    )
+    table(spark, folder, "orders").select(F.expr(line).alias("value")).write.text(path)
+    ddl = f"row_id bigint, limit_bal int, name string, {config.TARGET} int"
+    good, rejects = tables.load_with_rejects(spark, path, ddl, header=False)
+    return good.unionByName(rejects.drop("file"), allowMissingColumns=True)
+
+
 @query
 def validation_report(spark, folder):
     return schema.validation_report(orders_with_gaps(spark, folder), "n_returned")
@@ -450,12 +485,13 @@ def batch_flow(spark, folder):
 
 @query
 def monitoring_bundle(spark, folder):
-    """Drift of the listed columns between the samples, through the two-table form, with the thresholds used."""
-    scored = _order_samples(spark, folder)
+    """Drift of scores and features, slices of the current sample and the thresholds, as one JSON document read back."""
+    scored = materialize(orders_scored(spark, folder).select("sample", "label", *DRIFTING, *CATEGORICAL))
     reference, current = (scored.filter(F.col("sample") == s) for s in ("reference", "current"))
-    found = drift.feature_drift(reference, current, DRIFTING)
-    limits = {"watch_psi": config.WATCH_PSI, "alert_psi": config.ALERT_PSI}
-    return found.select("*", *[F.lit(v).alias(n) for n, v in limits.items()])
+    parts = drift.prediction_drift(reference, current), drift.feature_drift(reference, current, NUMERIC), slices.slice_performance(current, CATEGORICAL)
+    path = scratch_path(spark, "monitoring")
+    tables.write_json(report.monitoring_document(*map(pin, parts)).coalesce(1), path)
+    return report.monitoring_rows(tables.read_json(spark, path, report.MONITORING_SCHEMA))
 
 
 @query

@@ -53,6 +53,62 @@ def metrics_document(metrics: DataFrame, order: list[str], **more: DataFrame) ->
     )
 
 
+_DRIFT_FIELDS, _SLICE_FIELDS = ["psi", "status"], ["rows", "observed_default_rate", "predicted_default_rate", "pr_auc"]
+MONITORING_SCHEMA = (
+    "prediction_drift struct<psi: double, reference_mean: double, current_mean: double, status: string>,"
+    " feature_drift map<string, struct<psi: double, status: string>>,"
+    " governance_slices map<string, map<string, struct<rows: bigint, observed_default_rate: double,"
+    " predicted_default_rate: double, pr_auc: double>>>, thresholds struct<watch_psi: double, alert_psi: double>"
+)
+
+
+def monitoring_document(prediction: DataFrame, features: DataFrame, slices: DataFrame) -> DataFrame:
+    """One row of MONITORING_SCHEMA: drift of the scores and, by column, of the features, and slices by column and value.
+
+    The tables are those of :func:`prediction_drift`, :func:`feature_drift` and :func:`slice_performance`; all
+    are of report size.
+    """
+    def by(name: str, value: Column) -> Column:
+        entries = F.collect_list(F.struct(F.col(name).alias("key"), value.alias("value")))
+        before = lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
+        return F.map_from_entries(F.array_sort(entries, before))
+
+    columns = slices.groupBy("slice_column").agg(by("value", F.struct(*_SLICE_FIELDS)).alias("by_value"))
+    thresholds = F.struct(F.lit(config.WATCH_PSI).alias("watch_psi"), F.lit(config.ALERT_PSI).alias("alert_psi"))
+    parts = {
+        "prediction_drift": prediction.select(F.struct("psi", "reference_mean", "current_mean", "status").alias("prediction_drift")),
+        "feature_drift": features.agg(by("feature", F.struct(*_DRIFT_FIELDS)).alias("feature_drift")),
+        "governance_slices": columns.agg(by("slice_column", F.col("by_value")).alias("governance_slices")),
+    }
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts.values())
+    return stacked.agg(*[F.first(name, ignorenulls=True).alias(name) for name in parts]).withColumn("thresholds", thresholds)
+
+
+def monitoring_rows(document: DataFrame) -> DataFrame:
+    """The document as (section, item, slice, field, value, text) rows; a field without a value has a row, too."""
+    def rows(section: str, item: Column, value: Column, struct: Column, fields: list[str]) -> Column:
+        none = F.lit(None)
+        return F.array(*[
+            F.struct(
+                F.lit(section).alias("section"), item.alias("item"), value.alias("slice"), F.lit(f).alias("field"),
+                (none if f == "status" else struct[f]).cast("double").alias("value"),
+                (struct[f] if f == "status" else none).cast("string").alias("text"),
+            )
+            for f in fields
+        ])
+
+    none = F.lit(None).cast("string")
+    features = F.transform(F.map_entries("feature_drift"), lambda e: rows("feature_drift", e["key"], none, e["value"], _DRIFT_FIELDS))
+    slices = F.transform(F.map_entries("governance_slices"), lambda c: F.flatten(F.transform(
+        F.map_entries(c["value"]), lambda e: rows("governance_slices", c["key"], e["key"], e["value"], _SLICE_FIELDS))))
+    everything = F.concat(
+        rows("prediction_drift", none, none, F.col("prediction_drift"), ["psi", "reference_mean", "current_mean", "status"]),
+        F.flatten(features), F.flatten(slices),
+        rows("thresholds", none, none, F.col("thresholds"), ["watch_psi", "alert_psi"]),
+    )
+    return document.select(F.inline(everything))
+
+
 def report_payload(scored: DataFrame, metrics: DataFrame) -> DataFrame:
     """One row: summary, models, risk_bands, calibration, disclaimer.
 

@@ -23,7 +23,7 @@ from ..operators.slices import present, slice_performance
 from ..sources import registry
 from ..sources.tables import read_scored, write_json, write_scored
 from ..storage import materialize, pin
-from .report import metrics_document
+from .report import metrics_document, monitoring_document
 
 
 @dataclass(frozen=True)
@@ -129,10 +129,7 @@ def train_and_evaluate(
         metrics_document(metrics, order, test=tested, explainability=explained, promotion=promotion).coalesce(1),
         f"{folder}/metrics",
     )
-    thresholds = [F.lit(config.WATCH_PSI).alias("watch_psi"), F.lit(config.ALERT_PSI).alias("alert_psi")]
-    write_json(by_score.select("*", *thresholds), f"{folder}/monitoring/prediction_drift")
-    write_json(by_feature.select("*", *thresholds), f"{folder}/monitoring/feature_drift")
-    write_json(by_slice, f"{folder}/monitoring/slices")
+    write_json(monitoring_document(by_score, by_feature, by_slice).coalesce(1), f"{folder}/monitoring")
     registry.append(registry.registry_entry(metrics, selected, f"{folder}/model"), f"{folder}/registry")
     registry.append(registry.run_log(metrics, selected), f"{folder}/run_log")
     return TrainingResult(

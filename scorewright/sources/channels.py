@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..operators.sampling import stratified_split, three_way
 from .digests import file_digests
-from .tables import strict_csv, write_csv
+from .tables import read_csv, write_csv
 
 LABELED = ("train", "validation")
 HELD_OUT = "transform"
@@ -54,7 +54,7 @@ def write_channels(
 
 def read_headerless(spark: SparkSession, path: str, schema) -> DataFrame:
     """Fails on values of the wrong type and on lines with too few or too many fields."""
-    return strict_csv(spark).schema(schema).option("header", False).csv(path)
+    return read_csv(spark, path, schema, header=False)
 
 
 def labeled_channel(spark: SparkSession, folder: str, name: str, features: str, label: str = "label") -> DataFrame:
@@ -105,7 +105,7 @@ def align_scores(
         scores.select(key, nothing.cast("int").alias(label), F.col(p).cast("double").alias(p))
     )
     matched = f"count({label}) = 1 and count({p}) = 1"
-    fault = "raise_error('Batch predictions do not match the labels')"
+    fault = f"raise_error(concat('{key} ', {key}, ' has ', count({label}), ' labels and ', count({p}), ' scores'))"
     return both.groupBy(key).agg(
         *[F.expr(f"if({matched}, max({c}), {fault})").alias(c) for c in (label, p)]
     )

@@ -39,13 +39,49 @@ def load_dataset(
     return require_valid(df) if validate else df
 
 
+_CORRUPT, _ROW, _AGAIN = "_corrupt", "_row", "_again"
+
+
+def load_with_rejects(spark: SparkSession, path: str, schema: str, *, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The good rows of a CSV file, under normalized names, and ``file, line, reason`` of every other line.
+
+    Every line is parsed by itself as a typed value, so files are split as any text; a quoted line break makes
+    rejects of its lines. ``schema`` is DDL as in :func:`load_dataset`, or of all columns in order without a
+    ``header``. The reason is ``number of fields``, or else ``type of`` the first column whose text is no value
+    of its type. Blank lines are left out.
+    """
+    types = StructType.fromDDL(schema)
+    lines = spark.read.text(path, lineSep="\n").select(F.regexp_replace("value", "\r$", "").alias("line"), F.col("_metadata.file_path").alias("file"))
+    lines = lines.filter("trim(line) <> ''")
+    if header:
+        known = {f.name: f.dataType for f in types}
+        given = spark.read.option("header", True).csv(path).columns
+        types = StructType([StructField(c, known.get(c, StringType())) for c in map(normalize_name, given)])
+        first = F.from_csv("line", ", ".join(f"`c{i}` string" for i in range(len(given))), {"escape": '"'})
+        lines = lines.filter(first != F.struct(*[F.lit(c) for c in given]))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "escape": '"'}
+    fields = [(f.name, f.dataType.simpleString()) for f in types]
+
+    def parsed(kinds: list[str]):
+        ddl = [f"`{name}` {kind}" for (name, _), kind in zip(fields, kinds)] + [f"`{_CORRUPT}` string"]
+        return F.from_csv("line", ", ".join(ddl), options)
+
+    rows = lines.withColumn(_ROW, parsed([kind for _, kind in fields]))
+    bad = F.col(f"{_ROW}.{_CORRUPT}").isNotNull()
+    reason = F.when(F.col(f"{_AGAIN}.{_CORRUPT}").isNotNull(), "number of fields")
+    for name, _ in fields:
+        reason = reason.when(F.col(f"{_AGAIN}.`{name}`").isNotNull() & F.col(f"{_ROW}.`{name}`").isNull(), f"type of {name}")
+    rejects = rows.filter(bad).withColumn(_AGAIN, parsed(["string"] * len(fields))).select("file", "line", reason.otherwise("unreadable").alias("reason"))
+    return rows.filter(~bad).select(*[F.col(f"{_ROW}.`{name}`").alias(name) for name, _ in fields]), rejects
+
+
 def ingest_dataset(
     features: DataFrame, target: DataFrame, path: str, key: str = config.ROW_ID
 ) -> DataFrame:
     """Bind, normalize and validate two raw tables, keep the result as CSV, return it as read back."""
     bound = normalize_dataset(features, target, key)
     write_csv(bound, path)
-    return strict_csv(features.sparkSession).schema(bound.schema).option("header", True).csv(path)
+    return read_csv(features.sparkSession, path, bound.schema)
 
 
 def strict_csv(spark: SparkSession):
@@ -53,14 +89,33 @@ def strict_csv(spark: SparkSession):
     return spark.read.option("mode", "FAILFAST").option("columnPruning", False)
 
 
+#: How this package's CSV keeps any text: quotes are doubled, outer blanks stay, an empty field is null and a
+#: quoted empty one an empty text. Readers must tell these apart by a null text that no field holds.
+_KEPT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "lineSep": "\n"}
+_NULL = "\u0001null"
+
+
+def _texts(schema: StructType) -> list[str]:
+    return [f.name for f in schema if isinstance(f.dataType, StringType)]
+
+
 def write_csv(df: DataFrame, path: str, *, header: bool = True, rows_per_file: int = 0) -> None:
-    """One line per row, so texts must not hold line breaks: writing one fails."""
-    one_line = {
-        c: F.when(F.col(f"`{c}`").rlike("[\\r\\n]"), F.raise_error(F.lit(f"{c} holds a line break, which CSV lines cannot keep")).cast("string")).otherwise(F.col(f"`{c}`"))
-        for c, data_type in df.dtypes if data_type == "string"
-    }
-    df = df.withColumns(one_line) if one_line else df
-    df.write.mode("overwrite").option("header", header).option("maxRecordsPerFile", rows_per_file).csv(path)
+    """Any text is kept, with outer blanks, quotes, backslashes and line breaks; nulls and empty texts stay apart.
+
+    Files with texts cannot be split when they are read, so ``rows_per_file`` should bound them. A table of one
+    column writes a null text as a mark of its own (its line would be empty); a text equal to it is refused.
+    """
+    refused = F.raise_error(F.lit(f"a text is {_NULL!r}, which stands for null")).cast("string")
+    df = df.withColumns({c: F.when(F.col(f"`{c}`") == _NULL, refused).otherwise(F.col(f"`{c}`")) for c in _texts(df.schema)})
+    writer = df.write.mode("overwrite").options(header=header, maxRecordsPerFile=rows_per_file, **_KEPT)
+    (writer.option("nullValue", _NULL) if len(df.columns) == 1 else writer).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, *, header: bool = True) -> DataFrame:
+    """What :func:`write_csv` wrote, unchanged; fails like :func:`strict_csv`."""
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = strict_csv(spark).schema(schema).options(header=header, nullValue=_NULL, emptyValue="", **_KEPT)
+    return reader.option("multiLine", bool(_texts(schema))).csv(path)
 
 
 def write_scored(df: DataFrame, path: str) -> None:

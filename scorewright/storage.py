@@ -11,7 +11,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -55,11 +55,16 @@ def discard(*tables: DataFrame) -> None:
             folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def materialize_checked(df: DataFrame, **checks: str) -> tuple[DataFrame, dict[str, int]]:
-    """:func:`materialize`, with its ``rows`` and further SQL aggregates."""
+def materialize_checked(df: DataFrame, **checks: str | Column) -> tuple[DataFrame, dict[str, int]]:
+    """:func:`materialize`, with its ``rows`` and further aggregates (SQL or columns) of what was written.
+
+    ``df`` is computed once. Rows are counted from file footers, and checks read only their own columns.
+    (``DataFrame.observe`` would save that, but a session that has observed anything cannot be sent to tasks
+    any more, and a logistic model that was just fitted sends its session along.)
+    """
     done = materialize(df)
-    aggregates = {"rows": "count(*)", **checks}
-    return done, done.agg(*[F.expr(e).alias(name) for name, e in aggregates.items()]).first().asDict()
+    aggregates = {"rows": F.count(F.lit(1))} | {name: F.expr(e) if isinstance(e, str) else e for name, e in checks.items()}
+    return done, done.agg(*[e.alias(name) for name, e in aggregates.items()]).first().asDict()
 
 
 def pin(df: DataFrame) -> DataFrame:

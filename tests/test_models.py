@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from scorewright import config
 from scorewright.operators import features, models
 from scorewright.operators.quantiles import text_counts
-from scorewright.plans import batch, training
+from scorewright.plans import batch, report, training
+from scorewright.sources import tables
 
 
 def clients(spark, n=600):
@@ -127,6 +128,11 @@ def test_train_and_evaluate(spark, tmp_path):
     assert [m.name for m in document.models] == ["logistic_regression", "gradient_boosting"]
     assert document.explainability.top_features[0].feature == "pay_0"
     assert document.promotion.promote in (True, False)
+    bundle = tables.read_json(spark, f"{folder}/monitoring", report.MONITORING_SCHEMA).first()
+    assert bundle.prediction_drift.psi == result.prediction_drift.first().psi
+    assert {c: d.psi for c, d in bundle.feature_drift.items()} == {r.feature: r.psi for r in result.feature_drift.collect()}
+    assert {(c, v): s.rows for c, values in bundle.governance_slices.items() for v, s in values.items()} == {(r.slice_column, r.value): r.rows for r in result.slices.collect()}
+    assert bundle.thresholds.alert_psi == config.ALERT_PSI
     entry = spark.read.parquet(f"{folder}/registry").first()
     assert entry.model == result.selected_model and len(entry.artifact_sha256) == 64
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scorewright.operators import permutation, sampling
+from scorewright.operators import permutation, sampling, schema
 from scorewright.sources import channels
 
 
@@ -45,12 +45,19 @@ def test_text_keys(spark):
     assert sampling.stratified_split(df).filter("split = 'test'").count() == 20
 
 
-def test_repeated_keys_at_a_cut_are_rejected(spark):
-    df = spark.range(100).select(F.lit(1).alias("row_id"), (F.col("id") % 2).cast("int").alias("label"))
-    with pytest.raises(ValueError, match="not unique"):
+@pytest.mark.parametrize("repeated", ["1L", "if(id = 0, 999L, id)", "if(id = 500, 17L, id)"])
+def test_a_repeated_key_anywhere_is_rejected(spark, repeated):
+    df = spark.range(1000).selectExpr(f"{repeated} as row_id", "cast(id % 2 as int) as label")
+    with pytest.raises(ValueError, match="row_id is not unique"):
         sampling.stratified_split(df)
 
 
+def test_unique_keys_fold_before_they_meet(spark):
+    schema.require_unique(spark.range(1000).toDF("k"), "k")
+    with pytest.raises(ValueError, match="k is not unique"):
+        schema.require_unique(spark.createDataFrame([(None,), (1,), (None,)], "k int"), "k")
+
+
 @pytest.mark.parametrize("rows_per_task", [10**6, 150])
 def test_donors_are_a_permutation(spark, rows_per_task):
     df = spark.range(2000).select(F.col("id").alias("row_id"), F.col("id").alias("x"))
@@ -148,5 +155,5 @@ def test_scores_and_labels_must_have_the_same_keys(spark):
     good = spark.createDataFrame([(3, .9), (1, .1), (2, .8)], "row_id long, p double")
     assert sorted(map(tuple, channels.align_scores(labels, good).collect())) == [(1, 0, .1), (2, 1, .8), (3, 1, .9)]
     for bad in ([(1, .1), (2, .8)], [(1, .1), (2, .8), (3, .9), (4, .9)], [(1, .1), (2, .8), (3, .9), (3, .9)]):
-        with pytest.raises(Exception, match="do not match"):
+        with pytest.raises(Exception, match="labels and"):
             channels.align_scores(labels, spark.createDataFrame(bad, "row_id long, p double")).collect()
