@@ -94,23 +94,26 @@ class WordTokenizer:
         named = [(name, i) for name, i in vocabulary.items() if reachable[i] and i not in set(self.specials.values())]
         self.last = {name[: -len(_SUFFIX)]: i for name, i in named if name.endswith(_SUFFIX) and len(name) > len(_SUFFIX)}
         self.inner = {name: i for name, i in named if not name.endswith(_SUFFIX)}
-        self.longest = max(map(len, self.inner))
+        self.longest, self.longest_last = max(map(len, self.inner)), max(map(len, self.last))
         self.alphabet = str.maketrans({chr(b): c for b, c in byte_alphabet().items()})
         self.exact = library.model.tokenize
         self.proposed = self.failed = 0
         self.merger = Merger(self._merge)
 
     def _propose(self, word: str) -> list[int]:
+        """Longest matches from the left; nothing if the vocabulary lacks a character. A word's end is looked up
+        only where a last token may reach it, so the work is linear in the word's length."""
         out, at, n = [], 0, len(word)
-        last, inner, longest = self.last, self.inner, self.longest
+        last, inner, longest, near_end = self.last, self.inner, self.longest, len(word) - self.longest_last
         while True:
-            token = last.get(word[at:])
-            if token is not None:
+            if at >= near_end and (token := last.get(word[at:])) is not None:
                 out.append(token)
                 return out
             end = min(n - 1, at + longest)
-            while (token := inner.get(word[at:end])) is None:
+            while end > at and (token := inner.get(word[at:end])) is None:
                 end -= 1
+            if end <= at:
+                return []
             out.append(token)
             at = end
 
@@ -123,7 +126,7 @@ class WordTokenizer:
         seams = np.flatnonzero(of[1:] == of[:-1])
         pairs, inverse = np.unique(flat[seams] * self.tree.size + flat[seams + 1], return_inverse=True)
         fine = self.tree.separate(pairs // self.tree.size, pairs % self.tree.size)[inverse]
-        failing = np.unique(of[seams[~fine]]).tolist()
+        failing = np.union1d(of[seams[~fine]], np.flatnonzero(sizes == 0)).tolist()
         self.proposed += len(lists)
         self.failed += len(failing)
         for i in failing:

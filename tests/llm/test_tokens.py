@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -45,6 +46,17 @@ def test_word_ids_and_texts_are_the_librarys(texts):
         assert decoded == word_library.decode(wanted, skip_special_tokens=False)
 
 
+def test_a_very_long_word_takes_linear_time():
+    random.seed(2)
+    tokenizer = word_tokenizer(WORDS)
+    for letters, size in (("abcdefghijklmnopqrstuvwxyz", 100_000), ("etaoin", 1_000_000), ("a", 300_000)):
+        word = "".join(random.choice(letters) for _ in range(size))
+        begin = time.time()
+        (ids, _), = tokenizer.encode([word])
+        assert time.time() - begin < 10
+        assert ids.tolist() == library_ids(word_library, word)
+
+
 def test_words_that_greedy_matching_gets_wrong():
     rng = random.Random(3)
     words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 25))) for _ in range(4000)]
