@@ -30,47 +30,76 @@ _ESCAPED = re.compile("|".join(rf"{re.escape(c[0])}\\+{re.escape(c[1:])}" for c
 
 @dataclass(frozen=True)
 class Layout:
-    """``texts``: (path, role) in order; or ``each``: the list of turns with its ``role`` and ``text`` fields.
+    """``texts``: (path, role) in order, neighbours of one role being one turn; or ``each``: the path of the list
+    of turns, with the paths of ``role`` and ``text`` in a turn (of several texts the first that is there counts).
 
-    ``roles`` renames roles; ``optional`` names paths that a record may lack or hold null.
+    Paths are nested field names, ``a.b``, and ``a[].b`` for all elements of a list. ``roles`` renames roles;
+    ``optional`` names paths that a record may lack or hold null; ``unread`` those that may be there and say nothing.
     """
 
     name: str
     texts: tuple[tuple[str, str], ...] = ()
     each: str | None = None
     role: str = "role"
-    text: str = "content"
+    text: str | tuple[str, ...] = "content"
     optional: tuple[str, ...] = ()
+    unread: tuple[str, ...] = ()
     roles: dict[str, str] = field(default_factory=dict, hash=False)
 
+    def _said(self) -> tuple[str, ...]:
+        return (self.text,) if isinstance(self.text, str) else self.text
+
     def paths(self) -> set[str]:
+        found = {p for p, _ in self.texts} | {*self.unread}
         if self.each is None:
-            return {p for p, _ in self.texts} or {self.role, self.text}
-        return {f"{self.each}[].{self.role}", f"{self.each}[].{self.text}"} | {p for p, _ in self.texts}
+            return found if self.texts else found | {self.role, *self._said()}
+        return found | {f"{self.each}[].{p}" for p in (self.role, *self._said())}
 
     def turns(self, record: dict) -> list[tuple[str, str]]:
-        found = [(role, _text(record.get(p))) for p, role in self.texts if record.get(p) is not None]
-        listed = record.get(self.each) or [] if self.each else [] if self.texts else [record]
-        return found + [(self._role(t.get(self.role)), _text(t.get(self.text))) for t in listed]
+        found: list[tuple[str, str]] = []
+        for path, role in self.texts:
+            said = walk(record, path)
+            if said is not None:
+                joins = found and found[-1][0] == role
+                found[-1:] = [(role, f"{found[-1][1]}\n\n{_text(said)}")] if joins else [*found[-1:], (role, _text(said))]
+        listed = walk(record, self.each) or [] if self.each else [] if self.texts else [record]
+        return found + [(self._role(walk(t, self.role)), _text(next((x for p in self._said() if (x := walk(t, p)) is not None), None))) for t in listed]
 
     def _role(self, said: object) -> str:
         return self.roles.get(_text(said), _text(said))
 
 
+def walk(value: object, path: str) -> object:
+    """What lies at a nested path; the texts of all elements of a list, a line each, where the path goes through it."""
+    head, _, rest = path.partition(".")
+    name = head.removesuffix("[]")
+    inner = value.get(name) if isinstance(value, dict) else None
+    if name != head:
+        if not isinstance(inner, list):
+            return None
+        found = [walk(x, rest) if rest else x for x in inner]
+        return "\n".join(_text(x) for x in found if x is not None)
+    return walk(inner, rest) if rest and inner is not None else inner
+
+
 def _text(value: object) -> str:
     return value if isinstance(value, str) else "" if value is None else json.dumps(value, ensure_ascii=False)
 
 
 _NAMES = {"human": "user", "gpt": "assistant", "model": "assistant", "bot": "assistant"}
+_PARTS = ("messages[].content", "messages[].content[].text", "messages[].content[].type")
 LAYOUTS = (
     Layout("turn", text="text", optional=("role", "text")),
     Layout("prompt", (("system", "system"), ("prompt", "user"), ("completion", "assistant")), optional=("system", "completion")),
     Layout("prompt response", (("system", "system"), ("prompt", "user"), ("response", "assistant")), optional=("system",)),
     Layout("question", (("question", "user"), ("answer", "assistant")), optional=("answer",)),
-    Layout("instruction", (("instruction", "system"), ("input", "user"), ("output", "assistant")), optional=("input", "output")),
-    Layout("messages", (("system", "system"),), each="messages", optional=("system", "messages[].content")),
+    Layout("instruction", (("system", "system"), ("instruction", "user"), ("input", "user"), ("output", "assistant")), optional=("system", "input", "output")),
+    Layout("messages", (("system", "system"),), each="messages", text=("content[].text", "content"), optional=("system", *_PARTS), unread=_PARTS[2:]),
     Layout("conversations", (("system", "system"),), each="conversations", role="from", text="value", optional=("system", "conversations[].value"), roles=_NAMES),
+    Layout("nested prompt", (("data.system", "system"), ("data.prompt", "user"), ("data.reply", "assistant")), optional=("data.system", "data.reply")),
 )
+#: Fields, and all below them, that say nothing about turns: they do not enter a fingerprint.
+IGNORED = ("id", "uid", "source", "lang", "language", "model", "category", "timestamp", "meta", "metadata")
 
 
 def field_paths(record: object, prefix: str = "") -> set[str]:
@@ -82,6 +111,10 @@ def field_paths(record: object, prefix: str = "") -> set[str]:
     return {prefix} if prefix else set()
 
 
+def relevant(paths: set[str], ignored: tuple[str, ...] = IGNORED) -> set[str]:
+    return {p for p in paths if re.split(r"[.\[]", p, maxsplit=1)[0] not in ignored}
+
+
 def fingerprint(paths: set[str]) -> str:
     return hashlib.md5("\n".join(sorted(paths)).encode()).hexdigest()
 
@@ -119,12 +152,14 @@ def read_turn(piece: str) -> tuple[str, str]:
     return unescape(role).replace("%0A", "\n").replace("%25", "%"), unescape(rest[: -len(STOP) - 1])
 
 
-def format_records(records: DataFrame, record: str, *, carry: tuple[str, ...], layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+def format_records(records: DataFrame, record: str, *, carry: tuple[str, ...], layouts: tuple[Layout, ...] = LAYOUTS, ignored: tuple[str, ...] = IGNORED) -> DataFrame:
     """``carry, layout, turn_no, piece, loss_start, loss_length``: one row per turn of each JSON record.
 
-    Offsets are in code points of the piece; a record's formatted text is its pieces one after another. A
-    record of no known layout (or no valid JSON object) is kept as one row with null layout and piece, one
-    without turns as one row with its layout and a null piece. Nothing is shuffled.
+    Offsets are in code points of the piece; a record's formatted text is its pieces one after another. Top
+    fields in ``ignored`` are not looked at. A record of no known layout (or no valid JSON object) is kept as
+    one row with null layout and piece, so no text is lost unseen; one without turns as one row with its
+    layout and a null piece. Repeated records give repeated rows; an empty table gives none; texts of any
+    length are kept whole. Nothing is shuffled.
     """
     fields = {f.name: f.dataType.simpleString() for f in records.schema}
 
@@ -135,7 +170,7 @@ def format_records(records: DataFrame, record: str, *, carry: tuple[str, ...], l
                 rows: list[tuple] = []
                 for i, text in enumerate(texts):
                     parsed = _object(text)
-                    layout = None if parsed is None else table.get(fingerprint(field_paths(parsed)))
+                    layout = None if parsed is None else table.get(fingerprint(relevant(field_paths(parsed), ignored)))
                     turns = layout.turns(parsed) if layout else []
                     name = layout.name if layout else None
                     rows += [(i, name, n, *write_turn(*turn)) for n, turn in enumerate(turns)] or [(i, name, 0, None, None, None)]
@@ -157,8 +192,9 @@ def _object(text: str) -> dict | None:
 def conversation_digests(pieces: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Read formatted pieces back: one row per ``key`` with counts and digests, see the README.
 
-    Pieces of a key are read in ``order`` as a sorted stream, so a conversation of any length needs one
-    piece of memory. Null keys are one conversation.
+    Pieces of a key are read in ``order``, equal ones by piece, as a sorted stream, so a conversation of any
+    length needs one piece of memory. Null keys are one conversation; repeated rows count again; an empty
+    table gives no rows.
     """
     kind = pieces.schema[key].dataType.simpleString()
 

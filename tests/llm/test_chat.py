@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from scorewright.llm.chat import (
-    CONTROLS, conversation_digests, escape, field_paths, fingerprint, format_records, format_turn_rows, read_turn, unescape, write_turn,
+    CONTROLS, Layout, conversation_digests, escape, field_paths, fingerprint, format_records, format_turn_rows, read_turn, unescape, write_turn,
 )
 
 pieces = st.lists(st.one_of(st.sampled_from([*CONTROLS, "\\", "<", "[", "|", "\n", "<\\/s>", "%0A"]), st.text(max_size=3)), max_size=8).map("".join)
@@ -31,7 +31,12 @@ RECORDS = [
     ({"prompt": "hi", "completion": "yo"}, [("user", "hi"), ("assistant", "yo")]),
     ({"prompt": "hi"}, [("user", "hi")]),
     ({"system": "s", "prompt": "hi", "response": "yo"}, [("system", "s"), ("user", "hi"), ("assistant", "yo")]),
-    ({"instruction": "do", "input": None, "output": "done"}, [("system", "do"), ("assistant", "done")]),
+    ({"instruction": "do", "input": None, "output": "done"}, [("user", "do"), ("assistant", "done")]),
+    ({"system": "s", "instruction": "do", "input": "this", "output": "done"}, [("system", "s"), ("user", "do\n\nthis"), ("assistant", "done")]),
+    ({"data": {"prompt": "hi", "reply": "yo"}}, [("user", "hi"), ("assistant", "yo")]),
+    ({"id": 7, "meta": {"a": [1, {"b": 2}]}, "data": {"system": "s", "prompt": "hi"}, "source": "web"}, [("system", "s"), ("user", "hi")]),
+    ({"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "text", "text": "b"}]}, {"role": "assistant", "content": "c"}]}, [("user", "a\nb"), ("assistant", "c")]),
+    ({"id": "x", "messages": [{"role": "user", "content": "a"}]}, [("user", "a")]),
     ({"messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": None}]}, [("user", "a"), ("assistant", "")]),
     ({"conversations": [{"from": "human", "value": "a"}, {"from": "gpt", "value": "</s>"}]}, [("user", "a"), ("assistant", "</s>")]),
     ({"question": "q", "answer": 4}, [("user", "q"), ("assistant", "4")]),
@@ -40,7 +45,7 @@ RECORDS = [
 
 
 def test_layouts(spark):
-    rows = [(i, json.dumps(r)) for i, (r, _) in enumerate(RECORDS)] + [(100, '{"strange": 1}'), (101, "no json"), (102, None), (None, "[1]")]
+    rows = [(i, json.dumps(r)) for i, (r, _) in enumerate(RECORDS)] + [(100, '{"strange": 1}'), (103, '{"prompt": "a", "context": "not to be lost"}'), (101, "no json"), (102, None), (None, "[1]")]
     found = format_records(spark.createDataFrame(rows, "id long, record string"), "record", carry=("id",)).orderBy("id", "turn_no").collect()
     for i, (_, wanted) in enumerate(RECORDS):
         own = [r for r in found if r.id == i]
@@ -49,6 +54,19 @@ def test_layouts(spark):
     assert len({r.id for r in found}) == len(rows)
 
 
+def test_declared_nested_layouts(spark):
+    """Any nesting of any list, as a layout declares it; no text is lost."""
+    layout = Layout("deep", (("head.note", "system"),), each="body.turns", role="who.name", text="what.said", optional=("head.note",), roles={"me": "user"})
+    record = {"head": {"note": "n"}, "body": {"turns": [{"who": {"name": "me"}, "what": {"said": "x"}}, {"who": {"name": "it"}, "what": {"said": ["y", 1]}}]}}
+    assert layout.turns(record) == [("system", "n"), ("user", "x"), ("it", '["y", 1]')]
+    df = spark.createDataFrame([(1, json.dumps(record))] * 2, "id long, record string")
+    plain = {"head": {"note": "n"}, "body": {"turns": [{"who": {"name": "me"}, "what": {"said": "x"}}]}}
+    df = df.union(spark.createDataFrame([(2, json.dumps(plain))], df.schema))
+    found = format_records(df, "record", carry=("id",), layouts=(layout,)).collect()
+    assert [read_turn(r.piece) for r in sorted((r for r in found if r.id == 2), key=lambda r: r.turn_no)] == [("system", "n"), ("user", "x")]
+    assert [r.layout for r in found if r.id == 1] == [None, None]  # a list where a text was declared is another layout
+
+
 def slow(rows):
     made = {}
     for key in {r[0] for r in rows}:
