@@ -50,13 +50,13 @@ _FINITE = "len(embedding) > 0 and list_bool_and(list_transform(embedding, lambda
 
 OP3 = f"""
 with v as (
-  select vec_id, min(embedding) as embedding from embeddings
-  where vec_id is not null and embedding is not null and {_FINITE} group by vec_id
+  select vec_id, embedding, row_number() over (partition by vec_id order by embedding) as place from embeddings
+  where vec_id is not null and embedding is not null and {_FINITE}
 ), w as (
-  select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from v
+  select vec_id, place, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from v
 ), s as (
   select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
-  from w q join w c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)
+  from w q join w c on q.vec_id % 50 = 0 and q.place = 1 and (q.vec_id <> c.vec_id or c.place <> 1) and len(q.e) = len(c.e)
 ), r as (
   select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s
 )

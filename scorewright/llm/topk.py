@@ -32,11 +32,11 @@ def _packed(table: pa.Table) -> dict:
     if np.abs(scaled).max(initial=0) >= 2.0**62:
         raise OverflowError("a component times 256 does not fit a long")
     first = table.slice(0, 1)
-    return {"dim": first.column("dim").to_pylist(), "block": first.column("block").to_pylist(), "ids": [table.column("vec_id").to_pylist()], "data": [scaled.astype("<i8").tobytes()], "norm": [float(np.sqrt((scaled**2).sum(axis=1)).max(initial=0))]}
+    return {"dim": first.column("dim").to_pylist(), "block": first.column("block").to_pylist(), "ids": [table.column("vec_id").to_pylist()], "copies": [table.column("copies").to_pylist()], "first": [table.column("first").to_pylist()], "data": [scaled.astype("<i8").tobytes()], "norm": [float(np.sqrt((scaled**2).sum(axis=1)).max(initial=0))]}
 
 
 def _scores(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query ids, candidate ids, and exact scores with the query's own row marked out."""
+    """Query ids, candidate ids, and exact scores of all of them."""
     queries, candidates = (np.frombuffer(row[c], "<i8").reshape(-1, row["dim"]) for c in ("query_data", "data"))
     if float(row["query_norm"]) * float(row["norm"]) < 2.0**52:
         found = np.rint(queries.astype(np.float64) @ candidates.T.astype(np.float64)).astype(np.int64)
@@ -46,15 +46,21 @@ def _scores(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return query_ids, ids, found
 
 
+def _others(row: dict, ids: np.ndarray, query: int) -> np.ndarray:
+    """How many rows each candidate stands for, without the query's own row."""
+    return np.array(row["copies"]) - (np.array(row["first"]) & (ids == query))
+
+
 def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for row in one_by_one(batches):
         query_ids, ids, found = _scores(row)
         out: tuple[list, list, list] = ([], [], [])
         for q, scores, low, high, wanted in zip(query_ids.tolist(), found, row["low"], row["high"], row["wanted"], strict=True):
-            scores = scores[(ids != q) & (scores >= low) & (scores < high)]
-            if len(scores):
+            copies = _others(row, ids, q)
+            some = (copies > 0) & (scores >= low) & (scores < high)
+            if some.any():
                 width = -(-(high - low) // BINS)
-                counts = np.bincount((scores - low) // width, minlength=1)[::-1]
+                counts = np.bincount((scores[some] - low) // width, weights=copies[some], minlength=1).astype(np.int64)[::-1]
                 stop = int(np.searchsorted(counts.cumsum(), wanted)) + 1
                 top = len(counts) - 1
                 kept = np.flatnonzero(counts[:stop])
@@ -68,38 +74,46 @@ def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 def _winners(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for row in one_by_one(batches):
         query_ids, ids, found = _scores(row)
-        out: tuple[list, list, list] = ([], [], [])
+        out: tuple[list, list, list, list] = ([], [], [], [])
         for q, scores, low, wanted in zip(query_ids.tolist(), found, row["low"], row["wanted"], strict=True):
-            other = ids != q
-            above = np.flatnonzero(other & (scores > low))
-            equal = np.flatnonzero(other & (scores == low))[:wanted]  # ids ascend
+            copies = _others(row, ids, q)
+            above = np.flatnonzero((copies > 0) & (scores > low))
+            equal = np.flatnonzero((copies > 0) & (scores == low))  # ids ascend
+            equal = equal[: int(np.searchsorted(copies[equal].cumsum(), wanted)) + 1]
             kept = np.concatenate([above, equal])
             out[0].extend([q] * len(kept))
             out[1].extend(ids[kept].tolist())
             out[2].extend(scores[kept].tolist())
+            out[3].extend(copies[kept].tolist())
         if out[0]:
-            yield dict(zip(("query_id", "vec_id", "score"), out, strict=True))
+            yield dict(zip(("query_id", "vec_id", "score", "copies"), out, strict=True))
 
 
 def top_k(embeddings: DataFrame, is_query: str, k: int) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best of all rows for each row that ``is_query`` (SQL) names.
 
     Vectors that are null or empty or hold null or non-finite numbers take no part, nor do rows without an
-    id; rows with the same id count once, as the smallest of their vectors; vectors of different lengths do
-    not meet. Equal scores go to the smaller id; with fewer candidates all are returned; an empty table gives
-    no rows. Scores beyond a long raise an error.
+    id; vectors of different lengths do not meet; other columns are not read. Every row is a candidate: rows
+    that repeat an id and its vector are one row with their number until the end. An id that is repeated with
+    several vectors asks with the smallest, and only that one row is no candidate of its own. Equal scores go
+    to the smaller id; with fewer candidates all are returned; an empty table gives no rows. Scores beyond a
+    long raise an error.
     """
     rows = embeddings.select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & finite("embedding"))
-    rows = rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).select(F.col("vec_id").cast("long"), "embedding", F.size("embedding").alias("dim"))
+    rows = materialize(rows.groupBy("vec_id", "embedding").agg(F.count("*").alias("copies")))
+    smallest = rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).withColumn("first", F.lit(True))
+    rows = rows.join(smallest, ["vec_id", "embedding"], "left").select(
+        F.col("vec_id").cast("long"), "embedding", "copies", F.coalesce("first", F.lit(False)).alias("first"), F.size("embedding").alias("dim")
+    )
     rows = materialize(rows)
 
     def blocks(df: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
         sizes = df.groupBy("dim").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
-        numbered = df.join(sizes, "dim").withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))
-        return materialize(per_group(numbered.drop("blocks"), ["dim", "block"], _packed, "dim int, block int, ids array<long>, data binary, norm double")), sizes
+        numbered = df.join(sizes, "dim").withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding"), "blocks").cast("int"))
+        return materialize(per_group(numbered.drop("blocks"), ["dim", "block"], _packed, "dim int, block int, ids array<long>, copies array<long>, first array<boolean>, data binary, norm double")), sizes
 
     candidates, sizes = blocks(rows, CANDIDATES)
-    queries, _ = blocks(rows.where(is_query), QUERIES)
+    queries, _ = blocks(rows.where("first").where(is_query), QUERIES)
     queries = queries.select("dim", F.col("block").alias("query_block"), F.col("ids").alias("query_ids"), F.col("data").alias("query_data"), F.col("norm").alias("query_norm"))
     reach = candidates.groupBy("dim").agg(F.max("norm").alias("reach"))
     bound = F.ceil(F.col("query_norm") * F.col("reach") * (1 + 1e-9)).cast("long") + 1
@@ -137,7 +151,8 @@ def top_k(embeddings: DataFrame, is_query: str, k: int) -> DataFrame:
                 F.col("bin").isNull().alias("done"),  # fewer candidates than wanted: all of them
             )
         )
-    found = map_batches(meet(state), _winners, "query_id long, vec_id long, score long")
+    found = map_batches(meet(state), _winners, "query_id long, vec_id long, score long, copies long")
+    found = found.withColumn("copy", F.explode(F.expr(f"sequence(1L, least(copies, {k}L))")))  # no more can be among the k best
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

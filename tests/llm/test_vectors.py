@@ -41,16 +41,26 @@ def test_top_k_against_sorting(spark, monkeypatch, sizes):
     finally:
         if sizes[2] != 512:
             cloudpickle.unregister_pickle_by_value(topk_module)
-    vectors = {}
-    for k, v, _ in odd_rows():
-        if k is not None and usable(v):
-            vectors[k] = min(vectors.get(k, v), v)
-    scaled = {k: np.floor(256 * np.array(v, np.float64)).astype(int) for k, v in vectors.items()}
+    assert found == slow_top(odd_rows())
+
+
+def slow_top(rows):
+    """Every row but the query's own is a candidate; a repeated id asks with its smallest vector."""
+    rows = [(k, v) for k, v, _ in rows if k is not None and usable(v)]
+    scaled = [np.floor(256 * np.array(v, np.float64)).astype(int) for _, v in rows]
     wanted = []
-    for q in (k for k in scaled if k % 50 == 0):
-        scores = sorted((-int(scaled[q] @ v), k) for k, v in scaled.items() if k != q and len(v) == len(scaled[q]))
+    for q in {k for k, _ in rows if k % 50 == 0}:
+        own = min((i for i, (k, _) in enumerate(rows) if k == q), key=lambda i: rows[i][1])
+        scores = sorted((-int(scaled[own] @ v), k) for i, ((k, _), v) in enumerate(zip(rows, scaled, strict=True)) if i != own and len(v) == len(scaled[own]))
         wanted += [(q, i + 1, k, -s) for i, (s, k) in enumerate(scores[:5])]
-    assert found == sorted(wanted)
+    return sorted(wanted)
+
+
+def test_every_row_of_a_repeated_id_is_a_candidate(spark):
+    rows = [(1, [0.1], 0), (1, [0.9], 0), (2, [0.5], 0), (2, [0.5], 0), (2, [0.5], 0), (50, [1.0], 0), (50, [-1.0], 0), (50, [-1.0], 0), (100, [2.0], 0)]
+    found = sorted(map(tuple, top_k(frame(spark, rows), "vec_id % 50 = 0", 5).collect()))
+    assert found == slow_top(rows)
+    assert (100, 2, 1, 230 * 512) in found and [r[2] for r in found if r[0] == 100] == [50, 1, 2, 2, 2]
 
 
 def test_top_k_of_few_and_none(spark):
