@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_missing, known_text, sql_number, sql_text
-from ..storage import materialize
+from ..storage import discard, materialize, scratch_path
 from .quantiles import column_quantiles, modes, text_counts
+from .running import running_totals
 
 
-# Columns that one-hot encoding may add.
+# Categories up to which labels are kept inside a pipeline, and columns that ``one_hot`` may add.
 WIDEST_ENCODING = 10_000
 
 
@@ -51,8 +52,8 @@ def fit_fill_values(
 def fit_categories(counts: DataFrame, widest: int = WIDEST_ENCODING) -> dict[str, list[str]]:
     """Known texts per column of ``text_counts``, in order. Each becomes a column of the encoding.
 
-    All columns together may have ``widest`` texts: a free text among the
-    categories is refused before anything reaches the driver.
+    All columns together may have ``widest`` texts: a free text is refused
+    before anything reaches the driver (:func:`category_dictionary` takes any).
     """
     width = counts.count()
     if width > widest:
@@ -100,16 +101,59 @@ def one_hot(df: DataFrame, categories: dict[str, list[str]]) -> DataFrame:
     )
 
 
-def fit_preparation(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], **options) -> Pipeline:
+def category_dictionary(counts: DataFrame, **options) -> DataFrame:
+    """``feature, text, place``: the known texts of ``text_counts``, numbered from 0 in the order of the texts.
+
+    Numbering is a running total over ranges, so a column may have any number of texts; none reaches the driver.
+    """
+    one = counts.select("feature", "text", F.lit(1).alias("one"))
+    return running_totals(one, ["feature"], "text", ["one"], **options).select("feature", "text", (F.col("one_upto") - 1).alias("place"))
+
+
+def _dictionary_stages(counts: DataFrame, categorical: Sequence[str], path: str, **options) -> list:
+    """Stages from ``<c>__text`` to ``<c>__hot`` that join a dictionary stored at ``path`` by value.
+
+    Unknown texts get the place behind the last one, which the encoder drops, so they are zeros everywhere.
+    Joins broadcast a dictionary only where Spark finds it small enough; else they shuffle, and hot values split.
+    """
+    spark = counts.sparkSession
+    category_dictionary(counts, **options).write.mode("overwrite").partitionBy("feature").parquet(path)
+    sizes = {row.feature: row.n for row in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per column
+    joins = " ".join(
+        f"left join (select text, place from parquet.`{path}` where feature = {sql_text(c)}) d{i} on d{i}.text = t.`{c}__text`"
+        for i, c in enumerate(categorical)
+    )
+    places = ", ".join(f"cast(coalesce(d{i}.place, {sizes[c]}) as double) as `{c}__index`" for i, c in enumerate(categorical))
+    indices = [f"{c}__index" for c in categorical]
+    widths = spark.createDataFrame([tuple(float(sizes[c]) for c in categorical)], ", ".join(f"`{c}` double" for c in indices))
+    encoder = OneHotEncoder(inputCols=indices, outputCols=[f"{c}__hot" for c in categorical], dropLast=True)
+    return [SQLTransformer(statement=f"select t.*, {places} from __THIS__ t {joins}"), encoder.fit(widths)]
+
+
+def _label_stages(categories: dict[str, list[str]], categorical: Sequence[str]) -> list:
+    return [
+        *[StringIndexerModel.from_labels(categories[c], f"{c}__text", f"{c}__index", "keep") for c in categorical],
+        # "keep" adds one index for unknown values and dropLast removes it again.
+        OneHotEncoder(
+            inputCols=[f"{c}__index" for c in categorical], outputCols=[f"{c}__hot" for c in categorical], dropLast=True
+        ),
+    ]
+
+
+def fit_preparation(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+    dictionary: str | None = None, widest: int = WIDEST_ENCODING, **options,
+) -> Pipeline:
     """Stages that turn raw columns into ``features``; all are built in, so models save and load.
 
     Missing numbers get the training median, then are centred and divided by
     the population deviation. Missing categories get the mode; categories not
-    seen in training encode as all zeros.
+    seen in training encode as all zeros. Categories of more than ``widest``
+    texts in all are kept as a table at ``dictionary`` (else in the shared
+    folder), which the saved model refers to and which must stay there.
     """
     counts = materialize(text_counts(df, categorical)) if categorical else None
     fill = fit_fill_values(df, numeric, categorical, counts, **options)
-    categories = fit_categories(counts) if categorical else {}
     scale = fit_scale(impute(df.select(*numeric), FillValues(fill.medians)), numeric) if numeric else {}
     expressions = []
     types = dict(df.dtypes)
@@ -122,16 +166,10 @@ def fit_preparation(df: DataFrame, numeric: Sequence[str], categorical: Sequence
     stages = [SQLTransformer(statement=f"select *, {', '.join(expressions)} from __THIS__")]
     inputs = [f"{c}__scaled" for c in numeric]
     if categorical:
-        stages += [
-            *[
-                StringIndexerModel.from_labels(categories[c], f"{c}__text", f"{c}__index", "keep")
-                for c in categorical
-            ],
-            # "keep" adds one index for unknown values and dropLast removes it again.
-            OneHotEncoder(
-                inputCols=[f"{c}__index" for c in categorical],
-                outputCols=[f"{c}__hot" for c in categorical], dropLast=True,
-            ),
-        ]
+        if counts.count() > widest:
+            stages += _dictionary_stages(counts, categorical, dictionary or scratch_path(df.sparkSession, "categories"), **options)
+        else:
+            stages += _label_stages(fit_categories(counts, widest), categorical)
         inputs += [f"{c}__hot" for c in categorical]
+        discard(counts)
     return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features")])

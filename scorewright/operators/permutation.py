@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoderModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,27 +41,94 @@ def permutation_importance(
         test.select(key, label, *columns), columns,
         repeats=repeats, key=key, seed=seed, per_column=per_column,
     )
-    shuffled = F.array(*[F.lit(c) for c in columns])
-    own = F.array("shuffled") if per_column else shuffled
-    opens = (F.col("repeat") == 1) & ((F.col("shuffled") == columns[0]) if per_column else F.lit(True))
-    features = F.when(opens, F.concat(F.array(F.lit(_NONE)), own)).otherwise(own)
-    variants = donors.withColumn("feature", F.explode(features)).select(
+    variants = _variants(donors, columns, per_column).select(
         key, label, "feature", "repeat",
         *[F.when(F.col("feature") == c, F.col("donor")[c]).otherwise(F.col(c)).alias(c) for c in columns],
     )
+    return _losses(score(variants), columns, label, **options)
+
+
+def _variants(donors: DataFrame, columns: Sequence[str], per_column: bool = False) -> DataFrame:
+    """A row for each ``feature`` that is shuffled, and once a row for none."""
+    own = F.array("shuffled") if per_column else F.array(*[F.lit(c) for c in columns])
+    opens = (F.col("repeat") == 1) & ((F.col("shuffled") == columns[0]) if per_column else F.lit(True))
+    features = F.when(opens, F.concat(F.array(F.lit(_NONE)), own)).otherwise(own)
+    return donors.withColumn("feature", F.explode(features))
+
+
+def _losses(scored: DataFrame, columns: Sequence[str], label: str, **options) -> DataFrame:
     by = ["feature", "repeat"]
-    table = score_table(score(variants), by, label)
+    table = score_table(scored, by, label)
     precision = ranked_scores(table, by, **options).groupBy(*by).agg(F.expr(AVERAGE_PRECISION).alias("ap"))
     # From here on there are (features * repeats + 1) rows.
     baseline = F.max(F.when(F.col("feature") == _NONE, F.col("ap"))).over(Window.partitionBy())
+    order = F.array(*[F.lit(c) for c in columns])
     return (
         precision.withColumn("loss", baseline - F.col("ap"))
         .filter(F.col("feature") != _NONE)
         .groupBy("feature").agg(F.round(F.avg("loss"), 6).alias("importance"))
-        .withColumn("position", F.array_position(shuffled, F.col("feature")).cast("int"))
+        .withColumn("position", F.array_position(order, F.col("feature")).cast("int"))
     )
 
 
+def _flat(model: PipelineModel) -> list:
+    return [inner for s in model.stages for inner in (_flat(s) if isinstance(s, PipelineModel) else [s])]
+
+
+def linear_terms(model: PipelineModel, df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """``df`` with ``terms``: what each raw column adds to the margin of a fitted linear pipeline, in the columns' order.
+
+    The pipeline is one of :func:`fit_preparation` and a linear model. A number adds its scaled value times its
+    coefficient, a category the coefficient of its place, an unknown one nothing.
+    """
+    beta, at, terms = model.stages[-1].coefficients.toArray().tolist(), len(numeric), []
+    for coefficient, c in zip(beta, numeric):
+        terms.append(F.col(f"{c}__scaled") * F.lit(coefficient))
+    prepared = df
+    for stage in model.stages[:-1]:
+        prepared = stage.transform(prepared)
+    encoders = [s for s in _flat(model) if isinstance(s, OneHotEncoderModel)]
+    hot = dict(zip(categorical, encoders[0].categorySizes)) if encoders else {}
+    for c in categorical:
+        width = hot[c] - 1  # the last place is that of unknown values
+        own = F.array(*map(F.lit, beta[at : at + width])) if width else F.array(F.lit(0.0))
+        terms.append(F.coalesce(F.get(own, F.col(f"{c}__index").cast("int")), F.lit(0.0)))
+        at += width
+    return prepared.select(*df.columns, F.array(*terms).alias("terms"))
+
+
+def linear_importance(
+    model: PipelineModel,
+    test: DataFrame,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    *,
+    order: Sequence[str] = (),
+    label: str = "label",
+    key: str = config.ROW_ID,
+    repeats: int = config.PERMUTATION_REPEATS,
+    seed: int = config.SEED,
+    per_column: bool = False,
+    **options,
+) -> DataFrame:
+    """:func:`permutation_importance` of a linear pipeline, whose rows pass the pipeline only once.
+
+    Positions are those in ``order``, else numbers first.
+
+    Each row's margin is a sum of one term per raw column, so a shuffled column changes its own term: donors
+    give terms instead of values. Terms are always added in the same order, so equal rows keep equal scores.
+    """
+    columns = [*numeric, *categorical]
+    terms = linear_terms(model, test, numeric, categorical)
+    terms = terms.select(key, label, *[F.col("terms")[i].alias(c) for i, c in enumerate(columns)])
+    donors = seeded_donors(terms, columns, repeats=repeats, key=key, seed=seed, per_column=per_column)
+    margin = F.lit(float(model.stages[-1].intercept))
+    for c in columns:
+        margin = margin + F.when(F.col("feature") == c, F.col("donor")[c]).otherwise(F.col(c))
+    scored = _variants(donors, columns, per_column).select(label, "feature", "repeat", (1.0 / (1.0 + F.exp(-margin))).alias("p"))
+    return _losses(scored, order or columns, label, **options)
+
+
 def top_features(importance: DataFrame, k: int = config.TOP_FEATURES) -> DataFrame:
     """The ``k`` largest, ties in column order."""
     return importance.orderBy(F.desc("importance"), "position").limit(k)

@@ -457,10 +457,7 @@ def train_boosting(spark, folder):
 def permutation_importance_model(spark, folder):
     """The importance of every feature for the baseline."""
     model, _, test = _fit_and_test(spark, folder, config.BASELINE_MODEL)
-    importance = permutation.permutation_importance(
-        test, lambda df: models.with_probability(model, df), [*NUMERIC, *CATEGORICAL]
-    )
-    return permutation.top_features(importance)
+    return permutation.top_features(permutation.linear_importance(model, test, NUMERIC, CATEGORICAL))
 
 
 @query

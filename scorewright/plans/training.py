@@ -16,7 +16,7 @@ from ..operators.drift import feature_drift, prediction_drift
 from ..operators.governance import promotion_checks
 from ..operators.metrics import classification_metrics, select_model
 from ..operators.models import fit_models, with_probability
-from ..operators.permutation import permutation_importance, top_features
+from ..operators.permutation import linear_importance, permutation_importance, top_features
 from ..operators.sampling import stratified_split, two_way
 from ..operators.schema import partition_columns
 from ..operators.slices import present, slice_performance
@@ -102,13 +102,11 @@ def train_and_evaluate(
     )
     scored = read_scored(spark, scored_path).withColumnRenamed("default_probability", "p")
 
-    importance = pin(
-        top_features(
-            permutation_importance(
-                test, lambda t: with_probability(model, t), features, label=label, seed=seed
-            )
-        )
-    )
+    if selected == config.BASELINE_MODEL:
+        losses = linear_importance(model, test, numeric, categorical, order=features, label=label, seed=seed)
+    else:
+        losses = permutation_importance(test, lambda t: with_probability(model, t), features, label=label, seed=seed)
+    importance = pin(top_features(losses))
     promotion = promotion_checks(metrics, policy=policy)
     by_feature = pin(feature_drift(train, test, monitored))
     trained = materialize(with_probability(model, train).select("p"))
