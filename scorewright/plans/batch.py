@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
+from ..operators.ensembles import ensemble_nodes, ensemble_probability
 from ..operators.features import fit_preparation
 from ..operators.metrics import ranking_metrics
 from ..operators.models import in_tasks, managed_boosting, with_probability
@@ -47,6 +48,16 @@ def score_channel(spark, folder: str, model_path: str, features: str, destinatio
     write_csv(scored.select(config.ROW_ID, "p"), destination, header=False)
 
 
+def largest_gap(spark, folder: str, features: str) -> float:
+    """How far the scores that a batch flow wrote are from those of the model's table of nodes, over the whole channel."""
+    rows = channels.held_out_channel(spark, f"{folder}/channels", features)
+    prepared = PipelineModel.load(f"{folder}/model").stages[0].transform(rows)
+    again = ensemble_probability(prepared, ensemble_nodes(spark, f"{folder}/model"), "again").select(config.ROW_ID, "again")
+    scores = channels.read_headerless(spark, f"{folder}/scores", f"{config.ROW_ID} bigint, p double")
+    gap = F.abs(F.coalesce(F.col("p") - F.col("again"), F.lit(1.0)))  # a row on one side only is far off
+    return scores.join(again, config.ROW_ID, "full_outer").agg(F.max(gap).alias("gap")).first().gap
+
+
 def batch_flow(
     df: DataFrame, folder: str, *, numeric: Sequence[str], categorical: Sequence[str],
     rounds: int = 180, label: str = "label", seed: int = config.SEED,

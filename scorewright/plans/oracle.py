@@ -407,6 +407,9 @@ SELECT CAST(t.k AS INTEGER) AS term, 0.0::DOUBLE AS gradient, c.* FROM range(-1,
          count(*) FILTER (WHERE split = 'train' AND label = 1) AS train_1,
          count(*) FILTER (WHERE split = 'test' AND label = 0) AS test_0,
          count(*) FILTER (WHERE split = 'test' AND label = 1) AS test_1 FROM split_rows) c""",
+    "boosting_first_round": f"""{_MODEL_ROWS}
+SELECT count(*) AS train_rows, count(*) AS rows_met, round(avg(2.0::DOUBLE * label - 1.0::DOUBLE), 6) AS mean_sign, 0.0::DOUBLE AS largest_gap, true AS splits
+FROM split_rows WHERE split = 'train'""",
     "monitoring_bundle": f"""WITH {ORDERS}, long_drift AS ({_long('orders_scored', DRIFT_COLUMNS)}), {_psi('long_drift')},
 drifts AS (SELECT *, {STATUS} FROM psi),
 current_orders AS (SELECT * FROM orders_scored WHERE sample = 'current'),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import calibration_bin, decision, risk_band, snake_case
-from ..operators import bands, drift, features, metrics, models, permutation, quantiles, sampling, schema, slices
+from ..operators import bands, drift, ensembles, features, metrics, models, permutation, quantiles, sampling, schema, slices
 from ..operators.governance import promotion_checks as check_promotion
 from ..sources import channels, digests, registry, tables
 from ..storage import materialize, pin, scratch_path, small_table
@@ -453,6 +453,22 @@ def train_boosting(spark, folder):
     return _with_trees(training.compare_models(fitted, test, "label"), fitted)
 
 
+@query
+def boosting_first_round(spark, folder):
+    """The leaves of the challenger's first tree against the training rows that come to them."""
+    split = materialize(sampling.stratified_split(_model_table(spark, folder)), partition_by="split")
+    train = split.filter(F.col("split") == "train").drop("split")
+    fitted = models.fit_models(train, NUMERIC, CATEGORICAL, names=[config.CHALLENGER_MODEL], rounds=1)[config.CHALLENGER_MODEL]
+    path = scratch_path(spark, "first-round")
+    PipelineModel(stages=fitted.stages[-1:]).save(path)
+    leaves = ensembles.leaf_table(fitted.stages[0].transform(train), ensembles.ensemble_nodes(spark, path))
+    return leaves.agg(
+        F.sum("rows").alias("train_rows"), F.sum("seen").alias("rows_met"),
+        F.round(F.sum(F.col("prediction") * F.col("rows")) / F.sum("rows"), 6).alias("mean_sign"),
+        F.round(F.max(F.abs(F.col("prediction") - F.col("mean"))), 9).alias("largest_gap"), (F.count(F.lit(1)) > 1).alias("splits"),
+    )
+
+
 @query
 def permutation_importance_model(spark, folder):
     """The importance of every feature for the baseline."""
@@ -472,10 +488,14 @@ def train_and_evaluate(spark, folder):
 
 @query
 def batch_flow(spark, folder):
-    """Rows, ROC-AUC and average precision of the held-out channel, and the trees of the model that scored it."""
+    """Rows, ROC-AUC and average precision of the held-out channel, the trees of the model that scored it, and how
+    far its scores are from those of its table of nodes."""
     base = scratch_path(spark, "batch-flow")
-    found = batch.batch_flow(_model_table(spark, folder), base, numeric=NUMERIC, categorical=CATEGORICAL)
-    return found.withColumn("trees", F.lit(models.tree_count(PipelineModel.load(f"{base}/model"))))
+    df = _model_table(spark, folder)
+    found = batch.batch_flow(df, base, numeric=NUMERIC, categorical=CATEGORICAL)
+    model = PipelineModel.load(f"{base}/model")
+    gap = batch.largest_gap(spark, base, ", ".join(f"{c} {t}" for c, t in df.select(*NUMERIC, *CATEGORICAL).dtypes))
+    return found.select("*", F.lit(models.tree_count(model)).alias("trees"), F.lit(round(gap, 9)).alias("largest_gap"))
 
 
 # Monitoring and table parts

@@ -91,3 +91,4 @@ def test_batch_metrics(spark, sf, monkeypatch):
     assert row.rows == len(rows) and row.roc_auc == pytest.approx(want["roc_auc"], abs=2e-6)
     assert row.pr_auc == pytest.approx(want["pr_auc"], abs=2e-6)
     assert models.tree_count(PipelineModel.load(f"{folders[0]}/model")) == 5
+    assert row.trees == 5 and row.largest_gap == 0.0

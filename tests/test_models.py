@@ -4,7 +4,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from scorewright import config
-from scorewright.operators import features, models
+from scorewright.operators import ensembles, features, models
 from scorewright.operators.quantiles import text_counts
 from scorewright.plans import batch, report, training
 from scorewright.sources import tables
@@ -146,3 +146,27 @@ def test_batch_flow(spark, tmp_path):
     assert kept.columns == ["row_id", "actual_default", "default_probability"] and kept.count() == 60
     manifest = spark.read.json(f"{tmp_path}/manifest")
     assert manifest.select("channel").distinct().count() == 4
+
+
+def test_table_of_nodes_scores_like_the_model(spark, tmp_path):
+    """Twelve rounds over sampled rows and columns, with splits by threshold and by category; unseen categories, too."""
+    df = clients(spark, 400).withColumnRenamed(config.TARGET, "label")
+    batch.batch_flow(df, str(tmp_path), numeric=NUMERIC, categorical=CATEGORICAL, rounds=12)
+    nodes = ensembles.ensemble_nodes(spark, f"{tmp_path}/model")
+    kinds = nodes.agg(F.countDistinct("tree").alias("trees"), F.count("threshold").alias("t"), F.count("categories").alias("c"), F.count("left").alias("inner")).first()
+    assert kinds.trees == 12 and kinds.t > 0 and kinds.c > 0 and kinds.t + kinds.c == kinds.inner
+    assert batch.largest_gap(spark, str(tmp_path), "limit_bal double, age double, bill_amt1 double, pay_amt1 double, sex int, pay_0 int") < 1e-9
+    model = PipelineModel.load(f"{tmp_path}/model")
+    strange = df.withColumn("pay_0", F.lit(77)).withColumn("age", F.lit(None).cast("double"))
+    again = ensembles.ensemble_probability(model.stages[0].transform(strange), nodes, "again").select("row_id", "again")
+    assert models.with_probability(model, strange).join(again, "row_id").filter("abs(p - again) > 1e-9").count() == 0
+
+
+def test_leaves_of_the_first_tree_hold_means(spark, tmp_path):
+    df = clients(spark, 400).withColumnRenamed(config.TARGET, "label")
+    fitted = models.fit_models(df, NUMERIC, CATEGORICAL, names=[config.CHALLENGER_MODEL], rounds=1)[config.CHALLENGER_MODEL]
+    PipelineModel(stages=fitted.stages[-1:]).save(f"{tmp_path}/m")
+    prepared = fitted.stages[0].transform(df)
+    leaves = ensembles.leaf_table(prepared, ensembles.ensemble_nodes(spark, f"{tmp_path}/m")).collect()
+    assert len(leaves) > 2 and sum(r.rows for r in leaves) == 400
+    assert all(r.rows == r.seen and abs(r.prediction - r.mean) < 1e-9 for r in leaves)
