@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -59,6 +60,14 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def _give_back() -> None:
+    """Return freed pages to the system: a worker is kept for later tasks and would hold on to them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` whose function yields columns by name, cast to ``schema`` (DDL)."""
     ship(df.sparkSession)
@@ -71,5 +80,8 @@ def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterat
         for columns in work(batches):
             arrays = [pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], (pa.Array, pa.ChunkedArray)) else columns[f.name].cast(f.type) for f in arrow]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+            del columns, arrays
+            _give_back()
+        _give_back()
 
     return df.mapInArrow(run, struct)
