@@ -29,6 +29,8 @@ from scorewright.llm.filters import BITS, bitmap
 from scorewright.storage import materialize
 
 KINDS = ("email", "ip", "card", "phone")
+#: All names of spans: credentials are marked, too, but as no part of the base.
+NAMES = (*KINDS, "secret")
 #: A trusted pattern's least number of known instances and least share; an instance's least score.
 SUPPORT, SHARE, SCORE = 5, 0.7, 0.7
 #: Share of the texts that patterns of emails are tried on before all texts are read for those that are left.
@@ -42,6 +44,7 @@ _CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _RUN = re.compile(r"\+?\(?[0-9](?:[\x20().-]*[0-9])*")
+_SECRET = re.compile(r"(?i)(?<![A-Za-z0-9])(?:tokens?|secrets?|passwords?|passwd|api[_-]?keys?|access[_-]?keys?)[\"']?\s{0,4}[:=]\s{0,4}[\"']?([A-Za-z0-9+/_.~-]{16,})")
 _WORD = re.compile(r"\S+")
 _GAP = re.compile(r"\s{20}")
 _EDGES = "\"'`()[]{}<>,.;:!?*"
@@ -94,8 +97,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def secret_spans(text: str) -> list[tuple[int, int, int]]:
+    """Credentials: what is assigned to a name of one, if it holds at least 16 characters, of them letters and digits."""
+    if "=" not in text and ":" not in text:
+        return []
+    found = [(m.group(1), *m.span(1)) for m in _SECRET.finditer(text)]
+    return [(len(KINDS), a, b) for said, a, b in found if any(map(str.isdigit, said)) and any(map(str.isalpha, said))]
+
+
 def written(spans: list[tuple[int, int, int]]) -> str:
-    return ",".join([f"{KINDS[k]}:{a}:{b}" for k, a, b in spans])
+    return ",".join([f"{NAMES[k]}:{a}:{b}" for k, a, b in spans])
 
 
 def _stripped(text: str, a: int, b: int) -> tuple[int, int]:
@@ -181,16 +192,18 @@ def _scan(key: str, extra: list[str], words: bytes | None = None):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for part, texts in text_slices(batch):
-                base = [base_spans(t) for t in texts]
+                base, secrets = [base_spans(t) for t in texts], [secret_spans(t) for t in texts]
                 instances = []
-                for text, spans in zip(texts, base, strict=True):
-                    taken = sorted((a, b) for _, a, b in spans)
+                for text, spans, hidden in zip(texts, base, secrets, strict=True):
+                    taken = sorted((a, b) for _, a, b in [*spans, *hidden])
                     own = [(k, a, b, "s") for k, a, b in spans] + [(-1, a, b, "n") for a, b in _numbers(text, taken)]
                     if words is not None:
                         own += [(-1, a, b, "w") for a, b in _marked_words(text, taken, words)]
-                    instances.append([{"kind": k, "start": a, "end": b, "instance": _named(c, text[a:b]), "patterns": _context(text, a)} for k, a, b, c in own])
+                    marked = [{"kind": k, "start": a, "end": b, "instance": _named(c, text[a:b]), "patterns": _context(text, a)} for k, a, b, c in own]
+                    instances.append(marked + [{"kind": k, "start": a, "end": b, "instance": None, "patterns": []} for k, a, b in hidden])
                 yield {c: part.column(c) for c in (key, "uid", *extra)} | {
                     **{f"n_{name}": [sum(s[0] == k for s in spans) for spans in base] for k, name in enumerate(KINDS)},
+                    "n_secret": list(map(len, secrets)),
                     "base_sha256": [hashlib.sha256(written(spans).encode()).hexdigest() for spans in base],
                     "instances": instances,
                 }
@@ -314,21 +327,23 @@ def _bits(instances: DataFrame) -> bytes:
 
 
 def find_personal_data(documents: DataFrame, *, key: str = "doc_id", carry: tuple[str, ...] = (), rounds: int | None = None, support: int = SUPPORT, share: float = SHARE, score: float = SCORE) -> DataFrame:
-    """``key, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found, places`` of every row.
+    """``key, n_email, n_ip, n_card, n_phone, n_secret, base_sha256, spans, n_found, places`` of every row.
 
     Counts and digest are of the base spans; ``spans`` writes all of them as ``kind:start:end`` and
-    ``places`` holds them as an array, ``n_found`` counts those that the method added. Columns named in
+    ``places`` holds them as an array, ``n_found`` counts those that the method added. ``n_secret`` counts
+    credentials (:func:`secret_spans`), which are spans but neither base nor seeds. Columns named in
     ``carry`` are returned unchanged. The scan's result, far smaller than the texts, is stored once in the
     shared folder; scoring works on distinct pairs of pattern and instance. The texts are read again for the
     words after patterns of emails, as long as there are new ones. Rounds go on until one adds no instance, or
     to ``rounds``. A null or empty text has no spans; null keys
     and repeated rows are kept, one result per row; an empty table gives no rows; other columns are not read.
+    Texts of any length are read whole, and of overlapping spans all stay.
     """
     fields = {f.name: f.dataType.simpleString() for f in documents.schema}
     carried = [c for c in carry if c != key]
     taken = documents.select(key, "text", *[c for c in carried if c != "text"], F.monotonically_increasing_id().alias("uid"))
     schema = f"`{key}` {fields[key]}, uid long, " + "".join(f"`{c}` {fields[c]}, " for c in carried)
-    schema += ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, instances array<struct<kind:int,start:int,end:int,instance:string,patterns:array<string>>>"
+    schema += ", ".join(f"n_{k} long" for k in KINDS) + ", n_secret long, base_sha256 string, instances array<struct<kind:int,start:int,end:int,instance:string,patterns:array<string>>>"
     scanned = materialize(map_batches(taken, _scan(key, carried), schema))
     texts, pairs = documents.select("text"), "pattern string, instance string"
 
@@ -399,11 +414,11 @@ def find_personal_data(documents: DataFrame, *, key: str = "doc_id", carry: tupl
         F.transform(F.filter("instances", lambda i: i.kind >= 0), lambda i: F.struct(i.kind.alias("kind"), i.start.alias("start"), i.end.alias("end"))),
         F.coalesce("added", F.array().cast("array<struct<kind:int,start:int,end:int>>")),
     ))
-    names = F.array(*map(F.lit, KINDS))
+    names = F.array(*map(F.lit, NAMES))
     text = F.array_join(F.transform("places", lambda p: F.concat_ws(":", F.get(names, p.kind), p.start, p.end)), ",")
     return (
         scanned.join(added, "uid", "left").withColumn("places", spans)
-        .select(key, *carried, *[f"n_{k}" for k in KINDS], "base_sha256", text.alias("spans"), F.coalesce(F.size("added"), F.lit(0)).cast("long").alias("n_found"), "places")
+        .select(key, *carried, *[f"n_{k}" for k in NAMES], "base_sha256", text.alias("spans"), F.coalesce(F.size("added"), F.lit(0)).cast("long").alias("n_found"), "places")
     )
 
 
@@ -431,6 +446,6 @@ def _masked(text: str, places: list[dict]) -> str:
     out, done = [], 0
     for p in sorted(places, key=lambda p: (p["start"], -p["end"])):
         if p["start"] >= done:
-            out += [text[done : p["start"]], f"<{KINDS[p['kind']]}>"]
+            out += [text[done : p["start"]], f"<{NAMES[p['kind']]}>"]
         done = max(done, p["end"])
     return "".join([*out, text[done:]])

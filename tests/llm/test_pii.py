@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -7,7 +8,7 @@ from hypothesis import strategies as st
 from odd import documents
 
 from scorewright.llm import pii
-from scorewright.llm.pii import KINDS, base_spans, find_personal_data, luhn, redact, written
+from scorewright.llm.pii import KINDS, base_spans, find_personal_data, luhn, redact, secret_spans, written
 
 PATTERNS = [
     re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -125,3 +126,22 @@ def test_other_places_speak_against_an_instance(spark):
     clean = [f"{w} {x} is free" for w in ("room", "model", "invoice", "train") for x in ("5551234", "today")]
     new = {"phone: 5551235": "5551235", "mailbox: joe[at]example.com": "joe[at]example.com", "phone: 5551236": "5551236", "lobby 5551236": "5551236"}
     assert _texts(spark, [*texts, "phone: 5551234", "mailbox: today", *clean, *new]) == {t: {i} for t, i in new.items()}
+
+
+def test_credentials_are_spans_but_no_base(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    texts = [f'rti token = "{key}" end', f"API_KEY: {key}, mail ann@example.com", f"password={'a' * 30}", f"mytoken = {key}", "token = short1", f"tokens: {key}\nSECRET='{key[:20]}'", None, ""]
+    docs = documents(spark, [(i, t, *[None] * 10) for i, t in enumerate(texts)])
+    found = {r.doc_id: r for r in find_personal_data(docs).collect()}
+    assert [found[i].n_secret for i in range(len(texts))] == [1, 1, 0, 0, 0, 2, 0, 0]
+    assert found[0].spans == f"secret:13:{13 + len(key)}" and found[1].n_email == 1 and found[0].n_card == 0
+    assert found[0].base_sha256 == hashlib.sha256(b"").hexdigest()
+    texts = {r.doc_id: r.text for r in redact(docs).collect()}
+    assert texts[0] == 'rti token = "<secret>" end' and texts[1] == "API_KEY: <secret>, mail <email>" and texts[4] == "token = short1" and texts[6] is None
+
+
+@pytest.mark.parametrize("text", ["token = " * 30_000, "secret:" + "x" * 300_000, "api_key" + " " * 300_000 + "=", "token=" * 50_000])
+def test_credentials_take_linear_time(text):
+    begin = time.time()
+    secret_spans(text)
+    assert time.time() - begin < 3
