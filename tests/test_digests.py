@@ -76,3 +76,40 @@ def test_nodes_are_bounded(spark, monkeypatch):
     assert len(largest) == 3 and max(largest) <= 300
     assert not any(word in root._jdf.queryExecution().toString() for word in ("Python", "Arrow", "Pandas"))
     assert root.first().sha256 == slow([r.sha256 for r in df.collect()])
+
+
+def slow_pieces(content, piece):
+    """Lines by where they begin, folded by 256."""
+    lines, at, pieces = content.split(b"\n"), 0, {}
+    if lines[-1] == b"":
+        lines.pop()
+    for line in lines:
+        pieces.setdefault(at // piece, []).append(line)
+        at += len(line) + 1
+    nodes = {k: hashlib.sha256(b"".join(x + b"\n" for x in own)).hexdigest() for k, own in pieces.items()}
+    while True:
+        groups = {}
+        for k in sorted(nodes):
+            groups.setdefault(k // 256, []).append(nodes[k])
+        nodes = {k: hashlib.sha256(",".join(own).encode()).hexdigest() for k, own in groups.items()}
+        if list(nodes) == [0]:
+            break
+    return hashlib.sha256(f"{nodes[0]}:{str(at == len(content)).lower()}".encode()).hexdigest()
+
+
+@pytest.mark.parametrize("split", ["128m", "9000"])
+def test_files_over_the_limit_are_digested_in_pieces(spark, tmp_path, split):
+    """However the files are split, with bytes that are no text, carriage returns, empty lines and no last line break."""
+    lines = [b"row %d,\xff\xfe\x00 %s\r" % (i, b"x" * (i % 90)) for i in range(3000)] + [b"", b"", b"last"]
+    contents = {"a.bin": b"\n".join(lines) + b"\n", "b.bin": b"\n".join(lines), "c/d.bin": b"\n".join(lines[:700]), "small": b"deterministic-model"}
+    (tmp_path / "c").mkdir()
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        found = {r.file: (r.length, r.sha256) for r in digests.file_digests(spark, str(tmp_path), whole=1000, piece=256).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = {name: hashlib.sha256(content).hexdigest() if len(content) <= 1000 else slow_pieces(content, 256) for name, content in contents.items()}
+    assert {f: d for f, (_, d) in found.items()} == want and {f: n for f, (n, _) in found.items()} == {f: len(c) for f, c in contents.items()}
+    assert len(set(want.values())) == 4
