@@ -25,7 +25,7 @@ from scorewright.llm.batches import map_batches, text_slices
 from scorewright.llm.components import components
 from scorewright.llm.filters import bitmap, marked
 from scorewright.llm.shingles import mixed, set_id, shingle_sets
-from scorewright.storage import materialize
+from scorewright.storage import discard, materialize
 
 #: A link: 100 * common shingles >= PERCENT * all shingles of both.
 PERCENT = 80
@@ -174,6 +174,7 @@ def _may_link(a: str, b: str) -> Column:
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``a, b, low, high, linked`` for pairs of classes: bounds of their distance, equal where it was computed.
+    The stored ``sets`` are deleted afterwards.
 
     Two sets share no more shingles than their cells do, which settles most pairs that do not link. The whole
     sets meet for the others only.
@@ -189,7 +190,9 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     x, y = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
     exact = bounded.where("near").select("a", "b", "total").join(y, "b").join(x, "a").withColumn("common", F.size(F.array_intersect("x", "y")))
     exact = exact.select("a", "b", distance.alias("low"), distance.alias("high"), near.alias("linked")).dropDuplicates(["a", "b"])
-    return materialize(exact.unionByName(far))
+    compared = materialize(exact.unionByName(far))
+    discard(bounded, sets)
+    return compared
 
 
 def choose_boundary(sizes: dict[int, int], list_length: float) -> int:
@@ -209,8 +212,9 @@ def near_documents(documents: DataFrame, *, key: str = "doc_id", rows_of: bool =
 
     A text without words (null, empty or blank) has an empty set and links with nothing. A row without key
     takes part but is nobody's smallest; alone, its component is null. Rows with the same key are documents
-    of their own. An empty table gives no rows; other columns are not read. Sets and shingles are told apart
-    by 64-bit fingerprints. Texts are read three times, and only fingerprints are shuffled.
+    of their own. An empty table gives no rows; other columns are not read; texts of any length are read
+    whole. Sets and shingles are told apart by 64-bit fingerprints. Texts are read three times, and only
+    fingerprints are shuffled. Tables in the shared folder are deleted when they are used up.
 
     With ``rows_of`` there are two more columns: ``own``, the ``xxhash64`` of the row's key and text, and
     ``first``, that of the row with the smallest key of those linked (of several, the smallest ``own``).
@@ -243,6 +247,7 @@ def near_documents(documents: DataFrame, *, key: str = "doc_id", rows_of: bool =
         return materialize(map_batches(texts, _needed_sets(bitmap(holders, "own")), "set_id long, n long, cells array<int>, shingles array<long>"))
 
     compared = _compared(first, whole_sets(first))
+    discard(first)
     links = compared.where("linked").select("a", "b")
     groups = components(links)
 
@@ -256,15 +261,18 @@ def near_documents(documents: DataFrame, *, key: str = "doc_id", rows_of: bool =
         .select("key", "set_id", "place", "component", *[F.when(F.col("set_id") == F.col("pivot"), 0.0).otherwise(F.coalesce(c, F.lit(limit))).alias(c) for c, limit in (("low", 0.0), ("high", 1.0))])
     )
     left = materialize(left)
+    discard(lists)
     apart = F.greatest(F.col("x.low") - F.col("y.high"), F.col("y.low") - F.col("x.high")) <= 1 - PERCENT / 100 + 1e-9
     second = (
         left.alias("x").join(left.alias("y"), F.expr("x.key = y.key and x.set_id > y.set_id and x.component <> y.component"))
         .where(_may_link("x", "y") & apart).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct()
     )
     second = materialize(second.join(compared.select("a", "b"), ["a", "b"], "left_anti"))
+    discard(left)
     if not second.isEmpty():
         more = _compared(second, whole_sets(second)).where("linked").select("a", "b")
         groups = components(links.unionByName(more))
+    discard(second)
 
     found = rows.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").select("own", key, "n", F.when(F.col("n") > 0, F.coalesce("component", "set_id")).alias("component"))
     first = F.min(F.when(F.col(key).isNotNull(), F.struct(F.col(key).alias("key"), "own")))
