@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 #: Characters that a task works on at once; a longer text is a slice of its own.
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text", budget: int = SLICE) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
