@@ -38,7 +38,11 @@ def _unfolded(folded: DataFrame, docs: DataFrame, text: Column, changed: bool =
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, fitted on ``labels``, does not reject."""
+    """Documents that the quality classifier, fitted on ``labels``, does not reject.
+
+    A null text is scored as an empty one; rows without an id and repeated rows are scored like others, each by
+    itself; an empty table stays empty.
+    """
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     kept = score(_folded(docs), model, carry=("text", "others")).where("predicted = 1")
     return _unfolded(kept, docs, F.col("text"), changed=False)
@@ -60,18 +64,29 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings of 200 bytes that occur elsewhere too."""
+    """Texts without the strings of 200 bytes that occur elsewhere too.
+
+    Every row stays, with or without an id; null texts stay null; of repeated rows all lose what they share; an
+    empty table stays empty.
+    """
     removed = remove_repeated(_folded(docs), carry=("text", "others"), digest=False)
     return _unfolded(removed, docs, F.when(F.col("text").isNotNull(), F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with every span of personal data replaced by its kind."""
+    """Texts with every span of personal data and every credential replaced by its kind.
+
+    Every row stays, with or without an id, repeated ones too; null texts stay null; an empty table stays empty.
+    """
     return _unfolded(_folded(redact(docs)), docs, F.col("text"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the sequences that the documents are packed into."""
+    """Pieces of the sequences that the documents are packed into.
+
+    A null text is a document of its end id alone; rows without an id and repeated rows are packed like others;
+    an empty table gives no pieces.
+    """
     return pack(docs, VOCABULARY)
 
 
