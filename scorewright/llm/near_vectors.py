@@ -89,7 +89,8 @@ def near_vectors(embeddings: DataFrame, *, near: float = NEAR, block: int = BLOC
     Equal vectors of a label are one class while tiles are computed, so copies cost nothing; every other link
     counts. Vectors that are null, empty or zero or hold null or non-finite numbers, and those without label,
     link with nothing; so do vectors of different lengths. A row without an id has a null component and is
-    not kept. Repeated rows are vectors of their own that link with each other. An empty table gives no rows.
+    not kept. Repeated rows are vectors of their own that link with each other. An empty table gives no rows;
+    other columns are not read.
     """
     rows = embeddings.select(F.col("vec_id").cast("long"), "embedding", "label")
     usable = finite("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.exists("embedding", lambda x: x != 0)

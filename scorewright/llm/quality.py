@@ -230,7 +230,8 @@ def score(documents: DataFrame, model: Model, *, key: str = "doc_id", carry: tup
     """``key, held_out, score, predicted`` and the columns of ``carry`` for every row, without a shuffle.
 
     Null and empty texts are scored like others, by statistics that are all zero; null keys and repeated
-    rows are kept; an empty table gives no rows; the columns that are not carried are not read.
+    rows are kept; an empty table gives no rows; the columns that are not carried are not read. Texts of any
+    length are read whole, one slice of them at a time.
     """
     fields = {f.name: f.dataType.simpleString() for f in documents.schema}
     carried = [c for c in carry if c != key]

@@ -256,7 +256,7 @@ def remove_repeated(documents: DataFrame, *, key: str = "doc_id", carry: tuple[s
     A byte goes if a string of 200 bytes that covers it starts anywhere else too, in the same text or another
     row's, as the texts were given. ``kept`` drops what a cut left of a character. Null and empty texts and
     those of under 200 bytes lose nothing; repeated rows repeat each other; null keys are kept; an empty table
-    gives no rows; other columns are read only if named in ``carry``.
+    gives no rows; other columns are read only if named in ``carry``. Texts of any length are cut whole.
     """
     fields = {f.name: f.dataType.simpleString() for f in documents.schema}
     columns = [key, *[c for c in carry if c != key]]

@@ -192,7 +192,8 @@ def encode_decode(documents: DataFrame, vocabulary: str, *, key: str = "doc_id",
     ``vocabulary`` is a BPE file of the tokenizers library whose words end in ``</w>``, readable on every
     executor. Digests are over ids as little-endian 32-bit integers and over the decoded text in UTF-8. There
     is no shuffle; a task holds one slice of texts. A null or empty text has no ids and decodes to an empty
-    text; null keys and repeated rows are kept; an empty table gives no rows; other columns are not read.
+    text; null keys and repeated rows are kept; an empty table gives no rows; other columns are not read. A text
+    of any length is encoded whole, a word of any length in linear time but for the merges it needs.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
