@@ -37,7 +37,7 @@ def _slice(batch: pa.RecordBatch, column: str, start: int, end: int) -> tuple[pa
 
 
 #: Bytes of an Arrow batch that reaches a task, in sessions that do not set it themselves.
-BATCH = 8 << 20
+BATCH = 4 << 20
 _BATCH_BYTES, _SPARK_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 _shipped: set[str] = set()
 

@@ -28,8 +28,8 @@ from scorewright.storage import materialize
 
 #: Batches that the documents of one call are indexed in, and classes of a head that one task compares.
 BATCHES, TOGETHER = 4, 1 << 13
-#: Bytes of text, and classes, that a task lays out at once.
-PIECE, CLASSES = 1 << 20, 1 << 11
+#: Bytes of text, and classes, that a task lays out at once: each byte or string takes some 150 bytes meanwhile.
+PIECE, CLASSES = 1 << 18, 1 << 10
 _CLASS = ["head", "whole", "back", "ahead"]
 _SPANS = "array<struct<low:long,high:long>>"
 
@@ -109,14 +109,14 @@ class IndexFamily:
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """The bytes around each wanted anchor of a text."""
     for batch in batches:
-        texts, wanted = batch.column("text").to_pylist(), batch.column("wanted").to_pylist()
-        out: tuple[list, ...] = ([], [], [], [], [])
-        for text, places in zip(texts, wanted, strict=True):
-            raw = text.encode()
-            for w in places:
-                for column, value in zip(out, (w["head"], w["id"], w["n"], w["back"], raw[w["anchor"] - w["back"] : w["anchor"] + w["ahead"] + LENGTH]), strict=True):
-                    column.append(value)
-        yield dict(zip(("head", "id", "n", "back", "bytes"), out, strict=True))
+        for part, texts in text_slices(batch, budget=PIECE):
+            out: tuple[list, ...] = ([], [], [], [], [])
+            for text, places in zip(texts, part.column("wanted").to_pylist(), strict=True):
+                raw = text.encode()
+                for w in places:
+                    for column, value in zip(out, (w["head"], w["id"], w["n"], w["back"], raw[w["anchor"] - w["back"] : w["anchor"] + w["ahead"] + LENGTH]), strict=True):
+                        column.append(value)
+            yield dict(zip(("head", "id", "n", "back", "bytes"), out, strict=True))
 
 
 def _strings(table: dict[str, list]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,21 +138,28 @@ def _spans(before: np.ndarray) -> list[dict]:
     return [{"low": int(p[0]), "high": int(p[-1]) + LENGTH} for p in np.split(starts, cut)]
 
 
-def _compare(table: dict[str, list]) -> dict:
-    """Classes of whole heads: the spans of their strings that occur elsewhere."""
-    row, before, key = _strings(table)
-    heads = np.array(table["head"], np.int64).view(np.uint64)[row]
-    codes, _ = pd.factorize(mixed(key ^ mixed(heads)))
-    totals = np.bincount(codes, weights=np.array(table["n"], float)[row])
+def _compare(classes: pa.Table) -> dict:
+    """Classes of whole heads: the spans of their strings that occur elsewhere. Only a few bytes of each string are held together."""
+    rows, places, keys = [], [], []
+    for at in range(0, classes.num_rows, CLASSES):
+        part = classes.slice(at, CLASSES).select(["head", "back", "bytes"]).to_pydict()
+        row, before, key = _strings(part)
+        keys.append(mixed(key ^ mixed(np.array(part["head"], np.int64).view(np.uint64)[row])))
+        rows.append((row + at).astype(np.int32))
+        places.append(before.astype(np.int32))
+        del part, row, before, key
+    row, before = np.concatenate(rows), np.concatenate(places)
+    codes, _ = pd.factorize(np.concatenate(keys))
+    totals = np.bincount(codes, weights=classes.column("n").to_numpy().astype(float)[row])
     again = totals[codes] > 1
-    row, before = row[again], before[again]
+    row, before = row[again], before[again].astype(np.int64)
     cut = np.flatnonzero(np.diff(row)) + 1
-    ids = [table["id"][r] for r in row[np.concatenate([[0], cut])].tolist()] if len(row) else []
+    ids = classes.column("id").to_numpy()[row[np.concatenate([[0], cut])]].tolist() if len(row) else []
     return {"id": ids, "spans": [_spans(p) for p in np.split(before, cut)] if len(row) else []}
 
 
 def _compare_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Classes sorted by head: compared in batches of whole heads."""
+    """Classes sorted by head: compared in batches of whole heads, about ``CLASSES`` at a time or one larger head."""
     held: pa.Table | None = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -160,12 +167,13 @@ def _compare_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         heads = table.column("head").to_numpy()
         begins = np.concatenate([[0], np.flatnonzero(np.diff(heads)) + 1])
         done = 0
-        while (more := begins[begins <= done + max(CLASSES, TOGETHER)][-1]) > done:
-            yield _compare(table.slice(done, int(more) - done).to_pydict())
-            done = int(more)
+        while done < begins[-1]:
+            more = int(max(begins[begins <= done + CLASSES][-1], begins[begins > done][0]))
+            yield _compare(table.slice(done, more - done))
+            done = more
         held = table.slice(done)
     if held is not None:
-        yield _compare(held.to_pydict())
+        yield _compare(held)
 
 
 def _explode_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:

@@ -1,6 +1,8 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pyspark.cloudpickle as cloudpickle
 import pytest
 from odd import PASSAGE, documents, prose
@@ -86,3 +88,27 @@ def test_kept_text_loses_broken_characters_only(spark):
 def test_merged_spans():
     spans = [{"low": 5, "high": 9}, {"low": 0, "high": 3}, {"low": 3, "high": 4}, {"low": 6, "high": 7}]
     assert merged(spans) == [(0, 4), (5, 9)]
+
+
+def test_only_some_classes_are_laid_out_at_once(monkeypatch):
+    """Many small heads and one large one: what is held at once follows ``CLASSES``, and the result does not."""
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 256, 4000, dtype=np.uint8).tobytes()
+    heads = sorted([*rng.integers(0, 60, 150).tolist(), *[99] * 90])
+    raw = [rng.integers(0, 256, 15 * (k % 2), dtype=np.uint8).tobytes() + pool[a + 15 * (k % 2) : a + 260] for k, a in enumerate((300 * rng.integers(0, 12, len(heads))).tolist())]
+    table = pa.table({
+        "head": pa.array(heads, pa.int64()), "id": pa.array(range(len(heads)), pa.int64()), "n": pa.array([1] * len(heads), pa.int64()),
+        "back": pa.array([30] * len(heads), pa.int16()), "bytes": pa.array(raw, pa.binary()),
+    })
+    seen = Counter((h, i, b[i : i + 200]) for h, b in zip(heads, raw) for i in range(61))
+    want = {}
+    for k, (h, b) in enumerate(zip(heads, raw)):
+        if again := [i for i in range(61) if seen[h, i, b[i : i + 200]] > 1]:
+            want[k] = {x for i in again for x in range(i - 30, i + 170)}
+    sizes, strings = [], module._strings
+    monkeypatch.setattr(module, "_strings", lambda t: sizes.append(len(t["bytes"])) or strings(t))
+    monkeypatch.setattr(module, "CLASSES", 20)
+    found = [x for d in module._compare_sorted(iter(table.to_batches(70))) for x in zip(d["id"], d["spans"])]
+    assert {int(k): {x for s in spans for x in range(s["low"], s["high"])} for k, spans in found} == want
+    assert len(found) == len(want) > 50 and len({min(w) for w in want.values()}) > 1
+    assert max(sizes) <= 20 and sum(sizes) == len(heads)
