@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoderModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
@@ -45,7 +45,8 @@ def permutation_importance(
         key, label, "feature", "repeat",
         *[F.when(F.col("feature") == c, F.col("donor")[c]).otherwise(F.col(c)).alias(c) for c in columns],
     )
-    return _losses(score(variants), columns, label, **options)
+    scored = score(variants)
+    return _losses(scored.select(label, _place(columns), "repeat", "p"), columns, label, **options)
 
 
 def _variants(donors: DataFrame, columns: Sequence[str], per_column: bool = False) -> DataFrame:
@@ -56,18 +57,24 @@ def _variants(donors: DataFrame, columns: Sequence[str], per_column: bool = Fals
     return donors.withColumn("feature", F.explode(features))
 
 
+def _place(columns: Sequence[str]) -> Column:
+    """The place of ``feature`` among ``columns``: a number is shuffled and sorted at less cost than a name."""
+    return F.coalesce(F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("feature")), F.lit(0)).cast("int").alias("place")
+
+
 def _losses(scored: DataFrame, columns: Sequence[str], label: str, **options) -> DataFrame:
-    by = ["feature", "repeat"]
+    """Mean loss per feature of scored variants; a variant's ``place`` is that of its feature in ``columns`` from 1, 0 for none."""
+    by = ["place", "repeat"]
     table = score_table(scored, by, label)
     precision = ranked_scores(table, by, **options).groupBy(*by).agg(F.expr(AVERAGE_PRECISION).alias("ap"))
     # From here on there are (features * repeats + 1) rows.
-    baseline = F.max(F.when(F.col("feature") == _NONE, F.col("ap"))).over(Window.partitionBy())
-    order = F.array(*[F.lit(c) for c in columns])
+    baseline = F.max(F.when(F.col("place") == 0, F.col("ap"))).over(Window.partitionBy())
+    names = F.array(*[F.lit(c) for c in columns])
     return (
         precision.withColumn("loss", baseline - F.col("ap"))
-        .filter(F.col("feature") != _NONE)
-        .groupBy("feature").agg(F.round(F.avg("loss"), 6).alias("importance"))
-        .withColumn("position", F.array_position(order, F.col("feature")).cast("int"))
+        .filter(F.col("place") > 0)
+        .groupBy("place").agg(F.round(F.avg("loss"), 6).alias("importance"))
+        .select(F.get(names, F.col("place") - 1).alias("feature"), "importance", F.col("place").alias("position"))
     )
 
 
@@ -122,11 +129,24 @@ def linear_importance(
     terms = linear_terms(model, test, numeric, categorical)
     terms = terms.select(key, label, *[F.col("terms")[i].alias(c) for i, c in enumerate(columns)])
     donors = seeded_donors(terms, columns, repeats=repeats, key=key, seed=seed, per_column=per_column)
-    margin = F.lit(float(model.stages[-1].intercept))
-    for c in columns:
-        margin = margin + F.when(F.col("feature") == c, F.col("donor")[c]).otherwise(F.col(c))
-    scored = _variants(donors, columns, per_column).select(label, "feature", "repeat", (1.0 / (1.0 + F.exp(-margin))).alias("p"))
-    return _losses(scored, order or columns, label, **options)
+
+    def probability(changed: str | None = None) -> Column:
+        margin = F.lit(float(model.stages[-1].intercept))
+        for c in columns:
+            margin = margin + (F.col("donor")[c] if c == changed else F.col(c))
+        return 1.0 / (1.0 + F.exp(-margin))
+
+    # All variants of a row are scored side by side and leave it as (place, p): nothing else of the row is repeated.
+    order = [*order, *(c for c in columns if c not in order)]
+    variant = {c: F.struct(F.lit(order.index(c) + 1).alias("place"), probability(c).alias("p")) for c in columns}
+    plain = F.struct(F.lit(0).alias("place"), probability().alias("p"))
+    if per_column:
+        own = F.array(F.coalesce(*[F.when(F.col("shuffled") == c, v) for c, v in variant.items()]))
+        opens = (F.col("repeat") == 1) & (F.col("shuffled") == columns[0])
+    else:
+        own, opens = F.array(*variant.values()), F.col("repeat") == 1
+    scored = donors.select(label, "repeat", F.inline(F.when(opens, F.concat(F.array(plain), own)).otherwise(own)))
+    return _losses(scored, order, label, **options)
 
 
 def top_features(importance: DataFrame, k: int = config.TOP_FEATURES) -> DataFrame:

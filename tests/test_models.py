@@ -4,7 +4,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from scorewright import config
-from scorewright.operators import ensembles, features, models
+from scorewright.operators import ensembles, features, models, permutation
 from scorewright.operators.quantiles import text_counts
 from scorewright.plans import batch, report, training
 from scorewright.sources import tables
@@ -170,3 +170,17 @@ def test_leaves_of_the_first_tree_hold_means(spark, tmp_path):
     leaves = ensembles.leaf_table(prepared, ensembles.ensemble_nodes(spark, f"{tmp_path}/m")).collect()
     assert len(leaves) > 2 and sum(r.rows for r in leaves) == 400
     assert all(r.rows == r.seen and abs(r.prediction - r.mean) < 1e-9 for r in leaves)
+
+
+@pytest.mark.parametrize("per_column", [False, True])
+def test_variants_of_a_row_are_scored_side_by_side(spark, monkeypatch, per_column):
+    """Numbers only reach the ranking, one (place, repeat, p) per variant, with the importances of whole shuffled rows."""
+    df = clients(spark, 300).withColumnRenamed(config.TARGET, "label")
+    model = models.fit_models(df, NUMERIC, CATEGORICAL, names=[config.BASELINE_MODEL])[config.BASELINE_MODEL]
+    columns, seen, table = [*CATEGORICAL, *NUMERIC], [], permutation.score_table
+    want = permutation.permutation_importance(df, lambda t: models.with_probability(model, t), columns, per_column=per_column).collect()
+    monkeypatch.setattr(permutation, "score_table", lambda scored, *a: seen.append(scored) or table(scored, *a))
+    found = permutation.linear_importance(model, df, NUMERIC, CATEGORICAL, order=columns, per_column=per_column).collect()
+    assert dict(seen[0].dtypes) == {"label": "int", "repeat": "int", "place": "int", "p": "double"}
+    assert seen[0].groupBy("place").count().count() == 7 and seen[0].count() == 300 * (1 + 6 * config.PERMUTATION_REPEATS)
+    assert {r.feature: (r.position, r.importance) for r in found} == {r.feature: (r.position, pytest.approx(r.importance, abs=2e-6)) for r in want}
