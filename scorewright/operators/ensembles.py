@@ -1,4 +1,4 @@
-"""A fitted tree ensemble as a table of nodes, and scoring by expressions made from it.
+"""A fitted tree ensemble as a table of nodes, and scoring from it: a batch of rows at a time, or one tree as an expression.
 
 This path shares nothing with the classifier that fitted the trees but what it saved, so the two check each
 other. An ensemble has a bounded number of nodes (rounds times two to the depth), whatever the data.
@@ -6,10 +6,11 @@ other. An ensemble has a bounded number of nodes (rounds times two to the depth)
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sql_number
@@ -55,13 +56,85 @@ def _with_values(prepared: DataFrame) -> DataFrame:
     return prepared.withColumn(_VALUES, vector_to_array("features"))
 
 
+def _programs(rows: Sequence[Row]) -> tuple[list[tuple], list[tuple]]:
+    """The distinct questions of an ensemble (feature, threshold, categories), and per tree its weight and its program.
+
+    A program of a tree of at most 32 leaves is ``(steps, outcomes)``: leaves are bits from the left, and a question that
+    is denied clears the bits of its node's left side (a step), so the lowest bit left over is the leaf a row comes to.
+    A larger tree is ``(question, left, right)`` of two programs.
+    """
+    found = {(n.tree, n.node): n for n in rows}
+    questions: dict[tuple, int] = {}
+
+    def question(n: Row) -> int:
+        return questions.setdefault((n.feature, n.threshold, None if n.categories is None else tuple(n.categories)), len(questions))
+
+    def small(tree: int, node: int) -> tuple[list, list]:
+        n = found[tree, node]
+        if n.left is None:
+            return [], [n.prediction]
+        (left, outcomes), (right, others) = small(tree, n.left), small(tree, n.right)
+        at = len(outcomes)
+        cleared = [(question(n), (1 << at) - 1), *left, *((q, bits << at) for q, bits in right)]
+        return cleared, outcomes + others
+
+    def leaves(tree: int, node: int) -> int:
+        n = found[tree, node]
+        return 1 if n.left is None else leaves(tree, n.left) + leaves(tree, n.right)
+
+    def program(tree: int, node: int) -> tuple:
+        if leaves(tree, node) <= 32:
+            return small(tree, node)
+        n = found[tree, node]
+        return question(n), program(tree, n.left), program(tree, n.right)
+
+    trees = sorted({(n.tree, n.weight) for n in rows})
+    programs = [(weight, program(tree, 0)) for tree, weight in trees]
+    return list(questions), programs
+
+
+def _margin(rows: Sequence[Row]) -> Callable:
+    """A column function from arrays of feature values to the weighted sum of all trees, for a block of rows at a time."""
+    questions, programs = _programs(rows)
+
+    @F.arrow_udf("double")
+    def margin(batch: pa.Array) -> pa.Array:
+        import numpy as np
+        import pyarrow as pa
+
+        def outcome(program: tuple, yes: list):
+            if len(program) == 3:
+                q, left, right = program
+                return np.where(yes[q], outcome(left, yes), outcome(right, yes))
+            steps, outcomes = program
+            kept = np.full(len(yes[0]) if yes else 1, 0xFFFFFFFF, np.uint32)
+            keep = np.empty_like(kept)
+            for q, bits in steps:
+                np.bitwise_or(yes[q], np.uint32(0xFFFFFFFF ^ bits), out=keep)
+                np.bitwise_and(kept, keep, out=kept)
+            lowest = kept & (~kept + np.uint32(1))
+            return np.asarray(outcomes)[(lowest.astype(np.float32).view(np.uint32) >> 23) - 127]  # the exponent is the bit's place
+
+        totals = np.zeros(len(batch))
+        for start in range(0, len(batch), 4096):
+            block = batch.slice(start, 4096)
+            x = np.ascontiguousarray(block.flatten().to_numpy(zero_copy_only=False).reshape(len(block), -1).T)
+            # All bits where a question is affirmed, else none.
+            yes = [
+                np.where(x[f] <= threshold if categories is None else np.isin(x[f], categories), np.uint32(0xFFFFFFFF), np.uint32(0))
+                for f, threshold, categories in questions
+            ]
+            for weight, program in programs:
+                totals[start : start + len(block)] += outcome(program, yes) * weight
+        return pa.array(totals)
+
+    return margin
+
+
 def ensemble_probability(prepared: DataFrame, nodes: DataFrame, p: str = "p") -> DataFrame:
     """``prepared`` (with ``features``) and the probability of class 1: the logistic of twice the weighted sum of trees."""
-    rows = nodes.collect()  # of one ensemble
-    weights = {n.tree: n.weight for n in rows}
-    trees = [F.expr(e) * F.lit(weights[tree]) for tree, e in tree_expressions(rows, "prediction").items()]
-    total: Column = F.aggregate(F.array(*trees), F.lit(0.0), lambda a, x: a + x)
-    return _with_values(prepared).withColumn(p, 1.0 / (1.0 + F.exp(-2.0 * total))).drop(_VALUES)
+    total = _margin(nodes.collect())(vector_to_array("features"))  # the nodes of one ensemble
+    return prepared.withColumn(p, 1.0 / (1.0 + F.exp(-2.0 * total)))
 
 
 def leaf_table(prepared: DataFrame, nodes: DataFrame, label: str = "label", tree: int = 0) -> DataFrame:

@@ -184,3 +184,22 @@ def test_variants_of_a_row_are_scored_side_by_side(spark, monkeypatch, per_colum
     assert dict(seen[0].dtypes) == {"label": "int", "repeat": "int", "place": "int", "p": "double"}
     assert seen[0].groupBy("place").count().count() == 7 and seen[0].count() == 300 * (1 + 6 * config.PERMUTATION_REPEATS)
     assert {r.feature: (r.position, r.importance) for r in found} == {r.feature: (r.position, pytest.approx(r.importance, abs=2e-6)) for r in want}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_trees_are_scored_in_batches_like_the_model(spark, tmp_path):
+    """Trees of more than 32 leaves are put together from smaller ones; a tree may be a single leaf."""
+    df = clients(spark, 3000).withColumn("label", (F.col(config.TARGET) + F.floor(F.col("age") * 7) % 2 > 0).cast("int"))
+    prepared = features.fit_preparation(df, NUMERIC, CATEGORICAL).fit(df).transform(df)
+    for name, params in {"deep": dict(maxDepth=8), "flat": dict(maxDepth=0)}.items():
+        model = PipelineModel(stages=[models.gradient_boosting("label", 3, **params).fit(prepared)])
+        model.save(f"{tmp_path}/{name}")
+        nodes = ensembles.ensemble_nodes(spark, f"{tmp_path}/{name}")
+        leaves = [r["count"] for r in nodes.filter("left is null").groupBy("tree").count().collect()]
+        assert max(leaves) > 32 if name == "deep" else max(leaves) == 1
+        again = ensembles.ensemble_probability(prepared.select("row_id", "features"), nodes, "again")
+        assert "ArrowEvalPython" in plan(again) and "aggregate(" not in plan(again)  # no tree is interpreted row by row
+        assert models.with_probability(model, prepared).join(again, "row_id").filter("abs(p - again) > 1e-9").count() == 0
