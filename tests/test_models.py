@@ -203,3 +203,14 @@ def test_large_trees_are_scored_in_batches_like_the_model(spark, tmp_path):
         again = ensembles.ensemble_probability(prepared.select("row_id", "features"), nodes, "again")
         assert "ArrowEvalPython" in plan(again) and "aggregate(" not in plan(again)  # no tree is interpreted row by row
         assert models.with_probability(model, prepared).join(again, "row_id").filter("abs(p - again) > 1e-9").count() == 0
+
+
+def test_importances_of_boosting_come_from_the_table_of_nodes(spark, tmp_path, monkeypatch):
+    seen, importance = [], training.permutation_importance
+    monkeypatch.setattr(training, "select_model", lambda metrics, order: metrics.selectExpr("'gradient_boosting' as selected_model").limit(1))
+    monkeypatch.setattr(training, "permutation_importance", lambda t, score, *a, **o: seen.append((t, score, a, o)) or importance(t, score, *a, **o))
+    result = training.train_and_evaluate(clients(spark, 300), str(tmp_path), rounds=3)
+    (test, score, a, o), = seen
+    assert "ArrowEvalPython" in plan(score(test))
+    want = importance(test, lambda t: models.with_probability(result.models["gradient_boosting"], t), *a, **o)
+    assert {(r.feature, r.importance) for r in result.importance.collect()} == {(r.feature, r.importance) for r in want.collect()}
