@@ -17,6 +17,9 @@ from ..functions import sql_number
 
 _VALUES = "_values"
 
+# Features up to which making a row's vector dense costs less than walking its trees one by one.
+WIDEST_DENSE = 1_000
+
 
 def ensemble_nodes(spark: SparkSession, path: str) -> DataFrame:
     """``tree, weight, node, left, right, feature, threshold, categories, prediction, rows`` of a saved pipeline's boosting.
@@ -93,9 +96,10 @@ def _programs(rows: Sequence[Row]) -> tuple[list[tuple], list[tuple]]:
     return list(questions), programs
 
 
-def _margin(rows: Sequence[Row]) -> Callable:
-    """A column function from arrays of feature values to the weighted sum of all trees, for a block of rows at a time."""
+def _margin(rows: Sequence[Row], asked: Sequence[int]) -> Callable:
+    """A column function from arrays of the ``asked`` features to the weighted sum of all trees, for a block of rows at a time."""
     questions, programs = _programs(rows)
+    questions = [(asked.index(f), threshold, categories) for f, threshold, categories in questions]
 
     @F.arrow_udf("double")
     def margin(batch: pa.Array) -> pa.Array:
@@ -132,9 +136,14 @@ def _margin(rows: Sequence[Row]) -> Callable:
 
 
 def ensemble_probability(prepared: DataFrame, nodes: DataFrame, p: str = "p") -> DataFrame:
-    """``prepared`` (with ``features``) and the probability of class 1: the logistic of twice the weighted sum of trees."""
-    total = _margin(nodes.collect())(vector_to_array("features"))  # the nodes of one ensemble
-    return prepared.withColumn(p, 1.0 / (1.0 + F.exp(-2.0 * total)))
+    """``prepared`` (with ``features``) and the probability of class 1: the logistic of twice the weighted sum of trees.
+
+    Only features that a node asks for reach the batches. Each row's vector is made dense once.
+    """
+    rows = nodes.collect()  # of one ensemble
+    asked = sorted({n.feature for n in rows if n.feature is not None}) or [0]
+    total = _margin(rows, asked)(F.array(*[F.col(_VALUES)[f] for f in asked]))
+    return _with_values(prepared).withColumn(p, 1.0 / (1.0 + F.exp(-2.0 * total))).drop(_VALUES)
 
 
 def leaf_table(prepared: DataFrame, nodes: DataFrame, label: str = "label", tree: int = 0) -> DataFrame:

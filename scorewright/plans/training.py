@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import decision
 from ..operators.drift import feature_drift, prediction_drift
-from ..operators.ensembles import ensemble_nodes, ensemble_probability
+from ..operators.ensembles import WIDEST_DENSE, ensemble_nodes, ensemble_probability
 from ..operators.governance import promotion_checks
 from ..operators.metrics import classification_metrics, select_model
 from ..operators.models import fit_models, with_probability
@@ -106,10 +106,12 @@ def train_and_evaluate(
     if selected == config.BASELINE_MODEL:
         losses = linear_importance(model, test, numeric, categorical, order=features, label=label, seed=seed)
     else:
-        nodes = ensemble_nodes(spark, f"{folder}/model")
-        losses = permutation_importance(
-            test, lambda t: ensemble_probability(model.stages[0].transform(t), nodes), features, label=label, seed=seed
-        )
+        def score(rows: DataFrame) -> DataFrame:
+            if model.stages[-1].numFeatures > WIDEST_DENSE:
+                return with_probability(model, rows)
+            return ensemble_probability(model.stages[0].transform(rows), ensemble_nodes(spark, f"{folder}/model"))
+
+        losses = permutation_importance(test, score, features, label=label, seed=seed)
     importance = pin(top_features(losses))
     promotion = promotion_checks(metrics, policy=policy)
     by_feature = pin(feature_drift(train, test, monitored))

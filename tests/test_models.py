@@ -212,5 +212,7 @@ def test_importances_of_boosting_come_from_the_table_of_nodes(spark, tmp_path, m
     result = training.train_and_evaluate(clients(spark, 300), str(tmp_path), rounds=3)
     (test, score, a, o), = seen
     assert "ArrowEvalPython" in plan(score(test))
+    monkeypatch.setattr(training, "WIDEST_DENSE", 3)  # wide vectors stay sparse
+    assert "ArrowEvalPython" not in plan(score(test))
     want = importance(test, lambda t: models.with_probability(result.models["gradient_boosting"], t), *a, **o)
     assert {(r.feature, r.importance) for r in result.importance.collect()} == {(r.feature, r.importance) for r in want.collect()}
