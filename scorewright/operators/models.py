@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..storage import discard, materialize_checked, shared_folder
+from .boosting import fit_boosting
 from .features import fit_preparation
 
 _WEIGHT = "_class_weight"
@@ -102,11 +103,11 @@ def fit_models(
     stored, seen = materialize_checked(preparation.transform(train).select(label, "features"), positives=f"sum(cast(`{label}` as long))")
     rows = seen["rows"]
     prepared = in_tasks(stored.withColumn(_WEIGHT, balanced_weight(rows, seen["positives"] or 0, label)), rows)
-    estimators: dict[str, Estimator] = {
-        config.BASELINE_MODEL: logistic_regression(rows, label),
-        config.CHALLENGER_MODEL: gradient_boosting(label, rounds),
+    fits: dict[str, Callable[[], Model]] = {
+        config.BASELINE_MODEL: lambda: logistic_regression(rows, label).fit(prepared),
+        config.CHALLENGER_MODEL: lambda: fit_boosting(gradient_boosting(label, rounds), prepared, rows),
     }
-    fitted = {name: PipelineModel(stages=[preparation, estimators[name].fit(prepared)]) for name in names}
+    fitted = {name: PipelineModel(stages=[preparation, fits[name]()]) for name in names}
     discard(stored)
     return fitted
 

@@ -45,14 +45,18 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this package."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete materialized tables that no later read needs, here or in a result that is still to be computed."""
     for df in tables:
-        context = df.sparkSession.sparkContext
-        roots = {re.match(".*/table-[0-9a-f]{32}(?=/)", path)[0] for path in df.inputFiles()}
-        for path in roots:
-            folder = context._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        for path in {re.match(".*/table-[0-9a-f]{32}(?=/)", path)[0] for path in df.inputFiles()}:
+            delete(df.sparkSession, path)
 
 
 def materialize_checked(df: DataFrame, **checks: str | Column) -> tuple[DataFrame, dict[str, int]]:
