@@ -351,7 +351,7 @@ def _in_blocks(booster: GBTClassifier, prepared: DataFrame, rows: int, kinds: tu
     shared_folder(spark)  # margins are checkpointed there
     arrays = prepared.select(F.col(booster.getLabelCol()).cast("double").alias("y"), vector_to_array(booster.getFeaturesCol()).alias("x"))
     layout = _layout(booster, arrays, rows, kinds)
-    partitions = max(min(2 * spark.sparkContext.defaultParallelism, -(-rows // _ROWS_PER_TASK[0])), -(-rows // _ROWS_PER_TASK[1]))
+    partitions = max(min(spark.sparkContext.defaultParallelism, -(-rows // _ROWS_PER_TASK[0])), -(-rows // _ROWS_PER_TASK[1]))
     state, before = _blocks(arrays, layout, partitions).persist(StorageLevel.MEMORY_AND_DISK_DESER), None
     trees, weights, kept, every = [], [], None, booster.getCheckpointInterval()
     for i in range(booster.getMaxIter()):
