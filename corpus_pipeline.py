@@ -18,7 +18,7 @@ from scorewright.llm.packing import pack
 from scorewright.llm.pii import redact
 from scorewright.llm.quality import fit, score
 from scorewright.llm.repeated_passages import remove_repeated
-from scorewright.storage import materialize
+from scorewright.storage import materialize, materialize_shuffled
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -56,7 +56,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     own = "own"
     while own in docs.columns:
         own += "_"
-    groups = materialize(near_documents(docs, rows_of=True)).where("doc_id is not null")
+    groups = materialize_shuffled(near_documents(docs, rows_of=True)).where("doc_id is not null")
     removed = groups.where("own <> first").select(F.col("own").alias(own))
     repeated = groups.groupBy(F.col("own").alias(own)).agg(F.count("*").alias("n")).where("n > 1").select(own)
     named = docs.withColumn(own, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewright.llm.batches import map_batches
-from scorewright.storage import materialize
+from scorewright.storage import materialize_shuffled
 
 
 def roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -50,26 +50,26 @@ def components(links: DataFrame) -> DataFrame:
     """
     some = links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a is not null and b is not null")
     nodes = some.where("a = b").select(F.col("a").alias("node")).distinct()
-    edges = materialize(map_batches(some.where("a <> b"), _forests, "a long, b long").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = materialize_shuffled(map_batches(some.where("a <> b"), _forests, "a long, b long").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     steps: list[DataFrame] = []
     while not edges.isEmpty():
         ends = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = materialize(ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("parent")))
+        parent = materialize_shuffled(ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("parent")))
         while True:
             above = parent.where("node <> parent").select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
             jumped = parent.join(above, "parent", "left").select("node", F.coalesce("grand", "parent").alias("parent"), F.col("grand").isNotNull().alias("moved"))
-            jumped = materialize(jumped)
+            jumped = materialize_shuffled(jumped)
             parent = jumped.select("node", "parent")
             if jumped.where("moved").isEmpty():
                 break
         steps.append(parent)
         high = parent.select(F.col("node").alias("a"), F.col("parent").alias("x"))
         low = parent.select(F.col("node").alias("b"), F.col("parent").alias("y"))
-        edges = materialize(edges.join(high, "a").join(low, "b").where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+        edges = materialize_shuffled(edges.join(high, "a").join(low, "b").where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
     if not steps:
         return nodes.select("node", F.col("node").alias("component"))
     found = steps[0].select("node", F.col("parent").alias("component"))
     for step in steps[1:]:
         found = found.join(step.select(F.col("node").alias("component"), "parent"), "component", "left").select("node", F.coalesce("parent", "component").alias("component"))
     lonely = nodes.join(found, "node", "left_anti").select("node", F.col("node").alias("component"))
-    return materialize(found.unionByName(lonely))
+    return materialize_shuffled(found.unionByName(lonely))

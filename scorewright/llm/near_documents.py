@@ -25,7 +25,7 @@ from scorewright.llm.batches import map_batches, text_slices
 from scorewright.llm.components import components
 from scorewright.llm.filters import bitmap, marked
 from scorewright.llm.shingles import mixed, set_id, shingle_sets
-from scorewright.storage import discard, materialize
+from scorewright.storage import discard, materialize, materialize_shuffled
 
 #: A link: 100 * common shingles >= PERCENT * all shingles of both.
 PERCENT = 80
@@ -185,12 +185,12 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     bounded = pairs.join(y, "b").join(x, "a").select("a", "b", most.alias("common"), (F.col("n_a") + F.col("n_b")).alias("total"))
     near = 100 * F.col("common") >= PERCENT * (F.col("total") - F.col("common"))
     distance = 1 - F.col("common") / (F.col("total") - F.col("common"))
-    bounded = materialize(bounded.withColumn("near", near).dropDuplicates(["a", "b"]))
+    bounded = materialize_shuffled(bounded.withColumn("near", near).dropDuplicates(["a", "b"]))
     far = bounded.where("not near").select("a", "b", distance.alias("low"), F.lit(1.0).alias("high"), F.lit(False).alias("linked"))
     x, y = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
     exact = bounded.where("near").select("a", "b", "total").join(y, "b").join(x, "a").withColumn("common", F.size(F.array_intersect("x", "y")))
     exact = exact.select("a", "b", distance.alias("low"), distance.alias("high"), near.alias("linked")).dropDuplicates(["a", "b"])
-    compared = materialize(exact.unionByName(far))
+    compared = materialize_shuffled(exact.unionByName(far))
     discard(bounded, sets)
     return compared
 
@@ -232,14 +232,14 @@ def near_documents(documents: DataFrame, *, key: str = "doc_id", rows_of: bool =
 
     entries = map_batches(texts, _entries(frequent, small), "key long, set_id long, place long, part int, rare int")
     dealt = entries.repartition("key", "part").sortWithinPartitions("key", "set_id")
-    lists = materialize(map_batches(dealt, _shared, "key long, set_id long, place long, rare int"))
+    lists = materialize_shuffled(map_batches(dealt, _shared, "key long, set_id long, place long, rare int"))
 
     # A list's pivot is the class with the fewest rare shingles: of copies with changes of their own, the one that
     # all others resemble most. As this does not depend on the list, a group has about one pivot in all its lists.
     chosen = F.struct("rare", "set_id")
     pivots = lists.groupBy("key").agg(F.min_by(F.struct("set_id", "place"), chosen).alias("p")).select("key", F.col("p.set_id").alias("pivot"), F.col("p.place").alias("place"))
     met_pivot = lists.alias("e").join(pivots.alias("p"), "key").where((F.col("set_id") != F.col("pivot")) & _may_link("e", "p"))
-    first = materialize(met_pivot.select(F.greatest("set_id", "pivot").alias("a"), F.least("set_id", "pivot").alias("b")).distinct())
+    first = materialize_shuffled(met_pivot.select(F.greatest("set_id", "pivot").alias("a"), F.least("set_id", "pivot").alias("b")).distinct())
 
     def whole_sets(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
@@ -260,14 +260,14 @@ def near_documents(documents: DataFrame, *, key: str = "doc_id", rows_of: bool =
         .withColumn("a", F.greatest("set_id", "pivot")).withColumn("b", F.least("set_id", "pivot")).join(far, ["a", "b"], "left")
         .select("key", "set_id", "place", "component", *[F.when(F.col("set_id") == F.col("pivot"), 0.0).otherwise(F.coalesce(c, F.lit(limit))).alias(c) for c, limit in (("low", 0.0), ("high", 1.0))])
     )
-    left = materialize(left)
+    left = materialize_shuffled(left)
     discard(lists)
     apart = F.greatest(F.col("x.low") - F.col("y.high"), F.col("y.low") - F.col("x.high")) <= 1 - PERCENT / 100 + 1e-9
     second = (
         left.alias("x").join(left.alias("y"), F.expr("x.key = y.key and x.set_id > y.set_id and x.component <> y.component"))
         .where(_may_link("x", "y") & apart).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct()
     )
-    second = materialize(second.join(compared.select("a", "b"), ["a", "b"], "left_anti"))
+    second = materialize_shuffled(second.join(compared.select("a", "b"), ["a", "b"], "left_anti"))
     discard(left)
     if not second.isEmpty():
         more = _compared(second, whole_sets(second)).where("linked").select("a", "b")

@@ -24,7 +24,7 @@ from scorewright.llm.anchors import LENGTH, roll, runs
 from scorewright.llm.batches import map_batches, text_slices
 from scorewright.llm.filters import bitmap, marked, split
 from scorewright.llm.shingles import mixed
-from scorewright.storage import materialize
+from scorewright.storage import materialize, materialize_shuffled
 
 #: Batches that the documents of one call are indexed in, and classes of a head that one task compares.
 BATCHES, TOGETHER = 4, 1 << 13
@@ -78,7 +78,7 @@ def _only_marked(bits: np.ndarray, column: str):
 
 def suffix_array(entries: DataFrame) -> DataFrame:
     """The distinct heads of a batch by fingerprint, with the number of anchors of each; no order of suffixes."""
-    return materialize(entries.groupBy("head").agg(F.count("*").alias("n")).sortWithinPartitions("head"))
+    return materialize_shuffled(entries.groupBy("head").agg(F.count("*").alias("n")).sortWithinPartitions("head"))
 
 
 class IndexFamily:
@@ -95,7 +95,7 @@ class IndexFamily:
         k = 0
         while k in self.levels:
             both = self.levels.pop(k).unionByName(array)
-            array = materialize(both.groupBy("head").agg(F.sum("n").alias("n")).sortWithinPartitions("head"))
+            array = materialize_shuffled(both.groupBy("head").agg(F.sum("n").alias("n")).sortWithinPartitions("head"))
             k += 1
         self.levels[k] = array
 
@@ -103,7 +103,7 @@ class IndexFamily:
         found = self.matches[0]
         for more in self.matches[1:]:
             found = found.unionByName(more)
-        return materialize(found.distinct())
+        return materialize_shuffled(found.distinct())
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -231,17 +231,17 @@ def repeated_spans(texts: DataFrame, *, batches: int = BATCHES) -> DataFrame:
         family.add(suffix_array(entries.where(F.pmod("own", F.lit(batches)) == i)))
     matched = family.matched()
     near = map_batches(entries, _only_marked(bitmap(matched, "head"), "head"), "own long, anchor long, back short, ahead short, head long, whole long")
-    found = materialize(near.join(matched, "head", "left_semi"))
+    found = materialize_shuffled(near.join(matched, "head", "left_semi"))
     classes = found.groupBy(*_CLASS).agg(F.count("*").alias("n"), F.min(F.struct("own", "anchor")).alias("at"))
-    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()))
+    classes = materialize_shuffled(classes.withColumn("id", F.monotonically_increasing_id()))
     per_head = classes.groupBy("head").agg(F.count("*").alias("classes")).where("classes > 1")
 
     # Classes that share a head with others: their surroundings, from one text of each.
     shared = classes.join(per_head, "head").withColumn("own", F.col("at.own"))
-    wanted = materialize(shared.groupBy("own").agg(F.collect_list(F.struct("head", "id", "n", "back", "ahead", F.col("at.anchor").alias("anchor"))).alias("wanted")))
+    wanted = materialize_shuffled(shared.groupBy("own").agg(F.collect_list(F.struct("head", "id", "n", "back", "ahead", F.col("at.anchor").alias("anchor"))).alias("wanted")))
     holders = map_batches(texts, _only_marked(bitmap(wanted, "own"), "own"), "own long, text string").dropDuplicates(["own"])
     context = map_batches(holders.join(wanted, "own").select("text", "wanted"), _surroundings, "head long, id long, n long, back short, bytes binary")
-    context = materialize(context.join(per_head, "head"))
+    context = materialize_shuffled(context.join(per_head, "head"))
     few = context.where(F.col("classes") <= TOGETHER).drop("classes").repartition("head").sortWithinPartitions("head")
     spans = map_batches(few, _compare_sorted, f"id long, spans {_SPANS}")
     many = map_batches(context.where(F.col("classes") > TOGETHER).drop("classes"), _explode_strings, "head long, key long, id long, n long, before long")
@@ -251,11 +251,11 @@ def repeated_spans(texts: DataFrame, *, batches: int = BATCHES) -> DataFrame:
         covered = many.join(again, ["head", "key"], "left_semi").select("id", F.explode(F.array(F.struct((-F.col("before")).alias("low"), (LENGTH - F.col("before")).alias("high")))).alias("span"))
         spans = spans.unionByName(covered.groupBy("id").agg(F.collect_list("span").alias("spans")))
     alone = classes.join(per_head, "head", "left_anti").where("n > 1").select("id", F.array(F.struct((-F.col("back")).cast("long").alias("low"), (F.col("ahead") + LENGTH).cast("long").alias("high"))).alias("spans"))
-    spans = materialize(spans.unionByName(alone))
+    spans = materialize_shuffled(spans.unionByName(alone))
 
     placed = found.select("own", "anchor", *_CLASS).distinct().join(classes.select(*_CLASS, "id"), _CLASS).join(spans, "id")
     moved = F.transform("spans", lambda s: F.struct((s.low + F.col("anchor")).alias("low"), (s.high + F.col("anchor")).alias("high")))
-    return materialize(placed.groupBy("own").agg(F.flatten(F.collect_list(moved)).alias("spans")))
+    return materialize_shuffled(placed.groupBy("own").agg(F.flatten(F.collect_list(moved)).alias("spans")))
 
 
 def remove_repeated(documents: DataFrame, *, key: str = "doc_id", carry: tuple[str, ...] = (), digest: bool = True, batches: int = BATCHES) -> DataFrame:

@@ -45,6 +45,22 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Shuffle partitions that one task of :func:`materialize_shuffled` writes as one file, and tasks for each core at least.
+TOGETHER, TASKS = 8, 4
+
+
+def materialize_shuffled(df: DataFrame) -> DataFrame:
+    """:func:`materialize` for a table that comes out of a shuffle, with several partitions to a file.
+
+    A task takes its partitions one after the other, each as it would alone, so it needs no more memory. Small tables
+    do not become a file for each shuffle partition: Hadoop's local file system starts two processes for every file,
+    and for a moment each counts as a second executor.
+    """
+    spark = df.sparkSession
+    tasks = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // TOGETHER)
+    return materialize(df.coalesce(max(TASKS * spark.sparkContext.defaultParallelism, tasks)))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder of this package."""
     context = spark.sparkContext
