@@ -46,7 +46,7 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
 
 
 #: Shuffle partitions that one task of :func:`materialize_shuffled` writes as one file, and tasks for each core at least.
-TOGETHER, TASKS = 8, 4
+TOGETHER, TASKS = 8, 12
 
 
 def materialize_shuffled(df: DataFrame) -> DataFrame:
