@@ -30,6 +30,9 @@ from scorewright.storage import discard, materialize
 DAMAGED = 199
 #: Code points of a run up to which checksums are computed for all runs at once.
 _SHORT = 64
+#: Bytes of states, about, up to which a level is sent to all tasks. Other joins merge, whatever Spark takes a table's size to
+#: be: it goes by compressed files, and does not know how many rows a batch function or an explode makes of one.
+SENT = 4 << 20
 
 
 def _crc_table() -> np.ndarray:
@@ -152,7 +155,7 @@ def _trie(strings: DataFrame, floor: int) -> DataFrame:
     bit = F.expr("shiftleft(1L, cast(follows % 64 as int))")
     nodes = prefixes.groupBy("a", "b").agg(F.min("pos").alias("depth"), F.min("follows").alias("low"), F.max("follows").alias("high"), F.bit_or(bit).alias("mask"), F.max("n").alias("n_end"))
     nodes = nodes.where(f"n_end is not null or low <> high or depth = {floor}").select("a", "b", F.coalesce("mask", F.lit(0)).alias("mask"), "n_end")
-    on_path = prefixes.select("back", "x", "pos", "a", "b").join(nodes, ["a", "b"])
+    on_path = prefixes.select("back", "x", "pos", "a", "b").join(nodes.hint("merge"), ["a", "b"])
     return on_path.groupBy("back", "x").agg(F.array_sort(F.collect_list(F.struct("pos", "a", "b", "mask", "n_end"))).alias("path"))
 
 
@@ -186,11 +189,11 @@ def near_words(words: DataFrame, *, shortest: int = 6) -> DataFrame:
     states = begin.select("back", "x", F.col("at.pos").alias("pos"), F.col("at.a").alias("a"), F.col("at.b").alias("b"), F.lit(0).alias("edits"))
     # a word of two or three characters may end right behind the node that its search begins at
     found = [begin.where("at.n_end is not null and length(x) - at.pos = 1").selectExpr("if(back, reverse(x), x) as word", "if(back, reverse(left(x, at.pos)), left(x, at.pos)) as near", "at.n_end as n")]
-    old, level = [paths], None
+    old, level, how = [paths], None, "merge"
     while True:
         unread = "substring(x, pos + 1)"
-        fresh = states.where("edits = 0").join(edges, ["a", "b"])
-        made = states.where("edits = 1").withColumn("first", F.expr("substring(x, pos + 1, 1)")).join(edges, ["a", "b", "first"])
+        fresh = states.where("edits = 0").hint(how).join(edges, ["a", "b"])
+        made = states.where("edits = 1").withColumn("first", F.expr("substring(x, pos + 1, 1)")).hint(how).join(edges, ["a", "b", "first"])
         columns = ["back", "x", "pos", "edits", "label", "to_a", "to_b", "mask", "n_end", "whole"]
         met = (fresh if level is None else fresh.select(columns).unionByName(made.select(columns))).select(*columns, F.expr(f"{unread} as rest"), F.expr("length(label) as m"))
         read = met.select("back", "x", "pos", "to_a", "to_b", "mask", "n_end", "whole", F.expr(f"inline({_READ})"))
@@ -203,8 +206,10 @@ def near_words(words: DataFrame, *, shortest: int = 6) -> DataFrame:
         found.append(level.where("ends").selectExpr("if(back, reverse(x), x) as word", "if(back, reverse(whole), whole) as near", "n_end as n"))
         old.append(level)
         states = level.where("goes_on").select("back", "x", "pos", "a", "b", "edits")
-        if states.isEmpty():
+        size = states.agg(F.expr("sum(64 + octet_length(x))")).first()[0]
+        if size is None:
             break
+        how = "broadcast" if size <= SENT else "merge"
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
@@ -226,13 +231,13 @@ def spelling_variants(words: DataFrame, *, ratio: int = 5, shortest: int = 6) ->
     words = materialize(words.select("word", "n"))
     pairs = near_words(words, shortest=shortest)
     best = pairs.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("n")).alias("minus"), F.col("near").alias("near"))).alias("best"))
-    near = words.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.expr(f"if(-best.minus >= {ratio} * n, struct(best.near as form, -best.minus as form_n), null) as f"))
+    near = words.join(best.hint("merge"), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.expr(f"if(-best.minus >= {ratio} * n, struct(best.near as form, -best.minus as form_n), null) as f"))
     near = materialize(near.select("word", "n", "n_near", "f.form", "f.form_n"))
     roots = near.where("form is not null").select("word", F.col("form").alias("root"))
     while True:  # each round doubles the steps that a root is away
         ahead = roots.select(F.col("word").alias("root"), F.col("root").alias("ahead"))
-        jumped = materialize(roots.join(ahead, "root", "left").select("word", F.coalesce("ahead", "root").alias("root"), F.col("ahead").isNotNull().alias("moved")))
+        jumped = materialize(roots.join(ahead.hint("merge"), "root", "left").select("word", F.coalesce("ahead", "root").alias("root"), F.col("ahead").isNotNull().alias("moved")))
         roots = jumped.select("word", "root")
         if jumped.where("moved").isEmpty():
             break
-    return near.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return near.join(roots.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from odd import documents, rows
+from scorewright.llm import spelling_variants as module
 from scorewright.llm.pieces import lay_out
 from scorewright.llm.queries import QUERIES
 from scorewright.llm.spelling_variants import checksums, near_words, spelling_variants, word_counts
@@ -110,6 +111,21 @@ def test_ties_and_limits(spark):
         spelling_variants(frame(spark, counts), ratio=1)
 
 
+@pytest.mark.parametrize("sent", [0, 1 << 30])
+def test_only_small_levels_are_sent_to_all_tasks(spark, monkeypatch, sent):
+    """Spark would send any table that it takes to be small, such as the prefixes of all words."""
+    counts, plans, levels = vocabulary(6, 300), [], []
+    keep, plan = module.materialize, lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(module, "materialize", lambda df: (levels if "goes_on" in df.columns else plans).append(plan(df)) or keep(df))
+    monkeypatch.setattr(module, "SENT", sent)
+    found = spelling_variants(frame(spark, counts))
+    assert sorted(map(tuple, found.collect())) == slow_variants(counts)
+    kinds = [("BroadcastHashJoin" in p, "SortMergeJoin" in p) for p in levels]
+    assert len(kinds) > 1 and kinds == [(False, True)] + [(sent > 0, sent == 0)] * (len(kinds) - 1)
+    plans = [p for p in [*plans, plan(found)] if "Join" in p]
+    assert len(plans) > 3 and not any("BroadcastHashJoin" in p for p in plans)
+
+
 def test_odd_documents(spark):
     own = [(r[0], r[1]) for r in rows()] + [(50, "Ärger ÄRGER×÷ Straße " * 40), (51, "a" * 100_000 + " " + "Xyzzyx" * 30), (None, "plover plover' plover-plover " * 30)] + [(i, " ".join(f"quickly quxckly{c} dolphin" for c in "abc")) for i in range(100, 400)]
     df = documents(spark, [(i, t, *[None] * 10) for i, t in own])
