@@ -7,10 +7,13 @@ whose size depends on bins, features and nodes only; rows stay on the executors
 from __future__ import annotations
 
 import json
+import math
 import pickle
+import re
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -104,13 +107,16 @@ def _layout(booster: GBTClassifier, arrays: DataFrame, rows: int, kinds: tuple[i
 
 
 def _blocks(arrays: DataFrame, layout: _Layout, partitions: int) -> RDD:
-    """(bins per number, numbers of the flags that are set, labels as -1 and 1, margins) per block of rows, evenly dealt."""
+    """(bins per number, numbers of the flags that are set, labels as -1 and 1, margins, its place) per block of rows, evenly dealt."""
     numbers, flags, thresholds, block = list(layout.numbers), list(layout.flags), layout.thresholds, _BLOCK
     small = np.uint8 if max(layout.bins, len(flags) + 1) <= 256 else np.uint16
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         import numpy as np
         import pyarrow as pa
+        from pyspark import TaskContext
+
+        task, made = TaskContext.get().partitionId(), count()
 
         def packed(held: list) -> pa.RecordBatch:
             y = np.concatenate([b.column(0).to_numpy(zero_copy_only=False) for b in held])
@@ -126,7 +132,7 @@ def _blocks(arrays: DataFrame, layout: _Layout, partitions: int) -> RDD:
             place = np.arange(len(at)) - np.searchsorted(at, at, side="left")  # of a flag among those of its row
             given = np.zeros((place.max(initial=-1) + 1, len(y)), small)
             given[place, at] = which + 1
-            state = codes, given, (2 * y - 1).astype(np.int8), np.zeros(len(y))
+            state = codes, given, (2 * y - 1).astype(np.int8), np.zeros(len(y)), (task, next(made))
             return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(state, protocol=5)], pa.binary())], ["block"])
 
         held, n = [], 0
@@ -175,18 +181,38 @@ def _places(levels: list[list[tuple]]) -> Callable:
     return places
 
 
+def _draws(rate: float, seed: int, tree: int) -> Callable | None:
+    """Which rows of a block a tree learns from: each with the chance ``rate``, the same ones whenever the block is read again."""
+    if rate == 1.0:
+        return None
+
+    def drawn(own: tuple[int, int], rows: int) -> np.ndarray:
+        import numpy as np
+
+        return np.random.default_rng([seed, tree, *own]).random(rows, np.float32) < rate
+
+    return drawn
+
+
+def _per_node(strategy: str, width: int) -> int | None:
+    """Features that a node may choose among, if the strategy is all or a share of them."""
+    if strategy in ("all", "auto"):
+        return width
+    return math.ceil(float(strategy) * width) if re.fullmatch(r"0?\.\d*[1-9]\d*|1\.0+", strategy) else None
+
+
 def _grown(state: RDD, levels: list[list[tuple]], values: Sequence[float]) -> RDD:
     """Blocks whose margins have gained a tree, given by its questions and the weighted predictions of its lowest level."""
     places, gains = _places(levels), np.array(values)
 
     def grow(block: tuple) -> tuple:
-        codes, given, sign, margin = block
-        return codes, given, sign, margin + gains[places(codes, given)]
+        codes, given, sign, margin, own = block
+        return codes, given, sign, margin + gains[places(codes, given)], own
 
     return state.map(grow)
 
 
-def _sums(state: RDD, levels: list[list[tuple]], chosen: Sequence[int], layout: _Layout, first: bool) -> tuple:
+def _sums(state: RDD, levels: list[list[tuple]], chosen: Sequence[int], layout: _Layout, first: bool, drawn: Callable | None) -> tuple:
     """Rows, residuals and their squares at the ``chosen`` places of a level: (3, numbers, places, bins) and (3, places, flags).
 
     Also their totals (3, places). Residuals are minus the slope of the logistic loss; the first tree learns the signs themselves.
@@ -201,10 +227,10 @@ def _sums(state: RDD, levels: list[list[tuple]], chosen: Sequence[int], layout:
         import numpy as np
 
         totals, by_number, by_flag = np.zeros((3, nodes)), np.zeros((3, numbers, nodes, bins)), np.zeros((3, nodes, flags))
-        for codes, given, sign, margin in blocks:
+        for codes, given, sign, margin, own in blocks:
             at = places(codes, given)
-            if not picked.all():
-                rows = np.flatnonzero(picked[at])
+            if drawn or not picked.all():
+                rows = np.flatnonzero(picked[at] & drawn(own, len(at)) if drawn else picked[at])
                 at, codes, given, sign, margin = at[rows], [c[rows] for c in codes], [g[rows] for g in given], sign[rows], margin[rows]
             at = number[at]
             residual = sign.astype(float) if first else 4.0 * sign / (1.0 + np.exp(2.0 * sign * margin))
@@ -230,8 +256,10 @@ def _sums(state: RDD, levels: list[list[tuple]], chosen: Sequence[int], layout:
     return totals, by_number, by_flag[:, :, 1:]
 
 
-def _best_cut(node: _Node, by_number: np.ndarray, by_flag: np.ndarray, layout: _Layout, booster: GBTClassifier) -> tuple[float, tuple[int, int], np.ndarray] | None:
-    """Gain, cut and the left side's statistics of the best cut of a node; ties go to the first feature, then the first bin."""
+def _best_cut(
+    node: _Node, by_number: np.ndarray, by_flag: np.ndarray, features: Sequence[int], layout: _Layout, booster: GBTClassifier
+) -> tuple[float, tuple[int, int], np.ndarray] | None:
+    """Gain, cut and the left side's statistics of a node's best cut by one of ``features``; ties go to the first feature, then the first bin."""
     whole, widest = np.array([node.rows, node.total, node.squares]), max(layout.bins - 1, 1)
     left = np.zeros((3, layout.width, widest))
     for i, (f, t) in enumerate(zip(layout.numbers, layout.thresholds)):
@@ -246,7 +274,7 @@ def _best_cut(node: _Node, by_number: np.ndarray, by_flag: np.ndarray, layout: _
         left[:, flags, 0] = np.where(lower, ones, zeros)
     right = whole[:, None, None] - left
     least = max(booster.getMinInstancesPerNode(), 1)
-    allowed = (left[0] >= least) & (right[0] >= least)
+    allowed = (left[0] >= least) & (right[0] >= least) & np.isin(np.arange(layout.width), features)[:, None]
     with np.errstate(divide="ignore", invalid="ignore"):
         gains = left[0] * right[0] / node.rows**2 * (left[1] / left[0] - right[1] / right[0]) ** 2
     gains = np.where(allowed, gains, -np.inf)
@@ -257,15 +285,18 @@ def _best_cut(node: _Node, by_number: np.ndarray, by_flag: np.ndarray, layout: _
     return gain, (int(feature), int(values[feature] if feature in layout.flags else split)), left[:, feature, split]
 
 
-def _tree(state: RDD, layout: _Layout, booster: GBTClassifier, first: bool) -> dict[tuple[int, int], _Node]:
-    """One tree by (depth, place in the level), grown a level a job.
+def _tree(state: RDD, layout: _Layout, booster: GBTClassifier, number: int) -> dict[tuple[int, int], _Node]:
+    """The ``number``-th tree by (depth, place in the level), grown a level a job.
 
-    Rows are added up on the smaller side of a cut; the other side is what is left of the node above.
+    Sampled rows are drawn for the tree, and features for each of its nodes, seeded by the number of the tree. Rows are added up on the smaller side of a cut; the other side is what is left of the node above.
     """
     tree, active, above = {(0, 0): _Node()}, [0], {}
+    seed = booster.getSeed() & 0xFFFFFFFFFFFFFFFF  # numpy takes no negative one
+    drawn, chance = _draws(booster.getSubsamplingRate(), seed, number), np.random.default_rng([seed, number])
+    per_node = _per_node(booster.getFeatureSubsetStrategy(), layout.width)
     for depth in range(booster.getMaxDepth()):
         chosen = active if not depth else [min(p, p + 1, key=lambda q: tree[depth, q].rows) for p in active[::2]]
-        totals, by_number, by_flag = _sums(state, _questions(tree, layout), chosen, layout, first)
+        totals, by_number, by_flag = _sums(state, _questions(tree, layout), chosen, layout, number == 0, drawn)
         held = {place: (by_number[:, :, i], by_flag[:, i]) for i, place in enumerate(chosen)}
         if depth:
             held |= {p ^ 1: tuple(x - y for x, y in zip(above[p // 2], held[p])) for p in chosen}
@@ -274,9 +305,10 @@ def _tree(state: RDD, layout: _Layout, booster: GBTClassifier, first: bool) -> d
         below = []
         for place in active:
             node = tree[depth, place]
-            if depth and abs(node.impurity) < np.finfo(float).eps:
+            features = chance.choice(layout.width, per_node, replace=False)
+            if not node.rows or depth and abs(node.impurity) < np.finfo(float).eps:
                 continue
-            if found := _best_cut(node, *held[place], layout, booster):
+            if found := _best_cut(node, *held[place], features, layout, booster):
                 node.gain, node.cut, left = found
                 sides = left, np.array([node.rows, node.total, node.squares]) - left
                 tree[depth + 1, 2 * place], tree[depth + 1, 2 * place + 1] = (_Node(*map(float, side)) for side in sides)
@@ -329,7 +361,7 @@ def _model(spark: SparkSession, booster: GBTClassifier, trees: list[dict], weigh
     """The classifier's model of these trees: one that it fitted to two rows and saved, loaded with other trees."""
     path = scratch_path(spark, "boosting")
     two = spark.createDataFrame([(float(y), Vectors.dense([float(y)] * layout.width)) for y in (0, 1)], ["label", "features"])
-    names = {booster.labelCol: "label", booster.featuresCol: "features", booster.maxIter: 1, booster.minInstancesPerNode: 1}
+    names = {booster.labelCol: "label", booster.featuresCol: "features", booster.maxIter: 1, booster.minInstancesPerNode: 1, booster.subsamplingRate: 1.0}
     booster.fit(two, names).save(f"{path}/template")
     about = json.loads(spark.read.text(f"{path}/template/metadata").first().value)
     own = {p.name: v for p, v in booster.extractParamMap().items() if booster.isSet(p)}
@@ -357,7 +389,7 @@ def _in_blocks(booster: GBTClassifier, prepared: DataFrame, rows: int, kinds: tu
     for i in range(booster.getMaxIter()):
         if cut := every > 0 and i > 0 and i % every == 0:
             state.checkpoint()  # by the first job of the tree
-        tree = _tree(state, layout, booster, first=i == 0)
+        tree = _tree(state, layout, booster, i)
         if before:
             before.unpersist()
         if cut:
@@ -375,16 +407,19 @@ def _in_blocks(booster: GBTClassifier, prepared: DataFrame, rows: int, kinds: tu
     return _model(spark, booster, trees, weights, layout)
 
 
-def fit_boosting(booster: GBTClassifier, prepared: DataFrame, rows: int) -> GBTClassificationModel:
+def fit_boosting(booster: GBTClassifier, prepared: DataFrame, rows: int, *, sampled: bool = False) -> GBTClassificationModel:
     """``booster`` fitted to ``prepared``, which has ``rows`` rows.
 
     From ``BLOCKS_FROM`` rows on, its trees are grown in blocks: the same rounds, bins, cuts and leaves over all rows, up
-    to the order of summation and the sample that thresholds come from. Sampled rows or features, weights, a validation
-    column, vectors of unknown or more than ``WIDEST_DENSE`` features and trees deeper than 8 stay with the classifier.
+    to the order of summation and the sample that thresholds come from. A booster that samples rows for each tree, or a share
+    of the features for each node, is grown so only if ``sampled`` is given, as it draws other ones than the classifier does;
+    else it stays with the classifier, like other subset strategies, weights, a validation column, vectors of unknown or more
+    than ``WIDEST_DENSE`` features and trees deeper than 8.
     """
     kinds = _kinds(prepared, booster.getFeaturesCol())
+    whole = booster.getSubsamplingRate() == 1.0 and booster.getFeatureSubsetStrategy() in ("all", "auto")
     plain = (
-        booster.getSubsamplingRate() == 1.0 and booster.getFeatureSubsetStrategy() in ("all", "auto")
+        (whole or sampled and _per_node(booster.getFeatureSubsetStrategy(), 1) is not None)
         and not booster.isSet(booster.weightCol) and not booster.isSet(booster.validationIndicatorCol)
         and booster.getMinWeightFractionPerNode() == 0.0 and 1 <= booster.getMaxDepth() <= 8
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
+from ..operators.boosting import fit_boosting
 from ..operators.ensembles import ensemble_nodes, ensemble_probability
 from ..operators.features import fit_preparation
 from ..operators.metrics import ranking_metrics
@@ -36,7 +37,7 @@ def train_on_channels(
         validation = channels.labeled_channel(spark, folder, "validation", features, label)
         rows = rows.union(validation.withColumn("is_validation", F.lit(True)))
     prepared, seen = materialize_checked(preparation.transform(rows).select(label, "is_validation", "features"))
-    booster = managed_boosting(label, rounds, early_stop).fit(in_tasks(prepared, seen["rows"]))
+    booster = fit_boosting(managed_boosting(label, rounds, early_stop), in_tasks(prepared, seen["rows"]), seen["rows"], sampled=True)
     discard(prepared)
     return PipelineModel(stages=[preparation, booster])
 

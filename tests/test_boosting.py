@@ -1,12 +1,17 @@
 """Boosting in blocks against the classifier, on tables small enough that both take thresholds from all rows."""
 
+import math
+
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 
 from scorewright import config
 from scorewright.operators import boosting, ensembles, features, models
+from scorewright.plans import batch
 from test_models import CATEGORICAL, NUMERIC, clients
 
 
@@ -87,6 +92,66 @@ def test_rows_that_the_classifier_refuses_are_refused(spark):
             boosting.fit_boosting(models.gradient_boosting("label", 1), rows.withColumn("label", bad), 100)
 
 
+@pytest.mark.parametrize("rate, strategy", [(0.8, "all"), (1.0, "0.5"), (0.6, "0.3")])
+def test_sampled_trees_by_brute_force(spark, monkeypatch, rate, strategy):
+    """Leaves hold the drawn rows only, predict their mean residual and move the margins of all rows; cuts are the best of the drawn features."""
+    rows = prepared(clients(spark, 500)).coalesce(1)
+    booster = models.managed_boosting("label", 4, subsamplingRate=rate, featureSubsetStrategy=strategy, minInstancesPerNode=9)
+    asked, best_cut = [], boosting._best_cut
+    monkeypatch.setattr(boosting, "_best_cut", lambda *a: asked.append((a[0], set(map(int, a[3])), best_cut(*a))) or asked[-1][2])
+    monkeypatch.setattr(GBTClassifier, "_fit", lambda self, df, f=GBTClassifier._fit: f(self, df) if df.count() == 2 else pytest.fail("the classifier fitted"))
+    found = boosting.fit_boosting(booster, rows, 500, sampled=True)
+    held = rows.select("label", "features").collect()
+    x, sign = np.array([r.features.toArray() for r in held]), np.array([2.0 * r.label - 1 for r in held])
+    margin, seen, width = np.zeros(500), [], x.shape[1]
+    for i, tree in enumerate(found.trees):
+        drawn = np.ones(500, bool) if rate == 1.0 else np.concatenate([boosting._draws(rate, config.SEED, i)((0, k), len(sign[at : at + 64])) for k, at in enumerate(range(0, 500, 64))])
+        seen.append(frozenset(np.flatnonzero(drawn)))
+        residual = sign if i == 0 else 4 * sign / (1 + np.exp(2 * sign * margin))
+        leaf = np.array([tree.predictLeaf(r.features) for r in held])
+        predicted = np.array([tree.predict(r.features) for r in held])
+        assert len(set(leaf)) > 2
+        for n in set(leaf):
+            mine = drawn & (leaf == n)
+            assert mine.sum() >= 9 and predicted[leaf == n][0] == pytest.approx(residual[mine].mean())
+        margin += found.treeWeights[i] * predicted
+    nodes = [a for a in asked if a[2]]
+    wanted = width if strategy == "all" else math.ceil(float(strategy) * width)
+    assert all(len(f) == wanted for _, f, _ in asked) and all(cut[1][0] in f for _, f, cut in nodes)
+    assert (len({frozenset(f) for _, f, _ in asked}) > 3) == (strategy != "all")
+    assert (len(set(seen)) == 4 and all(abs(len(s) - 500 * rate) < 60 for s in seen)) if rate < 1 else len(set(seen)) == 1
+    again = boosting.fit_boosting(booster, rows, 500, sampled=True)
+    assert gap(again, found, rows) == 0 and found.extractParamMap() == booster.fit(rows.limit(2).coalesce(1), {booster.maxIter: 1}).extractParamMap() | {booster.maxIter: 4}
+
+
+def test_one_subset_for_all_nodes_grows_the_classifiers_trees(spark, monkeypatch):
+    rows = prepared(clients(spark, 500))
+    width = len(rows.first().features)
+    kept = sorted(np.random.default_rng(1).choice(width, math.ceil(0.5 * width), replace=False).tolist())
+    best_cut = boosting._best_cut
+    monkeypatch.setattr(boosting, "_best_cut", lambda node, a, b, features, *rest: best_cut(node, a, b, kept, *rest))
+    found = boosting.fit_boosting(models.gradient_boosting("label", 6, featureSubsetStrategy="0.5"), rows, 500, sampled=True)
+    without = F.udf(lambda v: Vectors.dense([a if i in kept else 0.0 for i, a in enumerate(v)]), VectorUDT())
+    bare = rows.withColumn("features", without("features").alias("features", metadata=rows.schema["features"].metadata))
+    assert gap(found, models.gradient_boosting("label", 6).fit(bare.coalesce(1)), bare) < 1e-9
+
+
+def test_batch_flow_grows_its_trees_in_blocks(spark, tmp_path, monkeypatch):
+    seen, fit = [], boosting._in_blocks
+    monkeypatch.setattr(boosting, "_in_blocks", lambda booster, df, rows, kinds: seen.append((booster.getSubsamplingRate(), rows)) or fit(booster, df, rows, kinds))
+    df = clients(spark, 600).withColumnRenamed(config.TARGET, "label")
+    row = batch.batch_flow(df, str(tmp_path), numeric=NUMERIC, categorical=CATEGORICAL, rounds=3).first()
+    assert seen == [(0.8, 420)] and row.rows == 90
+    assert models.tree_count(PipelineModel.load(f"{tmp_path}/model")) == 3
+
+
+def test_strategies_by_name_or_number_stay_with_the_classifier(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "_in_blocks", None)
+    rows = prepared(clients(spark, 200))
+    for strategy in ("sqrt", "log2", "onethird", "1"):
+        assert boosting.fit_boosting(models.gradient_boosting("label", 1, featureSubsetStrategy=strategy), rows, 200, sampled=True).getNumTrees == 1
+
+
 def test_other_settings_stay_with_the_classifier(spark, monkeypatch):
     monkeypatch.setattr(boosting, "_in_blocks", None)
     rows = prepared(clients(spark, 200))
